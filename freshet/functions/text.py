@@ -23,8 +23,10 @@ def _folding(first: int, last: int) -> tuple[str, str]:
     return "".join(source), "".join(target)
 
 
-# Latin-1 plus Latin Extended A covers the accented names of the two sources; the general key folds further.
-LATIN = _folding(0x00C0, 0x017F)
+# The accented letters folded in the place-name key, by plain letter.
+ACCENTED = {"a": "àáâäãå", "e": "èéêë", "i": "ìíîï", "o": "òóôöõ", "u": "ùúûü", "y": "ýÿŷ", "c": "ç", "n": "ñ", "w": "ŵ"}
+LATIN = ("".join(ACCENTED.values()), "".join(plain * len(marked) for plain, marked in ACCENTED.items()))
+# The general key folds every Latin letter that decomposes to a plain one.
 LATIN_WIDE = _folding(0x00C0, 0x1EFF)
 
 
