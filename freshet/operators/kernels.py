@@ -93,7 +93,7 @@ def overlap_areas(pairs: DataFrame) -> DataFrame:
     return pairs.mapInPandas(measure, schema)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     ratios = [SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b)]
     return pd.Series(ratios, dtype="float64")

@@ -57,13 +57,3 @@ def check_assumptions(table: DataFrame) -> DataFrame:
     crossed = by_band.filter(~falls).select(F.concat(
         F.lit("In the "), "scenario", F.lit(" scenario a rarer band has a higher probability than a more frequent one.")).alias("problem"))
     return per_item.unionByName(crossed)
-
-
-def expected_damage(households: DataFrame, table: DataFrame) -> DataFrame:
-    """Expected annual damage per key and scenario: households in the band x chance x damage x uplift (NULL until damage is set)."""
-    value = lambda item, out: table.filter(F.col("item") == item).select("scenario", F.col("value").alias(out))
-    chances = table.filter(F.col("item").startswith("prob_")).select(
-        F.regexp_replace("item", "^prob_", "").alias("band"), "scenario", F.col("value").alias("chance"))
-    joined = (households.join(chances, "band").join(value("damage_per_household", "damage"), "scenario")
-              .join(value("price_uplift", "uplift"), "scenario"))
-    return joined.groupBy("key", "scenario").agg(F.sum(F.col("households") * F.col("chance") * F.col("damage") * F.col("uplift")).alias("damage"))

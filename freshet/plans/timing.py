@@ -83,7 +83,6 @@ def validate(events: DataFrame, triggers: DataFrame, readings: DataFrame, issues
         F.lit(None).cast("timestamp").alias("issue_time"), F.lit(None).cast(dict(issues.dtypes)["episode_id"]).alias("episode_id"))
 
     # every warning of a gauge's area that no crossing of that gauge fell into
-    watched = events.sparkSession  # noqa: F841
     gauge_rows = readings.select(*gauge_keys, area, target_hours).distinct()
     per_gauge = gauge_rows.join(issues, area).withColumn("_w", F.struct(*gauge_keys, "episode_id"))
     crossed = intervals_with_instants(per_gauge, events.select(*gauge_keys, "crossed_at"), gauge_keys, "crossed_at", "issue_time",
