@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from freshet.functions.clock import seconds
+
 
 def bucket_of(time: Column, hours: int) -> Column:
-    return F.floor(F.unix_seconds(time) / (hours * 3600))
+    return F.floor(seconds(time) / (hours * 3600))
 
 
 def instants_in_intervals(instants: DataFrame, intervals: DataFrame, on: list[str], at: str, start: str, end: str,

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from freshet.functions.clock import micros
 from freshet.operators.pick import union_all
 
 SEVERITY = {"ok": 0, "info": 1, "warn": 2, "fail": 3}
@@ -23,7 +24,7 @@ class Check:
 def age_check(name: str, df: DataFrame, time: str, now: Column, warn: float, fail: float | None, hours: float = 1.0,
               empty: str = "fail") -> Check:
     """Age of the newest row in units of ``hours``; without ``fail`` the check warns at most."""
-    age = (F.unix_micros(now) - F.unix_micros(F.max(time))) / (3.6e9 * hours)
+    age = (micros(now) - micros(F.max(time))) / (3.6e9 * hours)
     worst = F.when(age > (fail if fail is not None else float("inf")), "fail").when(age > warn, "warn").otherwise("ok")
     unit = "days" if hours == 24.0 else "h"
     row = df.agg(F.when(F.max(time).isNull(), empty).otherwise(worst).alias("status"),

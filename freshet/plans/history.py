@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from freshet.functions.clock import micros
 from freshet.functions import risk, text
 from freshet.functions.risk import lookup
 from freshet.operators.guards import dropped_report
@@ -117,7 +118,7 @@ def episodes_and_periods(events: DataFrame, as_of: Column, gap: tuple[Column, Co
              .otherwise(step(F.col("_next"), F.col("level"))))
     started = F.when(F.col("_before").isNull(), "issued").otherwise(step(F.col("level"), F.col("_before")))
     starts = in_force.select("area_code", "run", F.col("start_time").alias("_run_start"))
-    minutes = lambda a, b: F.bround((F.unix_micros(b) - F.unix_micros(a)) / 6e7, 2)
+    minutes = lambda a, b: F.bround((micros(b) - micros(a)) / 6e7, 2)
     periods = (steps.join(starts, ["area_code", "run"]).select(
         F.concat_ws("_", "area_code", F.date_format("_run_start", "yyyyMMdd'T'HHmm"), F.col("_n").cast("string")).alias("period_id"),
         F.concat_ws("_", "area_code", F.date_format("_run_start", "yyyyMMdd'T'HHmm")).alias("episode_id"),

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from freshet.functions.clock import micros
 from freshet.functions import text
 from freshet.operators.pick import first_per_key
 
@@ -283,7 +284,7 @@ def settle_by_readings(rows: DataFrame, activity: DataFrame, now: Column, recent
     recent = has & (F.col("last_reading") >= now - F.expr(f"INTERVAL {int(recent_days)} DAYS"))
     same = F.concat_ws("|", *[lowered(c) for c in ("register_qualifier", "period", "unit_name", "register_value_type")])
     lines = counted.filter(ambiguous).withColumn("_has", has).withColumn("_recent", F.coalesce(recent, F.lit(False))).withColumn("_same", same)
-    best_order = F.struct(-F.col("n_readings"), -F.unix_micros("last_reading"), F.col("measure_uri"))
+    best_order = F.struct(-F.col("n_readings"), -micros(F.col("last_reading")), F.col("measure_uri"))
     pick = lambda c: F.min_by("measure_uri", F.when(c, best_order))
     per = lines.groupBy("id").agg(
         F.count_if("_has").alias("_nh"), F.count_if("_recent").alias("_nr"), F.count_distinct(F.when(F.col("_has"), F.col("_same"))).alias("_sh"),

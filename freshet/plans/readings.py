@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from freshet.functions.clock import micros
 from freshet.functions import text
 from freshet.operators.pick import first_per_key
 
@@ -91,7 +92,7 @@ def split_summary(readings: DataFrame, time: str, boundary_at: Column, now: Colu
     return readings.agg(
         F.count(F.lit(1)).alias("readings"), F.count_if(F.col(time) < boundary_at).alias("archive"),
         F.count_if(F.col(time) >= boundary_at).alias("live"), newest.alias("newest"),
-        F.round((F.unix_micros(now) - F.unix_micros(newest)) / 6e7, 1).alias("age_minutes"))
+        F.round((micros(now) - micros(newest)) / 6e7, 1).alias("age_minutes"))
 
 
 def recent_window(series: DataFrame, chosen: DataFrame, measure: str, time: str, now: Column, days: int) -> DataFrame:

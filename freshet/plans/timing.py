@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from freshet.functions.clock import micros
 from freshet.functions import text
 from freshet.operators.intervals import instants_in_intervals, intervals_with_instants, last_before, next_within
 from freshet.operators.pick import first_per_key
@@ -22,7 +23,7 @@ def upcrossings(readings: DataFrame, keys: list[str], time: str, value: str, thr
     state = with_prior(usable, keys, [time], chunk if chunk is not None else F.to_date(time), last={
         "_prior": F.struct(F.col(time).alias("t"), F.col(value).alias("v")), "_above": F.when(above, F.col(time))})
     calm = F.col("_above").isNull() | (
-        F.unix_micros("_prior.t") - F.unix_micros("_above") >= F.lit(int(reset_hours * 3_600_000_000)))
+        micros(F.col("_prior.t")) - micros(F.col("_above")) >= F.lit(int(reset_hours * 3_600_000_000)))
     hit = above & (F.col("_prior.v") < F.col("_limit")) & calm
     return state.filter(F.coalesce(hit, F.lit(False))).select(*keys, F.col(time).alias("crossed_at"))
 
@@ -72,7 +73,7 @@ def validate(events: DataFrame, triggers: DataFrame, readings: DataFrame, issues
     live = issue_in_force(events, issues, [area], key)
     without = events.join(live.select(*key), key, "left_anti")
     after = next_issue(without, issues, [area], key, late_hours)
-    hours = lambda a, b: (F.unix_micros(a) - F.unix_micros(b)) / 3.6e9
+    hours = lambda a, b: (micros(a) - micros(b)) / 3.6e9
     lead = hours(F.col("crossed_at"), F.col("issue_time"))
     base = [*gauge_keys, area, target_hours]
     ontime = F.when(F.col(target_hours).isNull() | (lead >= F.col(target_hours)), "on time").otherwise("too short")
