@@ -28,7 +28,7 @@ def age_check(name: str, df: DataFrame, time: str, now: Column, warn: float, fai
     worst = F.when(age > (fail if fail is not None else float("inf")), "fail").when(age > warn, "warn").otherwise("ok")
     unit = "days" if hours == 24.0 else "h"
     row = df.agg(F.when(F.max(time).isNull(), empty).otherwise(worst).alias("status"),
-                 F.coalesce(F.concat(F.format_number(age, "0.0"), F.lit(f" {unit}")), F.lit("")).alias("value"))
+                 F.coalesce(F.concat(F.format_string("%.1f", age), F.lit(f" {unit}")), F.lit("")).alias("value"))
     return Check(name, row, f"warn over {warn:g}" + (f", fail over {fail:g}" if fail is not None else " (never fails)"))
 
 
