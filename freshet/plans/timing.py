@@ -9,6 +9,7 @@ from freshet.functions import text
 from freshet.operators.intervals import instants_in_intervals, intervals_with_instants, last_before, next_within
 from freshet.operators.pick import first_per_key
 from freshet.operators.scan import exact_median, with_prior
+from freshet.session import cut_lineage
 
 
 def upcrossings(readings: DataFrame, keys: list[str], time: str, value: str, threshold: Column, reset_hours: float = 6.0,
@@ -70,6 +71,8 @@ def validate(events: DataFrame, triggers: DataFrame, readings: DataFrame, issues
     ``events`` carry the gauge keys, the area, the target and ``crossed_at``; ``triggers`` the gauge keys and ``crossed_at``.
     """
     key = [*gauge_keys, "crossed_at"]
+    # crossings are few beside the readings and used six times below: they are written once in the shared folder
+    events = cut_lineage(events)
     live = issue_in_force(events, issues, [area], key)
     without = events.join(live.select(*key), key, "left_anti")
     after = next_issue(without, issues, [area], key, late_hours)
