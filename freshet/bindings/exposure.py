@@ -275,19 +275,13 @@ def _(spark, d):
     return ranked.select("cell_key", F.round("pct", 9).alias("pct"))
 
 
-@query("p24_exposure_grid_and_score", GRID_SQL + """
-SELECT cell_key, round(CASE WHEN people > 0 THEN (less + (same + 1) / 2.0) / n ELSE 0 END, 3) AS pop_pct,
-  haz_rs > 0 AND (people > 0 OR critical_sites > 0) AS scored FROM g""")
+@query("p24_exposure_grid_and_score", GRID_SQL + """,
+p AS (SELECT *, CASE WHEN people > 0 THEN round_even((less + (same + 1) / 2.0) / n, 4) ELSE 0 END AS pop_pct, coalesce(round_even(dec, 0), 0) AS decile FROM g)
+SELECT cell_key, round(pop_pct, 4) AS pop_pct, round(haz_rs, 4) AS haz_rs,
+  round_even(100 * (haz_rs / 4) * ((0.5 * pop_pct + 0.3 * CASE WHEN decile > 0 THEN (11 - decile) / 10 ELSE 0 END + 0.2 * (least(critical_sites, 3.0) / 3)) / 1.0), 2) AS risk_score FROM p""")
 def _(spark, d):
     scored = grid.with_score(_grid(spark, d), {"pop": 0.5, "vulnerability": 0.3, "critical": 0.2}, width=100.0)
-    raw = percent_rank_average(scored, [], "people", 100.0, "pct")
-    return raw.select("cell_key", F.round(F.when(F.col("people") > 0, F.col("pct")).otherwise(0.0), 3).alias("pop_pct"), (F.col("risk_score") > 0).alias("scored"))
-
-
-@query("p24_risk_scores")
-def _(spark, d):
-    scored = grid.with_score(_grid(spark, d), {"pop": 0.5, "vulnerability": 0.3, "critical": 0.2}, width=100.0)
-    return scored.select("cell_key", "pop_pct", "haz_rs", "imd_decile", "risk_score", "tile")
+    return scored.select("cell_key", "pop_pct", F.round("haz_rs", 4).alias("haz_rs"), "risk_score")
 
 
 @query("a25_area_risk_score", PLACES + """,
