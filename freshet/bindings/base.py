@@ -238,3 +238,11 @@ def site_boxes(spark: SparkSession, folder: str) -> DataFrame:
     k = F.col("s_suppkey")
     x0, y0 = k * 613 % 90000, k * 977 % 90000
     return table(spark, folder, "supplier").select(k.alias("box_id"), box_rings(x0, y0, x0 + 4000, y0 + 3000).alias("rings"), "s_nationkey")
+
+
+def url_id_sql(key: str) -> str:
+    """SQL for the version 5 identifier of a text expression in the URL namespace."""
+    digest = f"sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode({key}))"
+    nibble = f"substr('89ab', (strpos('0123456789abcdef', substr({digest}, 17, 1)) - 1) % 4 + 1, 1)"
+    return (f"substr({digest}, 1, 8) || '-' || substr({digest}, 9, 4) || '-5' || substr({digest}, 14, 3) || '-' || {nibble} "
+            f"|| substr({digest}, 18, 3) || '-' || substr({digest}, 21, 12)")

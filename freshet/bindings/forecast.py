@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from freshet.bindings.base import (FORECAST_SQL, MEMBERS_SQL, WARNINGS_SQL, area_lookup, constituencies, current_warnings, links, members, query,
-                                   statements, table, with_ctes)
+                                   statements, table, url_id_sql, with_ctes)
 from freshet.functions import risk
 from freshet.operators import guards, upsert
 from freshet.plans import briefing, forecast, health, warnings
@@ -511,7 +511,14 @@ def _(spark, d):
     return changed.select("user_id", "level", "at", "change_type")
 
 
-@query("p05_change_log_ids")
+LOG_KEY_SQL = "CAST(user_id AS VARCHAR) || '|' || change_type || '|' || level || '|' || strftime(\"at\", '%Y-%m-%d %H:%M:%S')"
+
+
+@query("p05_change_log_ids", with_ctes(SNAPSHOT_SQL) + f""",
+changed AS (SELECT coalesce(f.user_id, s.user_id) AS user_id, coalesce(f.level, s.level) AS level, coalesce(f.at, s.at) AS at,
+  CASE WHEN s.user_id IS NULL THEN 'NEW' WHEN f.user_id IS NULL THEN 'CLOSED' WHEN f.level <> s.level THEN 'SEVERITY_CHANGE' ELSE 'MESSAGE_CHANGE' END AS change_type
+FROM feed f FULL JOIN state s ON s.user_id = f.user_id WHERE s.user_id IS NULL OR f.user_id IS NULL OR f.level <> s.level OR trim(f.message) <> trim(s.message))
+SELECT {url_id_sql(LOG_KEY_SQL)} AS log_id, user_id, change_type FROM changed""")
 def _(spark, d):
     feed, state = _snapshots(spark, d)
     changed = warnings.detect_changes(feed, state, "user_id", "level", "message", F.lit("2024-01-07").cast("timestamp_ntz"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from freshet.bindings.base import query, table
+from freshet.bindings.base import query, table, url_id_sql
 from freshet.functions import risk, text
 from freshet.operators.kernels import name_similarity
 from freshet.plans import thresholds
@@ -174,7 +174,10 @@ def _(spark, d):
     return table(spark, d, "part").select("p_partkey", text.welsh_hint(F.concat("p_name", pick_text(F.col("p_size") % 3, " Llanwrtyd", " Ty Newydd", " Typical"))).alias("hint"))
 
 
-@query("f30_deterministic_event_ids")
+EVENT_KEY_SQL = "CAST(user_id AS VARCHAR) || '|' || event_type || '|' || strftime(ts, '%Y-%m-%d %H:%M:%S') || '|None'"
+
+
+@query("f30_deterministic_event_ids", f"SELECT event_id, {url_id_sql(EVENT_KEY_SQL)} AS log_id FROM events")
 def _(spark, d):
     e = table(spark, d, "events").withColumn("at_text", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
     return e.select("event_id", text.url_event_id(F.col("user_id"), F.col("event_type"), F.col("at_text"), F.lit(None)).alias("log_id"))

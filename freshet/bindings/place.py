@@ -160,7 +160,14 @@ def _(spark, d):
     return places.tile_inventory(p.select(path.alias("path"))).select("tile", "files", "note")
 
 
-@query("f26_gauge_code_readings")
+@query("f26_gauge_code_readings", """
+WITH codes AS (SELECT s_suppkey, '5' || lpad(CAST(s_suppkey % 600 AS VARCHAR), 3, '0') AS la, lpad(CAST(s_suppkey % 400 AS VARCHAR), 3, '0') AS lo FROM supplier),
+lats AS (SELECT DISTINCT s_suppkey, coalesce(TRY_CAST(substr(la, 1, k) AS INTEGER), 0) + CAST(substr(la, k + 1) AS INTEGER) / 60.0 AS lat
+         FROM codes, range(0, 4) r(k) WHERE CAST(substr(la, CAST(k + 1 AS INTEGER)) AS INTEGER) < 60),
+lons AS (SELECT DISTINCT s_suppkey, -(coalesce(TRY_CAST(substr(lo, 1, k) AS INTEGER), 0) + CAST(substr(lo, k + 1) AS INTEGER) / 60.0) AS lon
+         FROM codes, range(0, 3) r(k) WHERE CAST(substr(lo, CAST(k + 1 AS INTEGER)) AS INTEGER) < 60)
+SELECT s_suppkey, la || 'N' || lo || 'W' AS code, round(lat, 6) AS lat, round(lon, 6) AS lon FROM codes JOIN lats USING (s_suppkey) JOIN lons USING (s_suppkey)
+WHERE lat BETWEEN 49 AND 61 AND lon BETWEEN -9 AND 2.5""")
 def _(spark, d):
     s = table(spark, d, "supplier")
     code = F.concat(F.lit("5"), F.lpad((F.col("s_suppkey") % 600).cast("string"), 3, "0"), F.lit("N"), F.lpad((F.col("s_suppkey") % 400).cast("string"), 3, "0"), F.lit("W"))

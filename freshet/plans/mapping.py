@@ -92,8 +92,7 @@ def _blank_measure(rows: DataFrame) -> DataFrame:
 
 
 def _unmatched(rows: DataFrame, status: str, note: Column, columns: list[str]) -> DataFrame:
-    return _blank_measure(rows.select(*columns)
-                          .withColumn("match_status", F.lit(status)).withColumn("match_note", note))
+    return _blank_measure(rows.select(*columns, F.lit(status).alias("match_status"), note.alias("match_note")))
 
 
 def _station_of(rows: DataFrame, stations: DataFrame) -> DataFrame:
