@@ -1 +1,96 @@
-"""."""
+"""Streams over the events file: each query runs a stream over what has landed and reads what it wrote."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from freshet.bindings.base import MESSAGES_SQL, messages, query, table, with_ctes
+from freshet.operators.store import VersionedTable
+from freshet.session import scratch_path
+from freshet.streaming import feeds
+
+
+def _stream(spark, d):
+    return feeds.read_files(spark, d, table(spark, d, "events").schema, "events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _table(spark, name):
+    return VersionedTable(spark, scratch_path(spark, name))
+
+
+@query("t01_deduplicated_append", "SELECT user_id, min(minute) AS first_minute, count(*) AS n FROM (SELECT DISTINCT user_id, date_trunc('minute', ts) AS minute FROM events) GROUP BY user_id")
+def _(spark, d):
+    out, check = scratch_path(spark, "t01-out"), scratch_path(spark, "t01-check")
+    minutes = _stream(spark, d).select("user_id", F.date_trunc("minute", "ts").alias("minute"))
+    feeds.run_available(lambda: feeds.append_to(feeds.deduplicated(minutes, ["user_id"], "minute", "40 days"), out, check))
+    return spark.read.parquet(out).groupBy("user_id").agg(F.min("minute").alias("first_minute"), F.count(F.lit(1)).alias("n"))
+
+
+@query("t02_live_tail_with_retention", """
+SELECT user_id, count(*) AS n FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 4 DAY GROUP BY user_id""")
+def _(spark, d):
+    t = _table(spark, "t02")
+    feeds.run_available(lambda: feeds.live_tail(_stream(spark, d).select("user_id", "ts", "value"), t, ["user_id"], "ts", 4, scratch_path(spark, "t02-check")))
+    return t.read().groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("p10_live_tail_served_latest", "SELECT user_id, arg_max(value, ts) AS value, arg_max(event_type, ts) AS event_type FROM events GROUP BY user_id")
+def _(spark, d):
+    return _latest(spark, d).select("user_id", "value", "event_type")
+
+
+@query("t06_newest_per_key_view", "SELECT user_id, arg_max(event_id, ts) AS event_id FROM events GROUP BY user_id")
+def _(spark, d):
+    return _latest(spark, d).select("user_id", "event_id")
+
+
+def _latest(spark, d):
+    t = _table(spark, "t06")
+    newest = feeds.latest_per_key(_stream(spark, d), ["user_id"], "ts", ["event_id", "value", "event_type"])
+    feeds.run_available(lambda: feeds.serve_latest(newest, t, ["user_id"], ["ts", "event_id"], scratch_path(spark, "t06-check")))
+    return t.read()
+
+
+@query("t03_change_detection_with_state", """
+WITH snap AS (SELECT user_id, CASE event_type WHEN 'purchase' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3 ELSE 4 END AS level, props, ts FROM events),
+a AS (SELECT user_id, arg_max(level, ts) AS level, arg_max(props, ts) AS message FROM snap WHERE ts < TIMESTAMP '2024-01-06 00:00:00' GROUP BY 1),
+b AS (SELECT user_id, arg_max(level, ts) AS level, arg_max(props, ts) AS message FROM snap WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-07 00:00:00' GROUP BY 1)
+SELECT change_type, count(*) AS n FROM (SELECT 'NEW' AS change_type FROM a UNION ALL
+  SELECT CASE WHEN a.user_id IS NULL THEN 'NEW' WHEN b.user_id IS NULL THEN 'CLOSED' WHEN a.level <> b.level THEN 'SEVERITY_CHANGE' ELSE 'MESSAGE_CHANGE' END FROM a FULL JOIN b ON a.user_id = b.user_id
+  WHERE a.user_id IS NULL OR b.user_id IS NULL OR a.level <> b.level OR trim(a.message) <> trim(b.message)) GROUP BY 1""")
+def _(spark, d):
+    from freshet.bindings.forecast import _snapshots
+
+    landing = scratch_path(spark, "t03-landing")
+    feed, state = _snapshots(spark, d)
+    # two polls land one after the other; the stream takes one snapshot per trigger
+    snapshot = lambda df, n: df.withColumn("poll", F.lit(n)).coalesce(1).write.mode("append").parquet(landing)
+    snapshot(state, 1)
+    snapshot(feed, 2)
+    rows = feeds.read_files(spark, landing, spark.read.parquet(landing).schema, per_trigger=1)
+    held, log = _table(spark, "t03-state"), _table(spark, "t03-log")
+    feeds.run_available(lambda: feeds.watch_changes(
+        rows, held, log, "user_id", "level", "message", ["user_id", "change_type", "level", "at"], F.lit("2024-01-07").cast("timestamp_ntz"), scratch_path(spark, "t03-check")))
+    return log.read().groupBy("change_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("t05_exactly_once_commit", "SELECT (SELECT count(*) FROM events) AS children, 1 AS log_rows, (SELECT count(*) FROM events) AS logged")
+def _(spark, d):
+    child, log = _table(spark, "t05-child"), _table(spark, "t05-log")
+    check = scratch_path(spark, "t05-check")
+    start = lambda: feeds.commit_in_order(
+        _stream(spark, d).select("event_id"), lambda b: [(child, b)], log, lambda b: b.agg(F.count(F.lit(1)).alias("n")), check)
+    feeds.run_available(start)
+    feeds.run_available(start)          # nothing new has landed: nothing is written twice
+    both = child.read().select(F.lit(None).cast("long").alias("n")).unionByName(log.read().select(F.col("n").cast("long").alias("n")))
+    return both.agg(F.count_if(F.col("n").isNull()).alias("children"), F.count("n").alias("log_rows"), F.sum("n").alias("logged"))
+
+
+@query("t07_episode_tracking", with_ctes(MESSAGES_SQL) + "SELECT area_code, count(*) AS episodes, sum(n_messages) AS messages FROM episodes GROUP BY area_code")
+def _(spark, d):
+    landing = scratch_path(spark, "t07-landing")
+    messages(spark, d).drop("user_id", "event_id").write.parquet(landing)
+    rows = feeds.read_files(spark, landing, spark.read.parquet(landing).schema)
+    events, episodes = _table(spark, "t07-events"), _table(spark, "t07-episodes")
+    feeds.run_available(lambda: feeds.track_episodes(rows, events, episodes, F.lit("2024-02-05").cast("timestamp_ntz"), scratch_path(spark, "t07-check")))
+    return episodes.read().groupBy("area_code").agg(F.count(F.lit(1)).alias("episodes"), F.sum("n_messages").alias("messages"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from freshet.functions.clock import micros
 from freshet.functions import text
 from freshet.operators.pick import first_per_key
+from freshet.session import cut_lineage
 
 MEASURE_FIELDS = {
     "measure_uri": "measure_uri", "station_reference": "station_reference", "station_label": "station_label",
@@ -71,16 +72,21 @@ def prepare_register(register: DataFrame) -> DataFrame:
 
 # ---- the match -----------------------------------------------------------------------------------------------
 
+# One mapping row's candidates are the measures of one station.  Every stage of the match looks at that set only, so all stages
+# share one hash partitioning by row id and the plan stays linear.
+def own_candidates():
+    return Window.partitionBy("id")
+
+
 def prefer(candidates: DataFrame, flag: Column, only_if: Column | None = None, note: str | None = None) -> DataFrame:
     """Keep a row's preferred candidates when it has any, else all of them.
 
-    The test is an aggregate on the row id joined back on it; the frame is already partitioned by that id, so the stages of a
-    match share one shuffle.  ``only_if`` (an aggregate) limits the rule; ``note`` is added where it set candidates aside.
+    ``only_if`` (over the row's candidates) limits the rule; ``note`` is added where it set candidates aside.
     """
     tagged = candidates.withColumn("_flag", F.coalesce(flag, F.lit(False)))
-    test = F.max("_flag") if only_if is None else F.max("_flag") & only_if
-    per = tagged.groupBy("id").agg(test.alias("_any"), F.min("_flag").alias("_every"))
-    narrowed = tagged.join(per, "id").filter(~F.col("_any") | F.col("_flag"))
+    test = F.max("_flag").over(own_candidates())
+    tagged = tagged.withColumn("_any", test if only_if is None else test & only_if).withColumn("_every", F.min("_flag").over(own_candidates()))
+    narrowed = tagged.filter(~F.col("_any") | F.col("_flag"))
     if note is not None:
         narrowed = narrowed.withColumn("note", F.when(F.col("_any") & ~F.col("_every"), joined_notes(
             F.col("note"), F.lit(note))).otherwise(F.col("note")))
@@ -145,8 +151,8 @@ def match(mapping: DataFrame, register: DataFrame) -> DataFrame:
     # the qualifier the file names
     named = F.lower("parameter_qualifier")
     by_file = F.coalesce(lowered("m_qualifier") == named, F.lit(False))
-    settled = candidates.groupBy("id").agg((F.max(by_file) & (F.count(F.lit(1)) > 1)).alias("_by_file"))
-    candidates = prefer(candidates, by_file).join(settled, "id")
+    candidates = candidates.withColumn("_by_file", F.max(by_file).over(own_candidates()) & (F.count(F.lit(1)).over(own_candidates()) > 1))
+    candidates = prefer(candidates, by_file)
     # wind: direction or speed, as the code says
     pid = F.lower(F.coalesce("parameter_id", F.lit("")))
     word = F.when(F.col("m_family") == "wind", F.when(pid.contains(".dir"), "dir").when(pid.contains(".speed"), "speed"))
@@ -157,17 +163,19 @@ def match(mapping: DataFrame, register: DataFrame) -> DataFrame:
     candidates = prefer(candidates, free & ~lowered("m_qualifier").contains("logged"), note="Logged level set aside")
     candidates = prefer(candidates, free & ~lowered("m_unit_name").isin(NO_DATUM), note="level with no datum set aside")
     candidates = prefer(candidates, free & (lowered("m_value_type") == "instantaneous"),
-                        only_if=F.min(lowered("m_value_type") != ""), note="non-instantaneous (mean, for example) level set aside")
-
-    unit, kind = lowered("m_unit_name"), lowered("m_value_type")
-    shape = candidates.groupBy("id").agg(
-        F.count(F.lit(1)).alias("_n"), F.count_distinct(lowered("m_qualifier")).alias("_q"),
-        F.count_distinct(F.coalesce(text.clean(F.col("m_period")), F.lit(""))).alias("_p"), F.count_distinct(unit).alias("_u"),
-        F.count_distinct(kind).alias("_v"), F.min(unit != "").alias("_units"), F.min(kind != "").alias("_kinds"))
-    one_shape = (F.col("_n") > 1) & (F.col("_q") == 1) & (F.col("_p") == 1)
-    variant = (F.when(one_shape & F.col("_units") & (F.col("_u") == F.col("_n")) & (F.col("_v") <= 1), "datum (unit_name)")
-               .when(one_shape & F.col("_kinds") & (F.col("_v") == F.col("_n")) & (F.col("_u") <= 1), "value type (register_value_type)"))
-    judged = candidates.join(shape, "id").withColumn("_variant", variant)
+                        only_if=F.min(lowered("m_value_type") != "").over(own_candidates()), note="non-instantaneous (mean, for example) level set aside")
+
+    unit, kind, qualifier = lowered("m_unit_name"), lowered("m_value_type"), lowered("m_qualifier")
+    period = F.coalesce(text.clean(F.col("m_period")), F.lit(""))
+    one = lambda c: F.min(c).over(own_candidates()) == F.max(c).over(own_candidates())
+    repeats = candidates.withColumn("_unit", unit).withColumn("_kind", kind)
+    repeats = (repeats.withColumn("_ru", F.count(F.lit(1)).over(Window.partitionBy("id", "_unit")))
+               .withColumn("_rk", F.count(F.lit(1)).over(Window.partitionBy("id", "_kind"))))
+    apart = lambda value, copies: (F.min(F.col(value) != "").over(own_candidates())) & (F.max(copies).over(own_candidates()) == 1)
+    counted = repeats.withColumn("_n", F.count(F.lit(1)).over(own_candidates()))
+    same_shape = (F.col("_n") > 1) & one(qualifier) & one(period)
+    judged = counted.withColumn("_variant", F.when(same_shape & apart("_unit", "_ru") & one(kind), "datum (unit_name)").when(
+        same_shape & apart("_kind", "_rk") & one(unit), "value type (register_value_type)"))
     n = F.col("_n").cast("string")
     status = F.when((F.col("_n") == 1) | F.col("_variant").isNotNull(), "matched").otherwise("ambiguous")
     lead = (F.when(F.col("_n") == 1, "").when(F.col("_variant").isNotNull(), F.concat(
@@ -176,7 +184,8 @@ def match(mapping: DataFrame, register: DataFrame) -> DataFrame:
     matched = judged.select(*columns, status.alias("match_status"), joined_notes(lead, F.col("note")).alias("match_note"),
                             *[F.col(f"m_{c}").alias(out) for c, out in MEASURE_FIELDS.items()])
     parts = [matched, no_id, conflict, unknown, no_station, no_parameter]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    # later passes and reports read the match several times over: it is written once in the shared folder
+    return cut_lineage(reduce(lambda a, b: a.unionByName(b), parts))
 
 
 # ---- post-passes ---------------------------------------------------------------------------------------------

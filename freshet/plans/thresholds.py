@@ -82,7 +82,7 @@ def link(thresholds: DataFrame, mapping: DataFrame, alias_table: DataFrame, zero
               .when(F.col("_b").isNull(), "unit_mismatch").when(n == 1, "linked").otherwise("linked_chosen"))
     moved = F.col("_b._kind") == 3
     in_unit = F.when(moved, F.round(F.col("value") + F.col("_b._m._shift"), 4)).otherwise(F.col("value"))
-    unit_match = F.element_at(F.array(*[F.lit(k) for k in KINDS]), (F.col("_b._kind") + 1).cast("int"))
+    unit_match = F.when(F.col("_b").isNotNull(), F.element_at(F.array(*[F.lit(k) for k in KINDS]), (F.col("_b._kind") + 1).cast("int")))
     datum = F.col("unit_key").isin("maod", *LOCAL)
     why = F.when(datum & F.col("z").isNull(), "; no z to convert with").when(
         datum & F.lit(zero_is_missing) & (F.col("z") == 0), "; z is 0, taken as not set").otherwise("")

@@ -105,6 +105,7 @@ def pages_to_load(pages: DataFrame, done: DataFrame, start_page: int = 1) -> Dat
 
     ``pages`` has page, rows and page_size; the first short page ends the backfill.
     """
-    last = pages.filter((F.col("page") >= start_page) & (F.col("rows") < F.col("page_size"))).agg(F.min("page").alias("_last"))
-    in_range = pages.filter(F.col("page") >= start_page).join(last, F.col("_last").isNull() | (F.col("page") <= F.col("_last")), "left_semi")
+    wanted = pages.filter(F.col("page") >= start_page)
+    last = wanted.filter(F.col("rows") < F.col("page_size")).agg(F.min("page").alias("p")).first()["p"]
+    in_range = wanted if last is None else wanted.filter(F.col("page") <= last)
     return in_range.filter("rows > 0").join(done.select("page").distinct(), "page", "left_anti")
