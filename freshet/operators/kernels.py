@@ -3,32 +3,32 @@
 from __future__ import annotations
 
 from difflib import SequenceMatcher
-from typing import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
-
-
-def _edge_array(rings) -> np.ndarray:
-    """Rows of x1, y1, x2, y2 for every edge that is not horizontal, lower end first."""
-    parts = []
-    for ring in rings:
-        pts = np.array([(p["x"], p["y"]) for p in ring], dtype="float64")
-        if len(pts) > 1:
-            parts.append(np.hstack([pts[:-1], pts[1:]]))
-    if not parts:
-        return np.empty((0, 4))
-    e = np.vstack(parts)
+from pyspark.sql import Column, functions as F, types as T
+
+
+SMALL = 64
+
+
+def _edges_of(flat) -> np.ndarray:
+    """Flat x1, y1, x2, y2 runs to rows: edges that are not horizontal, lower end first."""
+    e = np.asarray(flat, dtype="float64").reshape(-1, 4)
     e = e[e[:, 1] != e[:, 3]]
     flip = e[:, 1] > e[:, 3]
     e[flip] = e[flip][:, [2, 3, 0, 1]]
     return e
 
 
-def _area(rings) -> float:
+def flat_edges(rings) -> list[float]:
+    """Rings of {x, y} points as flat edges (what ``spatial.flat_edges`` builds as a column)."""
+    return [v for ring in rings for p, q in zip(ring[:-1], ring[1:]) for v in (p["x"], p["y"], q["x"], q["y"])]
+
+
+def _area(flat) -> float:
     """Even-odd area: the same slab sum with one shape."""
-    e = _edge_array(rings)
+    e = _edges_of(flat)
     return _slab_area(e, e) if len(e) else 0.0
 
 
@@ -66,31 +66,70 @@ def _slab_area(a: np.ndarray, b: np.ndarray) -> float:
     for y0, y1 in zip(levels[:-1], levels[1:]):
         a0, a1 = _intervals(a, y0, y1)
         b0, b1 = (a0, a1) if a is b else _intervals(b, y0, y1)
-        for i in range(0, len(a0) - 1, 2):
-            for j in range(0, len(b0) - 1, 2):
-                w0 = min(a0[i + 1], b0[j + 1]) - max(a0[i], b0[j])
-                w1 = min(a1[i + 1], b1[j + 1]) - max(a1[i], b1[j])
-                if w0 > 0 or w1 > 0:
-                    total += (max(w0, 0.0) + max(w1, 0.0)) / 2 * (y1 - y0)
+        total += _common_width(a0, a1, b0, b1) * (y1 - y0)
+    return total
+
+
+def _common_width(a0, a1, b0, b1) -> float:
+    """Mean common width of two interval lists over a slab (bottom and top positions, left to right)."""
+    width = 0.0
+    for i in range(0, len(a0) - 1, 2):
+        for j in range(0, len(b0) - 1, 2):
+            w0 = min(a0[i + 1], b0[j + 1]) - max(a0[i], b0[j])
+            w1 = min(a1[i + 1], b1[j + 1]) - max(a1[i], b1[j])
+            if w0 > 0 or w1 > 0:
+                width += (max(w0, 0.0) + max(w1, 0.0)) / 2
+    return width
+
+
+def _slab_area_small(a: list, b: list) -> float:
+    """The same sum on plain tuples: array set-up would cost more than the work on shapes of a few edges."""
+    low = max(min(e[1] for e in a), min(e[1] for e in b))
+    high = min(max(e[3] for e in a), max(e[3] for e in b))
+    if low >= high:
+        return 0.0
+    both = a + b
+    levels = {low, high}
+    for x1, y1, x2, y2 in both:
+        levels.update(y for y in (y1, y2) if low < y < high)
+    for i, (x1, y1, x2, y2) in enumerate(both):
+        m = (x2 - x1) / (y2 - y1)
+        for p1, q1, p2, q2 in both[i + 1:]:
+            n = (p2 - p1) / (q2 - q1)
+            if m != n:
+                y = ((p1 - n * q1) - (x1 - m * y1)) / (m - n)
+                if max(y1, q1, low) < y < min(y2, q2, high):
+                    levels.add(y)
+    ordered, total = sorted(levels), 0.0
+    for y0, y1 in zip(ordered, ordered[1:]):
+        sides = []
+        for shape in (a, b):
+            spans = sorted(((x1 + (x2 - x1) * (y0 - s) / (t - s), x1 + (x2 - x1) * (y1 - s) / (t - s)) for x1, s, x2, t in shape if s <= y0 and t >= y1),
+                           key=lambda w: w[0] + w[1])
+            sides.append(([w[0] for w in spans], [w[1] for w in spans]))
+        total += _common_width(*sides[0], *sides[1]) * (y1 - y0)
     return total
 
 
 def _pair_area(left, right) -> float:
-    a, b = _edge_array(left), _edge_array(right)
-    return _slab_area(a, b) if len(a) and len(b) else 0.0
+    a, b = _edges_of(left), _edges_of(right)
+    if not len(a) or not len(b):
+        return 0.0
+    if len(a) * len(b) <= SMALL:
+        return _slab_area_small([tuple(e) for e in a.tolist()], [tuple(e) for e in b.tolist()])
+    return _slab_area(a, b)
 
 
-def overlap_areas(pairs: DataFrame) -> DataFrame:
-    """Candidate pairs (``a_rings``, ``b_rings``) with ``overlap_m2`` and ``base_m2``, one Arrow batch at a time."""
-    schema = T.StructType(pairs.schema.fields + [T.StructField("overlap_m2", T.DoubleType()), T.StructField("base_m2", T.DoubleType())])
+@F.pandas_udf(T.DoubleType())
+def even_odd_area(flat: pd.Series) -> pd.Series:
+    """Area of one shape from its flat edges."""
+    return pd.Series([_area(f) for f in flat], dtype="float64")
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            common = [_pair_area(a, b) for a, b in zip(batch["a_rings"], batch["b_rings"])]
-            base = [_area(a) for a in batch["a_rings"]]
-            yield batch.assign(overlap_m2=np.array(common, dtype="float64"), base_m2=np.array(base, dtype="float64"))
 
-    return pairs.mapInPandas(measure, schema)
+@F.pandas_udf(T.DoubleType())
+def overlap_area(left: pd.Series, right: pd.Series) -> pd.Series:
+    """Common area of candidate pairs, one Arrow batch of flat edges at a time."""
+    return pd.Series([_pair_area(a, b) for a, b in zip(left, right)], dtype="float64")
 
 
 @F.pandas_udf(T.DoubleType())

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from freshet.operators.kernels import overlap_areas
+from freshet.operators.kernels import even_odd_area, overlap_area
 from freshet.operators.skew import salted
 
 
@@ -24,6 +24,11 @@ def edges(rings: Column) -> Column:
     return F.flatten(F.transform(F.filter(rings, lambda r: F.size(r) > 1), of_ring))
 
 
+def flat_edges(rings: Column) -> Column:
+    """All edges as one array of numbers: x1, y1, x2, y2, x1, ..."""
+    return F.flatten(F.transform(edges(rings), lambda e: F.array(e.x1, e.y1, e.x2, e.y2)))
+
+
 def contains(edge_list: Column, x: Column, y: Column, on_edge: bool = True) -> Column:
     """Even-odd test over the edges (holes and several parts included); a point on an edge counts as ``on_edge`` says."""
     def crosses(e: Column) -> Column:
@@ -113,16 +118,16 @@ def overlaps(base: DataFrame, other: DataFrame, base_id: list[str], other_id: li
     ``base`` and ``other`` carry their ids and ``rings``.  The exact area comes from an Arrow kernel over the candidate pairs;
     touching and sliver pairs (under ``min_area``) are dropped.
     """
-    a = with_bounds(base.withColumn("a_rings", F.col("rings")))
-    b = with_bounds(other.withColumn("b_rings", F.col("rings")))
-    a_keep, b_keep = [*base_id, "a_rings"], [*other_id, "b_rings"]
-    if same:
-        a_keep += [l for l, _ in same if l not in a_keep]
-        b_keep += [r for _, r in same if r not in b_keep]
+    # shapes travel as flat arrays of numbers; a base polygon's own area is measured once, not once per pair
+    a = with_bounds(base).withColumn("a_edges", flat_edges(F.col("rings"))).withColumn("base_m2", even_odd_area(F.col("a_edges")))
+    b = with_bounds(other).withColumn("b_edges", flat_edges(F.col("rings")))
+    a_keep, b_keep = [*base_id, "a_edges", "base_m2"], [*other_id, "b_edges"]
+    a_keep += [l for l, _ in same or [] if l not in a_keep]
+    b_keep += [r for _, r in same or [] if r not in b_keep]
     pairs = candidate_pairs(a, b, cell, a_keep, b_keep, same)
-    measured = overlap_areas(pairs)
+    measured = pairs.withColumn("overlap_m2", overlap_area(F.col("a_edges"), F.col("b_edges"))).drop("a_edges", "b_edges")
     real = measured.filter((F.col("overlap_m2") >= min_area) & (F.col("base_m2") > 0))
-    return real.withColumn("share", F.col("overlap_m2") / F.col("base_m2")).drop("a_rings", "b_rings", "base_m2")
+    return real.withColumn("share", F.col("overlap_m2") / F.col("base_m2")).drop("base_m2")
 
 
 def _segment_distance2(p: Column, q: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions import place, risk, text
 from freshet.operators import guards, proximity, spatial
-from freshet.operators.kernels import _area, _pair_area
+from freshet.operators.kernels import _area, _edges_of, _pair_area, _slab_area, _slab_area_small, flat_edges
 from freshet.plans import briefing, exposure, grid, history, mapping, thresholds, timing
 from freshet.sources import statements
 
@@ -21,15 +21,26 @@ RINGS = "array<array<struct<x:double,y:double>>>"
 
 
 def test_overlap_kernel_on_known_shapes():
-    base = box(0, 0, 10, 10)
-    assert _pair_area(base, box(0, 0, 5, 10)) == pytest.approx(50)
-    assert _pair_area(base, box(10, 0, 20, 10)) == 0
-    hole = box(0, 0, 10, 10) + box(2, 2, 4, 4)
+    base, hole = flat_edges(box(0, 0, 10, 10)), flat_edges(box(0, 0, 10, 10) + box(2, 2, 4, 4))
+    triangle = flat_edges([[{"x": 0.0, "y": 0.0}, {"x": 10.0, "y": 0.0}, {"x": 0.0, "y": 10.0}, {"x": 0.0, "y": 0.0}]])
+    assert _pair_area(base, flat_edges(box(0, 0, 5, 10))) == pytest.approx(50)
+    assert _pair_area(base, flat_edges(box(10, 0, 20, 10))) == 0
     assert _area(hole) == pytest.approx(96)
-    assert _pair_area(hole, box(0, 0, 4, 4)) == pytest.approx(12)
-    triangle = [[{"x": 0.0, "y": 0.0}, {"x": 10.0, "y": 0.0}, {"x": 0.0, "y": 10.0}, {"x": 0.0, "y": 0.0}]]
-    assert _pair_area(triangle, box(0, 0, 5, 5)) == pytest.approx(25)
-    assert _pair_area(triangle, box(5, 5, 10, 10)) == pytest.approx(0, abs=1e-9)
+    assert _pair_area(hole, flat_edges(box(0, 0, 4, 4))) == pytest.approx(12)
+    assert _pair_area(triangle, flat_edges(box(0, 0, 5, 5))) == pytest.approx(25)
+    assert _pair_area(triangle, flat_edges(box(5, 5, 10, 10))) == pytest.approx(0, abs=1e-9)
+
+
+def test_both_kernel_paths_agree():
+    import random
+
+    rnd = random.Random(3)
+    ring = lambda n: [[{"x": rnd.uniform(0, 9), "y": rnd.uniform(0, 9)} for _ in range(n)]]
+    for _ in range(40):
+        a, b = ring(5), ring(6)
+        ea, eb = (_edges_of(flat_edges([r[0] + [r[0][0]]])) for r in (a, b))
+        small = _slab_area_small([tuple(e) for e in ea.tolist()], [tuple(e) for e in eb.tolist()])
+        assert small == pytest.approx(_slab_area(ea, eb), abs=1e-9)
 
 
 def test_overlap_drops_touching_and_slivers(spark):
