@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from freshet.bindings.base import (FORECAST_SQL, MEMBERS_SQL, WARNINGS_SQL, area_lookup, constituencies, current_warnings, links, members, query,
-                                   statements, table, url_id_sql, with_ctes)
+                                   statements, stored, table, url_id_sql, with_ctes)
 from freshet.functions import risk
 from freshet.operators import guards, upsert
 from freshet.plans import briefing, forecast, health, warnings
@@ -192,13 +192,14 @@ changes AS (SELECT statement_id, previous_statement_id, constituency_id, forecas
             FROM both_cells WHERE previous_rank <> new_rank)"""
 
 
+@stored
 def _changes(spark, d):
     return forecast.changes(links(spark, d), statements(spark, d))
 
 
 @query("p06_statement_changes", with_ctes(FORECAST_SQL) + CHANGES_SQL + " SELECT * FROM changes")
 def _(spark, d):
-    return _changes(spark, d)
+    return forecast.changes(links(spark, d), statements(spark, d))
 
 
 @query("a07_change_classification", with_ctes(FORECAST_SQL) + CHANGES_SQL + " SELECT change_type, rank_change, count(*) AS n FROM changes GROUP BY ALL")
@@ -330,6 +331,11 @@ def _situation(spark, d):
     return forecast.situation(constituencies(spark, d), members(spark, d), contacts, _warning_contacts(spark, d), newest)
 
 
+@stored
+def _situations(spark, d):
+    return _situation(spark, d)
+
+
 @query("p07_constituency_situation", SITUATION + " SELECT * FROM situation")
 def _(spark, d):
     return _situation(spark, d)
@@ -337,19 +343,19 @@ def _(spark, d):
 
 @query("j04_multi_way_left_join_defaults", SITUATION + " SELECT constituency_id, worst_rank, changed, warnings, alerts FROM situation")
 def _(spark, d):
-    return _situation(spark, d).select("constituency_id", "worst_rank", "changed", "warnings", "alerts")
+    return _situations(spark, d).select("constituency_id", "worst_rank", "changed", "warnings", "alerts")
 
 
 @query("l03_watch_list", SITUATION + " SELECT constituency_name, mp_name, worst_rank, severe_warnings, warnings FROM situation WHERE worst_rank >= 2 OR has_active_warning")
 def _(spark, d):
-    return forecast.watch_list(_situation(spark, d)).select("constituency_name", "mp_name", "worst_rank", "severe_warnings", "warnings")
+    return forecast.watch_list(_situations(spark, d)).select("constituency_name", "mp_name", "worst_rank", "severe_warnings", "warnings")
 
 
 @query("l04_headline_counters", SITUATION + """
 SELECT count(*) FILTER (worst_rank >= 3) AS at_risk_medium_or_above, count(*) FILTER (escalated) AS escalated, count(*) FILTER (has_active_warning) AS with_warning_or_alert
 FROM situation""")
 def _(spark, d):
-    return forecast.headline(_situation(spark, d))
+    return forecast.headline(_situations(spark, d))
 
 
 @query("a04_past_situations", with_ctes(FORECAST_SQL, MEMBERS_SQL) + BY_STATEMENT + CHANGES_SQL + """
@@ -363,6 +369,7 @@ def _(spark, d):
         "statement_id", "constituency_id", "constituency_name", "mp_name", "worst_rank", "worst_date", "worst_sources", "rank_day1", "rank_day5", "escalated", "warnings")
 
 
+@stored
 def _past(spark, d):
     changed = _changes(spark, d)
     compared = forecast.statement_pairs(statements(spark, d))
@@ -540,7 +547,7 @@ def _health(spark, d):
         health.count_check("intersections_pending", upsert.outstanding(work, done, "statement_id", "last_modified_at"), F.count(F.lit(1)),
                            [(n == 0, "ok"), (n >= 10, "fail")], "statements awaiting their intersections", "warn"),
         health.count_check("constituency_count", table(spark, d, "nation"), F.count(F.lit(1)), [(n >= 25, "ok")], "expected at least 25", "fail"),
-        health.count_check("members_unmatched", _situation(spark, d).filter("NOT mp_matched"), F.count(F.lit(1)), [(n == 0, "ok"), (n <= 10, "info")],
+        health.count_check("members_unmatched", _situations(spark, d).filter("NOT mp_matched"), F.count(F.lit(1)), [(n == 0, "ok"), (n <= 10, "info")],
                            "constituencies with no matched member", "warn"),
         health.missing_check("guidance_feed_age", "no check recorded yet", "info", spark)]
     return health.report(checks)

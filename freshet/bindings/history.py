@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from freshet.bindings.base import MESSAGES_SQL, messages, query, table, with_ctes
+from freshet.bindings.base import MESSAGES_SQL, messages, query, stored, table, with_ctes
 from freshet.functions.clock import minutes_between
 from freshet.operators import intervals
 from freshet.operators.pick import top_per_key, union_by_priority
@@ -299,6 +299,11 @@ def _validated(spark, d):
     return timing.validate(events, _crossings(spark, d, 60), readings, issues, ["user_id"], "area", "target_lead_hours")
 
 
+@stored
+def _results(spark, d):
+    return _validated(spark, d)
+
+
 @query("p18_warning_timing", VALIDATE + " SELECT user_id, kind, outcome, crossed_at, issue_time, episode_id, lead_hours, trigger_time FROM timed")
 def _(spark, d):
     return _validated(spark, d).select("user_id", "kind", "outcome", "crossed_at", "issue_time", "episode_id", "lead_hours", "trigger_time")
@@ -308,7 +313,7 @@ def _(spark, d):
 SELECT outcome, count(*) AS rows, round(count(*) FILTER (kind = 'res_event') / (SELECT count(*) FROM timed WHERE kind = 'res_event')::DOUBLE, 3) AS share_of_res_events,
   round(median(lead_hours), 4) AS median_lead_hours FROM timed GROUP BY outcome""")
 def _(spark, d):
-    return timing.timing_summary(_validated(spark, d)).withColumn("median_lead_hours", F.round("median_lead_hours", 4))
+    return timing.timing_summary(_results(spark, d)).withColumn("median_lead_hours", F.round("median_lead_hours", 4))
 
 
 @query("a43_exact_median_by_key", "SELECT l_returnflag, median(l_extendedprice) AS median_price FROM lineitem GROUP BY l_returnflag")

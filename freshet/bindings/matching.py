@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from freshet.bindings.base import query, table, with_ctes
+from freshet.bindings.base import query, stored, table, with_ctes
 from freshet.plans import mapping, thresholds
-from freshet.session import cut_lineage
 
 NOW = lambda: F.lit("2024-02-01 00:00:00").cast("timestamp")
 
@@ -51,19 +50,21 @@ matched_rows AS (
 INPUT = with_ctes(INPUT_SQL)
 
 
+@stored
 def _register(spark, d):
     p, k, z = table(spark, d, "part"), F.col("p_partkey"), F.col("p_size")
     st = F.floor(k / 4)
     parameter = F.element_at(F.create_map(*[F.lit(x) for x in ("SMALL", "Flow", "MEDIUM", "Rainfall", "PROMO", "Groundwater", "LARGE", "Wind")]), F.col("p_type"))
     pick = lambda i, *v: F.element_at(F.array(*[F.lit(x) for x in v]), (i + 1).cast("int"))
-    return cut_lineage(p.select(
+    return p.select(
         F.concat(F.lit("http://env/measures/"), k).alias("measure_uri"),
         F.when(st % 10 == 0, F.concat(F.lit("06_TG_"), st)).otherwise(F.lpad(st.cast("string"), 6, "0")).alias("station_reference"), F.col("p_name").alias("station_label"),
         F.coalesce(parameter, F.lit("Water Level")).alias("parameter"), pick(z % 4, "Stage", "Downstream Stage", "Logged", "Dir").alias("qualifier"),
         F.when(z % 2 == 0, "900").otherwise("86400").alias("period"), pick(z % 3, "mAOD", "mASD", "---").alias("unit_name"),
-        F.when(k % 5 == 0, "mean").when(k % 5 == 4, None).otherwise("instantaneous").alias("value_type")))
+        F.when(k % 5 == 0, "mean").when(k % 5 == 4, None).otherwise("instantaneous").alias("value_type"))
 
 
+@stored
 def _mapping(spark, d):
     c, k = table(spark, d, "customer"), F.col("c_custkey")
     st = F.floor(k / 3)
@@ -77,21 +78,7 @@ def _mapping(spark, d):
         F.when(k % 5 == 0, "Stage").alias("ParameterQualifier"), F.when(k % 7 == 0, "4.53E+08").otherwise(F.concat(F.lit("W"), k)).alias("WISKI_ID"),
         F.col("c_nationkey").alias("Site Region"))
     # the prepared file is a stored table: written once, so that the match reads plain columns
-    return cut_lineage(mapping.prepare_mapping(raw))
-
-
-_STORED: dict[tuple, object] = {}
-
-
-def stored(build):
-    """Build a stored table once per application and folder: the reports all read the same match."""
-    def once(spark, d):
-        key = (build.__name__, spark.sparkContext.applicationId, d)
-        if key not in _STORED:
-            _STORED[key] = build(spark, d)
-        return _STORED[key]
-
-    return once
+    return mapping.prepare_mapping(raw)
 
 
 @stored
@@ -228,10 +215,15 @@ def _(spark, d):
     return mapping.unplaced_profile(unplaced).filter("profile IN ('shape', 'prefix')")
 
 
-def _candidates(spark, d):
+@stored
+def _unplaced(spark, d):
     unplaced = _matched(spark, d).filter(F.col("match_status").isin("no_station", "no_telemetry_id"))
-    named = unplaced.withColumn("location_name", F.regexp_replace("location_name", "Customer#0*", "red bolt "))
-    return named, mapping.station_candidates(named, _stations(spark, d), _register(spark, d).select("station_reference"))
+    return unplaced.withColumn("location_name", F.regexp_replace("location_name", "Customer#0*", "red bolt "))
+
+
+@stored
+def _candidates(spark, d):
+    return mapping.station_candidates(_unplaced(spark, d), _stations(spark, d), _register(spark, d).select("station_reference"))
 
 
 @query("j33_candidate_routes", INPUT + """,
@@ -241,27 +233,27 @@ hits AS (SELECT un.id, 1 AS route, ref FROM un JOIN st ON un.tid = 'nowhere' ||
          UNION ALL SELECT un.id, 4, ref FROM un JOIN st ON regexp_replace(upper(un.tid), '^0+', '') = upper('nowhere' || (st.n * 3)))
 SELECT id, CASE min(route) WHEN 1 THEN 'notation' WHEN 2 THEN 'wiskiID' ELSE 'same after tidy-up' END AS how, ref AS candidate_station_reference FROM hits GROUP BY id, ref""")
 def _(spark, d):
-    return _candidates(spark, d)[1].filter("how <> 'similar name'").select("id", "how", "candidate_station_reference")
+    return _candidates(spark, d).filter("how <> 'similar name'").select("id", "how", "candidate_station_reference")
 
 
 @query("j33_candidates_by_name")
 def _(spark, d):
-    return _candidates(spark, d)[1].filter("how = 'similar name'")
+    return _candidates(spark, d).filter("how = 'similar name'")
 
 
 @query("a42_candidate_route_summary")
 def _(spark, d):
-    return mapping.candidate_summary(*_candidates(spark, d))
+    return mapping.candidate_summary(_unplaced(spark, d), _candidates(spark, d))
 
 
 @query("a49_name_match_cases")
 def _(spark, d):
-    return mapping.name_case_profile(_candidates(spark, d)[1])
+    return mapping.name_case_profile(_candidates(spark, d))
 
 
 @query("p14_tidal_summary")
 def _(spark, d):
-    return mapping.tidal_summary(mapping.candidate_measures(_candidates(spark, d)[1], _register(spark, d)))
+    return mapping.tidal_summary(mapping.candidate_measures(_candidates(spark, d), _register(spark, d)))
 
 
 @query("p14_unmapped_measures", INPUT + """
@@ -283,6 +275,7 @@ kept AS (SELECT CAST(c_custkey AS VARCHAR) AS fffs_id, b.match_status, lpad(CAST
          WHERE c_custkey % 4 = 1 AND c_custkey % 8 <> 1)"""
 
 
+@stored
 def _kept(spark, d):
     return mapping.kept_status(_scope(spark, d), _matched(spark, d))
 
@@ -358,6 +351,7 @@ def _thresholds(spark, d):
         "purpose": "Purpose", "lead": "Lead", "target_area": "Area"})
 
 
+@stored
 def _linked(spark, d):
     m = _matched(spark, d).join(_activity(spark, d), "measure_uri", "left")
     return thresholds.link(_thresholds(spark, d), m, thresholds.aliases(None, spark))

@@ -26,10 +26,10 @@ pairs AS (SELECT a.area_id, b.box_id, a.kind, b.s_nationkey, (least(a.x1, b.x1)
             (a.x1 - a.x0) * (a.y1 - a.y0) AS base FROM areas a JOIN site_boxes b ON a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1)"""
 
 
-@query("j13_polygon_overlap_with_share", OVERLAP_SQL + " SELECT area_id, box_id, round(CAST(common AS DOUBLE), 3) AS overlap_m2, round(common / base, 6) AS share FROM pairs WHERE common >= 1")
+@query("j13_polygon_overlap_with_share", OVERLAP_SQL + " SELECT area_id, box_id, round(CAST(common AS DOUBLE), 3) AS overlap_m2, round(common / base, 9) AS share FROM pairs WHERE common >= 1")
 def _(spark, d):
     found = spatial.overlaps(areas(spark, d), site_boxes(spark, d), ["area_id"], ["box_id"], 2000.0)
-    return found.select("area_id", "box_id", F.round("overlap_m2", 3).alias("overlap_m2"), F.round("share", 6).alias("share"))
+    return found.select("area_id", "box_id", F.round("overlap_m2", 3).alias("overlap_m2"), F.round("share", 9).alias("share"))
 
 
 def _shapes(spark, d):
