@@ -210,7 +210,7 @@ SELECT CASE WHEN n > 1 THEN id || '#' || (n - 1) ELSE id END AS site_id, p_partk
   SELECT p_brand || ':' || p_size AS id, p_partkey, row_number() OVER (PARTITION BY p_brand || ':' || p_size ORDER BY p_partkey) AS n FROM part)""")
 def _(spark, d):
     p = table(spark, d, "part").select(F.concat_ws(":", "p_brand", F.col("p_size").cast("string")).alias("id"), "p_partkey")
-    return pick.numbered_ids(p, "id", [F.col("p_partkey")]).select("site_id", "p_partkey")
+    return pick.numbered_ids(p, "id", ["p_partkey"], chunk=F.floor(F.col("p_partkey") / 1000)).select("site_id", "p_partkey")
 
 
 @query("p21_critical_sites", PLACES + """,
@@ -223,7 +223,7 @@ def _(spark, d):
     kept, candidates = s.filter("source = 'surveyed'"), s.filter("source = 'postcode'")
     extra = proximity.drop_near_kept(candidates, kept, "site_group", "source", 5000.0)
     both = kept.unionByName(extra).withColumn("key", F.concat_ws(":", "source", F.col("site_id").cast("string"))).drop("site_id")
-    return pick.numbered_ids(both, "key", [F.col("name")]).select("site_id", "name")
+    return pick.numbered_ids(both, "key", ["name"]).select("site_id", "name")
 
 
 # ---- grid ----------------------------------------------------------------------------------------------------

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from freshet.bindings.base import MESSAGES_SQL, messages, query, table, with_ctes
-from freshet.operators.store import VersionedTable
+from freshet.operators.store import BatchTable, VersionedTable
 from freshet.session import scratch_path
 from freshet.streaming import feeds
 
@@ -18,6 +18,10 @@ def _table(spark, name):
     return VersionedTable(spark, scratch_path(spark, name))
 
 
+def _log(spark, name):
+    return BatchTable(spark, scratch_path(spark, name))
+
+
 @query("t01_deduplicated_append", "SELECT user_id, min(minute) AS first_minute, count(*) AS n FROM (SELECT DISTINCT user_id, date_trunc('minute', ts) AS minute FROM events) GROUP BY user_id")
 def _(spark, d):
     out, check = scratch_path(spark, "t01-out"), scratch_path(spark, "t01-check")
@@ -68,7 +72,7 @@ def _(spark, d):
     snapshot(state, 1)
     snapshot(feed, 2)
     rows = feeds.read_files(spark, landing, spark.read.parquet(landing).schema, per_trigger=1)
-    held, log = _table(spark, "t03-state"), _table(spark, "t03-log")
+    held, log = _table(spark, "t03-state"), _log(spark, "t03-log")
     feeds.run_available(lambda: feeds.watch_changes(
         rows, held, log, "user_id", "level", "message", ["user_id", "change_type", "level", "at"], F.lit("2024-01-07").cast("timestamp_ntz"), scratch_path(spark, "t03-check")))
     return log.read().groupBy("change_type").agg(F.count(F.lit(1)).alias("n"))
@@ -76,7 +80,7 @@ def _(spark, d):
 
 @query("t05_exactly_once_commit", "SELECT (SELECT count(*) FROM events) AS children, 1 AS log_rows, (SELECT count(*) FROM events) AS logged")
 def _(spark, d):
-    child, log = _table(spark, "t05-child"), _table(spark, "t05-log")
+    child, log = _log(spark, "t05-child"), _log(spark, "t05-log")
     check = scratch_path(spark, "t05-check")
     start = lambda: feeds.commit_in_order(
         _stream(spark, d).select("event_id"), lambda b: [(child, b)], log, lambda b: b.agg(F.count(F.lit(1)).alias("n")), check)
@@ -91,6 +95,6 @@ def _(spark, d):
     landing = scratch_path(spark, "t07-landing")
     messages(spark, d).drop("user_id", "event_id").write.parquet(landing)
     rows = feeds.read_files(spark, landing, spark.read.parquet(landing).schema)
-    events, episodes = _table(spark, "t07-events"), _table(spark, "t07-episodes")
+    events, episodes = _log(spark, "t07-events"), _table(spark, "t07-episodes")
     feeds.run_available(lambda: feeds.track_episodes(rows, events, episodes, F.lit("2024-02-05").cast("timestamp_ntz"), scratch_path(spark, "t07-check")))
     return episodes.read().groupBy("area_code").agg(F.count(F.lit(1)).alias("episodes"), F.sum("n_messages").alias("messages"))

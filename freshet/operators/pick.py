@@ -36,16 +36,13 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def numbered_ids(df: DataFrame, key: str, order: list[Column], out: str = "site_id") -> DataFrame:
-    """``key`` made unique: the first keeps its value, repeats get ``#1``, ``#2`` and so on.
+def numbered_ids(df: DataFrame, key: str, order: list[str], out: str = "site_id", chunk: Column | None = None) -> DataFrame:
+    """``key`` made unique: the first keeps its value, repeats get ``#1``, ``#2`` and so on, in ``order`` (unique per key).
 
-    Only keys that do repeat are numbered, so the ranked window sees the repeats alone.
+    Numbers are running counts; a ``chunk`` that does not decrease along ``order`` spreads a key that repeats very often.
     """
-    repeated = df.groupBy(key).count().filter("count > 1").select(key, F.lit(True).alias("_repeats"))
-    tagged = df.join(repeated, key, "left")
-    single = tagged.filter(F.col("_repeats").isNull()).withColumn(out, F.col(key))
-    w = Window.partitionBy(key).orderBy(*order)
-    n = F.row_number().over(w) - 1
-    several = tagged.filter(F.col("_repeats")).withColumn(
-        out, F.when(n > 0, F.concat(F.col(key), F.lit("#"), n.cast("string"))).otherwise(F.col(key)))
-    return single.unionByName(several).drop("_repeats")
+    from freshet.operators.scan import with_prior
+
+    counted = with_prior(df, [key], order, chunk if chunk is not None else F.lit(0), total={"_n": F.lit(1)})
+    unique = F.when(F.col("_n") > 0, F.concat(F.col(key), F.lit("#"), F.col("_n").cast("string"))).otherwise(F.col(key))
+    return counted.withColumn(out, unique).drop("_n")

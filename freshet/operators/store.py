@@ -59,6 +59,37 @@ class VersionedTable:
             fs.delete(hadoop.Path(f"{self.path}/v={old:09d}"), True)
 
 
+class BatchTable:
+    """An append-only table, one directory per batch id.
+
+    A replayed batch overwrites its own directory and nothing else, so appending is exactly-once and the cost of a batch does
+    not grow with the table.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def batches(self) -> list[int]:
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
+        root = hadoop.Path(self.path)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(root):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(root)]
+        found = [int(n[6:]) for n in names if n.startswith("batch=")]
+        return sorted(b for b in found if fs.exists(hadoop.Path(f"{self.path}/batch={b}/_SUCCESS")))
+
+    def read(self, before: int | None = None) -> DataFrame | None:
+        """Rows of the complete batches (those earlier than ``before``), None when there are none."""
+        held = [b for b in self.batches() if before is None or b < before]
+        if not held:
+            return None
+        return self.spark.read.parquet(*[f"{self.path}/batch={b}" for b in held])
+
+    def append(self, df: DataFrame, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Overwrite only the partitions that ``df`` holds; other days stay as they are."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from freshet.operators.pick import first_per_key
-from freshet.operators.store import VersionedTable
-from freshet.operators.upsert import insert_new, trim_older
+from freshet.operators.store import BatchTable, VersionedTable
+from freshet.operators.upsert import insert_new, only_new, trim_older
 from freshet.plans.history import episodes_and_periods
 from freshet.plans.warnings import append_unseen, detect_changes, with_log_id
 
@@ -69,28 +69,30 @@ def live_tail(stream: DataFrame, table: VersionedTable, keys: list[str], time: s
     return _each_batch(stream, merge, checkpoint)
 
 
-def watch_changes(stream: DataFrame, state: VersionedTable, log: VersionedTable, key: str, level: str, message: str, id_parts: list[str],
+def watch_changes(stream: DataFrame, state: VersionedTable, log: BatchTable, key: str, level: str, message: str, id_parts: list[str],
                   polled_at: Column, checkpoint: str) -> StreamingQuery:
     """One snapshot per trigger compared with the state: the log gets unseen events, then the snapshot becomes the state.
 
     CLOSED needs the whole snapshot to know what is absent, so this is a full outer join per batch, not a per-key state.  The
-    log is written first: a batch that dies in between is detected again with the same ids and appends nothing twice.
+    log is appended first: a batch that dies in between is detected again with the same ids and rewrites its own part only.
     """
     def compare(batch: DataFrame, batch_id: int) -> None:
         held = state.read() if state.exists() else batch.limit(0)
         events = with_log_id(detect_changes(batch, held, key, level, message, polled_at), id_parts)
-        logged = log.read() if log.exists() else events.limit(0)
-        log.write(logged.unionByName(append_unseen(logged, events)), version=batch_id)
+        logged = log.read(before=batch_id)
+        log.append(events.dropDuplicates(["log_id"]) if logged is None else append_unseen(logged, events), batch_id)
         state.write(batch, version=batch_id)
 
     return _each_batch(stream, compare, checkpoint)
 
 
-def track_episodes(stream: DataFrame, events: VersionedTable, episodes: VersionedTable, as_of: Column, checkpoint: str) -> StreamingQuery:
+def track_episodes(stream: DataFrame, events: BatchTable, episodes: VersionedTable, as_of: Column, checkpoint: str) -> StreamingQuery:
     """Replay only the areas a batch touched: their episodes are rebuilt from the event store, all others kept."""
     def replay(batch: DataFrame, batch_id: int) -> None:
-        held = events.read() if events.exists() else batch.limit(0)
-        events.write(insert_new(held, batch, ["area_code", "time", "level"]), version=batch_id)
+        key = ["area_code", "time", "level"]
+        earlier = events.read(before=batch_id)
+        fresh = batch.dropDuplicates(key) if earlier is None else only_new(earlier, batch, key).dropDuplicates(key)
+        events.append(fresh, batch_id)
         touched = batch.select("area_code").distinct()
         rebuilt, _ = episodes_and_periods(events.read().join(touched, "area_code", "left_semi"), as_of)
         if episodes.exists():
@@ -100,15 +102,13 @@ def track_episodes(stream: DataFrame, events: VersionedTable, episodes: Versione
     return _each_batch(stream, replay, checkpoint)
 
 
-def commit_in_order(stream: DataFrame, split: Callable[[DataFrame], list[tuple[VersionedTable, DataFrame]]],
-                    log: VersionedTable, log_row: Callable[[DataFrame], DataFrame], checkpoint: str) -> StreamingQuery:
+def commit_in_order(stream: DataFrame, split: Callable[[DataFrame], list[tuple[BatchTable, DataFrame]]], log: BatchTable,
+                    log_row: Callable[[DataFrame], DataFrame], checkpoint: str) -> StreamingQuery:
     """Children first, the log row last, all under the batch id: a replayed batch changes nothing."""
     def commit(batch: DataFrame, batch_id: int) -> None:
         for table, rows in split(batch):
-            held = table.read().unionByName(rows) if table.exists() else rows
-            table.write(held, version=batch_id)
-        rows = log_row(batch)
-        log.write(log.read().unionByName(rows) if log.exists() else rows, version=batch_id)
+            table.append(rows, batch_id)
+        log.append(log_row(batch), batch_id)
 
     return _each_batch(stream, commit, checkpoint)
 
