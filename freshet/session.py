@@ -30,13 +30,14 @@ def build_session(app: str = "freshet", master: str | None = None, **extra: str)
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the cluster names none (local tests) is a temporary folder made and used for this application.
+    A session in one process (``local[..]``, as in tests) may name none and gets a temporary folder of its own; on a cluster,
+    where executors could not read it, a missing setting is an error.
     """
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        named = sc.getCheckpointDir()
+    named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named is None:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="freshet-checkpoint-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
@@ -48,6 +49,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: lineage ends there and later reads prune columns."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder so that a lost executor never replays an iterative plan."""
     shared_dir(df.sparkSession)

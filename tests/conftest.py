@@ -9,7 +9,8 @@ from freshet.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = build_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"})
+def spark(tmp_path_factory):
+    s = build_session("tests", "local[4]", **{
+        "spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")), "spark.ui.enabled": "false", "spark.driver.memory": "4g"})
     s.sparkContext.setLogLevel("ERROR")
     return s
