@@ -65,7 +65,7 @@ def window_index(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     items = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item"),
                              words(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("words"))
     whole = _hashed(items).withColumn("minima", _minima())
-    long = whole.select("item", "words", F.posexplode("minima").alias("start", "packed")).select(
+    long = whole.select("item", "words", F.posexplode_outer("minima").alias("start", "packed")).filter("start IS NOT NULL").select(
         "item", F.slice("words", F.col("start") + 1, WINDOW).alias("window"), F.lit(WINDOW).alias("length"),
         _hash_of(F.col("packed")).alias("print"), (_place_of(F.col("packed")) - F.col("start")).alias("offset"))
     n = F.col("n")
@@ -88,7 +88,8 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
     for k in (k for k in lengths if k < WINDOW):
         all_places = F.when(F.col("n") >= k, F.sequence(F.lit(0), F.col("n") - k)).otherwise(F.array().cast("array<int>"))
         source = source.withColumn("packed", F.concat("packed", F.transform(all_places, lambda i: _packed(F.col("hashes"), i, k))))
-    prints = source.select("id", "mark", "n", "words", F.explode(F.concat("packed", F.array(F.lit(DOCUMENT).cast("long")))).alias("packed"))
+    # the outer form: for the plain one Spark infers a filter that would work the whole array out once more
+    prints = source.select("id", "mark", "n", "words", F.explode_outer(F.concat("packed", F.array(F.lit(DOCUMENT).cast("long")))).alias("packed"))
     prints = prints.select("id", "mark", "n", "words", _place_of(F.col("packed")).alias("place"),
                            F.when(F.col("packed") == DOCUMENT, F.lit(DOCUMENT).cast("long")).otherwise(_hash_of(F.col("packed"))).alias("print"))
     parts = []
