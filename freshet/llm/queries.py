@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from freshet.llm import decontaminate, line_dedup, minhash, shard
+from freshet.llm import bpe, decontaminate, line_dedup, minhash, shard
 from freshet.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,19 @@ def op5(spark, d):
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+# ---- 6: byte-level BPE ---------------------------------------------------------------------------------------------------
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@query("op6_byte_bpe")
+def op6(spark, d):
+    return bpe.digests(table(spark, d, "documents"), vocabulary_path()).withColumnRenamed("id", "doc_id")
+
+
 # ---- 8: near-duplicate groups -------------------------------------------------------------------------------------------
 
 @query("op8_minhash_near_dedup", r"""
