@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from freshet.llm import bpe, decontaminate, line_dedup, minhash, shard
+from freshet.llm import bpe, decontaminate, line_dedup, minhash, quality, shard
 from freshet.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +73,46 @@ def op6(spark, d):
     return bpe.digests(table(spark, d, "documents"), vocabulary_path()).withColumnRenamed("id", "doc_id")
 
 
+# ---- 7: quality rules ----------------------------------------------------------------------------------------------------
+
+LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_CLASS_SETS = ["a-z", "A-Z", r"\x{80}-\x{10FFFF}", "0-9", r"\x20\x09-\x0D", r".,;:'\"()?-".replace("'", "''"), r"^"]
+_CLASS_COUNTS = ", ".join(f"length(t) - length(regexp_replace(t, '[{c}]', '', 'g')) AS c{i}" for i, c in enumerate(_CLASS_SETS[:-1]))
+_JS = "(CASE WHEN {p} > 0 THEN {p} * log2(2 * {p} / ({p} + {q})) ELSE 0 END + CASE WHEN {q} > 0 THEN {q} * log2(2 * {q} / ({p} + {q})) ELSE 0 END) / 2"
+
+
+@query("op7_quality_rules", rf"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, array_to_string(w[s:s + 4], ' ')) AS times FROM d, unnest(range(1, len(w) - 3)) AS u(s)),
+repeats AS (SELECT doc_id, count(DISTINCT p) AS n FROM grams, unnest(range(s, s + 5)) AS u(p) WHERE times > 1 GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+base AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+           CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(dups.n, 0) AS n_dup_lines,
+           coalesce(repeats.n, 0) AS n_repeat_words FROM d LEFT JOIN dups USING (doc_id) LEFT JOIN repeats USING (doc_id)),
+lw AS (SELECT doc_id, lang, unnest(regexp_extract_all({LOWERED.format('t')}, '[a-z\x{{80}}-\x{{10FFFF}}]+')) AS word FROM d),
+totals AS (SELECT lang, count(*) AS n FROM lw WHERE lang IS NOT NULL GROUP BY lang),
+langs AS (SELECT lang, n FROM totals WHERE n >= {quality.LANGUAGE_SHARE} * (SELECT sum(n) FROM totals)),
+top AS (SELECT lang, word, c / n::DOUBLE AS q FROM (SELECT lang, word, count(*) AS c, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS rk
+          FROM lw WHERE lang IS NOT NULL GROUP BY lang, word) JOIN langs USING (lang) WHERE rk <= {quality.COMMON} AND c >= {quality.WORD_SHARE} * n),
+sizes AS (SELECT doc_id, count(*) AS n FROM lw GROUP BY doc_id HAVING count(*) >= {quality.WORD_WORDS}),
+counted AS (SELECT doc_id, word, count(*) AS c FROM lw GROUP BY doc_id, word),
+cells AS (SELECT s.doc_id, t.lang, t.q, coalesce(c.c, 0) / s.n::DOUBLE AS p FROM sizes s CROSS JOIN top t LEFT JOIN counted c ON c.doc_id = s.doc_id AND c.word = t.word),
+bins AS (SELECT doc_id, lang, p, q FROM cells UNION ALL SELECT doc_id, lang, 1 - sum(p), 1 - sum(q) FROM cells GROUP BY doc_id, lang),
+word_near AS (SELECT doc_id, min(js) AS js FROM (SELECT doc_id, lang, sqrt(greatest(0, sum({_JS.format(p='p', q='q')}))) AS js FROM bins GROUP BY doc_id, lang) GROUP BY doc_id),
+cc AS (SELECT doc_id, lang, length(t) AS n, {_CLASS_COUNTS} FROM d),
+cx AS (SELECT *, n - c0 - c1 - c2 - c3 - c4 - c5 AS c6 FROM cc),
+ref AS (SELECT lang, {', '.join(f'sum(c{i}) / sum(cx.n)::DOUBLE AS r{i}' for i in range(7))} FROM cx JOIN langs USING (lang) GROUP BY lang),
+class_near AS (SELECT doc_id, min(sqrt(greatest(0, {' + '.join('(' + _JS.format(p=f'(c{i} / n::DOUBLE)', q=f'r{i}') + ')' for i in range(7))}))) AS js
+               FROM cx, ref WHERE n >= {quality.CLASS_CHARS} GROUP BY doc_id),
+failed AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
+SELECT failed.*, NOT base_failed AND NOT coalesce(class_near.js > {quality.CLASS_LIMIT}, FALSE) AND NOT coalesce(word_near.js > {quality.WORD_LIMIT}, FALSE) AS kept
+FROM failed LEFT JOIN class_near USING (doc_id) LEFT JOIN word_near USING (doc_id)""")
+def op7(spark, d):
+    judged = quality.judge(table(spark, d, "documents"))
+    return judged.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 # ---- 8: near-duplicate groups -------------------------------------------------------------------------------------------
 
 @query("op8_minhash_near_dedup", r"""
