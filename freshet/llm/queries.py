@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from freshet.llm import bpe, decontaminate, line_dedup, minhash, quality, shard
+from freshet.llm import bpe, decontaminate, line_dedup, minhash, quality, secrets, shard, warc
 from freshet.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,43 @@ def hex_of(text) -> F.Column:
     return F.sha2(text, 256)
 
 
+# ---- 2: secrets, weighed by their owners ------------------------------------------------------------------------------------
+
+_ASSIGN = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
+
+def _spans_sql(kind: int, pattern: str, value: int, least: str) -> str:
+    """Matches with their places: the text is split at the matches, a match starts after the pieces and matches before it."""
+    return f"""SELECT doc_id, {kind} AS kind, value, CAST(start AS BIGINT) AS start, CAST(start + length(hits[i]) AS BIGINT) AS stop FROM (
+  SELECT doc_id, i, hits, vals[i] AS value, list_sum(list_transform(pieces[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS start
+  FROM (SELECT doc_id, string_split_regex(t, '{pattern}') AS pieces, regexp_extract_all(t, '{pattern}') AS hits, regexp_extract_all(t, '{pattern}', {value}) AS vals FROM d),
+       unnest(range(1, len(hits) + 1)) AS u(i)) WHERE {least}"""
+
+
+@query("op2_secret_ownership", rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS owner, coalesce(text, '') AS t FROM documents),
+base AS ({_spans_sql(0, _ASSIGN, 2, "length(value) >= 6")}
+  UNION ALL {_spans_sql(1, 'AKIA[A-Z0-9]+', 0, "length(value) >= 20")}
+  UNION ALL {_spans_sql(2, '[0-9a-f]+', 0, "length(value) >= 24")}),
+loose AS ({_spans_sql(3, '[A-Za-z0-9+/_-]+', 0, "length(value) >= 20")}),
+opaque AS (SELECT * FROM loose l WHERE regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[0-9]')
+  AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = l.doc_id AND b.start < l.stop AND l.start < b.stop)),
+both_kinds AS (SELECT * FROM base UNION ALL SELECT * FROM opaque),
+held AS (SELECT value, count(DISTINCT owner) AS owners FROM both_kinds JOIN d USING (doc_id) GROUP BY value),
+spans AS (SELECT b.*, len(list_distinct(string_split(value, ''))) >= {secrets.LEAST_DIFFERENT} AND owners <= {secrets.FEW_OWNERS} AS live,
+            ['assign', 'access', 'hex', 'opaque'][kind + 1] || ':' || start || ':' || stop AS s FROM both_kinds b JOIN held USING (value))
+SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+       sha256(coalesce(string_agg(s, ',' ORDER BY start, kind) FILTER (kind < 3), '')) AS base_sha256,
+       coalesce(string_agg(s, ',' ORDER BY start, kind) FILTER (kind < 3 OR live), '') AS spans,
+       count(*) FILTER (live) AS n_live, count(*) FILTER (owners > {secrets.FEW_OWNERS}) AS n_example
+FROM (SELECT d.doc_id, kind, start, s, live, owners FROM d LEFT JOIN (SELECT spans.*, held.owners FROM spans JOIN held USING (value)) x USING (doc_id)) GROUP BY doc_id""")
+def op2(spark, d):
+    found = secrets.scan(table(spark, d, "documents"))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")        # noqa: E731
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                        hex_of(secrets.as_text(F.col("base"))).alias("base_sha256"), secrets.as_text(F.col("spans")).alias("spans"), "n_live", "n_example")
+
+
 # ---- 3: windows of ten words shared with the benchmark ----------------------------------------------------------------
 
 WORDS3 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -52,6 +89,23 @@ def op3(spark, d):
                         hex_of(F.array_join("items", ",")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+# ---- 4: WARC bundles, written and read back ----------------------------------------------------------------------------------
+
+_BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((('0x' || substr(h, {5 * i + 1}, 5))::BIGINT >> {15 - 5 * j}) & 31) AS BIGINT), 1)"
+                      for i in range(8) for j in range(4))
+
+
+@query("op4_warc_bundles", f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to FROM f""")
+def op4(spark, d):
+    root = warc.archive_folder(spark)
+    index = warc.write_bundles(table(spark, d, "pages"), root)
+    return warc.fetch(index, root, with_payload=False).drop("url", "payload")
+
+
 # ---- 5: forty shards of nearly equal bytes ------------------------------------------------------------------------------
 
 @query("op5_histogram_sharding")
