@@ -105,8 +105,14 @@ def _slices_with_language(batches):
             yield names, np.array([number.get(x, -1) for x in lang[a:b]]), data, offsets
 
 
-def _frequent(batches):
-    """Words that reach the share inside a slice; rows without a word hold the slice's words of a language and, as text, its classes."""
+def _frequent(share: float):
+    """Words that reach the share inside a slice; rows without a word hold the number of the language's words and its class counts."""
+    def run(batches):
+        yield from _frequent_words(batches, share)
+    return run
+
+
+def _frequent_words(batches, share: float):
     for names, lang, data, offsets in _slices_with_language(batches):
         low, starts, ends, owner = letter_words(data, offsets)
         classes = class_counts(data, offsets)
@@ -116,7 +122,7 @@ def _frequent(batches):
             mine = np.flatnonzero(of == i)
             out.append((name, None, len(mine), classes[lang == i].sum(axis=0).tolist()))
             _, one, count = np.unique(h[mine], return_index=True, return_counts=True)
-            for k in np.flatnonzero(count >= WORD_SHARE * len(mine)).tolist():
+            for k in np.flatnonzero(count >= share * len(mine)).tolist():
                 at = mine[one[k]]
                 out.append((name, low[starts[at]:ends[at]].tobytes().decode("utf-8", "replace"), 0, None))
         yield pa.record_batch([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.int64()),
@@ -147,10 +153,10 @@ def _counted(listed: list[str]):
     return run
 
 
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> list[dict]:
+def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = COMMON, share: float = WORD_SHARE) -> list[dict]:
     """Per language: lang, classes (shares of the character classes), words and shares (its common words)."""
     source = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    first = stored_table(source.mapInArrow(_frequent, "lang string, word string, count long, classes array<long>")
+    first = stored_table(source.mapInArrow(_frequent(share), "lang string, word string, count long, classes array<long>")
                          .groupBy("lang", "word").agg(F.sum("count").alias("count"), *[F.sum(F.get("classes", i)).alias(f"class_{i}") for i in range(CLASSES)]), "frequent")
     of_lang = first.filter("word IS NULL").drop("word")
     everything = of_lang.agg(F.sum("count")).first()[0] or 0
@@ -161,13 +167,13 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
         return []
     exact = source.filter(F.col("lang").isin(list(totals))).mapInArrow(_counted(listed), "lang string, word string, count long")
     exact = exact.groupBy("lang", "word").agg(F.sum("count").alias("count"))
-    best = exact.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))).filter(F.col("at") <= COMMON)
-    common: dict[str, list] = {lang: [] for lang in totals}
+    best = exact.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))).filter(F.col("at") <= common)
+    held: dict[str, list] = {lang: [] for lang in totals}
     for r in sorted(best.collect(), key=lambda r: (r["lang"], r["at"])):
-        if r["count"] >= WORD_SHARE * totals[r["lang"]]["count"]:
-            common[r["lang"]].append((r["word"], r["count"] / totals[r["lang"]]["count"]))
+        if r["count"] >= share * totals[r["lang"]]["count"]:
+            held[r["lang"]].append((r["word"], r["count"] / totals[r["lang"]]["count"]))
     return [{"lang": lang, "classes": [t[f"class_{i}"] / max(1, sum(t[f"class_{j}"] for j in range(CLASSES))) for i in range(CLASSES)],
-             "words": [w for w, _ in common[lang]], "shares": [s for _, s in common[lang]]} for lang, t in sorted(totals.items())]
+             "words": [w for w, _ in held[lang]], "shares": [s for _, s in held[lang]]} for lang, t in sorted(totals.items())]
 
 
 def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:

@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from freshet.llm import bpe, decontaminate, line_dedup, minhash, quality, secrets, shard, warc
+from freshet.llm import bpe, decontaminate, langid, line_dedup, minhash, quality, secrets, shard, url_rules, warc
 from freshet.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,50 @@ def hex_of(text) -> F.Column:
     return F.sha2(text, 256)
 
 
+# ---- 1: URLs by explicit and mined rules -------------------------------------------------------------------------------------
+
+_REST = "CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END"
+
+
+@query("op1_url_association_rules", rf"""
+WITH p AS (SELECT page_id, url, {_REST} AS rest FROM pages),
+u AS (SELECT page_id, url, rest, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM p),
+l AS (SELECT *, string_split(host, '.') AS hl FROM u WHERE rest IS NOT NULL),
+t AS (SELECT DISTINCT page_id, url, token FROM (
+  SELECT page_id, url, 's:' || translate(regexp_extract(url, '^(.*?)://', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS token FROM l
+  UNION ALL SELECT page_id, url, 'h:' || array_to_string(hl[i:], '.') FROM l, unnest(range(1, len(hl) + 1)) AS x(i)
+  UNION ALL SELECT page_id, url, 'p:' || regexp_replace(s, '[0-9]+', '#', 'g') FROM (SELECT page_id, url, unnest(string_split(path, '/')) AS s FROM l) WHERE s <> ''
+  UNION ALL SELECT page_id, url, 'q:' || regexp_extract(q, '^([^=]*)', 1) FROM (SELECT page_id, url, unnest(string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&')) AS q FROM l) WHERE q <> ''
+  UNION ALL SELECT page_id, url, 'f:' FROM l WHERE instr(rest, '#') > 0)),
+labelled AS (SELECT page_id, coalesce(quality = 0, FALSE) OR coalesce(toxic = 1, FALSE) AS bad FROM pages JOIN labels ON doc_id = page_id WHERE quality IS NOT NULL OR toxic IS NOT NULL),
+least_urls AS (SELECT greatest(ceil({url_rules.MIN_SUPPORT} * count(*)), {url_rules.LEAST_URLS}) AS m FROM labelled),
+lt AS (SELECT page_id, bad, token FROM labelled JOIN t USING (page_id)),
+often AS (SELECT token FROM lt WHERE bad GROUP BY token HAVING count(*) >= (SELECT m FROM least_urls)),
+ft AS (SELECT lt.* FROM lt JOIN often USING (token)),
+sets AS (SELECT [token] AS rule, bad FROM ft
+  UNION ALL SELECT [a.token, b.token], a.bad FROM ft a JOIN ft b ON a.page_id = b.page_id AND a.token < b.token
+  UNION ALL SELECT [a.token, b.token, c.token], a.bad FROM ft a JOIN ft b ON a.page_id = b.page_id AND a.token < b.token JOIN ft c ON a.page_id = c.page_id AND b.token < c.token),
+rules AS (SELECT rule, count(*) FILTER (bad) AS support, count(*) FILTER (bad) / count(*)::DOUBLE AS confidence FROM sets GROUP BY rule
+          HAVING count(*) FILTER (bad) >= (SELECT m FROM least_urls) AND count(*) FILTER (bad) / count(*)::DOUBLE >= {url_rules.MIN_CONFIDENCE}),
+kept_rules AS (SELECT rule FROM rules r WHERE NOT EXISTS (SELECT 1 FROM rules s WHERE len(s.rule) < len(r.rule) AND list_has_all(r.rule, s.rule) AND s.confidence >= r.confidence)),
+own AS (SELECT page_id, list(token) AS tokens FROM t GROUP BY page_id),
+mined AS (SELECT DISTINCT page_id FROM own, kept_rules WHERE list_has_all(tokens, rule)),
+ruled AS (SELECT page_id, host, path, CASE
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule FROM u)
+SELECT ruled.page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+       WHEN mined.page_id IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict FROM ruled LEFT JOIN mined USING (page_id)""")
+def op1(spark, d):
+    """A page is labelled by the document of the same number: bad if that is of low quality or toxic."""
+    pages = table(spark, d, "pages").select("page_id", "url")
+    bad = F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))
+    labels = table(spark, d, "labels").filter("quality IS NOT NULL OR toxic IS NOT NULL").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    return url_rules.judge(pages, pages.join(labels, "page_id")).drop("mined")
+
+
 # ---- 2: secrets, weighed by their owners ------------------------------------------------------------------------------------
 
 _ASSIGN = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
@@ -194,3 +238,16 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 def op9(spark, d):
     done = line_dedup.deduplicate_lines(table(spark, d, "documents"))
     return done.select("doc_id", "n_lines", "n_dropped", hex_of(F.col("kept_text")).alias("kept_sha256"))
+
+
+# ---- 10: languages by a conditional random field ---------------------------------------------------------------------------
+
+@query("op10_crf_language_id")
+def op10(spark, d):
+    """Learns from documents whose crc32(doc_id) mod 3 is not 1; the others are held out."""
+    docs = table(spark, d, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")), F.lit(3)) == 1, F.lit(False))
+    model = langid.train(docs.filter(~held_out))
+    predicted = langid.predict(docs, model)
+    held = F.coalesce(F.pmod(F.crc32(F.encode(F.col("id").cast("string"), "utf-8")), F.lit(3)) == 1, F.lit(False))
+    return predicted.select(F.col("id").alias("doc_id"), held.alias("held_out"), "lang_pred", "score")
