@@ -93,7 +93,7 @@ class Model:
             for w, s in zip(r["words"], r["shares"]):
                 share[number[w], langs.index(r["lang"])] += s
         logs = np.log(share)
-        logs -= logs.mean(axis=1, keepdims=True)
+        logs -= logs.sum(axis=1, keepdims=True) / max(1, n)
         self.words, self.lexicon = self.words[order], np.concatenate([logs[:-1][order], logs[-1:]]).astype(np.float32)
         self.weights = np.zeros((BUCKETS, n), np.float32)
         self.lexicon_weight = np.zeros(n, np.float32)
