@@ -349,6 +349,17 @@ def _(spark, d):
     return places.address_points(raw, names, "E92000001").select("uprn", "ctyua", "cell_key")
 
 
+RESIDENTS = {"population": ["Residence type: Total; measures: Value"]}
+OLDER = {"age65plus": ["Age: Aged 65 to 69 years", "Age: Aged 85 years and over"]}
+HOMES = {"households": ["Number of households: Number of households; measures: Value"]}
+
+
+def _census(residents, ages, homes):
+    code = "geography code"
+    joined = places.side_by_side([places.measures(residents, code, RESIDENTS), places.measures(ages, code, OLDER), places.measures(homes, code, HOMES)])
+    return places.share_of(joined, "age65plus", "population", "share_65plus")
+
+
 def _census_files(spark, d):
     c = table(spark, d, "customer").groupBy("c_nationkey").pivot("c_mktsegment", ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]).agg(F.count(F.lit(1)))
     code = F.concat(F.lit("E"), F.col("c_nationkey")).alias("geography code")
@@ -372,20 +383,23 @@ f AS (SELECT c_nationkey, count(*) AS total, count(*) FILTER (c_mktsegment = 'BU
 SELECT 'E' || c_nationkey AS oa, total AS population, b + u AS age65plus, m AS households, round((b + u) / total::DOUBLE, 6) AS share_65plus FROM f""")
 def _(spark, d):
     residents, ages, homes, _, _ = _census_files(spark, d)
-    return places.census_table(residents, ages, homes).withColumn("share_65plus", F.round("share_65plus", 6))
+    return _census(residents, ages, homes).withColumn("share_65plus", F.round("share_65plus", 6))
 
 
 @query("s21_census_cross_check", with_ctes(CENSUS_FILES_SQL) + "SELECT 0 AS differs, 0 AS differs_by_more_than_5, 0.0 AS largest, 0.0 AS people FROM f LIMIT 1")
 def _(spark, d):
     residents, ages, *_ = _census_files(spark, d)
-    return places.census_cross_check(residents, ages)
+    totals = places.side_by_side([places.measures(residents, "geography code", RESIDENTS), places.measures(ages, "geography code", {"age_total": ["Age: Total"]})])
+    return places.gap_summary(totals, "population", "age_total")
 
 
 @query("s22_vulnerability_columns", with_ctes(CENSUS_FILES_SQL) + """
 SELECT 'E' || c_nationkey AS oa, CASE WHEN c_nationkey % 10 = 0 THEN NULL WHEN c_nationkey % 5 = 0 THEN u ELSE b + u END AS bad_health, CASE WHEN c_nationkey <> 4 THEN h END AS no_car_households FROM f""")
 def _(spark, d):
     *_, health, cars = _census_files(spark, d)
-    return places.vulnerability_table([places.vulnerability_column(cars, "no_car_households", "no cars or vans"), places.vulnerability_column(health, "bad_health", "bad health")])
+    bad = {"bad_health": ["General health: Bad health", "General health: Very bad health"]}
+    none = {"no_car_households": ["Number of cars: No cars or vans in household"]}
+    return places.side_by_side([places.measures(cars, "geography code", none), places.measures(health, "geography code", bad)], how="full")
 
 
 @query("s23_deprivation_table", """
@@ -394,14 +408,22 @@ def _(spark, d):
     p = table(spark, d, "part").select(
         F.concat(F.when(F.col("p_size") % 7 > 0, "E01").otherwise("W01"), F.col("p_partkey")).alias("LSOA code (2021)"), F.col("p_retailprice").alias("Index of Multiple Deprivation (IMD) Score"),
         (F.col("p_size") % 10 + 1).alias("Index of Multiple Deprivation (IMD) Decile (where 1 is most deprived)"), F.col("p_size").alias("Income Decile (where 1 is most deprived)"))
-    return places.england_only(places.deprivation_table(p), "lsoa", "E01").select("lsoa", "imd_decile", "imd_score", "domain_income_decile")
+    numbers = {"imd_score": "Index of Multiple Deprivation (IMD) Score", "imd_decile": "Index of Multiple Deprivation (IMD) Decile (where 1 is most deprived)",
+               "domain_income_decile": "Income Decile (where 1 is most deprived)"}
+    return places.england_only(places.named_columns(p, {"lsoa": "LSOA code (2021)"}, numbers), "lsoa", "E01").select("lsoa", "imd_decile", "imd_score", "domain_income_decile")
 
 
-@query("p19_census_and_deprivation", with_ctes(CENSUS_FILES_SQL) + "SELECT 'E' || c_nationkey AS oa, total AS population, CAST(n_regionkey + 1 AS DOUBLE) AS imd_decile FROM f JOIN nation ON n_nationkey = c_nationkey")
+@query("p19_census_and_deprivation", with_ctes(CENSUS_FILES_SQL) + """
+SELECT 'E' || c_nationkey AS oa, total AS population, b + u AS age65plus, m AS households, round((b + u) / total::DOUBLE, 6) AS share_65plus,
+  CASE WHEN c_nationkey % 10 = 0 THEN NULL WHEN c_nationkey % 5 = 0 THEN u ELSE b + u END AS bad_health, CASE WHEN c_nationkey <> 4 THEN h END AS no_car_households,
+  CAST(n_regionkey + 1 AS DOUBLE) AS imd_decile FROM f JOIN nation ON n_nationkey = c_nationkey""")
 def _(spark, d):
-    residents, ages, homes, _, _ = _census_files(spark, d)
+    residents, ages, homes, health, cars = _census_files(spark, d)
     raw = table(spark, d, "nation").select(F.concat(F.lit("E"), F.col("n_nationkey")).alias("LSOA code"), (F.col("n_regionkey") + 1).alias("IMD decile"))
-    return places.census_table(residents, ages, homes).join(places.deprivation_table(raw).withColumnRenamed("lsoa", "oa"), "oa").select("oa", "population", "imd_decile")
+    deprivation = places.named_columns(raw, {"oa": "LSOA code"}, {"imd_decile": "IMD decile"})
+    bad = places.measures(health, "geography code", {"bad_health": ["General health: Bad health", "General health: Very bad health"]})
+    none = places.measures(cars, "geography code", {"no_car_households": ["Number of cars: No cars or vans in household"]})
+    return places.side_by_side([_census(residents, ages, homes), bad, none, deprivation]).withColumn("share_65plus", F.round("share_65plus", 6))
 
 
 @query("s28_code_names_and_lookup", """
@@ -410,7 +432,7 @@ def _(spark, d):
     joined = table(spark, d, "nation").join(table(spark, d, "region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
     raw = joined.select(F.concat(F.lit(" N"), "n_nationkey").alias("LAD24CD"), F.col("n_name").alias("LAD24NM"),
                         F.when(F.col("n_regionkey") > 0, F.concat(F.lit("R"), "n_regionkey")).otherwise("").alias("FRA24CD"), F.col("r_name").alias("FRA24NM"))
-    return places.district_lookup(raw.union(raw), "fire_and_rescue_authority").select("district_code", "geography_code", "geography_name")
+    return places.district_links(raw.union(raw), "fire_and_rescue_authority", "LAD24CD", "FRA24CD", "FRA24NM").select("district_code", "geography_code", "geography_name")
 
 
 @query("u05_fill_names_from_later_sources", """
@@ -429,7 +451,7 @@ def _(spark, d):
 @query("s28_code_name_table", "SELECT 'N' || n_nationkey AS code, n_name AS name FROM nation")
 def _(spark, d):
     n = table(spark, d, "nation").select(F.concat(F.lit("N"), "n_nationkey").alias("WD25CD"), F.col("n_name").alias("WD25NM"), F.lower("n_name").alias("WD25NMW"))
-    return places.code_names(n.union(n))
+    return places.code_names(n.union(n), "WD25CD", "WD25NM")
 
 
 @query("p22_responder_geographies", PLACES + """
@@ -437,7 +459,7 @@ SELECT r_name AS geography_name, round(sum(people), 2) AS people, count(DISTINCT
 def _(spark, d):
     district = exposure.geography_exposure(points(spark, d), {"district": "pcon"}).select("code", "people")
     joined = table(spark, d, "nation").join(table(spark, d, "region").withColumnRenamed("r_regionkey", "n_regionkey"), "n_regionkey")
-    lookup = places.district_lookup(joined.select(F.col("n_nationkey").alias("LAD24CD"), F.col("n_regionkey").alias("CAUTH24CD"), F.col("r_name").alias("CAUTH24NM")), "combined_authority")
+    lookup = places.district_links(joined, "combined_authority", "n_nationkey", "n_regionkey", "r_name")
     return exposure.rollup_through(district, lookup, ["people"]).select("geography_name", *r2("people"), "districts")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -75,113 +74,40 @@ def address_points(raw: DataFrame, renames: dict[str, str], country: str | None
             .withColumn("tile", place.tile_code(F.col("easting"), F.col("northing"))).drop("cty", "ctry"))
 
 
-# ---- census and deprivation ----------------------------------------------------------------------------------
+# ---- published tables with named columns ---------------------------------------------------------------------
+# Headers differ between releases, so callers say which columns they mean: {field: [headers]} or {field: header}.
 
-def _plain(name: str) -> str:
-    return re.sub(r"[^a-z0-9]+", " ", name.lower()).strip()
+def measures(raw: DataFrame, area: str, fields: dict[str, list[str]], key: str = "oa") -> DataFrame:
+    """One numeric column per field, the sum of its headers; NULL where none of them holds a number."""
+    def total(headers: list[str]) -> Column:
+        parts = F.array(*[F.col(f"`{h}`").try_cast("double") for h in headers])
+        held = F.filter(parts, lambda v: v.isNotNull())
+        return F.when(F.size(held) > 0, F.aggregate(held, F.lit(0.0), lambda a, v: a + v))
 
+    return raw.select(F.col(f"`{area}`").alias(key), *[total(headers).alias(f) for f, headers in fields.items()])
 
-def _number(name: str) -> Column:
-    return F.col(f"`{name}`").try_cast("double")
 
+def side_by_side(tables: list[DataFrame], key: str = "oa", how: str = "left") -> DataFrame:
+    """Tables with one row per area, joined on it."""
+    return reduce(lambda a, b: a.join(b, key, how), tables)
 
-def code_column(columns: list[str]) -> str:
-    return next(c for c in columns if _plain(c) == "geography code")
 
+def share_of(areas: DataFrame, part: str, whole: str, name: str) -> DataFrame:
+    return areas.withColumn(name, F.when(F.col(whole) > 0, F.col(part) / F.col(whole)))
 
-def total_column(columns: list[str]) -> str:
-    return next(c for c in columns if re.search(r"(^|[:;] ?)total\b", c, re.I) and "geography" not in c.lower())
 
+def gap_summary(areas: DataFrame, expected: str, counted: str, tolerances: tuple[float, float] = (0.5, 5.0)) -> DataFrame:
+    """How far two columns that should agree lie apart: areas beyond each tolerance, the largest gap, the sum of gaps."""
+    gap = F.col(counted) - F.col(expected)
+    low, high = tolerances
+    return areas.agg(F.count_if(F.abs(gap) > low).alias("differs"), F.count_if(F.abs(gap) > high).alias("differs_by_more_than_5"),
+                     F.max(F.abs(gap)).alias("largest"), F.sum(gap).alias("people"))
 
-def value_columns(columns: list[str]) -> list[str]:
-    return [c for c in columns if "geography" not in c.lower() and c.lower() != "date"]
 
-
-def households_column(columns: list[str]) -> str:
-    values = value_columns(columns)
-    for test in (lambda c: re.search(r"(^|[:;] ?)total\b", c, re.I), lambda c: "household" in c.lower()):
-        found = [c for c in values if test(c)]
-        if found:
-            return found[0]
-    if len(values) == 1:
-        return values[0]
-    raise ValueError(f"no households column among {columns[:10]}")
-
-
-def older_age_columns(columns: list[str]) -> list[str]:
-    """Age bands that start at 65 or later."""
-    bands = []
-    for c in columns:
-        found = re.search(r"aged (\d+)", c.lower())
-        if found and "and under" not in c.lower() and int(found.group(1)) >= 65:
-            bands.append(c)
-    return bands
-
-
-def census_table(residents: DataFrame, ages: DataFrame, households: DataFrame | None = None) -> DataFrame:
-    """One row per output area: population, households, age65plus and its share.  Columns are found by their header text."""
-    bands = older_age_columns(ages.columns)
-    if not bands:
-        raise ValueError("no age band of 65 and over")
-    out = residents.select(F.col(f"`{code_column(residents.columns)}`").alias("oa"), _number(total_column(residents.columns)).alias("population"))
-    old = ages.select(F.col(f"`{code_column(ages.columns)}`").alias("oa"),
-                      reduce(lambda a, b: a + b, [F.coalesce(_number(b), F.lit(0.0)) for b in bands]).alias("age65plus"))
-    out = out.join(old, "oa", "left")
-    if households is not None:
-        homes = households.select(F.col(f"`{code_column(households.columns)}`").alias("oa"),
-                                  _number(households_column(households.columns)).alias("households"))
-        out = out.join(homes, "oa", "left")
-    else:
-        out = out.withColumn("households", F.lit(None).cast("double"))
-    return out.withColumn("share_65plus", F.when(F.col("population") > 0, F.col("age65plus") / F.col("population")))
-
-
-def census_cross_check(residents: DataFrame, ages: DataFrame) -> DataFrame:
-    """Areas whose age table does not add up to the population: count, largest gap, gap in people."""
-    a = residents.select(F.col(f"`{code_column(residents.columns)}`").alias("oa"), _number(total_column(residents.columns)).alias("population"))
-    b = ages.select(F.col(f"`{code_column(ages.columns)}`").alias("oa"), _number(total_column(ages.columns)).alias("age_total"))
-    gap = F.col("age_total") - F.col("population")
-    return a.join(b, "oa", "left").agg(
-        F.count_if(F.abs(gap) > 0.5).alias("differs"), F.count_if(F.abs(gap) > 5).alias("differs_by_more_than_5"),
-        F.max(F.abs(gap)).alias("largest"), F.sum(gap).alias("people"))
-
-
-def vulnerability_column(df: DataFrame, name: str, needle: str) -> DataFrame:
-    """(oa, name): the sum of the value columns whose header holds ``needle``; NULL when every part is NULL."""
-    parts = [c for c in value_columns(df.columns) if needle in _plain(c)]
-    if not parts:
-        raise ValueError(f"no column holding {needle!r}")
-    missing = reduce(lambda a, b: a & b, [_number(p).isNull() for p in parts])
-    total = reduce(lambda a, b: a + b, [F.coalesce(_number(p), F.lit(0.0)) for p in parts])
-    return df.select(F.col(f"`{code_column(df.columns)}`").alias("oa"), F.when(~missing, total).alias(name))
-
-
-def vulnerability_table(parts: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.join(b, "oa", "full"), parts)
-
-
-def deprivation_table(raw: DataFrame) -> DataFrame:
-    """(lsoa, imd_score, imd_rank, imd_decile, domain deciles) with the columns found by header text."""
-    plain = {c: _plain(c) for c in raw.columns}
-
-    def pick(*patterns: str) -> str | None:
-        return next((c for c, n in plain.items() if all(re.search(p, n) for p in patterns)), None)
-
-    index = r"index of multiple deprivation|^imd"
-    code, decile = pick("lsoa", "code"), pick(index, "decile")
-    if code is None or decile is None:
-        raise ValueError("no LSOA code or decile column")
-    columns = [F.col(f"`{code}`").alias("lsoa"), _number(decile).alias("imd_decile")]
-    for name, word in (("imd_score", "score"), ("imd_rank", "rank")):
-        found = pick(index, word)
-        if found:
-            columns.append(_number(found).alias(name))
-    for c, n in plain.items():
-        domain = re.match(r"(income|employment|education|health|crime|barriers|living environment)(.*) decile", n)
-        if domain and c != decile and "index of multiple" not in n:
-            label = re.sub(r"[^a-z]+", "_", domain.group(1) + domain.group(2)).strip("_")
-            columns.append(_number(c).alias(f"domain_{label}_decile"))
-    return raw.select(*columns)
+def named_columns(raw: DataFrame, texts: dict[str, str], numbers: dict[str, str]) -> DataFrame:
+    """The given headers under the given names, as text or as numbers (NULL where a cell is not one)."""
+    return raw.select(*[F.trim(F.col(f"`{h}`").cast("string")).alias(f) for f, h in texts.items()],
+                      *[F.col(f"`{h}`").try_cast("double").alias(f) for f, h in numbers.items()])
 
 
 def england_only(df: DataFrame, code: str, prefix: str = "E") -> DataFrame:
@@ -206,21 +132,14 @@ def ranked_links(pages: DataFrame, html: str, page_id: str, base: Column, patter
 
 # ---- reference lists -----------------------------------------------------------------------------------------
 
-def code_names(df: DataFrame) -> DataFrame:
-    """(code, name) from the first CD and NM columns, one row per code."""
-    code = next((c for c in df.columns if re.search(r"CD$", c, re.I)), None) or next(c for c in df.columns if c.lower() == "code")
-    name = next((c for c in df.columns if re.search(r"NM$", c, re.I)), None) or next(c for c in df.columns if c.lower() == "name")
-    trimmed = df.select(F.trim(F.col(f"`{code}`").cast("string")).alias("code"), F.trim(F.col(f"`{name}`").cast("string")).alias("name"))
-    return trimmed.groupBy("code").agg(F.min("name").alias("name"))
-
-
-def district_lookup(df: DataFrame, geography: str) -> DataFrame:
-    """District to bigger geography: the LAD..CD column, another ..CD column and its ..NM; blank codes dropped."""
-    lad = next(c for c in df.columns if re.fullmatch(r"LAD\d*CD", c, re.I))
-    code = next(c for c in df.columns if re.search(r"CD$", c, re.I) and c != lad)
-    stem = re.sub(r"\d*CD$", "", code, flags=re.I)
-    name = next(c for c in df.columns if re.fullmatch(stem + r"\d*NM", c, re.I))
-    trimmed = df.select(F.trim(F.col(lad).cast("string")).alias("district_code"), F.lit(geography).alias("geography"),
-                        text.clean(F.col(code)).alias("geography_code"), F.trim(F.col(name).cast("string")).alias("geography_name"))
-    return trimmed.filter(F.col("geography_code").isNotNull()).groupBy("district_code", "geography", "geography_code").agg(
-        F.min("geography_name").alias("geography_name"))
+def code_names(raw: DataFrame, code: str, name: str) -> DataFrame:
+    """(code, name), one row per code; of several names the first in order."""
+    return named_columns(raw, {"code": code, "name": name}, {}).groupBy("code").agg(F.min("name").alias("name"))
+
+
+def district_links(raw: DataFrame, geography: str, district: str, code: str, name: str) -> DataFrame:
+    """(district_code, geography, geography_code, geography_name) of one larger geography; rows without its code go."""
+    rows = named_columns(raw, {"district_code": district, "geography_code": code, "geography_name": name}, {})
+    coded = rows.withColumn("geography_code", text.clean(F.col("geography_code"))).filter("geography_code IS NOT NULL")
+    links = coded.groupBy("district_code", "geography_code").agg(F.min("geography_name").alias("geography_name"))
+    return links.select("district_code", F.lit(geography).alias("geography"), "geography_code", "geography_name")
