@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from freshet.bindings.base import query, table, url_id_sql
 from freshet.functions import risk, text
-from freshet.operators.kernels import name_similarity
 from freshet.plans import thresholds
 
 
@@ -156,7 +155,7 @@ def _(spark, d):
 
 
 @query("f28_token_overlap", """
-SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 1.0 ELSE round(2 / 3.0, 6) END AS jaccard FROM part WHERE p_name NOT LIKE '%river%'""")
+SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 1.0 ELSE round(2 / 3.0, 6) END AS jaccard FROM part""")
 def _(spark, d):
     a = text.name_tokens(F.concat(F.lit("The "), "p_name", F.lit(" Bridge")))
     b = text.name_tokens(F.when(F.col("p_size") % 2 == 0, F.upper("p_name")).otherwise(F.concat("p_name", F.lit(" harbour"))))
@@ -166,7 +165,7 @@ def _(spark, d):
 @query("f28_name_similarity")
 def _(spark, d):
     p = table(spark, d, "part").withColumn("other", F.concat(F.reverse(F.split("p_name", " "))[0], F.lit(" "), F.col("p_brand")))
-    return p.select("p_partkey", "p_name", "other", name_similarity(text.name_tokens(F.col("p_name")), text.name_tokens(F.col("other"))).alias("similarity"))
+    return p.select("p_partkey", "p_name", "other", text.name_similarity(text.name_tokens(F.col("p_name")), text.name_tokens(F.col("other"))).alias("similarity"))
 
 
 @query("f29_welsh_name_hint", "SELECT p_partkey, p_size % 3 < 2 AS hint FROM part")

@@ -191,6 +191,13 @@ def token_overlap(a: Column, b: Column) -> Column:
     return F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(F.array_intersect(a, b)) / union).otherwise(0.0)
 
 
+def name_similarity(a: Column, b: Column) -> Column:
+    """The better of word overlap and edit similarity (1 - edits / length) of the sorted words, 3 decimals; 0 when either is empty."""
+    left, right = F.concat_ws(" ", a), F.concat_ws(" ", b)
+    edits = 1 - F.levenshtein(left, right) / F.greatest(F.length(left), F.length(right))
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), F.round(F.greatest(token_overlap(a, b), edits), 3)).otherwise(0.0)
+
+
 def welsh_hint(name: Column) -> Column:
     words = F.regexp_extract_all(F.lower(F.coalesce(clean(name), F.lit(""))), F.lit("([a-z]+)"), 1)
     starts = "^(" + "|".join(WELSH_STARTS) + ")"

@@ -1,152 +1,107 @@
-"""Arrow-batched kernels for the two measures Spark has no expression for."""
+"""The one measure Spark has no expression for: the area that two shapes have in common inside one grid cell.
 
-from __future__ import annotations
+A shape is given by the edges that matter in the cell: those level with it and not wholly to its left (see ``spatial.cover``).  A box
+with few edges is summed slab by slab; a box with many is quartered first, each quarter keeping only its own edges, so memory is
+linear and time about n log n in the edges of a cell.
+"""
 
-from difflib import SequenceMatcher
+from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
-
+from pyspark.sql import functions as F, types as T
 
-SMALL = 64
+FEW = 12        # edges inside a box that are summed at once
+DEEPEST = 24        # quarterings, for edges that cannot be told apart any more
 
 
-def _edges_of(flat) -> np.ndarray:
-    """Flat x1, y1, x2, y2 runs to rows: edges that are not horizontal, lower end first."""
+def _rising(flat) -> np.ndarray:
+    """Flat x1, y1, x2, y2 runs to rows, lower end first."""
     e = np.asarray(flat, dtype="float64").reshape(-1, 4)
-    e = e[e[:, 1] != e[:, 3]]
-    flip = e[:, 1] > e[:, 3]
-    e[flip] = e[flip][:, [2, 3, 0, 1]]
-    return e
-
-
-def flat_edges(rings) -> list[float]:
-    """Rings of {x, y} points as flat edges (what ``spatial.flat_edges`` builds as a column)."""
-    return [v for ring in rings for p, q in zip(ring[:-1], ring[1:]) for v in (p["x"], p["y"], q["x"], q["y"])]
-
-
-def _area(flat) -> float:
-    """Even-odd area: the same slab sum with one shape."""
-    e = _edges_of(flat)
-    return _slab_area(e, e) if len(e) else 0.0
-
-
-def _crossing_levels(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The heights at which edges of ``a`` cross edges of ``b``."""
-    slope_a = (a[:, 2] - a[:, 0]) / (a[:, 3] - a[:, 1])
-    slope_b = (b[:, 2] - b[:, 0]) / (b[:, 3] - b[:, 1])
-    at0_a, at0_b = a[:, 0] - slope_a * a[:, 1], b[:, 0] - slope_b * b[:, 1]
+    return np.where((e[:, 1] > e[:, 3])[:, None], e[:, [2, 3, 0, 1]], e)
+
+
+class _Side:
+    """One shape in one box: the sloping edges in it, the heights of its level edges there, and the edges beyond its right side, which
+    only turn inside and outside around."""
+
+    def __init__(self, edges: np.ndarray, box: tuple[float, float, float, float]):
+        west, south, east, north = box
+        here = edges[(edges[:, 3] > south) & (edges[:, 1] < north) & (np.maximum(edges[:, 0], edges[:, 2]) >= west)]
+        inside, sloping = np.minimum(here[:, 0], here[:, 2]) < east, here[:, 1] != here[:, 3]
+        self.edges, self.near, self.beyond, self.level = here, here[inside & sloping], here[~inside & sloping], here[inside & ~sloping, 1]
+
+    @property
+    def cuts(self) -> int:
+        return len(self.near) + len(self.level)
+
+    def spans(self, y0: float, y1: float, west: float, east: float) -> list[tuple[float, float, float, float]]:
+        """Stretches of the slab inside the shape: left and right end at the bottom, left and right end at the top."""
+        middle = (y0 + y1) / 2
+        turns = int(((self.beyond[:, 1] <= middle) & (self.beyond[:, 3] > middle)).sum())
+        live = self.near[(self.near[:, 1] <= y0) & (self.near[:, 3] >= y1)]
+        slope = (live[:, 2] - live[:, 0]) / (live[:, 3] - live[:, 1])
+        low, high = live[:, 0] + slope * (y0 - live[:, 1]), live[:, 0] + slope * (y1 - live[:, 1])
+        order = np.argsort(low + high, kind="stable")
+        low, high = [west, *np.clip(low[order], west, east).tolist(), east], [west, *np.clip(high[order], west, east).tolist(), east]
+        n = len(live)
+        return [(low[k], low[k + 1], high[k], high[k + 1]) for k in range(n + 1) if (n - k + turns) % 2]
+
+
+def _heights(edges: np.ndarray, level: np.ndarray, box: tuple[float, float, float, float]) -> np.ndarray:
+    """Where a slab must end: level edges, ends of the others, their crossings, and where they leave the box at its sides."""
+    west, south, east, north = box
+    slope = (edges[:, 2] - edges[:, 0]) / (edges[:, 3] - edges[:, 1])
+    foot = edges[:, 0] - slope * edges[:, 1]
     with np.errstate(divide="ignore", invalid="ignore"):
-        y = (at0_b[None, :] - at0_a[:, None]) / (slope_a[:, None] - slope_b[None, :])
-    low = np.maximum(a[:, 1][:, None], b[:, 1][None, :])
-    high = np.minimum(a[:, 3][:, None], b[:, 3][None, :])
-    return y[np.isfinite(y) & (y > low) & (y < high)]
-
-
-def _intervals(e: np.ndarray, y0: float, y1: float) -> tuple[np.ndarray, np.ndarray]:
-    """Edges alive through a slab, left to right: their x at the bottom and at the top."""
-    live = e[(e[:, 1] <= y0) & (e[:, 3] >= y1)]
-    slope = (live[:, 2] - live[:, 0]) / (live[:, 3] - live[:, 1])
-    bottom = live[:, 0] + slope * (y0 - live[:, 1])
-    top = live[:, 0] + slope * (y1 - live[:, 1])
-    order = np.argsort(bottom + top, kind="stable")
-    return bottom[order], top[order]
-
-
-def _slab_area(a: np.ndarray, b: np.ndarray) -> float:
-    """Area common to two even-odd shapes: between breakpoints every edge is a straight side, so slabs are exact trapezoids."""
-    low, high = max(a[:, 1].min(), b[:, 1].min()), min(a[:, 3].max(), b[:, 3].max())
-    if low >= high:
-        return 0.0
-    both = np.vstack([a, b]) if a is not b else a
-    levels = np.concatenate([both[:, 1], both[:, 3], _crossing_levels(both, both), [low, high]])
-    levels = np.unique(levels[(levels >= low) & (levels <= high)])
-    total = 0.0
-    for y0, y1 in zip(levels[:-1], levels[1:]):
-        a0, a1 = _intervals(a, y0, y1)
-        b0, b1 = (a0, a1) if a is b else _intervals(b, y0, y1)
-        total += _common_width(a0, a1, b0, b1) * (y1 - y0)
+        crossing = (foot[None, :] - foot[:, None]) / (slope[:, None] - slope[None, :])
+        sides = np.concatenate([(west - foot) / slope, (east - foot) / slope])
+    y = np.concatenate([level, edges[:, 1], edges[:, 3], crossing.ravel(), sides])
+    y = y[np.isfinite(y) & (y > south) & (y < north)]
+    return np.unique(np.concatenate([y, [south, north]]))
+
+
+def _slabs(a: _Side, b: _Side, box: tuple[float, float, float, float]) -> float:
+    west, _, east, _ = box
+    total, heights = 0.0, _heights(np.concatenate([a.near, b.near]), np.concatenate([a.level, b.level]), box)
+    for y0, y1 in zip(heights[:-1].tolist(), heights[1:].tolist()):
+        right = b.spans(y0, y1, west, east)
+        for l0, r0, l1, r1 in a.spans(y0, y1, west, east) if right else []:
+            for m0, s0, m1, s1 in right:
+                total += (max(0.0, min(r0, s0) - max(l0, m0)) + max(0.0, min(r1, s1) - max(l1, m1))) / 2 * (y1 - y0)
     return total
 
 
-def _common_width(a0, a1, b0, b1) -> float:
-    """Mean common width of two interval lists over a slab (bottom and top positions, left to right)."""
-    width = 0.0
-    for i in range(0, len(a0) - 1, 2):
-        for j in range(0, len(b0) - 1, 2):
-            w0 = min(a0[i + 1], b0[j + 1]) - max(a0[i], b0[j])
-            w1 = min(a1[i + 1], b1[j + 1]) - max(a1[i], b1[j])
-            if w0 > 0 or w1 > 0:
-                width += (max(w0, 0.0) + max(w1, 0.0)) / 2
-    return width
-
-
-def _slab_area_small(a: list, b: list) -> float:
-    """The same sum on plain tuples: array set-up would cost more than the work on shapes of a few edges."""
-    low = max(min(e[1] for e in a), min(e[1] for e in b))
-    high = min(max(e[3] for e in a), max(e[3] for e in b))
-    if low >= high:
-        return 0.0
-    both = a + b
-    levels = {low, high}
-    for x1, y1, x2, y2 in both:
-        levels.update(y for y in (y1, y2) if low < y < high)
-    for i, (x1, y1, x2, y2) in enumerate(both):
-        m = (x2 - x1) / (y2 - y1)
-        for p1, q1, p2, q2 in both[i + 1:]:
-            n = (p2 - p1) / (q2 - q1)
-            if m != n:
-                y = ((p1 - n * q1) - (x1 - m * y1)) / (m - n)
-                if max(y1, q1, low) < y < min(y2, q2, high):
-                    levels.add(y)
-    ordered, total = sorted(levels), 0.0
-    for y0, y1 in zip(ordered, ordered[1:]):
-        sides = []
-        for shape in (a, b):
-            spans = sorted(((x1 + (x2 - x1) * (y0 - s) / (t - s), x1 + (x2 - x1) * (y1 - s) / (t - s)) for x1, s, x2, t in shape if s <= y0 and t >= y1),
-                           key=lambda w: w[0] + w[1])
-            sides.append(([w[0] for w in spans], [w[1] for w in spans]))
-        total += _common_width(*sides[0], *sides[1]) * (y1 - y0)
-    return total
+def common_area(a: np.ndarray, b: np.ndarray, box: tuple[float, float, float, float], depth: int = 0) -> float:
+    """Area inside both shapes and the box (west, south, east, north)."""
+    left, right = _Side(a, box), _Side(b, box)
+    west, south, east, north = box
+    for side in (left, right):        # a shape whose boundary is elsewhere holds all of the box or nothing
+        if not side.cuts and not side.spans(south, north, west, east):
+            return 0.0
+    if left.cuts + right.cuts <= FEW or depth >= DEEPEST:
+        return _slabs(left, right, box)
+    x, y = (west + east) / 2, (south + north) / 2
+    return sum(common_area(left.edges, right.edges, part, depth + 1)
+               for part in ((west, south, x, y), (x, south, east, y), (west, y, x, north), (x, y, east, north)))
 
 
-def _pair_area(left, right) -> float:
-    a, b = _edges_of(left), _edges_of(right)
-    if not len(a) or not len(b):
-        return 0.0
-    if len(a) * len(b) <= SMALL:
-        return _slab_area_small([tuple(e) for e in a.tolist()], [tuple(e) for e in b.tolist()])
-    return _slab_area(a, b)
+def _in_cell(flat, cell_x: int, cell_y: int, cell: float) -> tuple[np.ndarray, tuple[float, float, float, float]]:
+    box = (cell_x * cell, cell_y * cell, (cell_x + 1) * cell, (cell_y + 1) * cell)
+    if flat is None:        # the whole cell: one upright edge on its right
+        return np.array([[box[2] + cell, box[1] - cell, box[2] + cell, box[3] + cell]]), box
+    return _rising(flat), box
 
 
-@F.pandas_udf(T.DoubleType())
-def even_odd_area(flat: pd.Series) -> pd.Series:
-    """Area of one shape from its flat edges."""
-    return pd.Series([_area(f) for f in flat], dtype="float64")
+def _areas(left, right, cell_x, cell_y, cell) -> pd.Series:
+    out = []
+    for a, b, i, j, c in zip(left, right, cell_x, cell_y, cell):
+        (mine, box), (other, _) = _in_cell(a, i, j, c), _in_cell(b, i, j, c)
+        out.append(common_area(mine, other, box))
+    return pd.Series(out, dtype="float64")
 
 
 @F.pandas_udf(T.DoubleType())
-def overlap_area(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Common area of candidate pairs, one Arrow batch of flat edges at a time."""
-    return pd.Series([_pair_area(a, b) for a, b in zip(left, right)], dtype="float64")
-
-
-@F.pandas_udf(T.DoubleType())
-def _sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    ratios = [SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b)]
-    return pd.Series(ratios, dtype="float64")
-
-
-def sequence_ratio(a: Column, b: Column) -> Column:
-    """Matching-blocks similarity of two texts, 0 to 1.  Only for candidates already blocked on a shared word."""
-    return _sequence_ratio(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))
-
-
-def name_similarity(a_tokens: Column, b_tokens: Column) -> Column:
-    """The better of word overlap and text similarity of the sorted words, 3 decimals."""
-    from freshet.functions.text import token_overlap
-
-    ratio = sequence_ratio(F.concat_ws(" ", a_tokens), F.concat_ws(" ", b_tokens))
-    both = (F.size(a_tokens) > 0) & (F.size(b_tokens) > 0)
-    return F.when(both, F.bround(F.greatest(token_overlap(a_tokens, b_tokens), ratio), 3)).otherwise(0.0)
+def cell_overlap(left: pd.Series, right: pd.Series, cell_x: pd.Series, cell_y: pd.Series, cell: pd.Series) -> pd.Series:
+    """Common area of two shapes in a cell, from flat edges; NULL edges stand for the whole cell."""
+    return _areas(left, right, cell_x, cell_y, cell)

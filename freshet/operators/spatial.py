@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from freshet.operators.kernels import even_odd_area, overlap_area
+from freshet.operators.kernels import cell_overlap
 from freshet.operators.skew import salted
 
 
@@ -24,9 +24,9 @@ def edges(rings: Column) -> Column:
     return F.flatten(F.transform(F.filter(rings, lambda r: F.size(r) > 1), of_ring))
 
 
-def flat_edges(rings: Column) -> Column:
-    """All edges as one array of numbers: x1, y1, x2, y2, x1, ..."""
-    return F.flatten(F.transform(edges(rings), lambda e: F.array(e.x1, e.y1, e.x2, e.y2)))
+def _flat(edge_list: Column) -> Column:
+    """Edges as one array of numbers: x1, y1, x2, y2, x1, ..."""
+    return F.flatten(F.transform(edge_list, lambda e: F.array(e.x1, e.y1, e.x2, e.y2)))
 
 
 def contains(edge_list: Column, x: Column, y: Column, on_edge: bool = True) -> Column:
@@ -57,7 +57,7 @@ def _cells(df: DataFrame, cell: float, x0: str, x1: str, y0: str, y1: str) -> Da
     return df.withColumn("cell_x", F.explode(span(x0, x1))).withColumn("cell_y", F.explode(span(y0, y1)))
 
 
-def cover(areas: DataFrame, cell: float, keep: list[str]) -> DataFrame:
+def cover(areas: DataFrame, cell: float, keep: list[str], spread: bool = False) -> DataFrame:
     """One row per area and grid cell it meets.
 
     ``local`` holds the edges that decide membership inside the cell: those level with it and not wholly to its left.  It is
@@ -69,6 +69,8 @@ def cover(areas: DataFrame, cell: float, keep: list[str]) -> DataFrame:
     # edges level with the row of cells are kept once per row, before the row is cut into cells
     level = lambda e: (F.greatest(e.y1, e.y2) >= F.col("_south")) & (F.least(e.y1, e.y2) <= F.col("_south") + cell)
     rows = rows.withColumn("_edges", F.filter("_edges", level))
+    if spread:        # the cells of one very large area come from many tasks
+        rows = rows.repartition(F.xxhash64(*keep, "cell_y"))
     cut = (rows.withColumn("cell_x", F.explode(F.sequence(F.floor(F.col("min_x") / cell), F.floor(F.col("max_x") / cell))))
            .withColumn("_west", F.col("cell_x") * cell))
     right_of = lambda e: F.greatest(e.x1, e.x2) >= F.col("_west")
@@ -111,23 +113,41 @@ def candidate_pairs(left: DataFrame, right: DataFrame, cell: float, left_keep: l
     return joined.select(*[F.col(f"a.{c}") for c in left_keep], *[F.col(f"b.{c}") for c in right_keep])
 
 
+def _held(areas: DataFrame, cell: float, keep: list[str]) -> DataFrame:
+    """The cover of areas with flat local edges and ``held``, the area of each shape inside each cell."""
+    covering = cover(areas, cell, keep, spread=True).withColumn("local", _flat(F.col("local")))
+    whole = F.lit(float(cell) * float(cell))
+    return covering.withColumn("held", F.when(F.col("local").isNull(), whole).otherwise(
+        cell_overlap("local", F.lit(None).cast("array<double>"), "cell_x", "cell_y", F.lit(float(cell)))))
+
+
 def overlaps(base: DataFrame, other: DataFrame, base_id: list[str], other_id: list[str], cell: float, min_area: float = 1.0,
              same: list[tuple[str, str]] | None = None) -> DataFrame:
     """Polygon pairs that really overlap, with the area and the share of the base polygon.
 
-    ``base`` and ``other`` carry their ids and ``rings``.  The exact area comes from an Arrow kernel over the candidate pairs;
-    touching and sliver pairs (under ``min_area``) are dropped.
+    Both sides are cut to grid cells once.  Where one shape fills a cell the common part is the other's area in it; only cells that both
+    shapes cut go through the kernel, with the few edges of that cell, and the parts are summed per pair.  So nothing grows with the
+    vertices of a whole shape, and the sum keeps the size test from running the kernel again.  A crowded cell is salted.
+    Touching and sliver pairs (under ``min_area``) are dropped.
     """
-    # shapes travel as flat arrays of numbers; a base polygon's own area is measured once, not once per pair
-    a = with_bounds(base).withColumn("a_edges", flat_edges(F.col("rings"))).withColumn("base_m2", even_odd_area(F.col("a_edges")))
-    b = with_bounds(other).withColumn("b_edges", flat_edges(F.col("rings")))
-    a_keep, b_keep = [*base_id, "a_edges", "base_m2"], [*other_id, "b_edges"]
-    a_keep += [l for l, _ in same or [] if l not in a_keep]
-    b_keep += [r for _, r in same or [] if r not in b_keep]
-    pairs = candidate_pairs(a, b, cell, a_keep, b_keep, same)
-    measured = pairs.withColumn("overlap_m2", overlap_area(F.col("a_edges"), F.col("b_edges"))).drop("a_edges", "b_edges")
-    real = measured.filter((F.col("overlap_m2") >= min_area) & (F.col("base_m2") > 0))
-    return real.withColumn("share", F.col("overlap_m2") / F.col("base_m2")).drop("base_m2")
+    same = same or []
+    a_keep = [*base_id, *[l for l, _ in same if l not in base_id]]
+    b_keep = [*other_id, *[r for _, r in same if r not in other_id]]
+    a = _held(base, cell, a_keep).select(*[F.col(c).alias(f"a_{c}") for c in a_keep], "cell_x", "cell_y", F.col("local").alias("a_local"), F.col("held").alias("a_held"))
+    b = _held(other, cell, b_keep).select(*[F.col(c).alias(f"b_{c}") for c in b_keep], "cell_x", "cell_y", F.col("local").alias("b_local"), F.col("held").alias("b_held"))
+    size = a.groupBy(*[f"a_{c}" for c in a_keep]).agg(F.sum("a_held").alias("base_m2"))
+    left, right, on = salted(a, b, ["cell_x", "cell_y"], [f"a_{c}" for c in base_id])
+    met = left.join(right, on)
+    for l, r in same:
+        met = met.filter(F.col(f"a_{l}") == F.col(f"b_{r}"))
+    both_cut = F.col("a_local").isNotNull() & F.col("b_local").isNotNull()
+    easy = met.filter(~both_cut).withColumn("common", F.when(F.col("a_local").isNull(), F.col("b_held")).otherwise(F.col("a_held")))
+    hard = met.filter(both_cut).withColumn("common", cell_overlap("a_local", "b_local", "cell_x", "cell_y", F.lit(float(cell))))
+    ids = [*[f"a_{c}" for c in a_keep], *[f"b_{c}" for c in b_keep]]
+    summed = easy.select(*ids, "common").unionByName(hard.select(*ids, "common")).groupBy(*ids).agg(F.sum("common").alias("overlap_m2"))
+    real = summed.filter(F.col("overlap_m2") >= min_area).join(size.filter("base_m2 > 0"), [f"a_{c}" for c in a_keep])
+    return real.select(*[F.col(f"a_{c}").alias(c) for c in a_keep], *[F.col(f"b_{c}").alias(c) for c in b_keep if c not in a_keep],
+                       "overlap_m2", (F.col("overlap_m2") / F.col("base_m2")).alias("share"))
 
 
 def _segment_distance2(p: Column, q: Column) -> Column:

@@ -321,8 +321,6 @@ def position_candidates(rows: DataFrame, stations: DataFrame, max_km: float = 3.
     bucket and the eight around it.
     """
     from freshet.functions import place
-    from freshet.operators.kernels import name_similarity
-
     # a degree of latitude is over 110 km and one of longitude over 50 km below 63 degrees north
     lat_step, lon_step = max_km / 110.0, max_km / 50.0
     bucket = lambda v, step: F.floor(v / step)
@@ -337,7 +335,7 @@ def position_candidates(rows: DataFrame, stations: DataFrame, max_km: float = 3.
     distance = place.haversine_km(F.col("_p.lat"), F.col("_p.lon"), F.col("_lat"), F.col("_lon"))
     near = (left.join(right, ["_a", "_o"]).withColumn("_km", distance).filter(F.col("_km") <= max_km)
             .groupBy("id", "telemetry_id", "location_name", "candidate_station_reference", "candidate_label").agg(F.min("_km").alias("_km")))
-    similar = name_similarity(text.name_tokens(F.col("location_name")), text.name_tokens(F.col("candidate_label")))
+    similar = text.name_similarity(text.name_tokens(F.col("location_name")), text.name_tokens(F.col("candidate_label")))
     scored = near.withColumn("name_similarity", similar)
     return scored.select(
         "id", "telemetry_id", "location_name", "candidate_station_reference", "candidate_label", F.round("_km", 2).alias("distance_km"),
@@ -491,9 +489,8 @@ def similar_names(names: DataFrame, stations: DataFrame, min_score: float) -> Da
 
     Names are reduced to their distinct word sets on both sides, so a name repeated very often is compared once.  Word sets
     meet on a shared word, heavy words salted, and a pair is kept only at its first shared word, so no distinct is needed.
-    Lengths that cannot reach the score are dropped before the kernel.
+    Lengths that cannot reach the score are dropped before the words are compared.
     """
-    from freshet.operators.kernels import name_similarity
     from freshet.operators.skew import salted
 
     a = names.withColumn("a_tokens", text.name_tokens(F.col("name"))).filter(F.size("a_tokens") > 0)
@@ -502,11 +499,11 @@ def similar_names(names: DataFrame, stations: DataFrame, min_score: float) -> Da
     words_b = b.select("b_tokens").distinct().select("b_tokens", F.explode("b_tokens").alias("word"))
     left, right, on = salted(words_a, words_b, ["word"], ["a_tokens"])
     length_a, length_b = (F.length(F.concat_ws(" ", c)) for c in ("a_tokens", "b_tokens"))
-    reachable = 2 * F.least(length_a, length_b) / (length_a + length_b) >= min_score
+    reachable = F.least(length_a, length_b) / F.greatest(length_a, length_b) >= min_score
     overlap = text.token_overlap(F.col("a_tokens"), F.col("b_tokens")) >= min_score
     pairs = left.join(right, on).filter(
         (F.col("word") == F.array_min(F.array_intersect("a_tokens", "b_tokens"))) & (reachable | overlap)).select("a_tokens", "b_tokens")
-    scored = pairs.withColumn("score", name_similarity(F.col("a_tokens"), F.col("b_tokens"))).filter(F.col("score") >= min_score)
+    scored = pairs.withColumn("score", text.name_similarity(F.col("a_tokens"), F.col("b_tokens"))).filter(F.col("score") >= min_score)
     return a.join(scored, "a_tokens").join(b, "b_tokens").select("id", "station_reference", "label", "score")
 
 
@@ -545,9 +542,7 @@ def unmapped_measures(register: DataFrame, rows: DataFrame) -> DataFrame:
 
 def name_check(rows: DataFrame, below: float = 0.4) -> DataFrame:
     """Matched rows whose gauge name and station label barely agree."""
-    from freshet.operators.kernels import name_similarity
-
-    matched = rows.filter(F.col("match_status") == "matched").withColumn("name_similarity", name_similarity(
+    matched = rows.filter(F.col("match_status") == "matched").withColumn("name_similarity", text.name_similarity(
         text.name_tokens(F.col("location_name")), text.name_tokens(F.col("station_label"))))
     return matched.filter(F.col("name_similarity") < below).select("id", "telemetry_id", "location_name", "station_label", "measure_uri", "name_similarity")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from freshet.functions import place, risk, text
 from freshet.operators import guards, proximity, spatial
-from freshet.operators.kernels import _area, _edges_of, _pair_area, _slab_area, _slab_area_small, flat_edges
+from freshet.operators.kernels import _rising, common_area
 from freshet.plans import briefing, exposure, grid, history, mapping, thresholds, timing
 from freshet.sources import statements
 
@@ -20,27 +20,65 @@ def box(x0, y0, x1, y1):
 RINGS = "array<array<struct<x:double,y:double>>>"
 
 
-def test_overlap_kernel_on_known_shapes():
-    base, hole = flat_edges(box(0, 0, 10, 10)), flat_edges(box(0, 0, 10, 10) + box(2, 2, 4, 4))
-    triangle = flat_edges([[{"x": 0.0, "y": 0.0}, {"x": 10.0, "y": 0.0}, {"x": 0.0, "y": 10.0}, {"x": 0.0, "y": 0.0}]])
-    assert _pair_area(base, flat_edges(box(0, 0, 5, 10))) == pytest.approx(50)
-    assert _pair_area(base, flat_edges(box(10, 0, 20, 10))) == 0
-    assert _area(hole) == pytest.approx(96)
-    assert _pair_area(hole, flat_edges(box(0, 0, 4, 4))) == pytest.approx(12)
-    assert _pair_area(triangle, flat_edges(box(0, 0, 5, 5))) == pytest.approx(25)
-    assert _pair_area(triangle, flat_edges(box(5, 5, 10, 10))) == pytest.approx(0, abs=1e-9)
+def flat(rings):
+    return _rising([v for ring in rings for p, q in zip(ring[:-1], ring[1:]) for v in (p["x"], p["y"], q["x"], q["y"])])
 
 
-def test_both_kernel_paths_agree():
+def test_common_area_of_known_shapes():
+    cell = (0.0, 0.0, 16.0, 16.0)
+    base, hole = flat(box(0, 0, 10, 10)), flat(box(0, 0, 10, 10) + box(2, 2, 4, 4))
+    triangle = flat([[{"x": 0.0, "y": 0.0}, {"x": 10.0, "y": 0.0}, {"x": 0.0, "y": 10.0}, {"x": 0.0, "y": 0.0}]])
+    everything = flat(box(-5, -5, 30, 30))
+    assert common_area(base, flat(box(0, 0, 5, 10)), cell) == pytest.approx(50)
+    assert common_area(base, flat(box(10, 0, 20, 10)), cell) == 0
+    assert common_area(hole, everything, cell) == pytest.approx(96)
+    assert common_area(hole, flat(box(0, 0, 4, 4)), cell) == pytest.approx(12)
+    assert common_area(triangle, flat(box(0, 0, 5, 5)), cell) == pytest.approx(25)
+    assert common_area(triangle, flat(box(5, 5, 10, 10)), cell) == pytest.approx(0, abs=1e-9)
+    assert common_area(flat(box(0, 0, 10, 10) + box(12, 0, 14, 4)), everything, cell) == pytest.approx(108)
+
+
+def wheel(n, x, y, r, seed):
+    import math
     import random
 
-    rnd = random.Random(3)
-    ring = lambda n: [[{"x": rnd.uniform(0, 9), "y": rnd.uniform(0, 9)} for _ in range(n)]]
-    for _ in range(40):
-        a, b = ring(5), ring(6)
-        ea, eb = (_edges_of(flat_edges([r[0] + [r[0][0]]])) for r in (a, b))
-        small = _slab_area_small([tuple(e) for e in ea.tolist()], [tuple(e) for e in eb.tolist()])
-        assert small == pytest.approx(_slab_area(ea, eb), abs=1e-9)
+    rnd = random.Random(seed)
+    ring = [{"x": x + r * (1 + 0.002 * rnd.random()) * math.cos(2 * math.pi * i / n), "y": y + r * (1 + 0.002 * rnd.random()) * math.sin(2 * math.pi * i / n)} for i in range(n)]
+    return [ring + ring[:1]]
+
+
+def test_quarters_and_slabs_agree(monkeypatch):
+    from freshet.operators import kernels
+
+    a, b, cell = flat(wheel(14, 50, 50, 30, 1)), flat(wheel(15, 60, 50, 30, 2)), (0.0, 0.0, 100.0, 100.0)
+    quartered = common_area(a, b, cell)
+    monkeypatch.setattr(kernels, "FEW", 1000)
+    assert common_area(a, b, cell) == pytest.approx(quartered, rel=1e-9)
+
+
+def test_shapes_of_many_vertices_need_little_memory():
+    import tracemalloc
+
+    a, b = flat(wheel(20_000, 50, 50, 30, 1)), flat(wheel(20_000, 85, 50, 10, 2))
+    tracemalloc.start()
+    found = common_area(a, b, (60.0, 40.0, 80.0, 60.0))
+    assert tracemalloc.get_traced_memory()[1] < 100e6 and 0 < found < 320
+    tracemalloc.stop()
+
+
+def test_overlap_of_real_shapes(spark):
+    """An L, a box with a hole and a shape of two parts against a box, over several cells; the kernel is in one stage per input."""
+    ell = [[{"x": float(x), "y": float(y)} for x, y in ((0, 0), (30, 0), (30, 10), (10, 10), (10, 30), (0, 30), (0, 0))]]
+    shapes = [("ell", ell), ("holed", box(0, 0, 30, 30) + box(5, 5, 25, 25)), ("parts", box(0, 0, 10, 10) + box(20, 20, 30, 30)), ("whole", box(-7, -7, 50, 50))]
+    base = spark.createDataFrame(shapes, f"id string, rings {RINGS}")
+    other = spark.createDataFrame([(1, box(3, 3, 23, 23))], f"oid int, rings {RINGS}")
+    want = {"ell": 7 * 20 + 7 * 13, "holed": 400 - 18 * 18, "parts": 49 + 9, "whole": 400}
+    area = {"ell": 500, "holed": 500, "parts": 200, "whole": 57 * 57}
+    for cell in (4.0, 7.0, 100.0):
+        got = {r.id: (r.overlap_m2, r.share) for r in spatial.overlaps(base, other, ["id"], ["oid"], cell).collect()}
+        assert got == {k: (pytest.approx(v), pytest.approx(v / area[k])) for k, v in want.items()}
+    plan = spatial.overlaps(base, other, ["id"], ["oid"], 7.0)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("cell_overlap(a_local") == 1
 
 
 def test_overlap_drops_touching_and_slivers(spark):
