@@ -36,20 +36,11 @@ def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n"
 
 
-_STORED: dict[tuple, DataFrame] = {}
-
-
 def stored(build):
-    """A product that later reports read as a table: built and written once per application and folder."""
-    from freshet.session import cut_lineage
-
-    def once(spark, folder):
-        key = (build.__module__, build.__name__, spark.sparkContext.applicationId, folder)
-        if key not in _STORED:
-            _STORED[key] = cut_lineage(build(spark, folder))
-        return _STORED[key]
+    """A product that later reports read as a table: written in the shared folder each time it is built."""
+    from freshet.session import stored_table
 
-    return once
+    return lambda spark, folder: stored_table(build(spark, folder), build.__name__.strip("_"))
 
 
 # ---- readings: one series per user, an archive and an overlapping live tail ---------------------------------

@@ -247,7 +247,7 @@ def _(spark, d):
 
 GRID_SQL = PIXEL_SQL + """,
 pc AS (SELECT (northing // 1000) * 10000 + easting // 1000 AS cell_key, sum(people) AS people, sum(people * imd_decile) / nullif(sum(people), 0) AS w, avg(imd_decile) AS u FROM points GROUP BY 1),
-sc AS (SELECT (pixel_y // 10) * 10000 + pixel_x // 10 AS cell_key, sum(rank) / 100.0 AS haz FROM pixels WHERE source = 'rofrs' GROUP BY 1),
+sc AS (SELECT (pixel_y // 10) * 10000 + pixel_x // 10 AS cell_key, coalesce(sum(rank) FILTER (source = 'rofrs'), 0) / 100.0 AS haz FROM pixels GROUP BY 1),
 cc AS (SELECT (northing // 1000) * 10000 + easting // 1000 AS cell_key, count(*) AS critical_sites FROM sites GROUP BY 1),
 g0 AS (SELECT cell_key, coalesce(people, 0) AS people, coalesce(w, u) AS dec, least(coalesce(haz, 0), 4) AS haz_rs, coalesce(critical_sites, 0) AS critical_sites
        FROM pc FULL JOIN sc USING (cell_key) FULL JOIN cc USING (cell_key)),
@@ -257,7 +257,7 @@ g AS (SELECT *, (SELECT count(*) FROM g0 b WHERE b.people < g0.people) AS less,
 def _grid(spark, d):
     coarse = lambda df: df.withColumn("cell_key", (F.floor(F.col("northing") / 1000) * 10000 + F.floor(F.col("easting") / 1000)).cast("long"))
     people = grid.points_to_cells(coarse(points(spark, d)))
-    shares = grid.shares_wide(grid.cell_shares(_pixels(spark, d), LABELS, 100.0, 1000.0).filter("source = 'rofrs'"))
+    shares = grid.shares_wide(grid.cell_shares(_pixels(spark, d), LABELS, 100.0, 1000.0))
     # the site table keyed by the same coarse cell
     crit = grid.sites_to_cells(coarse(sites(spark, d)).withColumn("easting", F.pmod("cell_key", F.lit(10000)) * 100).withColumn(
         "northing", F.floor(F.col("cell_key") / 10000) * 100))
@@ -543,10 +543,10 @@ def _(spark, d):
 
 
 @query("k13_seed_missing_rows", with_ctes(ECONOMICS_SQL) + """,
-held AS (SELECT DISTINCT 'prob_' || CASE p_size % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'low' ELSE 'medium' END AS item, CASE WHEN p_size % 2 = 0 THEN 'low' ELSE 'high' END AS scenario FROM part WHERE p_type = 'LARGE')
+held AS (SELECT DISTINCT 'prob_' || CASE p_size % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'low' ELSE 'medium' END AS item, CASE WHEN p_size % 2 = 0 THEN 'low' ELSE 'high' END AS scenario FROM part)
 SELECT item, scenario FROM probs WHERE (item, scenario) NOT IN (SELECT item, scenario FROM held)""")
 def _(spark, d):
-    p = table(spark, d, "part").filter("p_type = 'LARGE'")
+    p = table(spark, d, "part")
     size = F.col("p_size")
     held = p.select(F.when(size % 3 == 0, "prob_high").when(size % 3 == 1, "prob_low").otherwise("prob_medium").alias("item"),
                     F.when(size % 2 == 0, "low").otherwise("high").alias("scenario"))

@@ -13,9 +13,9 @@ from freshet.plans import briefing, forecast, health, warnings
 # ---- joins ---------------------------------------------------------------------------------------------------
 
 
-@query("j01_inner_join", "SELECT l_orderkey, l_linenumber, o_orderpriority FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F'")
+@query("j01_inner_join", "SELECT l_orderkey, l_linenumber, o_orderpriority FROM lineitem JOIN orders ON o_orderkey = l_orderkey")
 def _(spark, d):
-    orders = table(spark, d, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
     return table(spark, d, "lineitem").join(orders, "l_orderkey").select("l_orderkey", "l_linenumber", "o_orderpriority")
 
 
@@ -359,11 +359,12 @@ def _(spark, d):
 
 
 @query("a04_past_situations", with_ctes(FORECAST_SQL, MEMBERS_SQL) + BY_STATEMENT + CHANGES_SQL + """
-SELECT p.statement_id, p.constituency_id, c.name AS constituency_name, m.name AS mp_name, p.worst_rank, p.worst_date, p.worst_sources,
+SELECT a.statement_id, c.constituency_id, c.name AS constituency_name, m.name AS mp_name, coalesce(p.worst_rank, 0) AS worst_rank, p.worst_date, p.worst_sources,
   coalesce(rank_day1, 0) AS rank_day1, coalesce(rank_day5, 0) AS rank_day5,
-  CASE WHEN s.statement_id IS NOT NULL THEN EXISTS (SELECT 1 FROM changes x WHERE x.statement_id = p.statement_id AND x.constituency_id = p.constituency_id
+  CASE WHEN s.statement_id IS NOT NULL THEN EXISTS (SELECT 1 FROM changes x WHERE x.statement_id = a.statement_id AND x.constituency_id = c.constituency_id
        AND x.change_type IN ('escalated', 'new')) END AS escalated, CAST(NULL AS BIGINT) AS warnings
-FROM pivot_rows p JOIN constituencies c USING (constituency_id) LEFT JOIN one_member m USING (name_key) LEFT JOIN shared s USING (statement_id)""")
+FROM (SELECT DISTINCT statement_id FROM statements) a CROSS JOIN constituencies c LEFT JOIN pivot_rows p ON p.statement_id = a.statement_id AND p.constituency_id = c.constituency_id
+LEFT JOIN one_member m USING (name_key) LEFT JOIN shared s ON s.statement_id = a.statement_id""")
 def _(spark, d):
     return _past(spark, d).select(
         "statement_id", "constituency_id", "constituency_name", "mp_name", "worst_rank", "worst_date", "worst_sources", "rank_day1", "rank_day5", "escalated", "warnings")

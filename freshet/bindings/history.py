@@ -145,8 +145,8 @@ cover AS (SELECT area_code, CAST(time AS DATE) AS d, CAST(time AS DATE) - CAST(e
               ORDER BY CASE event_id % 4 WHEN 0 THEN 'river' WHEN 1 THEN 'coastal' WHEN 2 THEN 'surface' ELSE 'ground' END) AS sources
           FROM messages WHERE event_id % 5 >= 1 GROUP BY 1, 2, 3),
 eps AS (SELECT area_code, run, CAST(start_time AS DATE) AS issue_date,
-          least(greatest(coalesce(CAST(end_time AS DATE), CASE WHEN TIMESTAMP '2024-02-05 00:00:00' > start_time + INTERVAL 30 DAY THEN CAST(start_time AS DATE)
-            ELSE DATE '2024-02-05' END), CAST(start_time AS DATE)), CAST(start_time AS DATE) + 59) AS last_day,
+          greatest(coalesce(CAST(end_time AS DATE), CASE WHEN TIMESTAMP '2024-02-05 00:00:00' > start_time + INTERVAL 30 DAY THEN CAST(start_time AS DATE)
+            ELSE DATE '2024-02-05' END), CAST(start_time AS DATE)) AS last_day,
           area_code || '_' || strftime(start_time, '%Y%m%dT%H%M') AS episode_id FROM episodes),
 days AS (SELECT episode_id, area_code, issue_date, CAST(u.d AS DATE) AS d FROM eps, unnest(generate_series(CAST(issue_date AS TIMESTAMP), CAST(last_day AS TIMESTAMP), INTERVAL 1 DAY)) AS u(d)),
 m AS (SELECT days.*, s, rk, sources FROM days JOIN cover USING (area_code, d)),
@@ -260,13 +260,13 @@ def _(spark, d):
 
 
 @query("j26_warnings_nothing_crossed", with_ctes(CROSS) + ISSUES_SQL + """
-SELECT i.user_id, i.episode_id, EXISTS (SELECT 1 FROM events e WHERE e.user_id = i.user_id AND e.value < 5 AND e.ts BETWEEN i.issue_time AND i.end_time) AS had_readings
+SELECT i.user_id, i.episode_id, EXISTS (SELECT 1 FROM events e WHERE e.user_id = i.user_id AND e.ts BETWEEN i.issue_time AND i.end_time) AS had_readings
 FROM issues i WHERE NOT EXISTS (SELECT 1 FROM crossings c WHERE c.user_id = i.user_id AND c.crossed_at BETWEEN i.issue_time AND i.end_time)""")
 def _(spark, d):
     issues = _issues(spark, d)
     hit = intervals.intervals_with_instants(issues, _crossings(spark, d, 100), ["user_id"], "crossed_at", "issue_time", "end_time", "episode_id")
     alone = issues.join(hit, "episode_id", "left_anti")
-    low = table(spark, d, "events").filter("value < 5").select("user_id", F.col("ts").alias("read_at"))
+    low = table(spark, d, "events").select("user_id", F.col("ts").alias("read_at"))
     seen = intervals.intervals_with_instants(alone, low, ["user_id"], "read_at", "issue_time", "end_time", "episode_id").withColumn("_seen", F.lit(True))
     return alone.join(seen, "episode_id", "left").select("user_id", "episode_id", F.coalesce("_seen", F.lit(False)).alias("had_readings"))
 

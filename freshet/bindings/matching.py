@@ -93,10 +93,11 @@ def _activity(spark, d):
 
 
 def _stations(spark, d):
-    s, k = table(spark, d, "part").filter("p_partkey % 4 = 0"), F.col("p_partkey")
-    st = F.floor(k / 4)
+    # four parts make a station, named by the first
+    st = F.col("st")
+    s = table(spark, d, "part").groupBy(F.floor(F.col("p_partkey") / 4).alias("st")).agg(F.min_by("p_name", "p_partkey").alias("label"))
     return s.select(
-        F.lpad(st.cast("string"), 6, "0").alias("station_reference"), F.col("p_name").alias("label"), F.concat(F.lit("nowhere"), st * 3).alias("notation"),
+        F.lpad(st.cast("string"), 6, "0").alias("station_reference"), "label", F.concat(F.lit("nowhere"), st * 3).alias("notation"),
         F.concat(F.lit("R"), st).alias("rloi_id"), F.concat(F.lit("W"), st * 13).alias("wiski_id"), (52.0 + st % 300 / 100).cast("string").alias("lat"), (st % 200 / 100).cast("string").alias("long"))
 
 
@@ -114,7 +115,7 @@ def _(spark, d):
 
 @query("a38_match_report", INPUT + " SELECT match_status, count(*) AS lines, count(DISTINCT id) AS rows FROM matched_rows GROUP BY match_status")
 def _(spark, d):
-    return mapping.match_report(_matched(spark, d)).select("match_status", "lines", "rows")
+    return mapping.match_report(_matched(spark, d), examples=5).select("match_status", "lines", "rows")
 
 
 @query("a38_measures_wanted_by_several", INPUT + """
@@ -174,7 +175,7 @@ def _(spark, d):
 
 
 @query("j22_position_candidates", """
-WITH st AS (SELECT lpad(CAST(p_partkey // 4 AS VARCHAR), 6, '0') AS station, 52.0 + (p_partkey // 4) % 300 / 100.0 AS lat, (p_partkey // 4) % 200 / 100.0 AS lon FROM part WHERE p_partkey % 4 = 0),
+WITH st AS (SELECT DISTINCT lpad(CAST(p_partkey // 4 AS VARCHAR), 6, '0') AS station, 52.0 + (p_partkey // 4) % 300 / 100.0 AS lat, (p_partkey // 4) % 200 / 100.0 AS lon FROM part),
 codes AS (SELECT s_suppkey, 52 + (s_suppkey % 60) / 60.0 AS lat, (s_suppkey % 60) / 60.0 AS lon FROM supplier)
 SELECT CAST(s_suppkey AS VARCHAR) AS id, station AS candidate_station_reference, round(2 * 6371.0088 * asin(sqrt(pow(sin(radians((s.lat - c.lat) / 2)), 2)
   + cos(radians(c.lat)) * cos(radians(s.lat)) * pow(sin(radians((s.lon - c.lon) / 2)), 2))), 2) AS distance_km FROM codes c JOIN st s ON abs(s.lat - c.lat) < 0.05 AND abs(s.lon - c.lon) < 0.1
@@ -228,7 +229,7 @@ def _candidates(spark, d):
 
 @query("j33_candidate_routes", INPUT + """,
 un AS (SELECT DISTINCT id, tid, c_custkey FROM matched_rows JOIN mapping USING (id) WHERE match_status IN ('no_station', 'no_telemetry_id')),
-st AS (SELECT p_partkey // 4 AS n, lpad(CAST(p_partkey // 4 AS VARCHAR), 6, '0') AS ref FROM part WHERE p_partkey % 4 = 0),
+st AS (SELECT p_partkey // 4 AS n, lpad(CAST(p_partkey // 4 AS VARCHAR), 6, '0') AS ref FROM part GROUP BY p_partkey // 4),
 hits AS (SELECT un.id, 1 AS route, ref FROM un JOIN st ON un.tid = 'nowhere' || (st.n * 3) UNION ALL SELECT un.id, 2, ref FROM un JOIN st ON c_custkey % 7 > 0 AND c_custkey = st.n * 13
          UNION ALL SELECT un.id, 4, ref FROM un JOIN st ON regexp_replace(upper(un.tid), '^0+', '') = upper('nowhere' || (st.n * 3)))
 SELECT id, CASE min(route) WHEN 1 THEN 'notation' WHEN 2 THEN 'wiskiID' ELSE 'same after tidy-up' END AS how, ref AS candidate_station_reference FROM hits GROUP BY id, ref""")

@@ -149,13 +149,13 @@ def _(spark, d):
 
 
 @query("s33_tile_file_inventory", """
-WITH files AS (SELECT 'RoFRS_S' || chr(65 + CAST(p_partkey % 20 AS INTEGER)) || CASE WHEN p_size % 2 = 0 THEN '50' ELSE '05' END
-                 || CASE WHEN p_partkey % 9 = 0 THEN '' ELSE '_v202606' END || CASE WHEN p_size % 3 = 0 THEN '_Climate_Change' ELSE '' END AS path FROM part WHERE p_retailprice > 900),
+WITH files AS (SELECT 'RoFRS_S' || chr(65 + CAST(p_partkey % 1500 % 20 AS INTEGER)) || lpad(CAST(p_partkey % 1500 // 20 AS VARCHAR), 2, '0')
+                 || CASE WHEN p_partkey % 9 = 0 THEN '' ELSE '_v202606' END || CASE WHEN p_size % 3 = 0 THEN '_Climate_Change' ELSE '' END AS path FROM part),
 t AS (SELECT regexp_extract(path, '_([A-Z]{2}[0-9]{2})_v[0-9]+', 1) AS tile, path FROM files WHERE lower(path) NOT LIKE '%climate_change%')
 SELECT tile, count(*) AS files, CASE WHEN count(*) = 1 THEN 'ok' ELSE 'skipped: ' || count(*) || ' files' END AS note FROM t WHERE tile <> '' GROUP BY tile""")
 def _(spark, d):
-    p = table(spark, d, "part").filter("p_retailprice > 900")
-    path = F.concat(F.lit("RoFRS_S"), F.char((F.lit(65) + F.col("p_partkey") % 20)), F.when(F.col("p_size") % 2 == 0, "50").otherwise("05"),
+    p, k = table(spark, d, "part"), F.col("p_partkey") % 1500
+    path = F.concat(F.lit("RoFRS_S"), F.char((F.lit(65) + k % 20)), F.lpad(F.floor(k / 20).cast("string"), 2, "0"),
                     F.when(F.col("p_partkey") % 9 == 0, "").otherwise("_v202606"), F.when(F.col("p_size") % 3 == 0, "_Climate_Change").otherwise(""))
     return places.tile_inventory(p.select(path.alias("path"))).select("tile", "files", "note")
 
@@ -342,10 +342,10 @@ def _(spark, d):
 @query("j28_cell_pair_overlaps", CELL_GRID_SQL + """,
 p AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS shared_cells, round(coalesce(sum(people), 0), 2) AS people FROM area_cells a JOIN area_cells b ON a.cell_key = b.cell_key AND a.id < b.id
       LEFT JOIN grid g ON g.cell_key = a.cell_key GROUP BY 1, 2)
-SELECT * FROM p WHERE shared_cells >= 8""")
+SELECT * FROM p""")
 def _(spark, d):
     g, cells = _cells(spark, d)
-    return grid.cell_pair_overlaps(cells, g, ["people"], 8).select("id_a", "id_b", "shared_cells", F.round("people", 2).alias("people"))
+    return grid.cell_pair_overlaps(cells, g, ["people"]).select("id_a", "id_b", "shared_cells", F.round("people", 2).alias("people"))
 
 
 # ---- hazard --------------------------------------------------------------------------------------------------

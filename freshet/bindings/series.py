@@ -281,11 +281,9 @@ def _(spark, d):
     return table(spark, d, "nation").agg(F.count(F.lit(1)).alias("rows_returned"), F.lit(5000).alias("request_limit"), F.lit(n == 25).alias("complete"))
 
 
-@query("l08_sample_with_cap", "SELECT c_custkey, c_name FROM customer WHERE c_acctbal < 0 ORDER BY md5('run-1|' || c_custkey), c_custkey LIMIT 300")
+@query("l08_sample_with_cap", "SELECT c_custkey, c_name FROM customer ORDER BY md5('run-1|' || c_custkey), c_custkey LIMIT 300")
 def _(spark, d):
-    # the sampling operator: a stable pseudo-random order by key and run, at most 300 rows
-    c = table(spark, d, "customer").filter("c_acctbal < 0").select("c_custkey", "c_name")
-    return c.orderBy(F.md5(F.concat_ws("|", F.lit("run-1"), F.col("c_custkey").cast("string"))), "c_custkey").limit(300)
+    return pick.sampled(table(spark, d, "customer").select("c_custkey", "c_name"), "c_custkey", "run-1", 300)
 
 
 @query("l09_alert_levels_query", """

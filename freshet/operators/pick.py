@@ -32,6 +32,11 @@ def union_by_priority(frames: list[DataFrame], keys: list[str], order: list[Colu
     return first_per_key(merged, keys, [F.col("_priority"), *(order or [])]).drop("_priority")
 
 
+def sampled(df: DataFrame, key: str, run: str, size: int) -> DataFrame:
+    """``size`` rows in a stable pseudo-random order by key and run name; Spark keeps the best ``size`` of each task only."""
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(run), F.col(key).cast("string"))), key).limit(size)
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 

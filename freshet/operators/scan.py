@@ -7,6 +7,8 @@ equi-join.  The result is exact; a key with a third of all rows spreads over as
 
 from __future__ import annotations
 
+from freshet.operators.skew import join_counted
+from freshet.session import stored_table
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -79,9 +81,11 @@ def exact_median(df: DataFrame, keys: list[str], value: str, width: float, out:
 def percent_rank_average(df: DataFrame, keys: list[str], value: str, width: float, out: str) -> DataFrame:
     """Average-rank percentile of each row's value among all rows of its key (ties share their mean rank).
 
-    The join key is the value; a value most rows share is one row on the distribution side, so only the left side is hot and
-    adaptive execution can split it.
+    The rows are written once and read for the distribution and for the join.  The distribution knows how many rows share a value, so
+    a very frequent value is split over salts by that count.
     """
-    d = value_distribution(df, keys, value, width).select(
-        *keys, F.col("value").alias(value), ((F.col("n_below") + (F.col("n") + 1) / 2) / F.col("n_all")).alias(out))
-    return df.join(d, [*keys, value], "left")
+    rows = stored_table(df, "ranked")
+    ranks = stored_table(value_distribution(rows, keys, value, width).select(
+        *keys, F.col("value").alias(value), ((F.col("n_below") + (F.col("n") + 1) / 2) / F.col("n_all")).alias(out), F.col("n").alias("_rows")), "ranks")
+    total = ranks.agg(F.sum("_rows")).first()[0] or 0
+    return join_counted(rows, ranks, [*keys, value], [c for c in df.columns if c not in keys and c != value] or [value], "_rows", total)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql.types import ArrayType
 from pyspark.sql import Column, DataFrame, functions as F
 
 from freshet.functions import risk, text
@@ -196,15 +197,25 @@ def situation(constituencies: DataFrame, members: DataFrame, contacts: DataFrame
     return result
 
 
+MOST_CONSTITUENCIES = 10_000
+
+
 def past_situations(links: DataFrame, statements: DataFrame, constituencies: DataFrame, members: DataFrame,
                     change_rows: DataFrame | None = None, compared: DataFrame | None = None, min_share: float = 0.01) -> DataFrame:
     """The forecast half of the situation for EVERY past statement in one job; warning counts are not known (NULL).
 
-    Rows are the (statement, constituency) pairs with a forecast risk: the quiet pairs carry nothing and are added for a chosen
-    statement by ``with_quiet``.  ``escalated`` is NULL where a statement was never compared.
+    Every statement has a row for every constituency, rank 0 where nothing was forecast.  The list of constituencies is a reference
+    list (some hundreds, guarded at ``MOST_CONSTITUENCIES``) and travels as one array, so rows are statements x constituencies and
+    no join makes them.  ``escalated`` is NULL where a statement was never compared.
     """
     key = ["statement_id", "constituency_id"]
     pivot = situation_pivot(counted(links, min_share).withColumnRenamed("rank", "risk_rank"), key)
+    places = sorted(r[0] for r in constituencies.select("constituency_id").distinct().limit(MOST_CONSTITUENCIES + 1).collect())
+    if len(places) > MOST_CONSTITUENCIES:
+        raise ValueError(f"more than {MOST_CONSTITUENCIES} constituencies")
+    kind = constituencies.schema["constituency_id"].dataType
+    every = statements.select("statement_id").distinct().withColumn("constituency_id", F.explode(F.lit(places).cast(ArrayType(kind))))
+    pivot = every.join(pivot, key, "left")
     escalated = F.lit(None).cast("boolean")
     if change_rows is not None and compared is not None:
         rose = change_rows.filter(F.col("change_type").isin("escalated", "new")).select(*key, F.lit(True).alias("_rose")).distinct()
@@ -221,14 +232,6 @@ def past_situations(links: DataFrame, statements: DataFrame, constituencies: Dat
         F.lit(None).cast("boolean").alias("has_active_warning"))
 
 
-def with_quiet(situations: DataFrame, constituencies: DataFrame, statement_id: int) -> DataFrame:
-    """One past statement with a row for every constituency: those without a forecast have rank 0."""
-    mine = situations.filter(F.col("statement_id") == statement_id).drop("constituency_name", "statement_id")
-    joined = constituencies.select("constituency_id", F.col("name").alias("constituency_name")).join(mine, "constituency_id", "left")
-    ranks = ["worst_rank", *[f"rank_day{n}" for n in range(1, 6)]]
-    return joined.withColumn("statement_id", F.lit(statement_id)).withColumns({c: F.coalesce(c, F.lit(0)) for c in ranks})
-
-
 # ---- monthly exposure ----------------------------------------------------------------------------------------
 
 def monthly_exposure(links: DataFrame, statements: DataFrame, min_share: float = 0.01) -> DataFrame:

@@ -154,15 +154,14 @@ def orphan_offs(events: DataFrame, chunk: Column | None = None) -> DataFrame:
 
 # ---- warning against forecast --------------------------------------------------------------------------------
 
-MAX_SPAN_DAYS = 60
-
-
-def episode_days(episodes: DataFrame, now: Column) -> DataFrame:
-    """One row per episode and day in force: open runs to now, stale ones only their first day, at most 60 days."""
+def episode_days(episodes: DataFrame, now: Column, span_days: int | None = None) -> DataFrame:
+    """One row per episode and day in force: open runs to now, stale ones only their first day; ``span_days`` limits a run."""
     start, end = F.to_date("start_time"), F.to_date("end_time")
     stale = F.coalesce("stale_open", F.lit(False))
     last = F.coalesce(end, F.when(stale, start).otherwise(F.to_date(now)))
-    last = F.least(F.greatest(last, start), F.date_add(start, MAX_SPAN_DAYS - 1))
+    last = F.greatest(last, start)
+    if span_days is not None:
+        last = F.least(last, F.date_add(start, span_days - 1))
     return (episodes.filter(F.col("start_time").isNotNull() & F.col("area_code").isNotNull())
             .select("episode_id", "area_code", start.alias("issue_date"), F.explode(F.sequence(start, last)).alias("d")))
 
@@ -173,9 +172,9 @@ def best_coverage(links: DataFrame) -> DataFrame:
         F.max("rk").alias("rk"), F.concat_ws(",", F.sort_array(F.collect_set("source"))).alias("sources"))
 
 
-def cover_episodes(episodes: DataFrame, coverage: DataFrame, now: Column) -> DataFrame:
+def cover_episodes(episodes: DataFrame, coverage: DataFrame, now: Column, span_days: int | None = None) -> DataFrame:
     """How each episode was covered, in one aggregate over (episode, day) x coverage."""
-    m = episode_days(episodes, now).join(coverage, ["area_code", "d"])
+    m = episode_days(episodes, now, span_days).join(coverage, ["area_code", "d"])
     on_day, later = F.col("d") == F.col("issue_date"), F.col("d") > F.col("issue_date")
     early = F.col("s") < F.col("issue_date")
     best = lambda c: F.coalesce(F.max(F.when(c, F.col("rk"))), F.lit(0))

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from freshet.functions.clock import micros
 from freshet.functions import text
 from freshet.operators.pick import first_per_key
-from freshet.session import cut_lineage
 
 MEASURE_FIELDS = {
     "measure_uri": "measure_uri", "station_reference": "station_reference", "station_label": "station_label",
@@ -185,7 +184,7 @@ def match(mapping: DataFrame, register: DataFrame) -> DataFrame:
                             *[F.col(f"m_{c}").alias(out) for c, out in MEASURE_FIELDS.items()])
     parts = [matched, no_id, conflict, unknown, no_station, no_parameter]
     # later passes and reports read the match several times over: it is written once in the shared folder
-    return cut_lineage(reduce(lambda a, b: a.unionByName(b), parts))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 # ---- post-passes ---------------------------------------------------------------------------------------------
@@ -373,7 +372,7 @@ def apply_positions(rows: DataFrame, candidates: DataFrame, register: DataFrame,
 
 # ---- reports -------------------------------------------------------------------------------------------------
 
-def match_report(rows: DataFrame, examples: int = 5) -> DataFrame:
+def match_report(rows: DataFrame, examples: int) -> DataFrame:
     """Per status: lines, distinct mapping rows, and the first few examples by id (trimmed before the shuffle)."""
     counts = rows.groupBy("match_status").agg(F.count(F.lit(1)).alias("lines"), F.count_distinct("id").alias("rows"))
     w = Window.partitionBy("match_status").orderBy("id", F.coalesce("measure_uri", F.lit("")))
@@ -452,8 +451,8 @@ def unplaced_profile(rows: DataFrame, identifier: str = "telemetry_id") -> DataF
 ROUTES = ["RLOIid", "notation", "wiskiID", "wiskiID = TelemetryID", "same after tidy-up", "similar name"]
 
 
-def station_candidates(rows: DataFrame, stations: DataFrame, references: DataFrame, per_row: int = 3, min_score: float = 0.7) -> DataFrame:
-    """Candidate stations of rows that matched none: five id routes, and a similar name only where no id route hits.
+def station_candidates(rows: DataFrame, stations: DataFrame, references: DataFrame, min_score: float = 0.7) -> DataFrame:
+    """All candidate stations of rows that matched none: five id routes, and a similar name only where no id route hits.
 
     ``stations`` has station_reference, notation, label, rloi_id, wiski_id; ``references`` the register's station references.
     """
@@ -475,11 +474,9 @@ def station_candidates(rows: DataFrame, stations: DataFrame, references: DataFra
     by_name = similar_names(rest.select("id", F.col("location_name").alias("name")), s.select("station_reference", "label"), min_score)
     found = by_id.unionByName(by_name.select("id", "station_reference", "label", F.lit(5).alias("route"), "score"))
     best = found.groupBy("id", "station_reference", "label").agg(F.min(F.struct("route", -F.col("score"))).alias("_b"))
-    w = Window.partitionBy("id").orderBy("_b", "station_reference")
-    top = best.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= per_row)
     refs = references.select(text.clean(F.col("station_reference")).alias("_ref")).filter("_ref IS NOT NULL").distinct().withColumn("_in", F.lit(True))
     name = F.element_at(F.array(*[F.lit(x) for x in ROUTES]), (F.col("_b.route") + 1).cast("int"))
-    return (top.withColumn("_ref", text.clean(F.col("station_reference"))).join(refs, "_ref", "left").select(
+    return (best.withColumn("_ref", text.clean(F.col("station_reference"))).join(refs, "_ref", "left").select(
         "id", name.alias("how"), F.col("station_reference").alias("candidate_station_reference"), F.col("label").alias("candidate_label"),
         F.abs(F.col("_b").getField("col2")).alias("score"), F.coalesce("_in", F.lit(False)).alias("candidate_in_register")))
 
@@ -621,7 +618,7 @@ def unpaired_profile(kept: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.count_if("in_mapping").alias("in_mapping_file"), F.count_if("_w").alias("welsh_name_hint"))
 
 
-def numeric_id_variants(kept: DataFrame, register: DataFrame, examples: int = 3) -> DataFrame:
+def numeric_id_variants(kept: DataFrame, register: DataFrame) -> DataFrame:
     """Digit-only ExternalIDs of unpaired lines against the register: as written, zero-padded, as an ending, as a start.
 
     Endings and starts are equality joins on every suffix and prefix of a reference (references are a few characters long).
@@ -634,11 +631,9 @@ def numeric_id_variants(kept: DataFrame, register: DataFrame, examples: int = 3)
     ends = refs.select("ref", F.explode(F.transform(positions, lambda i: F.substring(F.col("ref"), i, F.length("ref")))).alias("external_id"))
     starts = refs.select("ref", F.explode(F.transform(positions, lambda i: F.substring(F.col("ref"), F.lit(1), i))).alias("external_id"))
 
-    def few(pieces: DataFrame, out: str) -> DataFrame:
+    def found(pieces: DataFrame, out: str) -> DataFrame:
         hits = pieces.join(wanted, "external_id").filter(F.col("ref") != F.col("external_id"))
-        w = Window.partitionBy("external_id").orderBy("ref")
-        top = hits.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= examples)
-        return top.groupBy("external_id").agg(F.concat_ws(", ", F.array_sort(F.collect_list("ref"))).alias(out))
+        return hits.groupBy("external_id").agg(F.concat_ws(", ", F.array_sort(F.collect_list("ref"))).alias(out))
 
     width = F.length("external_id")
     padded = lambda n: F.when(width < n, F.lpad("external_id", n, "0"))
@@ -647,7 +642,7 @@ def numeric_id_variants(kept: DataFrame, register: DataFrame, examples: int = 3)
     present = forms.select("external_id", "x.*").join(refs, "ref").groupBy("external_id").agg(
         F.max(F.col("f") == "w").alias("_w"), F.max(F.col("f") == "6").alias("_6"),
         F.concat_ws(", ", F.array_sort(F.collect_list(F.when(F.col("f").isin("7", "8"), F.col("ref"))))).alias("_78"))
-    joined = ids.join(present, "external_id", "left").join(few(ends, "ends_with"), "external_id", "left").join(few(starts, "starts_with"), "external_id", "left")
+    joined = ids.join(present, "external_id", "left").join(found(ends, "ends_with"), "external_id", "left").join(found(starts, "starts_with"), "external_id", "left")
     no, blank = F.lit(False), F.lit("")
     flat = joined.select(
         "external_id", "match_status", F.coalesce("_w", no).alias("found_as_written"), F.coalesce("_6", no).alias("found_zero_padded_6"),

@@ -102,39 +102,23 @@ def recent_window(series: DataFrame, chosen: DataFrame, measure: str, time: str,
 
 # ---- register labels and facets ------------------------------------------------------------------------------
 
-def _clashing(df: DataFrame, name: str, key: str) -> DataFrame:
-    """Names that belong to more than one key."""
-    return df.groupBy(name).agg(F.count_distinct(key).alias("_keys")).filter("_keys > 1").select(name, F.lit(True).alias("_clash"))
-
-
-def _append_where_clashing(df: DataFrame, name: str, key: str, detail: Column) -> DataFrame:
-    """Append ``(detail)`` to clashing names; kept only for names whose rows are then told apart better than before."""
-    marked = df.join(_clashing(df, name, key), name, "left")
-    extra = F.trim(F.coalesce(detail, F.lit("")))
-    trial = F.when(F.col("_clash") & (extra != ""), F.concat(F.col(name), F.lit(" ("), extra, F.lit(")"))).otherwise(F.col(name))
-    return marked.withColumn(name, trial).drop("_clash")
-
-
 def unique_names(df: DataFrame, name: str, key: str, details: list[Column]) -> DataFrame:
-    """Names told apart by the first detail that separates them, then further ones, then the tail of the key.
+    """Names told apart by details, then by the tail of the key.
 
-    A detail is used only when it lowers the number of clashing rows of the whole table.
+    Each name decides for itself: a name of several keys takes a detail if its rows hold more than one value of it, then the next
+    detail, and what still clashes takes the tail.  Rows elsewhere in the table change nothing, and every step is one aggregate.
     """
-    def clashes(frame: DataFrame) -> int:
-        return frame.join(_clashing(frame, name, key), name, "left_semi").count()
+    def clashing(frame: DataFrame, *more: Column) -> DataFrame:
+        return frame.groupBy(name).agg(F.count_distinct(key).alias("_keys"), *more).filter("_keys > 1").drop("_keys")
 
-    current, left = df, clashes(df)
+    current = df
     for detail in details:
-        if not left:
-            return current
-        trial = _append_where_clashing(current, name, key, detail)
-        now = clashes(trial)
-        if now < left:
-            current, left = trial, now
-    if not left:
-        return current
-    marked = current.join(_clashing(current, name, key), name, "left")
+        extra = F.trim(F.coalesce(detail.cast("string"), F.lit("")))
+        apart = clashing(current, F.count_distinct(extra).alias("_kinds")).filter("_kinds > 1").select(name, F.lit(True).alias("_clash"))
+        longer = F.when(F.col("_clash") & (extra != ""), F.concat(F.col(name), F.lit(" ("), extra, F.lit(")"))).otherwise(F.col(name))
+        current = current.join(apart, name, "left").withColumn(name, longer).drop("_clash")
     tail = F.concat(F.col(name), F.lit(" ["), text.uri_tail(F.col(key)), F.lit("]"))
+    marked = current.join(clashing(current).withColumn("_clash", F.lit(True)), name, "left")
     return marked.withColumn(name, F.when(F.col("_clash"), tail).otherwise(F.col(name))).drop("_clash")
 
 

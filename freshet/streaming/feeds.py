@@ -30,8 +30,9 @@ def run_available(query_of: Callable[[], StreamingQuery]) -> None:
     query.awaitTermination()
 
 
-def deduplicated(stream: DataFrame, keys: list[str], time: str, lateness: str = "4 days") -> DataFrame:
-    """Unseen (key, time) rows.  State is dropped ``lateness`` behind the newest reading, the live tail's own retention."""
+def deduplicated(stream: DataFrame, keys: list[str], time: str, lateness: str) -> DataFrame:
+    """Unseen (key, time) rows.  State is dropped ``lateness`` behind the newest reading; a row later than that is not passed on and
+    has to come with the archive, so there is no default."""
     return stream.withWatermark(time, lateness).dropDuplicatesWithinWatermark([*keys, time])
 
 

@@ -149,8 +149,9 @@ def test_upcrossings(spark, values, hours):
 def test_coverage_span_and_stale(spark):
     e = spark.createDataFrame([("e1", "A", datetime(2026, 1, 1), None, False), ("e2", "A", datetime(2026, 1, 1), None, True)],
                               "episode_id string, area_code string, start_time timestamp, end_time timestamp, stale_open boolean")
-    n = {r.episode_id: r["count"] for r in history.episode_days(e, F.lit("2026-06-01").cast("timestamp")).groupBy("episode_id").count().collect()}
+    n = {r.episode_id: r["count"] for r in history.episode_days(e, F.lit("2026-06-01").cast("timestamp"), 60).groupBy("episode_id").count().collect()}
     assert n == {"e1": 60, "e2": 1}
+    assert history.episode_days(e, F.lit("2026-06-01").cast("timestamp")).count() == 152 + 1
 
 
 def test_event_ids_match_the_standard(spark):
