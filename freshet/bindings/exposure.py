@@ -9,6 +9,7 @@ from freshet.bindings.place import LABELS, PIXEL_SQL, _pixels
 from freshet.operators import guards, pick, proximity
 from freshet.operators.scan import percent_rank_average
 from freshet.operators.upsert import only_new
+from freshet.session import stored_table
 from freshet.plans import economics, exposure, grid
 from freshet.sources import places
 from freshet.sources import sites as site_sources
@@ -247,7 +248,7 @@ def _(spark, d):
 
 GRID_SQL = PIXEL_SQL + """,
 pc AS (SELECT (northing // 1000) * 10000 + easting // 1000 AS cell_key, sum(people) AS people, sum(people * imd_decile) / nullif(sum(people), 0) AS w, avg(imd_decile) AS u FROM points GROUP BY 1),
-sc AS (SELECT (pixel_y // 10) * 10000 + pixel_x // 10 AS cell_key, coalesce(sum(rank) FILTER (source = 'rofrs'), 0) / 100.0 AS haz FROM pixels GROUP BY 1),
+sc AS (SELECT (pixel_y // 10) * 10000 + pixel_x // 10 AS cell_key, 1 * (count(*) FILTER (source = 'rofrs' AND rank = 1) / 100.0) + 2 * (count(*) FILTER (source = 'rofrs' AND rank = 2) / 100.0) + 3 * (count(*) FILTER (source = 'rofrs' AND rank = 3) / 100.0) + 4 * (count(*) FILTER (source = 'rofrs' AND rank = 4) / 100.0) AS haz FROM pixels GROUP BY 1),
 cc AS (SELECT (northing // 1000) * 10000 + easting // 1000 AS cell_key, count(*) AS critical_sites FROM sites GROUP BY 1),
 g0 AS (SELECT cell_key, coalesce(people, 0) AS people, coalesce(w, u) AS dec, least(coalesce(haz, 0), 4) AS haz_rs, coalesce(critical_sites, 0) AS critical_sites
        FROM pc FULL JOIN sc USING (cell_key) FULL JOIN cc USING (cell_key)),
@@ -257,7 +258,10 @@ g AS (SELECT *, (SELECT count(*) FROM g0 b WHERE b.people < g0.people) AS less,
 def _grid(spark, d):
     coarse = lambda df: df.withColumn("cell_key", (F.floor(F.col("northing") / 1000) * 10000 + F.floor(F.col("easting") / 1000)).cast("long"))
     people = grid.points_to_cells(coarse(points(spark, d)))
-    shares = grid.shares_wide(grid.cell_shares(_pixels(spark, d), LABELS, 100.0, 1000.0))
+    painted = stored_table(_pixels(spark, d), "pixels")
+    bands = grid.cell_shares(painted.filter("source = 'rofrs'"), LABELS, 100.0, 1000.0)
+    zones = grid.cell_shares(painted.filter("source <> 'rofrs'"), {1: "FZ2", 2: "FZ2", 3: "FZ3", 4: "FZ3"}, 100.0, 1000.0)
+    shares = grid.shares_wide(bands.unionByName(zones))
     # the site table keyed by the same coarse cell
     crit = grid.sites_to_cells(coarse(sites(spark, d)).withColumn("easting", F.pmod("cell_key", F.lit(10000)) * 100).withColumn(
         "northing", F.floor(F.col("cell_key") / 10000) * 100))
