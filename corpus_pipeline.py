@@ -27,10 +27,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that an earlier document holds; n_chars follows the text."""
-    kept = line_dedup.deduplicate_lines(docs).select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "kept_text").distinct()
-    joined = _marked(docs).join(kept, F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")))
-    text = F.when(F.col("row.text").isNotNull(), F.col("kept_text"))
-    return joined.select(*[text.alias(c) if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else F.col(f"row.`{c}`") for c in docs.columns])
+    rewritten = line_dedup.rewrite(docs)
+    return rewritten.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else rewritten
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -58,21 +58,39 @@ def drop_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return lost.select("id", "mark", _runs(F.col("lost")).alias("runs"))
 
 
-def deduplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_CHARS) -> DataFrame:
-    """Per document: doc_id, mark (hash of its text), n_lines, n_dropped, keep_runs and kept_text.
-
-    ``keep_runs`` is the keep bitmap of the lines, run-length compressed: lengths of alternating runs, kept lines first.
-    """
-    documents = _documents(docs, id_col, text_col)
-    with_runs = documents.join(drop_runs(docs, id_col, text_col, least), ["id", "mark"], "left").select(
-        "doc_id", "mark", F.split("text", "\n", -1).alias("lines"), F.coalesce("runs", F.array().cast("array<struct<first:int,last:int>>")).alias("runs"))
+def _lines_kept(joined: DataFrame, *carried) -> DataFrame:
+    """``carried`` columns of (text, runs) rows with n_lines, n_dropped, keep_runs and kept_text."""
+    none = F.array().cast("array<struct<first:int,last:int>>")
+    split = joined.select(*carried, F.split("text", "\n", -1).alias("lines"), F.coalesce("runs", none).alias("runs"))
+    names = [c for c in split.columns if c not in ("lines", "runs")]
     # the end of the text closes the last run of kept lines
-    closed = with_runs.withColumn("n_lines", F.size("lines")).withColumn(
+    closed = split.withColumn("n_lines", F.size("lines")).withColumn(
         "stops", F.concat("runs", F.array(F.struct(F.col("n_lines").alias("first"), F.col("n_lines").alias("last")))))
     begin = lambda i: F.when(i == 0, 0).otherwise(F.get("stops", i - 1)["last"] + 1)        # noqa: E731
     kept = F.flatten(F.transform("stops", lambda s, i: F.slice("lines", begin(i) + 1, s["first"] - begin(i))))
     runs = F.flatten(F.transform("stops", lambda s, i: F.array(s["first"] - begin(i), s["last"] - s["first"] + 1)))
     return closed.select(
-        "doc_id", "mark", F.col("n_lines").cast("long").alias("n_lines"),
+        *names, F.col("n_lines").cast("long").alias("n_lines"),
         F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["last"] - r["first"] + 1).alias("n_dropped"),
         F.slice(runs, 1, F.size("stops") * 2 - 1).alias("keep_runs"), F.array_join(kept, "\n").alias("kept_text"))
+
+
+def deduplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_CHARS) -> DataFrame:
+    """Per document: doc_id, mark (hash of its text), n_lines, n_dropped, keep_runs and kept_text.
+
+    ``keep_runs`` is the keep bitmap of the lines, run-length compressed: lengths of alternating runs, kept lines first.
+    """
+    documents = _documents(docs, id_col, text_col)
+    return _lines_kept(documents.join(drop_runs(docs, id_col, text_col, least), ["id", "mark"], "left"), "doc_id", "mark")
+
+
+def rewrite(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_CHARS) -> DataFrame:
+    """``docs`` with the repeated lines gone from its texts, all other columns as they are; a NULL text stays NULL.
+
+    The rows travel once, to meet their bitmaps.
+    """
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.col(text_col).isNull().alias("_empty"))
+    rows = docs.select(rest.alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    kept = _lines_kept(rows.join(drop_runs(docs, id_col, text_col, least), ["id", "mark"], "left"), "row")
+    return kept.select(*[F.when(~F.col("row._empty"), F.col("kept_text")).alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
