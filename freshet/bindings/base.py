@@ -43,6 +43,21 @@ def stored(build):
     return lambda spark, folder: stored_table(build(spark, folder), build.__name__.strip("_"))
 
 
+# ---- names: their words and how alike two of them are -------------------------------------------------------
+
+def tokens_sql(name: str) -> str:
+    from freshet.functions.text import FILLER_WORDS
+
+    fillers = ", ".join(f"'{w}'" for w in FILLER_WORDS)
+    return f"list_sort(list_distinct(list_filter(regexp_extract_all(lower({name}), '[a-z0-9]+'), lambda w: length(w) > 1 AND w NOT IN ({fillers}))))"
+
+
+def similarity_sql(a: str, b: str) -> str:
+    joined = [f"array_to_string({x}, ' ')" for x in (a, b)]
+    return (f"CASE WHEN len({a}) > 0 AND len({b}) > 0 THEN round(greatest(len(list_intersect({a}, {b})) / len(list_distinct(list_concat({a}, {b})))::DOUBLE, "
+            f"1 - levenshtein({joined[0]}, {joined[1]}) / greatest(length({joined[0]}), length({joined[1]}))::DOUBLE), 3) ELSE 0.0 END")
+
+
 # ---- readings: one series per user, an archive and an overlapping live tail ---------------------------------
 
 READINGS_SQL = """

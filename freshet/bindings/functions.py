@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from freshet.bindings.base import query, table, url_id_sql
+from freshet.bindings.base import query, similarity_sql, table, tokens_sql, url_id_sql
 from freshet.functions import risk, text
 from freshet.plans import thresholds
 
@@ -162,7 +162,8 @@ def _(spark, d):
     return table(spark, d, "part").filter("p_name NOT LIKE '%river%'").select("p_partkey", F.round(text.token_overlap(a, b), 6).alias("jaccard"))
 
 
-@query("f28_name_similarity")
+@query("f28_name_similarity", "WITH p AS (SELECT p_partkey, p_name, split_part(p_name, ' ', -1) || ' ' || p_brand AS other FROM part), t AS (SELECT *, "
+       + tokens_sql("p_name") + " AS a, " + tokens_sql("other") + " AS b FROM p) SELECT p_partkey, p_name, other, " + similarity_sql("a", "b") + " AS similarity FROM t")
 def _(spark, d):
     p = table(spark, d, "part").withColumn("other", F.concat(F.reverse(F.split("p_name", " "))[0], F.lit(" "), F.col("p_brand")))
     return p.select("p_partkey", "p_name", "other", text.name_similarity(text.name_tokens(F.col("p_name")), text.name_tokens(F.col("other"))).alias("similarity"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from freshet.bindings.base import query, stored, table, with_ctes
+from freshet.bindings.base import query, similarity_sql, stored, table, tokens_sql, with_ctes
 from freshet.plans import mapping, thresholds
 
 NOW = lambda: F.lit("2024-02-01 00:00:00").cast("timestamp")
@@ -237,22 +237,41 @@ def _(spark, d):
     return _candidates(spark, d).filter("how <> 'similar name'").select("id", "how", "candidate_station_reference")
 
 
-@query("j33_candidates_by_name")
+NAMES_SQL = INPUT + """,
+un AS (SELECT DISTINCT id, tid, c_custkey FROM matched_rows JOIN mapping USING (id) WHERE match_status IN ('no_station', 'no_telemetry_id')),
+st AS (SELECT p_partkey // 4 AS n, lpad(CAST(p_partkey // 4 AS VARCHAR), 6, '0') AS ref, arg_min(p_name, p_partkey) AS label FROM part GROUP BY p_partkey // 4),
+hits AS (SELECT un.id, 1 AS route, n, ref, label FROM un JOIN st ON un.tid = 'nowhere' || (st.n * 3) UNION ALL SELECT un.id, 2, n, ref, label FROM un JOIN st ON c_custkey % 7 > 0 AND c_custkey = st.n * 13
+         UNION ALL SELECT un.id, 4, n, ref, label FROM un JOIN st ON regexp_replace(upper(un.tid), '^0+', '') = upper('nowhere' || (st.n * 3))),
+ta AS (SELECT id, """ + tokens_sql("'red bolt ' || c_custkey") + """ AS a FROM un WHERE id NOT IN (SELECT id FROM hits)),
+tb AS (SELECT n, ref, label, """ + tokens_sql("label") + """ AS b FROM st),
+named AS (SELECT id, n, ref, label, """ + similarity_sql("a", "b") + """ AS score FROM ta, tb WHERE len(list_intersect(a, b)) > 0),
+cand AS (SELECT id, min(route) AS route, n, ref, label, 1.0 AS score FROM hits GROUP BY id, n, ref, label UNION ALL SELECT id, 5, n, ref, label, score FROM named WHERE score >= 0.7)"""
+
+
+@query("j33_candidates_by_name", NAMES_SQL + """
+SELECT id, 'similar name' AS how, ref AS candidate_station_reference, label AS candidate_label, score, n % 10 <> 0 AS candidate_in_register FROM cand WHERE route = 5""")
 def _(spark, d):
     return _candidates(spark, d).filter("how = 'similar name'")
 
 
-@query("a42_candidate_route_summary")
+@query("a42_candidate_route_summary", NAMES_SQL + """,
+best AS (SELECT id, arg_min(route, (n % 10 = 0, route, ref)) AS route, arg_min(n % 10 <> 0, (n % 10 = 0, route, ref)) AS held FROM cand GROUP BY id)
+SELECT CASE route WHEN 1 THEN 'notation' WHEN 2 THEN 'wiskiID' WHEN 4 THEN 'same after tidy-up' WHEN 5 THEN 'similar name' ELSE 'no candidate' END AS how,
+  CASE WHEN held THEN 'reachable' WHEN route IS NOT NULL THEN 'listed, no readings in the feed' END AS reachable, count(*) AS rows FROM un LEFT JOIN best USING (id) GROUP BY 1, 2""")
 def _(spark, d):
     return mapping.candidate_summary(_unplaced(spark, d), _candidates(spark, d))
 
 
-@query("a49_name_match_cases")
+@query("a49_name_match_cases", NAMES_SQL + """
+SELECT CASE WHEN NOT held THEN 'no readings' WHEN stations > 1 THEN 'several stations' WHEN score >= 1 THEN 'one exact' ELSE 'one close' END AS name_case, count(*) AS rows
+FROM (SELECT id, count(DISTINCT ref) AS stations, max(score) AS score, bool_or(n % 10 <> 0) AS held FROM cand WHERE route = 5 GROUP BY id) GROUP BY 1""")
 def _(spark, d):
     return mapping.name_case_profile(_candidates(spark, d))
 
 
-@query("p14_tidal_summary")
+@query("p14_tidal_summary", NAMES_SQL + """
+SELECT id, count(DISTINCT ref) AS stations, count(DISTINCT measure_uri) AS measures, false AS any_tidal,
+  coalesce(string_agg(DISTINCT nullif(vt, ''), ' | ' ORDER BY nullif(vt, '')), '') AS value_types FROM cand LEFT JOIN register r ON r.station_key = ref GROUP BY id""")
 def _(spark, d):
     return mapping.tidal_summary(mapping.candidate_measures(_candidates(spark, d), _register(spark, d)))
 
@@ -264,7 +283,11 @@ def _(spark, d):
     return mapping.unmapped_measures(_register(spark, d), _matched(spark, d)).select("measure_uri", "family", "why")
 
 
-@query("p14_matched_name_check")
+@query("p14_matched_name_check", INPUT + """,
+pairs AS (SELECT m.id, tid AS telemetry_id, c_name AS location_name, p_name AS station_label, m.measure_uri, """ + tokens_sql("c_name") + " AS a, " + tokens_sql("p_name") + """ AS b
+          FROM matched_rows m JOIN mapping USING (id) JOIN customer USING (c_custkey) JOIN part ON m.measure_uri = 'http://env/measures/' || p_partkey WHERE match_status = 'matched')
+SELECT id, telemetry_id, location_name || CASE WHEN CAST(id AS BIGINT) % 11 = 0 THEN ' INACTIVE' ELSE '' END AS location_name, station_label, measure_uri, """ + similarity_sql("a", "b") + """ AS name_similarity
+FROM pairs WHERE """ + similarity_sql("a", "b") + " < 0.4")
 def _(spark, d):
     return mapping.name_check(_matched(spark, d))
 

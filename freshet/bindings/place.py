@@ -352,9 +352,9 @@ def _(spark, d):
 
 PIXEL_SQL = PLACES + """,
 hazard AS (SELECT box_id, x0, y0, x1, y1, s_nationkey % 4 + 1 AS rank, CASE s_nationkey % 2 WHEN 0 THEN 'rofrs' ELSE 'flood_zones' END AS source FROM site_boxes),
-pixels AS (SELECT source, px AS pixel_x, py AS pixel_y, max(rank) AS rank FROM hazard h, range(0, 940) a(px), range(0, 930) b(py)
-           WHERE px BETWEEN h.x0 // 100 - 1 AND h.x1 // 100 AND py BETWEEN h.y0 // 100 - 1 AND h.y1 // 100
-             AND px * 100 + 50 > h.x0 AND px * 100 + 50 < h.x1 AND py * 100 + 50 > h.y0 AND py * 100 + 50 < h.y1 GROUP BY 1, 2, 3)"""
+pixels AS (SELECT source, px AS pixel_x, py AS pixel_y, max(rank) AS rank
+           FROM hazard h, unnest(range(CAST(h.x0 // 100 AS BIGINT), CAST(h.x1 // 100 AS BIGINT) + 1)) a(px), unnest(range(CAST(h.y0 // 100 AS BIGINT), CAST(h.y1 // 100 AS BIGINT) + 1)) b(py)
+           WHERE px * 100 + 50 > h.x0 AND px * 100 + 50 < h.x1 AND py * 100 + 50 > h.y0 AND py * 100 + 50 < h.y1 GROUP BY 1, 2, 3)"""
 LABELS = {1: "Very Low", 2: "Low", 3: "Medium", 4: "High"}
 
 
