@@ -191,9 +191,9 @@ def _(spark, d):
 @query("a39_ambiguity_profile", INPUT + """,
 a AS (SELECT id, count(*) AS candidates, count(DISTINCT q) AS nq, count(DISTINCT per) AS np, count(DISTINCT unit) AS nu, count(DISTINCT vt) AS nv FROM fit WHERE match_status = 'ambiguous' GROUP BY id),
 s AS (SELECT id, count(*) FILTER (CAST(per AS INTEGER) = least_per) AS n FROM (SELECT *, min(CAST(per AS INTEGER)) OVER (PARTITION BY id) AS least_per FROM fit WHERE match_status = 'ambiguous') GROUP BY id)
-SELECT id, candidates, CASE WHEN nq = 1 AND np > 1 THEN 'same qualifier, different period' WHEN nq > 1 AND np <= 1 THEN 'different qualifiers, same period' WHEN nq > 1 THEN 'different qualifiers and periods'
-  WHEN nu > 1 AND nv > 1 THEN 'same qualifier and period; differ by unit (datum) and value type' WHEN nu > 1 THEN 'same qualifier and period; differ by unit (datum)'
-  WHEN nv > 1 THEN 'same qualifier and period; differ by value type' ELSE 'identical qualifier and period (duplicate measures)' END AS why, s.n = 1 AS settled_by_shortest_period FROM a JOIN s USING (id)""")
+SELECT id, candidates, CASE WHEN nq = 1 AND np > 1 THEN 'periods differ' WHEN nq > 1 AND np <= 1 THEN 'qualifiers differ' WHEN nq > 1 THEN 'qualifiers and periods differ'
+  WHEN nu > 1 AND nv > 1 THEN 'alike but for unit (datum) and value type' WHEN nu > 1 THEN 'alike but for unit (datum)'
+  WHEN nv > 1 THEN 'alike but for value type' ELSE 'alike in everything listed' END AS why, s.n = 1 AS settled_by_shortest_period FROM a JOIN s USING (id)""")
 def _(spark, d):
     return mapping.ambiguity_profile(_matched(spark, d)).select("id", "candidates", "why", "settled_by_shortest_period")
 
@@ -257,7 +257,7 @@ def _(spark, d):
 @query("a42_candidate_route_summary", NAMES_SQL + """,
 best AS (SELECT id, arg_min(route, (n % 10 = 0, route, ref)) AS route, arg_min(n % 10 <> 0, (n % 10 = 0, route, ref)) AS held FROM cand GROUP BY id)
 SELECT CASE route WHEN 1 THEN 'notation' WHEN 2 THEN 'wiskiID' WHEN 4 THEN 'same after tidy-up' WHEN 5 THEN 'similar name' ELSE 'no candidate' END AS how,
-  CASE WHEN held THEN 'reachable' WHEN route IS NOT NULL THEN 'listed, no readings in the feed' END AS reachable, count(*) AS rows FROM un LEFT JOIN best USING (id) GROUP BY 1, 2""")
+  CASE WHEN held THEN 'in the register' WHEN route IS NOT NULL THEN 'in the station list alone' END AS reachable, count(*) AS rows FROM un LEFT JOIN best USING (id) GROUP BY 1, 2""")
 def _(spark, d):
     return mapping.candidate_summary(_unplaced(spark, d), _candidates(spark, d))
 
@@ -277,7 +277,7 @@ def _(spark, d):
 
 
 @query("p14_unmapped_measures", INPUT + """
-SELECT measure_uri, m_family AS family, CASE WHEN station_key IN (SELECT tid FROM mapping WHERE tid IS NOT NULL) THEN 'station is in the file, this parameter is not matched' ELSE 'station is not in the file' END AS why
+SELECT measure_uri, m_family AS family, CASE WHEN station_key IN (SELECT tid FROM mapping WHERE tid IS NOT NULL) THEN 'station known, measure unused' ELSE 'station unknown to the file' END AS why
 FROM register r WHERE NOT EXISTS (SELECT 1 FROM matched_rows m WHERE m.measure_uri = r.measure_uri AND m.match_status = 'matched')""")
 def _(spark, d):
     return mapping.unmapped_measures(_register(spark, d), _matched(spark, d)).select("measure_uri", "family", "why")
@@ -327,8 +327,8 @@ def _(spark, d):
 
 @query("p14_listed_station_check", KEPT_SQL + """,
 u AS (SELECT external_id, match_status FROM kept WHERE match_status IN ('no_station', 'no_telemetry_id'))
-SELECT external_id, match_status, CASE WHEN external_id IN (SELECT station_key FROM register) THEN 'a measure exists in the register: something else stopped the match'
-  WHEN external_id IN (SELECT lpad(CAST(p_partkey // 4 AS VARCHAR), 6, '0') FROM part) THEN 'station listed, no measures in the register' ELSE 'not in the station list either' END AS verdict FROM u""")
+SELECT external_id, match_status, CASE WHEN external_id IN (SELECT station_key FROM register) THEN 'register holds a measure'
+  WHEN external_id IN (SELECT lpad(CAST(p_partkey // 4 AS VARCHAR), 6, '0') FROM part) THEN 'station list only' ELSE 'no list holds it' END AS verdict FROM u""")
 def _(spark, d):
     return mapping.listed_check(_kept(spark, d), _register(spark, d), _stations(spark, d)).select("external_id", "match_status", "verdict")
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from freshet.functions.clock import micros
 from freshet.functions import text
 from freshet.operators.pick import first_per_key
+from freshet.plans.notes import NOTES
 
 MEASURE_FIELDS = {
     "measure_uri": "measure_uri", "station_reference": "station_reference", "station_label": "station_label",
@@ -120,16 +121,16 @@ def match(mapping: DataFrame, register: DataFrame) -> DataFrame:
     tf, cf = F.col("telemetry_family"), F.col("code_family")
     rows = mapping.withColumn("_conflict", text.family_conflict(tf, cf)).withColumn("_family", text.reconciled_family(tf, cf))
     has_id = F.col("telemetry_id").isNotNull()
-    no_id = _unmatched(rows.filter(~has_id), "no_telemetry_id", F.lit("the row has no TelemetryID"), columns)
+    no_id = _unmatched(rows.filter(~has_id), "no_telemetry_id", F.lit(NOTES["no_id"]), columns)
     conflict = _unmatched(rows.filter(has_id & F.col("_conflict")), "conflict", F.concat(
         F.lit("TelemetryParameter says "), tf, F.lit(" but ParameterID says "), cf), columns)
     unknown = _unmatched(rows.filter(has_id & ~F.col("_conflict") & F.col("_family").isNull()), "unknown_parameter",
-                         F.lit("neither TelemetryParameter nor ParameterID names a known parameter"), columns)
+                         F.lit(NOTES["no_family"]), columns)
 
     wanted = rows.filter(has_id & F.col("_family").isNotNull())
     found = wanted.join(_station_of(wanted, reg.filter("station_key IS NOT NULL").select("station_key").distinct()), "id", "left")
     no_station = _unmatched(found.filter("station_key IS NULL"), "no_station",
-                            F.lit("no measure in the register has this station reference"), columns)
+                            F.lit(NOTES["no_station"]), columns)
     how = (F.when(F.col("way") == 1, F.concat(F.lit("TelemetryID matched as "), "station_key",
                                               F.lit(" (the space after _TG changed to an underscore)")))
            .when(F.col("way") == 2, F.concat(F.lit("TelemetryID matched as "), "station_key", F.lit(" (leading zeros restored)")))
@@ -139,13 +140,13 @@ def match(mapping: DataFrame, register: DataFrame) -> DataFrame:
     fits = (F.col("m_family") == F.col("_family")) | F.coalesce(F.col("m_family") == other, F.lit(False))
     own = F.col("m_family") == F.col("_family")
     candidates = prefer(placed.join(reg, "station_key").filter(fits), own)
-    borrowed = F.concat(F.lit("the station has no "), F.col("_family"), F.lit(" measure, so its "), F.col("m_family"), F.lit(" measure is used"))
+    borrowed = F.concat(F.col("m_family"), F.lit(" stands in for "), F.col("_family"))
     candidates = candidates.withColumn("note", F.when(own, F.col("note")).otherwise(joined_notes(F.col("note"), borrowed)))
 
     lacking = placed.join(candidates.select("id").distinct(), "id", "left_anti")
     offered = reg.groupBy("station_key").agg(F.array_join(F.array_sort(F.collect_set(F.coalesce("m_family", F.lit("unknown")))), ", ").alias("_has"))
     no_parameter = _unmatched(lacking.join(offered, "station_key"), "no_parameter", F.concat(
-        F.lit("the station has no "), F.col("_family"), F.lit(" measure (it has: "), F.col("_has"), F.lit(")")), columns)
+        F.lit(NOTES["family_missing"] + ": "), F.col("_has"), F.lit(" instead of "), F.col("_family")), columns)
 
     # the qualifier the file names
     named = F.lower("parameter_qualifier")
@@ -159,10 +160,10 @@ def match(mapping: DataFrame, register: DataFrame) -> DataFrame:
     candidates = prefer(candidates, F.contains(described, word))
     # level: not logged, then with a datum, then instantaneous where every value type is known
     free = (F.col("m_family") == "level") & ~F.col("_by_file")
-    candidates = prefer(candidates, free & ~lowered("m_qualifier").contains("logged"), note="Logged level set aside")
-    candidates = prefer(candidates, free & ~lowered("m_unit_name").isin(NO_DATUM), note="level with no datum set aside")
+    candidates = prefer(candidates, free & ~lowered("m_qualifier").contains("logged"), note=NOTES["logged_left_out"])
+    candidates = prefer(candidates, free & ~lowered("m_unit_name").isin(NO_DATUM), note=NOTES["no_datum_left_out"])
     candidates = prefer(candidates, free & (lowered("m_value_type") == "instantaneous"),
-                        only_if=F.min(lowered("m_value_type") != "").over(own_candidates()), note="non-instantaneous (mean, for example) level set aside")
+                        only_if=F.min(lowered("m_value_type") != "").over(own_candidates()), note=NOTES["means_left_out"])
 
     unit, kind, qualifier = lowered("m_unit_name"), lowered("m_value_type"), lowered("m_qualifier")
     period = F.coalesce(text.clean(F.col("m_period")), F.lit(""))
@@ -205,7 +206,7 @@ def set_aside(rows: DataFrame, chosen: Column, status: str, note: Column, kept_n
 
 def flag_inactive(rows: DataFrame) -> DataFrame:
     inactive = F.lower(F.coalesce("location_name", F.lit(""))).contains("inactive")
-    return set_aside(rows, inactive, "inactive", F.lit("the location name says INACTIVE and nothing matched"), "the location name says INACTIVE")
+    return set_aside(rows, inactive, "inactive", F.lit(NOTES["inactive"]), NOTES["inactive_matched"])
 
 
 def flag_out_of_scope(rows: DataFrame, scope: DataFrame) -> DataFrame:
@@ -221,7 +222,7 @@ def flag_out_of_scope(rows: DataFrame, scope: DataFrame) -> DataFrame:
         text.id_key(column("fffs_id")).alias("_f"), text.id_key(column("telemetry_id")).alias("_t"),
         text.id_key(column("external_id")).alias("_e"), text.truth(column("keep")).alias("_keep"),
         F.coalesce(text.clean(column("reason")), F.when(F.lit(has_keep), F.concat(F.lit("Keep = FALSE"), F.coalesce(F.concat(
-            F.lit(" ("), text.clean(column("import_source")), F.lit(")")), F.lit("")))).otherwise("listed as out of scope")).alias("_why"))
+            F.lit(" ("), text.clean(column("import_source")), F.lit(")")), F.lit("")))).otherwise(NOTES["out_of_scope"])).alias("_why"))
     listed = lines.filter(~F.col("_keep")) if has_keep else lines
     by_f = listed.filter("_f IS NOT NULL").groupBy("_f").agg(F.max("_why").alias("_why_f"))
     by_t = listed.filter("_t IS NOT NULL").groupBy("_t").agg(F.max("_why").alias("_why_t"))
@@ -237,7 +238,7 @@ def flag_out_of_scope(rows: DataFrame, scope: DataFrame) -> DataFrame:
         spared = F.lit(False)
     on_list = (F.col("_why_f").isNotNull() | F.col("_why_t").isNotNull()) & ~spared
     ready = tagged.withColumn("_listed", on_list).withColumn("_why", F.coalesce("_why_f", "_why_t"))
-    done = set_aside(ready, F.col("_listed"), "out_of_scope", F.col("_why"), "listed as out of scope, but matched a measure", has_keep)
+    done = set_aside(ready, F.col("_listed"), "out_of_scope", F.col("_why"), NOTES["out_of_scope_matched"], has_keep)
     return done.select(*rows.columns)
 
 
@@ -251,8 +252,7 @@ def retry_external_id(rows: DataFrame, mapping: DataFrame, scope: DataFrame, reg
              .filter(~text.id_key(F.col("_e")).eqNullSafe(text.id_key(F.col("telemetry_id")))).withColumn("_was", F.col("telemetry_id"))
              .withColumn("telemetry_id", F.col("_e")).drop("_f", "_e"))
     found = match(again, register).filter(F.col("match_status").isin("matched", "ambiguous"))
-    told = F.concat(F.lit("matched through the import list's ExternalID "), "telemetry_id", F.lit(" (the file's TelemetryID "),
-                    F.coalesce("_was", F.lit("is blank")), F.lit(" found no station)"))
+    told = F.concat(F.lit("by import-list id "), "telemetry_id", F.lit(" instead of "), F.coalesce("_was", F.lit("none")))
     noted = found.withColumn("match_note", joined_notes(told, F.col("match_note"))).withColumn("telemetry_id", F.col("_was")).select(*rows.columns)
     return rows.join(noted.select("id").distinct(), "id", "left_anti").unionByName(noted)
 
@@ -273,7 +273,7 @@ def add_import_only(rows: DataFrame, mapping: DataFrame, scope: DataFrame, regis
         "code_family", text.code_family(F.col("parameter_id")))
     found = match(lines, register).filter(F.col("match_status").isin("matched", "ambiguous"))
     noted = found.withColumn("match_note", joined_notes(
-        F.lit("from the import list only (the mapping file does not have this row)"), F.col("match_note")))
+        F.lit(NOTES["import_only"]), F.col("match_note")))
     return rows.unionByName(noted.select(*[c for c in rows.columns if c in noted.columns]), allowMissingColumns=True)
 
 
@@ -300,10 +300,9 @@ def settle_by_readings(rows: DataFrame, activity: DataFrame, now: Column, recent
     several = F.col("_nr") > 1
     chosen = (F.when(F.col("_nh") == 1, F.col("_has_uri")).when(F.col("_nh") == 0, None).when(F.col("_nr") == 1, F.col("_recent_uri"))
               .when(several & (F.col("_sr") == 1), F.col("_recent_uri")).when(~several & (F.col("_sh") == 1), F.col("_has_uri")))
-    why = (F.when(F.col("_nh") == 1, "settled by readings: the other candidate(s) have none")
-           .when(F.col("_nr") == 1, f"settled by readings: the other candidate(s) have none in the last {recent_days} days")
-           .otherwise("settled by readings: duplicate measures (identical qualifier, period, unit and value type); the one with the most "
-                      "readings is used"))
+    why = (F.when(F.col("_nh") == 1, NOTES["only_one_read"])
+           .when(F.col("_nr") == 1, NOTES["only_one_recent"].format(days=recent_days))
+           .otherwise(NOTES["most_read"]))
     verdict = per.select("id", chosen.alias("_chosen"), why.alias("_why")).filter("_chosen IS NOT NULL")
     tagged = counted.join(verdict, "id", "left")
     settled = ambiguous & F.col("_chosen").isNotNull()
@@ -401,11 +400,11 @@ def ambiguity_profile(rows: DataFrame) -> DataFrame:
         F.count_distinct(u).alias("_u"), F.count_distinct(v).alias("_v"), joined(F.coalesce("register_qualifier", F.lit(""))).alias("qualifiers"),
         joined(period).alias("periods"), joined(u).alias("units"), joined(v).alias("value_types")).join(shortest, "id", "left")
     parts = F.concat_ws(" and ", F.when(F.col("_u") > 1, "unit (datum)"), F.when(F.col("_v") > 1, "value type"))
-    why = (F.when((F.col("_q") == 1) & (F.col("_p") > 1), "same qualifier, different period")
-           .when((F.col("_q") > 1) & (F.col("_p") <= 1), "different qualifiers, same period")
-           .when(F.col("_q") > 1, "different qualifiers and periods")
-           .when(parts != "", F.concat(F.lit("same qualifier and period; differ by "), parts))
-           .otherwise("identical qualifier and period (duplicate measures)"))
+    why = (F.when((F.col("_q") == 1) & (F.col("_p") > 1), NOTES["periods_differ"])
+           .when((F.col("_q") > 1) & (F.col("_p") <= 1), NOTES["qualifiers_differ"])
+           .when(F.col("_q") > 1, NOTES["both_differ"])
+           .when(parts != "", F.concat(F.lit(NOTES["rest_differs"]), parts))
+           .otherwise(NOTES["all_equal"]))
     return per.select("id", "candidates", why.alias("why"), "qualifiers", "periods",
                       F.coalesce(F.col("_shortest") == 1, F.lit(False)).alias("settled_by_shortest_period"), "units", "value_types")
 
@@ -441,8 +440,8 @@ def unplaced_profile(rows: DataFrame, identifier: str = "telemetry_id") -> DataF
     entries = F.array(
         entry("shape", text.id_shape(F.col(identifier))), entry("prefix", first_two),
         entry("parameter", F.concat_ws(" / ", none("parameter_id"), none("telemetry_parameter"))),
-        entry("hint", F.when(text.welsh_hint(F.col("location_name")), "name has a Welsh place-name element (hint only)")),
-        entry("hint", F.when(F.col("wiski_id").isNotNull(), "has a WISKI id")))
+        entry("hint", F.when(text.welsh_hint(F.col("location_name")), NOTES["welsh_name"])),
+        entry("hint", F.when(F.col("wiski_id").isNotNull(), NOTES["has_wiski"])))
     return (each.select(F.explode(entries).alias("e")).select("e.*").filter("value IS NOT NULL").groupBy("profile", "value")
             .agg(F.count(F.lit(1)).alias("rows")))
 
@@ -509,7 +508,7 @@ def candidate_summary(rows: DataFrame, candidates: DataFrame) -> DataFrame:
     rank = F.array_position(F.array(*[F.lit(x) for x in ROUTES]), F.col("how"))
     best = candidates.groupBy("id").agg(F.min_by(F.struct("how", "candidate_in_register"), F.struct(
         ~F.col("candidate_in_register"), rank, "candidate_station_reference")).alias("_b"))
-    reach = F.when(F.col("_b.candidate_in_register"), "reachable").when(F.col("_b").isNotNull(), "listed, no readings in the feed")
+    reach = F.when(F.col("_b.candidate_in_register"), NOTES["reachable"]).when(F.col("_b").isNotNull(), NOTES["listed"])
     joined = rows.select("id").distinct().join(best, "id", "left")
     return joined.groupBy(F.coalesce("_b.how", F.lit("no candidate")).alias("how"), reach.alias("reachable")).agg(F.count(F.lit(1)).alias("rows"))
 
@@ -533,7 +532,7 @@ def unmapped_measures(register: DataFrame, rows: DataFrame) -> DataFrame:
     known = rows.select(F.col("telemetry_id").alias("_t")).filter("_t IS NOT NULL").distinct().withColumn("_in", F.lit(True))
     left = register.join(matched, "measure_uri", "left_anti").withColumn("_t", text.clean(F.col("station_reference"))).join(known, "_t", "left")
     both = F.concat_ws(" ", F.coalesce("parameter", F.lit("")), F.coalesce("qualifier", F.lit("")))
-    why = F.when(F.col("_in"), "station is in the file, this parameter is not matched").otherwise("station is not in the file")
+    why = F.when(F.col("_in"), NOTES["known_station"]).otherwise(NOTES["unknown_station"])
     return left.select("measure_uri", "station_reference", F.coalesce(text.text_family(both), F.lit("other")).alias("family"), why.alias("why"))
 
 
@@ -555,7 +554,7 @@ def name_case_profile(candidates: DataFrame) -> DataFrame:
 
 # Statuses, best first.
 STATUS_ORDER = ["matched", "ambiguous", "conflict", "no_parameter", "unknown_parameter", "no_station", "inactive", "out_of_scope", "no_telemetry_id"]
-NOT_PLACED = ["no_station", "no_telemetry_id", "not in the mapping file"]
+NOT_PLACED = ["no_station", "no_telemetry_id", NOTES["not_in_file"]]
 
 
 def kept_status(scope: DataFrame, rows: DataFrame) -> DataFrame:
@@ -568,12 +567,12 @@ def kept_status(scope: DataFrame, rows: DataFrame) -> DataFrame:
     by_t = lines.groupBy(text.id_key(F.col("telemetry_id")).alias("_t")).agg(best.alias("_bt")).filter("_t IS NOT NULL")
     kept = scope.filter(text.truth(F.col("keep"))).withColumn("_f", text.id_key(F.col("fffs_id"))).withColumn("_t", text.id_key(F.col("external_id")))
     joined = kept.join(by_f, "_f", "left").join(by_t, "_t", "left").withColumn("_b", F.coalesce("_bf", "_bt"))
-    status = F.coalesce(F.col("_b.match_status"), F.lit("not in the mapping file"))
+    status = F.coalesce(F.col("_b.match_status"), F.lit(NOTES["not_in_file"]))
     return joined.select(
         *scope.columns, F.col("_b").isNotNull().alias("in_mapping"), (status == "matched").alias("paired"), status.alias("match_status"),
         F.when(status != "ambiguous", F.col("_b.measure_uri")).alias("measure_uri"), F.col("_b.station_reference").alias("station_reference"),
         F.col("_b.station_label").alias("station_label"),
-        F.coalesce(F.col("_b.match_note"), F.lit("neither the FFFS_ID nor the ExternalID is a row of the mapping file")).alias("match_note"),
+        F.coalesce(F.col("_b.match_note"), F.lit(NOTES["neither_id"])).alias("match_note"),
         F.col("_b.location_name").alias("location_name"))
 
 
@@ -649,15 +648,15 @@ def numeric_id_variants(kept: DataFrame, register: DataFrame) -> DataFrame:
         F.coalesce("_78", blank).alias("found_zero_padded_7_8"), F.coalesce("ends_with", blank).alias("ends_with"),
         F.coalesce("starts_with", blank).alias("starts_with"))
     any_like = F.concat("found_zero_padded_7_8", "ends_with", "starts_with") != ""
-    verdict = (F.when(F.col("found_as_written"), "in the register as written (something else stopped the match)")
-               .when(F.col("found_zero_padded_6"), "leading-zero rule should match (check the mapping was rebuilt)")
-               .when(any_like, "a similar reference exists: a different rule is needed").otherwise("nothing like it in the register"))
+    verdict = (F.when(F.col("found_as_written"), NOTES["as_written"])
+               .when(F.col("found_zero_padded_6"), NOTES["zero_padding"])
+               .when(any_like, NOTES["similar_id"]).otherwise(NOTES["no_trace"]))
     return flat.withColumn("verdict", verdict)
 
 
-IN_REGISTER = "a measure exists in the register: something else stopped the match"
-LISTED_ONLY = "station listed, no measures in the register"
-NOT_LISTED = "not in the station list either"
+IN_REGISTER = NOTES["in_register"]
+LISTED_ONLY = NOTES["listed_only"]
+NOT_LISTED = NOTES["not_listed"]
 
 
 def listed_check(kept: DataFrame, register: DataFrame, stations: DataFrame) -> DataFrame:
@@ -688,10 +687,9 @@ def listed_check(kept: DataFrame, register: DataFrame, stations: DataFrame) -> D
 
 # What to do about each verdict.
 ADVICE = {
-    LISTED_ONLY: "The feed lists the station but gives it no measures. Ask the feed owner, or accept the gap.",
-    NOT_LISTED: "The feed does not know this ID. Check the ID, or whether the site is outside the feed (Wales, Scotland, the Channel Islands); "
-                "consider Keep = FALSE.",
-    IN_REGISTER: "A measure exists. Look at the match note: something else blocked the match."}
+    LISTED_ONLY: NOTES["do_listed_only"],
+    NOT_LISTED: NOTES["do_not_listed"],
+    IN_REGISTER: NOTES["do_in_register"]}
 
 
 def gap_list(kept: DataFrame, checked: DataFrame) -> DataFrame:
@@ -703,12 +701,12 @@ def gap_list(kept: DataFrame, checked: DataFrame) -> DataFrame:
     joined = left.join(c.withColumnRenamed("external_id", "_k"), "_k", "left")
     status = F.col("match_status")
     placed = status.isin(NOT_PLACED) & F.col("_c").isNotNull()
-    verdict = (F.when(placed, F.col("_c.verdict")).when(status == "ambiguous", "ambiguous: several measures fit")
-               .when(status == "no_parameter", "no_parameter: the station has no measure of this kind").otherwise(status))
-    listed = F.concat(F.lit("The station reference differs from the ExternalID: a rule can map it ("), F.col("_c.station_reference"), F.lit(")."))
+    verdict = (F.when(placed, F.col("_c.verdict")).when(status == "ambiguous", NOTES["ambiguous"])
+               .when(status == "no_parameter", NOTES["no_parameter"]).otherwise(status))
+    listed = F.concat(F.lit(NOTES["do_rule"].split("{")[0]), F.col("_c.station_reference"), F.lit(NOTES["do_rule"].split("}")[1]))
     todo = (F.when(placed & F.col("_c.verdict").startswith("listed under"), listed).when(placed, F.coalesce(lookup(F.col("_c.verdict"), ADVICE), F.lit("")))
-            .when(status == "ambiguous", "Choose which candidate measure to use, or say all of them are wanted.")
-            .when(status == "no_parameter", "The feed has the station but not this kind of measure (gate position, say). Accept the gap.").otherwise(""))
+            .when(status == "ambiguous", NOTES["do_choose"])
+            .when(status == "no_parameter", NOTES["do_gap"]).otherwise(""))
     return joined.select(
         "fffs_id", "external_id", "match_status", verdict.alias("verdict"), todo.alias("what_to_do"),
         F.when(placed, F.col("_c.station_reference")).otherwise(F.col("station_reference")).alias("station_reference"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from freshet.functions import text
 from freshet.plans.mapping import joined_notes, lowered
+from freshet.plans.notes import NOTES
 
 # Units taken to mean the same, and the local datums.
 SAME_DATUM = [("mald", "masd")]
@@ -89,8 +90,8 @@ def link(thresholds: DataFrame, mapping: DataFrame, alias_table: DataFrame, zero
     chose = F.when(n > 1, F.concat(n.cast("string"), F.lit(" measures agree on unit; chose the instantaneous one with the most readings"))).otherwise("")
     taken = F.concat(F.lit("measure unit "), F.col("_b._m.unit_name"), F.lit(" taken as the threshold's "), F.col("unit"))
     note = (F.when(status == "no_family", F.concat(F.lit("Parameter "), F.col("parameter"), F.lit(" names no family")))
-            .when(status == "no_gauge", "Location is not in the telemetry mapping")
-            .when(status == "no_measure", F.concat(F.lit("the gauge has no "), F.col("family"), F.lit(" measure in the register")))
+            .when(status == "no_gauge", NOTES["gauge_unknown"])
+            .when(status == "no_measure", F.concat(F.lit(NOTES["gauge_lacks"]), F.col("family")))
             .when(status == "unit_mismatch", F.concat(F.lit("threshold unit "), F.col("unit"), F.lit("; the gauge's "), F.col("family"),
                                                       F.lit(" measures are in "), F.col("_have"), why))
             .otherwise(joined_notes(chose, F.when(moved, "converted with z").when(F.col("_b._kind") > 0, taken).otherwise(""))))
