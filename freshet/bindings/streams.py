@@ -14,6 +14,20 @@ def _stream(spark, d):
     return feeds.read_files(spark, d, table(spark, d, "events").schema, "events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def _polled(spark, landing):
+    rows = feeds.read_files(spark, landing, spark.read.parquet(landing).schema, per_trigger=1)
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _in_polls(rows, landing: str, run) -> None:
+    """Land the rows in three polls and run the stream over them: two polls in two triggers, then a restart and the third."""
+    key = F.pmod(F.xxhash64(*rows.columns), F.lit(3))
+    for polls in ((0, 1), (2,)):
+        for poll in polls:
+            rows.filter(key == poll).write.mode("append").parquet(landing)
+        run()
+
+
 def _table(spark, name):
     return VersionedTable(spark, scratch_path(spark, name))
 
@@ -25,16 +39,21 @@ def _log(spark, name):
 @query("t01_deduplicated_append", "SELECT user_id, min(minute) AS first_minute, count(*) AS n FROM (SELECT DISTINCT user_id, date_trunc('minute', ts) AS minute FROM events) GROUP BY user_id")
 def _(spark, d):
     out, check = scratch_path(spark, "t01-out"), scratch_path(spark, "t01-check")
-    minutes = _stream(spark, d).select("user_id", F.date_trunc("minute", "ts").alias("minute"))
-    feeds.run_available(lambda: feeds.append_to(feeds.deduplicated(minutes, ["user_id"], "minute", "40 days"), out, check))
+    def run():
+        minutes = _polled(spark, landing).select("user_id", F.date_trunc("minute", "ts").alias("minute"))
+        feeds.run_available(lambda: feeds.append_to(feeds.deduplicated(minutes, ["user_id"], "minute", "40 days"), out, check))
+
+    landing = scratch_path(spark, "t01-landing")
+    _in_polls(table(spark, d, "events"), landing, run)
     return spark.read.parquet(out).groupBy("user_id").agg(F.min("minute").alias("first_minute"), F.count(F.lit(1)).alias("n"))
 
 
 @query("t02_live_tail_with_retention", """
 SELECT user_id, count(*) AS n FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 4 DAY GROUP BY user_id""")
 def _(spark, d):
-    t = _table(spark, "t02")
-    feeds.run_available(lambda: feeds.live_tail(_stream(spark, d).select("user_id", "ts", "value"), t, ["user_id"], "ts", 4, scratch_path(spark, "t02-check")))
+    t, landing, check = _table(spark, "t02"), scratch_path(spark, "t02-landing"), scratch_path(spark, "t02-check")
+    _in_polls(table(spark, d, "events"), landing, lambda: feeds.run_available(
+        lambda: feeds.live_tail(_polled(spark, landing).select("user_id", "ts", "value"), t, ["user_id"], "ts", 4, check)))
     return t.read().groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -49,9 +68,13 @@ def _(spark, d):
 
 
 def _latest(spark, d):
-    t = _table(spark, "t06")
-    newest = feeds.latest_per_key(_stream(spark, d), ["user_id"], "ts", ["event_id", "value", "event_type"])
-    feeds.run_available(lambda: feeds.serve_latest(newest, t, ["user_id"], ["ts", "event_id"], scratch_path(spark, "t06-check")))
+    t, landing, check = _table(spark, "t06"), scratch_path(spark, "t06-landing"), scratch_path(spark, "t06-check")
+
+    def run():
+        newest = feeds.latest_per_key(_polled(spark, landing), ["user_id"], "ts", ["event_id", "value", "event_type"])
+        feeds.run_available(lambda: feeds.serve_latest(newest, t, ["user_id"], ["ts", "event_id"], check))
+
+    _in_polls(table(spark, d, "events"), landing, run)
     return t.read()
 
 
@@ -93,8 +116,11 @@ def _(spark, d):
 @query("t07_episode_tracking", with_ctes(MESSAGES_SQL) + "SELECT area_code, count(*) AS episodes, sum(n_messages) AS messages FROM episodes GROUP BY area_code")
 def _(spark, d):
     landing = scratch_path(spark, "t07-landing")
-    messages(spark, d).drop("user_id", "event_id").write.parquet(landing)
-    rows = feeds.read_files(spark, landing, spark.read.parquet(landing).schema)
-    events, episodes = _log(spark, "t07-events"), _table(spark, "t07-episodes")
-    feeds.run_available(lambda: feeds.track_episodes(rows, events, episodes, F.lit("2024-02-05").cast("timestamp_ntz"), scratch_path(spark, "t07-check")))
+    events, episodes, check = _log(spark, "t07-events"), _table(spark, "t07-episodes"), scratch_path(spark, "t07-check")
+
+    def run():
+        rows = feeds.read_files(spark, landing, spark.read.parquet(landing).schema, per_trigger=1)
+        feeds.run_available(lambda: feeds.track_episodes(rows, events, episodes, F.lit("2024-02-05").cast("timestamp_ntz"), check))
+
+    _in_polls(messages(spark, d).drop("user_id", "event_id"), landing, run)
     return episodes.read().groupBy("area_code").agg(F.count(F.lit(1)).alias("episodes"), F.sum("n_messages").alias("messages"))

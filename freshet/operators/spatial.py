@@ -242,9 +242,9 @@ def owned_cells(areas: DataFrame, area_id: str, cell: float = 100.0) -> DataFram
 def painted_pixels(areas: DataFrame, rank: str, keep: list[str], pixel: float = 10.0) -> DataFrame:
     """The worst rank per pixel centre, with the grouping columns ``keep``; order and batches do not matter.
 
-    Pixels are produced per area row and combined by ``max`` before the shuffle.
+    A shape is cut into rows of pixels first; the rows are dealt to all tasks, and pixels are combined by ``max`` before the shuffle.
     """
-    covering = cover(areas.filter(F.col(rank) > 0), pixel, [*keep, rank])
+    covering = cover(areas.filter(F.col(rank) > 0), pixel, [*keep, rank], spread=True)
     mid_x, mid_y = F.col("cell_x") * pixel + pixel / 2, F.col("cell_y") * pixel + pixel / 2
     held = covering.filter(F.col("local").isNull() | contains(F.col("local"), mid_x, mid_y, False))
     return held.groupBy(*keep, F.col("cell_x").alias("pixel_x"), F.col("cell_y").alias("pixel_y")).agg(F.max(rank).alias(rank))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from freshet.functions import risk
 from freshet.operators.spatial import points_in_areas
+from freshet.session import stored_table
 
 BANDS = {1: "very_low", 2: "low", 3: "medium", 4: "high"}
 BASE = ["addresses", "people", "households", "over65"]
@@ -68,7 +69,11 @@ def with_depth(members: DataFrame) -> DataFrame:
 
 
 def area_figures(members: DataFrame, points: DataFrame) -> DataFrame:
-    """Gross, unique and split figures per area.  Split figures add up to the true total."""
+    """Gross, unique and split figures per area.  Split figures add up to the true total.
+
+    Membership is needed twice and comes from a spatial join, so it is written once.
+    """
+    members = stored_table(members, "members")
     valued = with_depth(members).select("kind", "area_id", "point_id", "depth").join(with_values(points, ["point_id"]), "point_id")
     names = list(point_values(points.columns))
     return valued.groupBy("kind", "area_id").agg(
