@@ -11,6 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame, functions as F
 
 from freshet.operators.pick import first_per_key
+from freshet.operators.skew import join_counted
 from freshet.session import cut_lineage
 
 
@@ -76,18 +77,19 @@ def _links(sites: DataFrame, site_id: str, radius: float) -> DataFrame:
 def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, root) of every linked node, by alternating large-star and small-star rounds until the links stop changing.
 
-    Each round is a ``min`` per node and an equi-join; lineage is cut in the shared folder after every round.
+    Each round is a ``min`` per node and an equi-join; a node with very many links is split over salts by the number of its links.
+    Lineage is cut in the shared folder after every round.
     """
     current = cut_lineage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
 
-    def large_star(e: DataFrame) -> DataFrame:
+    def large_star(e: DataFrame, rows: int) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("_links"))
+        return join_counted(both, least, ["u"], ["v"], "_links", 2 * rows, "inner").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
-    def small_star(e: DataFrame) -> DataFrame:
-        least = e.groupBy("u").agg(F.min("v").alias("m"))
-        moved = e.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+    def small_star(e: DataFrame, rows: int) -> DataFrame:
+        least = e.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_links"))
+        moved = join_counted(e, least, ["u"], ["v"], "_links", rows, "inner").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
     def state(e: DataFrame) -> tuple:
@@ -95,7 +97,7 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
 
     before = state(current)
     for _ in range(rounds):
-        current = cut_lineage(small_star(large_star(current)))
+        current = cut_lineage(small_star(large_star(current, before[0]), 2 * before[0]))
         after = state(current)
         if after == before:
             return (current.select(F.col("u").alias("id"), F.col("v").alias("root"))

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import DataFrame, functions as F
 
 SHARE = 4096
-LEAST = 1_000        # below so many rows a key is never worth a split
+LEAST = 256        # below so many rows a key is never worth a split
 
 
 def hot_rows(total: int) -> int:
