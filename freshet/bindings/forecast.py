@@ -554,31 +554,38 @@ def _health(spark, d):
     return health.report(checks)
 
 
-@query("p28_feed_health", with_ctes(FORECAST_SQL, WARNINGS_SQL, MEMBERS_SQL, LOG_SQL) + """,
+HEALTH_SQL = with_ctes(FORECAST_SQL, WARNINGS_SQL, MEMBERS_SQL, LOG_SQL) + """,
+ages AS (SELECT (SELECT date_diff('second', max(ts), TIMESTAMP '2024-02-01 00:00:00') / 3600.0 FROM events) AS reading,
+                (SELECT date_diff('second', max(o_orderdate), TIMESTAMP '2024-02-01 00:00:00') / 86400.0 FROM orders) AS order_days),
+counts AS (SELECT (SELECT count(*) FROM versions v WHERE NOT EXISTS (SELECT 1 FROM log l WHERE l.statement_id = v.statement_id
+                     AND coalesce(l.last_modified_at, '') = coalesce(v.last_modified_at, ''))) AS pending, (SELECT count(*) FROM nation) AS places,
+                  (SELECT count(*) FROM constituencies c LEFT JOIN one_member m USING (name_key) WHERE m.member_id IS NULL) AS unmatched),
 checks AS (
-  SELECT 'newest_reading' AS check_name, CASE WHEN age > 72 THEN 'fail' WHEN age > 24 THEN 'warn' ELSE 'ok' END AS status
-    FROM (SELECT date_diff('second', max(ts), TIMESTAMP '2024-02-01 00:00:00') / 3600.0 AS age FROM events)
-  UNION ALL SELECT 'newest_order', CASE WHEN age > 200 THEN 'fail' WHEN age > 100 THEN 'warn' ELSE 'ok' END
-    FROM (SELECT date_diff('second', max(o_orderdate), TIMESTAMP '2024-02-01 00:00:00') / 86400.0 AS age FROM orders)
-  UNION ALL SELECT 'live_readings_age', CASE WHEN date_diff('second', max(ts), TIMESTAMP '2024-02-01 00:00:00') / 3600.0 > 12 THEN 'warn' ELSE 'ok' END FROM events
-  UNION ALL SELECT 'intersections_pending', CASE WHEN count(*) = 0 THEN 'ok' WHEN count(*) >= 10 THEN 'fail' ELSE 'warn' END FROM versions v
-    WHERE NOT EXISTS (SELECT 1 FROM log l WHERE l.statement_id = v.statement_id AND coalesce(l.last_modified_at, '') = coalesce(v.last_modified_at, ''))
-  UNION ALL SELECT 'constituency_count', CASE WHEN count(*) >= 25 THEN 'ok' ELSE 'fail' END FROM nation
-  UNION ALL SELECT 'members_unmatched', CASE WHEN count(*) = 0 THEN 'ok' WHEN count(*) <= 10 THEN 'info' ELSE 'warn' END
-    FROM constituencies c LEFT JOIN one_member m USING (name_key) WHERE m.member_id IS NULL
-  UNION ALL SELECT 'guidance_feed_age', 'info')
-SELECT * FROM checks UNION ALL
-SELECT 'overall', arg_max(status, CASE status WHEN 'ok' THEN 0 WHEN 'info' THEN 1 WHEN 'warn' THEN 2 ELSE 3 END) FROM checks""")
+  SELECT 'newest_reading' AS check_name, CASE WHEN reading > 72 THEN 'fail' WHEN reading > 24 THEN 'warn' ELSE 'ok' END AS status, printf('%.1f h', reading) AS value,
+         'warn over 24, fail over 72' AS detail FROM ages
+  UNION ALL SELECT 'newest_order', CASE WHEN order_days > 200 THEN 'fail' WHEN order_days > 100 THEN 'warn' ELSE 'ok' END, printf('%.1f days', order_days), 'warn over 100, fail over 200' FROM ages
+  UNION ALL SELECT 'live_readings_age', CASE WHEN reading > 12 THEN 'warn' ELSE 'ok' END, printf('%.1f h', reading), 'warn over 12 (never fails)' FROM ages
+  UNION ALL SELECT 'intersections_pending', CASE WHEN pending = 0 THEN 'ok' WHEN pending >= 10 THEN 'fail' ELSE 'warn' END, CAST(pending AS VARCHAR), 'statements awaiting their intersections' FROM counts
+  UNION ALL SELECT 'constituency_count', CASE WHEN places >= 25 THEN 'ok' ELSE 'fail' END, CAST(places AS VARCHAR), 'expected at least 25' FROM counts
+  UNION ALL SELECT 'members_unmatched', CASE WHEN unmatched = 0 THEN 'ok' WHEN unmatched <= 10 THEN 'info' ELSE 'warn' END, CAST(unmatched AS VARCHAR), 'constituencies with no matched member' FROM counts
+  UNION ALL SELECT 'guidance_feed_age', 'info', '', 'no check recorded yet'),
+health AS (SELECT * FROM checks UNION ALL
+  SELECT 'overall', arg_max(status, CASE status WHEN 'ok' THEN 0 WHEN 'info' THEN 1 WHEN 'warn' THEN 2 ELSE 3 END), '',
+         'worst of the checks above' || coalesce('; failing: ' || string_agg(check_name, ', ' ORDER BY check_name) FILTER (status = 'fail'), '') FROM checks)
+"""
+
+
+@query("p28_feed_health", HEALTH_SQL + "SELECT check_name, status FROM health")
 def _(spark, d):
     return _health(spark, d).select("check_name", "status")
 
 
-@query("a37_health_checks_with_values")
+@query("a37_health_checks_with_values", HEALTH_SQL + "SELECT * FROM health")
 def _(spark, d):
     return _health(spark, d)
 
 
-@query("l06_severity_ordered_listing")
+@query("l06_severity_ordered_listing", HEALTH_SQL + "SELECT * FROM health")
 def _(spark, d):
     order = F.element_at(F.create_map(*[F.lit(x) for x in ("fail", 0, "warn", 1, "info", 2, "ok", 3)]), F.col("status"))
     return _health(spark, d).orderBy(order, "check_name").select("check_name", "status", "value", "detail")
