@@ -275,7 +275,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     langs = sorted(counts)
     if not langs:
         return Model([], [])
-    model = Model(langs, references(known, common=LEXICON_WORDS, share=LEXICON_SHARE))
+    model = Model(langs, references(known, common=LEXICON_WORDS, share=LEXICON_SHARE, least=1))
     lot = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(2**31)).cast("double") / 2**31
     chance = F.element_at(F.create_map(*[F.lit(x) for lang, c in counts.items() for x in (lang, min(1.0, sample / c))]), F.col("lang"))
     chosen = known.filter(lot < chance).select("lang", "text").mapInArrow(_stretches, "lang string, words array<string>")

@@ -2,15 +2,16 @@
 
 A text has a histogram of character classes and one of its language's common words (all other words are one more bin).  The same
 histograms over all texts of a language are its reference.  A text is rejected when its Jensen-Shannon distance to the nearest
-reference is above a limit, for either histogram; texts too short for a histogram are not judged by it.
+reference is above a limit, for either histogram; texts too short for a histogram are not judged by it, nor are texts whose own
+language has no reference: other languages say nothing about them.
 
-References cover every text.  A language has one if it holds at least ``LANGUAGE_SHARE`` of all words, its common words are the
-``COMMON`` most frequent ones with at least ``WORD_SHARE`` of its words.  A word with that share of the whole has it in some slice of
+References cover every text.  A language has one if it holds at least ``LEAST_WORDS`` words, whatever else is in the table; its
+common words are the ``COMMON`` most frequent ones with at least ``WORD_SHARE`` of its words.  A word with that share of the whole has it in some slice of
 the texts too, so a first pass lists the words that reach it in their slice and a second pass counts just these, exactly; the
 shares bound both lists, whatever the size of the corpus.
 
-Defined cases: a NULL or empty text has no words and fails; a NULL language adds to no reference; without any reference only the
-base rules judge.
+Defined cases: a NULL or empty text has no words and fails; a NULL language adds to no reference, and its texts are judged by the
+nearest one; without any reference only the base rules judge.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from freshet.session import stored_table
 
 COMMON = 50
 WORD_SHARE = 0.001
-LANGUAGE_SHARE = 0.001
+LEAST_WORDS = 5000        # words of a language from which it has a reference
+LANGUAGE_SHARE = 0.001        # only in the SQL, which takes languages by their share of all words
 CLASS_LIMIT = 0.33
 WORD_LIMIT = 0.43
 CLASS_CHARS = 200        # characters from which the class histogram counts
@@ -153,15 +155,14 @@ def _counted(listed: list[str]):
     return run
 
 
-def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = COMMON, share: float = WORD_SHARE) -> list[dict]:
+def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = COMMON, share: float = WORD_SHARE,
+               least: int = LEAST_WORDS) -> list[dict]:
     """Per language: lang, classes (shares of the character classes), words and shares (its common words)."""
     source = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     first = stored_table(source.mapInArrow(_frequent(share), "lang string, word string, count long, classes array<long>")
                          .groupBy("lang", "word").agg(F.sum("count").alias("count"), *[F.sum(F.get("classes", i)).alias(f"class_{i}") for i in range(CLASSES)]), "frequent")
     of_lang = first.filter("word IS NULL").drop("word")
-    everything = of_lang.agg(F.sum("count")).first()[0] or 0
-    langs = of_lang.filter((F.col("count") > 0) & (F.col("count") >= LANGUAGE_SHARE * everything))
-    totals = {r["lang"]: r for r in langs.collect()}        # at most 1 / LANGUAGE_SHARE rows
+    totals = {r["lang"]: r for r in of_lang.filter(F.col("count") >= max(1, least)).collect()}        # a row for each language
     listed = sorted(r[0] for r in first.filter("word IS NOT NULL").select("word").distinct().collect()) if totals else []
     if not listed:
         return []
@@ -189,43 +190,47 @@ _JUDGED = pa.schema([("id", pa.int64()), *[(c, pa.int64()) for c in ("n_words",
                      ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("class_distance", pa.float64()), ("word_distance", pa.float64())])
 
 
-def _judge(refs: list[dict], class_limit: float, word_limit: float, text_at: int | None = None):
-    """Judgements of (id, text) batches; with ``text_at``, the place of the text, the kept rows of the batches as they are."""
+def _judge(refs: list[dict], class_limit: float, word_limit: float, places: tuple[int, int] | None = None):
+    """Judgements of (id, text, lang) batches; with ``places``, those of text and language, the kept rows of the batches as they are."""
+    text_at, lang_at = places or (1, 2)
+    referred = {None, *(r["lang"] for r in refs)}
     vocabulary = sorted({w for r in refs for w in r["words"]})
     hashes = word_hashes(vocabulary)
     order = np.argsort(hashes)
     ranked, number = hashes[order], {w: i for i, w in enumerate(vocabulary)}
 
-    def distances(data, offsets):
+    def distances(data, offsets, lang):
         n = len(offsets) - 1
         classes = class_counts(data, offsets).astype(float)
         chars = classes.sum(axis=1)
         low, starts, ends, owner = letter_words(data, offsets)
         total = np.bincount(owner, minlength=n).astype(float)
         near_class, near_word = np.full(n, np.nan), np.full(n, np.nan)
+        judged = np.array([x in referred for x in lang], bool)
         if vocabulary and len(starts):
             h = span_hashes(low, starts, ends)
             at = np.minimum(np.searchsorted(ranked, h), len(ranked) - 1)
             hit = ranked[at] == h
             counts = np.bincount(owner[hit] * len(ranked) + order[at[hit]], minlength=n * len(ranked)).reshape(n, len(ranked))
-            long = np.flatnonzero(total >= WORD_WORDS)
+            long = np.flatnonzero(judged & (total >= WORD_WORDS))
             for r in refs:
                 own = counts[long][:, [number[w] for w in r["words"]]] / total[long, None]
                 p = np.column_stack([own, 1 - own.sum(axis=1)])
                 near_word[long] = np.fmin(near_word[long], distance(p, np.append(r["shares"], 1 - sum(r["shares"]))))
-        long = np.flatnonzero(chars >= CLASS_CHARS)
+        long = np.flatnonzero(judged & (chars >= CLASS_CHARS))
         for r in refs:
             near_class[long] = np.fmin(near_class[long], distance(classes[long] / chars[long, None], np.array(r["classes"])))
         return near_class, near_word
 
     def run(batches):
         for batch in batches:
-            for a, b, data, offsets in slices(batch.column(1 if text_at is None else text_at)):
+            lang = batch.column(lang_at).cast(pa.string()).to_pylist()
+            for a, b, data, offsets in slices(batch.column(text_at)):
                 f = base_counts(data, offsets)
-                near_class, near_word = distances(data, offsets)
+                near_class, near_word = distances(data, offsets, lang[a:b])
                 failed = (f["n_words"] < 10) | (100 * f["n_repeat_words"] > 20 * f["n_words"])
                 kept = ~failed & ~(near_class > class_limit) & ~(near_word > word_limit)
-                if text_at is not None:
+                if places is not None:
                     yield batch.slice(a, b - a).filter(pa.array(kept))
                     continue
                 yield pa.record_batch([batch.column(0).slice(a, b - a), *(pa.array(v) for v in f.values()), pa.array(failed), pa.array(kept),
@@ -235,9 +240,9 @@ def _judge(refs: list[dict], class_limit: float, word_limit: float, text_at: int
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           class_limit: float = CLASS_LIMIT, word_limit: float = WORD_LIMIT) -> DataFrame:
-    """Per row: id, the base counts, base_failed, kept, and both distances to the nearest reference (NULL: too short to judge)."""
+    """Per row: id, the base counts, base_failed, kept, and both distances to the nearest reference (NULL: too short to judge, or of a language without one)."""
     refs = references(docs, text_col, lang_col)
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).mapInArrow(
         _judge(refs, class_limit, word_limit), "id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
         "base_failed boolean, kept boolean, class_distance double, word_distance double")
 
@@ -245,4 +250,4 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def keep(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", class_limit: float = CLASS_LIMIT, word_limit: float = WORD_LIMIT) -> DataFrame:
     """The rows of ``docs`` that are kept, all their columns unchanged; nothing is shuffled."""
     refs = references(docs, text_col, lang_col)
-    return docs.mapInArrow(_judge(refs, class_limit, word_limit, docs.columns.index(text_col)), docs.schema)
+    return docs.mapInArrow(_judge(refs, class_limit, word_limit, (docs.columns.index(text_col), docs.columns.index(lang_col))), docs.schema)

@@ -281,6 +281,38 @@ def test_odd_distributions_are_rejected(spark):
         assert judged[10**9 + i][1] < quality.WORD_LIMIT
 
 
+def invented(rnd, common, letters, n):
+    """A text of ``n`` words: two thirds from ``common``, the others made of ``letters``."""
+    return " ".join(rnd.choice(common) if rnd.random() < 0.67 else "".join(rnd.choice(letters) for _ in range(7)) for _ in range(n))
+
+
+SMALL = {"sw": ("na ya wa kwa ni la katika cha za kama hiyo".split(), "abeghijklmnorstuwy"), "el": ("και το της να του με για από την στο".split(), "αβγδεηικλμνοπρστυω")}
+
+
+def corpus_of(spark, rows):
+    """Documents of (text, language) rows, numbered."""
+    return spark.createDataFrame([(i, t, lang, "src0", None, 1, "x", "y") for i, (t, lang) in enumerate(rows)], DOCS)
+
+
+def test_small_languages_keep_their_clean_texts(spark):
+    rnd = random.Random(8)
+    rows = [(invented(rnd, *SMALL[x], 200), x) for x in ("sw", "el") for _ in range(30)] + [(invented(rnd, *SMALL["el"], 200), "xx")]
+    rows += [(t, lang) for lang in ("sw", "el", None) for t in ["$$$ %%% ### &&& *** " * 40]]
+    small = sum(len(t.split()) for t, lang in rows if lang == "sw")
+    assert 5000 <= small < 0.001 * 320 * 20000
+    english = corpus_of(spark, [(invented(rnd, "the of and to a in is that".split(), "abcdefgiou", 20000), "en")]).withColumn("doc_id", F.explode(F.sequence(F.lit(1000), F.lit(1319)).cast("array<long>")))
+    docs = english.repartition(4).unionByName(corpus_of(spark, rows))
+    assert {r["lang"] for r in quality.references(docs)} == {"en", "sw", "el"}
+    judged = by_id(quality.judge(docs), "id", "class_distance", "word_distance")
+    clean = [i for i, (t, lang) in enumerate(rows) if lang in SMALL and "$" not in t]
+    assert all(judged[i][0] < quality.CLASS_LIMIT and judged[i][1] < quality.WORD_LIMIT for i in clean)
+    of_xx = next(i for i, (_, lang) in enumerate(rows) if lang == "xx")
+    assert judged[of_xx] == (None, None)
+    assert all(judged[i][0] > quality.CLASS_LIMIT for i, (t, _) in enumerate(rows) if "$" in t)
+    model = langid.train(docs)
+    assert (model.lexicon[model.look_up(quality.word_hashes(["katika", "hiyo"]))][:, model.langs.index("sw")] > 0).all()
+
+
 # ---- 8 -------------------------------------------------------------------------------------------------------------------
 
 def brute_components(rows):
