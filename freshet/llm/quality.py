@@ -6,7 +6,10 @@ reference is above a limit, for either histogram; texts too short for a histogra
 language has no reference: other languages say nothing about them.
 
 References cover every text.  A language has one if it holds at least ``LEAST_WORDS`` words, whatever else is in the table; its
-common words are the ``COMMON`` most frequent ones with at least ``WORD_SHARE`` of its words.  A word with that share of the whole has it in some slice of
+common words are the ``COMMON`` most frequent ones with at least ``WORD_SHARE`` of its words.  They count as a word histogram only
+if they hold so large a share of its words that a text with none of them lies beyond the limit (about a third at 0.43); a weaker
+list, as of a language whose clauses are one run of letters, would let every text pass.  Texts of such a language are judged by
+their character classes alone.  A word with that share of the whole has it in some slice of
 the texts too, so a first pass lists the words that reach it in their slice and a second pass counts just these, exactly; the
 shares bound both lists, whatever the size of the corpus.
 
@@ -144,7 +147,7 @@ def _counted(listed: list[str]):
     ranked = hashes[order]
 
     def run(batches):
-        for names, lang, data, offsets in _slices_with_language(batches):
+        for names, lang, data, offsets in _slices_with_language(batches if listed else ()):
             low, starts, ends, owner = letter_words(data, offsets)
             h, of = span_hashes(low, starts, ends), lang[owner]
             at = np.minimum(np.searchsorted(ranked, h), len(ranked) - 1)
@@ -163,9 +166,9 @@ def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                          .groupBy("lang", "word").agg(F.sum("count").alias("count"), *[F.sum(F.get("classes", i)).alias(f"class_{i}") for i in range(CLASSES)]), "frequent")
     of_lang = first.filter("word IS NULL").drop("word")
     totals = {r["lang"]: r for r in of_lang.filter(F.col("count") >= max(1, least)).collect()}        # a row for each language
-    listed = sorted(r[0] for r in first.filter("word IS NOT NULL").select("word").distinct().collect()) if totals else []
-    if not listed:
+    if not totals:
         return []
+    listed = sorted(r[0] for r in first.filter("word IS NOT NULL").select("word").distinct().collect())
     exact = source.filter(F.col("lang").isin(list(totals))).mapInArrow(_counted(listed), "lang string, word string, count long")
     exact = exact.groupBy("lang", "word").agg(F.sum("count").alias("count"))
     best = exact.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))).filter(F.col("at") <= common)
@@ -186,6 +189,12 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0, (left + right) / 2))
 
 
+def tells_apart(ref: dict, limit: float) -> bool:
+    """Whether a text with none of the reference's common words lies beyond the limit."""
+    held = np.append(ref["shares"], 1 - sum(ref["shares"]))
+    return bool(distance(np.eye(len(held))[-1:], held)[0] > limit)
+
+
 _JUDGED = pa.schema([("id", pa.int64()), *[(c, pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
                      ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("class_distance", pa.float64()), ("word_distance", pa.float64())])
 
@@ -193,8 +202,9 @@ _JUDGED = pa.schema([("id", pa.int64()), *[(c, pa.int64()) for c in ("n_words",
 def _judge(refs: list[dict], class_limit: float, word_limit: float, places: tuple[int, int] | None = None):
     """Judgements of (id, text, lang) batches; with ``places``, those of text and language, the kept rows of the batches as they are."""
     text_at, lang_at = places or (1, 2)
-    referred = {None, *(r["lang"] for r in refs)}
-    vocabulary = sorted({w for r in refs for w in r["words"]})
+    worded = [r for r in refs if tells_apart(r, word_limit)]
+    by_class, by_word = ({None, *(r["lang"] for r in some)} for some in (refs, worded))
+    vocabulary = sorted({w for r in worded for w in r["words"]})
     hashes = word_hashes(vocabulary)
     order = np.argsort(hashes)
     ranked, number = hashes[order], {w: i for i, w in enumerate(vocabulary)}
@@ -206,18 +216,17 @@ def _judge(refs: list[dict], class_limit: float, word_limit: float, places: tupl
         low, starts, ends, owner = letter_words(data, offsets)
         total = np.bincount(owner, minlength=n).astype(float)
         near_class, near_word = np.full(n, np.nan), np.full(n, np.nan)
-        judged = np.array([x in referred for x in lang], bool)
         if vocabulary and len(starts):
             h = span_hashes(low, starts, ends)
             at = np.minimum(np.searchsorted(ranked, h), len(ranked) - 1)
             hit = ranked[at] == h
             counts = np.bincount(owner[hit] * len(ranked) + order[at[hit]], minlength=n * len(ranked)).reshape(n, len(ranked))
-            long = np.flatnonzero(judged & (total >= WORD_WORDS))
-            for r in refs:
+            long = np.flatnonzero(np.array([x in by_word for x in lang], bool) & (total >= WORD_WORDS))
+            for r in worded:
                 own = counts[long][:, [number[w] for w in r["words"]]] / total[long, None]
                 p = np.column_stack([own, 1 - own.sum(axis=1)])
                 near_word[long] = np.fmin(near_word[long], distance(p, np.append(r["shares"], 1 - sum(r["shares"]))))
-        long = np.flatnonzero(judged & (chars >= CLASS_CHARS))
+        long = np.flatnonzero(np.array([x in by_class for x in lang], bool) & (chars >= CLASS_CHARS))
         for r in refs:
             near_class[long] = np.fmin(near_class[long], distance(classes[long] / chars[long, None], np.array(r["classes"])))
         return near_class, near_word

@@ -313,6 +313,24 @@ def test_small_languages_keep_their_clean_texts(spark):
     assert (model.lexicon[model.look_up(quality.word_hashes(["katika", "hiyo"]))][:, model.langs.index("sw")] > 0).all()
 
 
+def test_weak_word_lists_let_no_junk_pass(spark):
+    rnd = random.Random(9)
+    clause = lambda: "".join(chr(rnd.randint(0x4E00, 0x9FFF)) for _ in range(8)) + "\uff0c"        # noqa: E731
+    weak = ["of", "to"] + [f"{a}{b}word" for a in "abcdefghij" for b in "klmno"]
+    junk = " ".join("zq" + "".join(rnd.choice("bcdfghjklm") for _ in range(6)) for _ in range(200))
+    rows = [(invented(rnd, "the of and to a in is that".split(), "abcdefgiou", 400), "en") for _ in range(20)] + [(" ".join(clause() for _ in range(300)), "zh") for _ in range(20)]
+    rows += [(" ".join(rnd.choice(weak) if rnd.random() < 0.05 else "".join(rnd.choice("aeioubcdflmn") for _ in range(8)) for _ in range(400)), "fi") for _ in range(20)]
+    rows += [(junk, "en"), (junk, None)]
+    judged = by_id(quality.judge(corpus_of(spark, rows)), "id", "class_distance", "word_distance", "kept")
+    assert all(judged[i][2] for i in range(60)) and all(judged[i][1] is None for i in range(20, 60))
+    assert all(judged[i][1] > quality.WORD_LIMIT and not judged[i][2] for i in (60, 61))
+    only = [r for r in rows if r[1] == "zh"]
+    refs = quality.references(corpus_of(spark, only))
+    assert [(r["lang"], r["words"]) for r in refs] == [("zh", [])] and refs[0]["classes"][2] > 0.8
+    judged = by_id(quality.judge(corpus_of(spark, only + [("$$$ %%% ### &&& *** " * 40, "zh")])), "id", "class_distance", "word_distance")
+    assert judged[20][0] > quality.CLASS_LIMIT and all(judged[i][0] < quality.CLASS_LIMIT for i in range(20))
+
+
 # ---- 8 -------------------------------------------------------------------------------------------------------------------
 
 def brute_components(rows):
