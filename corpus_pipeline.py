@@ -15,6 +15,9 @@ from freshet.llm.queries import vocabulary_path
 from freshet.session import stored_table
 
 
+NEAR_PER_CENT = 80        # similarity from which documents are near-duplicates
+
+
 def _marked(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` under one alias beside the two keys by which the operators name them."""
     return docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark"))
@@ -33,7 +36,7 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id."""
-    kept = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
+    kept = minhash.near_duplicates(docs, per_cent=NEAR_PER_CENT).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
     return _marked(docs).join(kept, F.col("id").eqNullSafe(F.col("_id")), "left_semi").select("row.*")
 
 

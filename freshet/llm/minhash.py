@@ -4,7 +4,8 @@ A text is the set of its distinct runs of five words.  Equal sets are one node f
 ``HASHES`` MinHash values cut to ``BITS`` bits.  It is split into ``CHUNKS`` chunks; two signatures that differ in at most
 ``2 * CHUNKS - 1`` = 23 of the 60 values differ in at most one value of some chunk (pigeonhole), so each chunk is listed once per
 allowed error, with that value left out, and all pairs within the distance meet under a common key.  At a similarity of 0.85 a
-pair differs in 9 values on average; it differs in more than 23 with a probability of about 2e-6.
+pair differs in 9 values on average; it differs in more than 23 with a probability of about 2e-6.  Links from a lower similarity on
+take more and shorter chunks (:func:`chunks_for`): at 0.80, where 12 values differ on average, 15 chunks guarantee 29.
 
 Keys are range-sorted by (key, id), which also cuts a key shared by very many texts; a task walks through its range and links each
 text to the first of its key, so no pairs inside a group are made.  The connected texts form loose groups that contain every
@@ -17,6 +18,8 @@ the largest id; rows that repeat an id are one document and share its component.
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -31,7 +34,8 @@ SHINGLE = 5
 HASHES = 60
 CHUNKS = 12
 BITS = 16
-PER_CENT = 85        # linked from this similarity on
+PER_CENT = 85        # linked from this similarity on, unless the caller says another
+MISSED = 3e-6        # chance that a pair of just this similarity differs in more values than the join guarantees
 BLOCK_TEXTS = 200        # texts of a block, and shingles of a block, on average
 BLOCK_SHINGLES = 500_000
 LAST_ID = 2**63 - 1
@@ -67,9 +71,19 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out & np.uint64(2**BITS - 1)
 
 
-def chunk_keys(signature: np.ndarray) -> np.ndarray:
+def chunks_for(per_cent: int) -> int:
+    """The fewest chunks, ``CHUNKS`` at least, whose guaranteed distance leaves a pair of this similarity with a chance of ``MISSED``."""
+    differ = 1 - per_cent / 100
+    for chunks in (c for c in range(CHUNKS, HASHES // 3 + 1) if HASHES % c == 0):
+        beyond = sum(comb(HASHES, k) * differ**k * (1 - differ)**(HASHES - k) for k in range(2 * chunks, HASHES + 1))
+        if beyond <= MISSED:
+            return chunks
+    raise ValueError(f"signatures of {HASHES} values are too short for a similarity of {per_cent} %")
+
+
+def chunk_keys(signature: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
     """(texts, HASHES): for each value of the signature, the key of its chunk without that value."""
-    width = HASHES // CHUNKS
+    width = HASHES // chunks
     out = np.empty(signature.shape, np.int64)
     for k in range(HASHES):
         first = k - k % width
@@ -84,13 +98,19 @@ def chunk_keys(signature: np.ndarray) -> np.ndarray:
 _PRINTS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
 
-def _prints(batches):
+def _prints(chunks: int):
+    def run(batches):
+        yield from _printed(batches, chunks)
+    return run
+
+
+def _printed(batches, chunks: int):
     for batch in batches:
         for a, b, data, offsets in slices(batch.column(1)):
             sets = shingle_sets(data, offsets)
             n = np.array([len(s) for s in sets])
             full = [s for s in sets if len(s)]
-            keys = chunk_keys(signatures(full)).ravel() if full else np.zeros(0, np.int64)
+            keys = chunk_keys(signatures(full), chunks).ravel() if full else np.zeros(0, np.int64)
             sums = [np.array([f(s) for s in sets], np.uint64).view(np.int64) for f in (
                 lambda s: mix(s).sum(dtype=np.uint64), lambda s: mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))]
             ends = np.concatenate([[0], np.cumsum((n > 0) * HASHES)]).astype(np.int32)
@@ -167,13 +187,19 @@ def confirmed_forest(ids: np.ndarray, sets: list[np.ndarray], per_cent: int = PE
     return edges
 
 
-def _compare(batches):
+def _compare(per_cent: int):
+    def run(batches):
+        yield from _compared(batches, per_cent)
+    return run
+
+
+def _compared(batches, per_cent: int):
     """Rows sorted by (grp, low, high): each run is one pair of blocks."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
     now, ids, sets = None, [], []
 
     def settled():
-        edges = confirmed_forest(np.array(ids, np.int64), sets) if len(ids) > 1 else []
+        edges = confirmed_forest(np.array(ids, np.int64), sets, per_cent) if len(ids) > 1 else []
         return pa.record_batch([pa.array([e[0] for e in edges], pa.int64()), pa.array([e[1] for e in edges], pa.int64())], schema=schema)
 
     for batch in batches:
@@ -196,10 +222,10 @@ def _packed_sets(batches):
                                    pa.array([s.tobytes() for s in shingle_sets(data, offsets)], pa.binary())], schema=schema)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links, its own included) and kept."""
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_cent: int = PER_CENT) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links from ``per_cent`` on, its own included) and kept."""
     source = texts(docs, id_col, text_col).select(F.coalesce("id", F.lit(LAST_ID)).alias("id"), "text")
-    base = stored_table(source.mapInArrow(_prints, "id long, n long, h1 long, h2 long, keys array<long>"), "prints")
+    base = stored_table(source.mapInArrow(_prints(chunks_for(per_cent)), "id long, n long, h1 long, h2 long, keys array<long>"), "prints")
     total = base.count()
     same = ["n", "h1", "h2"]
     classes = stored_table(base.filter("n > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "classes")
@@ -214,7 +240,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     met = sets.withColumn("own", own).select("id", "grp", "own", "shingles", F.explode_outer(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     pairs = met.select("grp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "shingles")
-    links = pairs.repartition(partitions(docs.sparkSession), "grp", "low", "high").sortWithinPartitions("grp", "low", "high").mapInArrow(_compare, "a long, b long")
+    links = pairs.repartition(partitions(docs.sparkSession), "grp", "low", "high").sortWithinPartitions("grp", "low", "high").mapInArrow(_compare(per_cent), "a long, b long")
     found = connected(links)
     of_rep = classes.select(*same, "rep", "rows").join(found.select(F.col("id").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep")).drop("rep")
     labelled = join_counted(base.select("id", *same), of_rep.withColumnRenamed("root", "by_class"), same, ["id"], "rows", total)

@@ -37,3 +37,14 @@ def test_stages_keep_columns_and_survive_odd_rows(spark, rows):
     lines = corpus_pipeline.line_deduplication(spark, docs, SF)
     assert lines.count() == docs.count() and lines.filter(F.col("n_chars") != F.length("text")).count() == 0
     corpus_pipeline.quality_rules(spark, docs, SF).collect()
+
+
+def test_near_copies_from_four_fifths_on_go(spark):
+    rows = []
+    for k in range(40):
+        words = [f"d{k}w{i}" for i in range(104)]        # 100 shingles
+        for copy, changed in enumerate([(), (50, 100), (20, 60, 90)]):        # similarities of 0.83 and 0.74 to the first
+            rows.append((3 * k + copy, " ".join(f"x{copy}" if i in changed else w for i, w in enumerate(words))))
+    docs = spark.createDataFrame([(i, t, "en", None, len(t), 1, "x", "y") for i, t in rows], DOCS)
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()}
+    assert kept == {i for i, _ in rows if i % 3 != 1}
