@@ -14,6 +14,8 @@ are no mined rules; repeated rows are judged once and given back as often as the
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -26,7 +28,6 @@ RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 MIN_SUPPORT = 0.005        # of the labelled URLs: bad ones with all tokens of the rule
 LEAST_URLS = 10        # and so many at least
 MIN_CONFIDENCE = 0.7
-MAX_TOKENS = 3        # tokens of a rule
 BROADCAST_RULES = 20_000
 BAD = "label=bad"
 
@@ -59,8 +60,8 @@ def tokens(url: Column) -> Column:
 
 
 def mine(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-         least: int = LEAST_URLS, max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """(rule, support, confidence): sorted token sets of at most ``max_tokens`` that go with bad URLs."""
+         least: int = LEAST_URLS) -> DataFrame:
+    """(rule, support, confidence): sorted token sets, of any size, that go with bad URLs."""
     baskets = labelled.filter(F.col(bad_col).isNotNull()).select(tokens(F.col(url_col)).alias("tokens"), F.col(bad_col).cast("boolean").alias("bad"))
     items = stored_table(baskets.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items")), "baskets")
     n = items.count()
@@ -70,18 +71,21 @@ def mine(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", min_su
     share = max(min_support, least / n)
     if share > 1:
         return empty
-    sets = stored_table(FPGrowth(itemsCol="items", minSupport=share).fit(items).freqItemsets.select(F.array_sort("items").alias("items"), "freq")
-                        .filter(F.size("items") <= max_tokens + 1), "token-sets")
+    sets = stored_table(FPGrowth(itemsCol="items", minSupport=share).fit(items).freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "token-sets")
     with_bad = sets.filter(F.array_contains("items", BAD)).select(F.array_remove("items", BAD).alias("rule"), F.col("freq").alias("support")).filter(F.size("rule") > 0)
-    rules = with_bad.join(sets.select(F.col("items").alias("rule"), F.col("freq").alias("urls")), "rule").select(
-        "rule", "support", (F.col("support") / F.col("urls")).alias("confidence")).filter(F.col("confidence") >= min_confidence)
-    rules = stored_table(rules, "url-rules")
-    # a rule goes if one of its proper subsets is at least as sure
-    inner = F.flatten(F.array(F.transform("rule", lambda t: F.array(t)), F.transform("rule", lambda t: F.array_remove("rule", t))))
-    smaller = rules.select("rule", "confidence", F.explode(F.array_distinct(inner)).alias("part")).filter(F.size("part") < F.size("rule"))
-    surer = rules.select(F.col("rule").alias("part"), F.col("confidence").alias("sure"))
-    covered = smaller.join(surer, "part").filter("sure >= confidence").select("rule").distinct()
-    return rules.join(covered, "rule", "left_anti")
+    known = stored_table(with_bad.join(sets.select(F.col("items").alias("rule"), F.col("freq").alias("urls")), "rule").select(
+        "rule", "support", (F.col("support") / F.col("urls")).alias("confidence"), F.size("rule").alias("tokens")), "bad-sets")
+    # a rule goes if one of its proper subsets is at least as sure; all subsets of a set are here too, so sizes are settled in turn:
+    # the surest set inside one is the surest of, or inside, those with one token less
+    settled = stored_table(known.filter("tokens = 1").select("rule", "support", "confidence", F.lit(None).cast("double").alias("inner")), "settled-sets")
+    kept = [settled]
+    for size in range(2, (known.agg(F.max("tokens")).first()[0] or 0) + 1):
+        parts = known.filter(F.col("tokens") == size).select("rule", "support", "confidence", F.explode(F.transform("rule", lambda t: F.array_remove("rule", t))).alias("part"))
+        surest = settled.select(F.col("rule").alias("part"), F.greatest("confidence", "inner").alias("sure"))
+        settled = stored_table(parts.join(surest, "part").groupBy("rule", "support", "confidence").agg(F.max("sure").alias("inner")), "settled-sets")
+        kept.append(settled)
+    every = reduce(DataFrame.unionByName, kept)
+    return every.filter((F.col("confidence") >= min_confidence) & (F.col("inner").isNull() | (F.col("inner") < F.col("confidence")))).drop("inner")
 
 
 def index(rules: DataFrame, labelled_tokens: DataFrame) -> DataFrame:

@@ -88,6 +88,16 @@ def test_rules_are_mined_and_matched(spark):
     assert {r["page_id"] for r in got.filter("mined").collect()} == want
 
 
+def test_rules_of_four_tokens_are_mined(spark):
+    urls = [f"http://{h}.org/{a}/{b}?{q}=1" for h, a, b, q in itertools.product(("h1", "h2"), ("aa", "ab"), ("ba", "bb"), ("q1", "q2")) for _ in range(12)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    bad = F.col("url") == "http://h1.org/aa/ba?q1=1"
+    labelled = pages.withColumn("bad", bad)
+    rules = [tuple(r["rule"]) for r in url_rules.mine(labelled).collect()]
+    assert rules == [("h:h1.org", "p:aa", "p:ba", "q:q1")]
+    assert {r["page_id"] for r in url_rules.judge(pages, labelled).filter("mined").collect()} == {i for i, u in enumerate(urls) if u == urls[0]}
+
+
 def test_split_index_gives_the_same_verdicts(spark, monkeypatch):
     pages = table(spark, SF, "pages").select("page_id", "url")
     labelled = pages.withColumn("bad", F.col("url").contains(".com"))
