@@ -2,8 +2,8 @@
 
 Every whole text is searched for three fixed patterns and for opaque strings: long runs of letters, digits and ``+/_-`` that mix
 small letters, capitals and digits.  A candidate's value is hashed, and the corpus is asked in how many repositories and under how
-many owners each hash occurs.  A value that many owners hold is a copied example; one that is held by at most ``FEW_OWNERS`` and has
-enough different characters looks live.  Spans of the fixed patterns always stay; an opaque string becomes a span only if it
+many owners each hash occurs.  A value that many owners or many repositories hold is a copied example, be they all of one owner; one
+that is held by at most ``FEW_OWNERS`` in at most ``FEW_REPOSITORIES`` and has enough different characters looks live.  Spans of the fixed patterns always stay; an opaque string becomes a span only if it
 looks live, since copied examples, checksums of shared files and the like are spread over owners.
 
 Counts are combined by (value, owner) and then by value, before each shuffle; a value with very many holders is split by salts
@@ -28,6 +28,7 @@ from freshet.operators.skew import join_counted
 from freshet.session import stored_table
 
 FEW_OWNERS = 2
+FEW_REPOSITORIES = 10
 LEAST_DIFFERENT = 10        # different characters of a value that looks live
 KINDS = ["assign", "access", "hex", "opaque"]
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -107,7 +108,8 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_owner.groupBy("value").agg(F.sum("repositories").alias("repositories"), F.count(F.lit(1)).alias("owners"), F.sum("rows").alias("rows"))
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", few: int = FEW_OWNERS) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", few: int = FEW_OWNERS,
+         few_repositories: int = FEW_REPOSITORIES) -> DataFrame:
     """Per row: doc_id, base (its pattern spans), spans (with the opaque ones that look live), n_live and n_example.
 
     A span is (start, kind, stop, value, varied, repositories, owners, live).
@@ -117,7 +119,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     total = stats.agg(F.sum("rows")).first()[0] or 0
     each = found.select("id", "mark", F.explode_outer("spans").alias("span")).filter("span IS NOT NULL").select("id", "mark", "span.*")
     known = join_counted(each, stats, ["value"], ["id", "start"], "rows", total, "inner")
-    live = F.col("varied") & (F.col("owners") <= few)
+    live = F.col("varied") & (F.col("owners") <= few) & (F.col("repositories") <= few_repositories)
     weighed = known.withColumn("live", live).groupBy("id", "mark").agg(F.array_sort(F.collect_set(F.struct(
         "start", "kind", "stop", "value", "varied", "repositories", "owners", "live"))).alias("weighed"))
     joined = found.select("id", "mark").alias("f").join(weighed.alias("w"), F.col("f.id").eqNullSafe(F.col("w.id")) & (F.col("f.mark") == F.col("w.mark")), "left")
@@ -125,7 +127,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     out = joined.select(F.col("f.id").alias("doc_id"), every.alias("weighed"))
     return out.select("doc_id", F.filter("weighed", lambda s: s["kind"] < 3).alias("base"), F.filter("weighed", lambda s: (s["kind"] < 3) | s["live"]).alias("spans"),
                       F.size(F.filter("weighed", lambda s: s["live"])).cast("long").alias("n_live"),
-                      F.size(F.filter("weighed", lambda s: s["owners"] > few)).cast("long").alias("n_example"))
+                      F.size(F.filter("weighed", lambda s: (s["owners"] > few) | (s["repositories"] > few_repositories))).cast("long").alias("n_example"))
 
 
 def as_text(spans) -> F.Column:

@@ -121,6 +121,13 @@ def test_secret_spans(spark):
     assert got == [(1, "opaque:4:24", 1, 0), (2, "", 0, 1), (3, "", 0, 1), (4, "", 0, 1), (4, "", 0, 1), (5, "assign:0:13", 0, 0)]
 
 
+def test_value_copied_within_one_source_is_an_example(spark):
+    copied, live = "Aa1Bb2Cc3Dd4Ee5Ff6Gg", "Zx9Qw3Er7Ty1Ui5Op2As"
+    rows = [(i, f"see {copied}", "s1") for i in range(40)] + [(100 + i, f"key {live}", "s1") for i in range(3)] + [(100, f"key {live}", "s1")]
+    got = by_id(secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")), "doc_id", F.size("spans"), "n_live", "n_example")
+    assert all(got[i] == (0, 0, 1) for i in range(40)) and all(got[i] == (1, 1, 0) for i in range(100, 103))
+
+
 # ---- 3 -------------------------------------------------------------------------------------------------------------------
 
 def brute_hits(doc, items):
