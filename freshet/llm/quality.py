@@ -9,9 +9,8 @@ References cover every text.  A language has one if it holds at least ``LEAST_WO
 common words are the ``COMMON`` most frequent ones with at least ``WORD_SHARE`` of its words.  They count as a word histogram only
 if they hold so large a share of its words that a text with none of them lies beyond the limit (about a third at 0.43); a weaker
 list, as of a language whose clauses are one run of letters, would let every text pass.  Texts of such a language are judged by
-their character classes alone.  A word with that share of the whole has it in some slice of
-the texts too, so a first pass lists the words that reach it in their slice and a second pass counts just these, exactly; the
-shares bound both lists, whatever the size of the corpus.
+their character classes alone.  Words are counted in Spark; the driver
+sees at most ``COMMON`` words of a language, whatever the size of the corpus.
 
 Defined cases: a NULL or empty text has no words and fails; a NULL language adds to no reference, and its texts are judged by the
 nearest one; without any reference only the base rules judge.
@@ -98,9 +97,6 @@ def letter_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return low, starts, ends, owners(offsets, starts)
 
 
-_LISTED = pa.schema([("lang", pa.string()), ("word", pa.string()), ("count", pa.int64())])
-
-
 def _slices_with_language(batches):
     for batch in batches:
         lang = batch.column(0).to_pylist()
@@ -110,28 +106,33 @@ def _slices_with_language(batches):
             yield names, np.array([number.get(x, -1) for x in lang[a:b]]), data, offsets
 
 
-def _frequent(share: float):
-    """Words that reach the share inside a slice; rows without a word hold the number of the language's words and its class counts."""
-    def run(batches):
-        yield from _frequent_words(batches, share)
-    return run
+_COUNTED = pa.schema([("lang", pa.string()), ("word", pa.string()), ("count", pa.int64()), ("classes", pa.list_(pa.int64()))])
 
 
-def _frequent_words(batches, share: float):
+def _spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """These pieces of the data, as strings."""
+    size = ends - starts
+    stops = np.cumsum(size)
+    flat = data[np.repeat(starts - (stops - size), size) + np.arange(int(size.sum()))]
+    return pa.StringArray.from_buffers(len(size), pa.py_buffer(np.append(0, stops).astype(np.int32)), pa.py_buffer(flat))
+
+
+def _counted(batches):
+    """How often a slice has each word of each language; rows without a word hold the number of all its words and its class counts."""
     for names, lang, data, offsets in _slices_with_language(batches):
         low, starts, ends, owner = letter_words(data, offsets)
         classes = class_counts(data, offsets)
-        h, of = span_hashes(low, starts, ends), lang[owner]
-        out = []
-        for i, name in enumerate(names):
-            mine = np.flatnonzero(of == i)
-            out.append((name, None, len(mine), classes[lang == i].sum(axis=0).tolist()))
-            _, one, count = np.unique(h[mine], return_index=True, return_counts=True)
-            for k in np.flatnonzero(count >= share * len(mine)).tolist():
-                at = mine[one[k]]
-                out.append((name, low[starts[at]:ends[at]].tobytes().decode("utf-8", "replace"), 0, None))
-        yield pa.record_batch([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.int64()),
-                               pa.array([r[3] for r in out], pa.list_(pa.int64()))], names=["lang", "word", "count", "classes"])
+        of = lang[owner]
+        mine = np.flatnonzero(of >= 0)
+        of, starts, ends = of[mine], starts[mine], ends[mine]
+        _, one, count = np.unique(mix(span_hashes(low, starts, ends) + mix(of.astype(np.uint64))), return_index=True, return_counts=True)
+        sums = np.zeros((len(names), CLASSES), np.int64)
+        np.add.at(sums, lang[lang >= 0], classes[lang >= 0])
+        named = pa.array(names, pa.string())
+        yield pa.record_batch([named, pa.nulls(len(names), pa.string()), pa.array(np.bincount(of, minlength=len(names)).astype(np.int64)),
+                               pa.array(sums.tolist(), pa.list_(pa.int64()))], schema=_COUNTED)
+        yield pa.record_batch([named.take(pa.array(of[one])), _spans(low, starts[one], ends[one]), pa.array(count.astype(np.int64)),
+                               pa.nulls(len(one), pa.list_(pa.int64()))], schema=_COUNTED)
 
 
 def word_hashes(listed: list[str]) -> np.ndarray:
@@ -141,41 +142,19 @@ def word_hashes(listed: list[str]) -> np.ndarray:
     return span_hashes(np.frombuffer(b"".join(raw), np.uint8), ends - [len(w) for w in raw], ends) if raw else np.zeros(0, np.uint64)
 
 
-def _counted(listed: list[str]):
-    hashes = word_hashes(listed)
-    order = np.argsort(hashes)
-    ranked = hashes[order]
-
-    def run(batches):
-        for names, lang, data, offsets in _slices_with_language(batches if listed else ()):
-            low, starts, ends, owner = letter_words(data, offsets)
-            h, of = span_hashes(low, starts, ends), lang[owner]
-            at = np.minimum(np.searchsorted(ranked, h), len(ranked) - 1)
-            hit = (ranked[at] == h) & (of >= 0)
-            cells, count = np.unique(of[hit] * len(ranked) + order[at[hit]], return_counts=True)
-            yield pa.record_batch([pa.array([names[c // len(ranked)] for c in cells.tolist()], pa.string()),
-                                   pa.array([listed[c % len(ranked)] for c in cells.tolist()], pa.string()), pa.array(count)], schema=_LISTED)
-    return run
-
-
 def references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", common: int = COMMON, share: float = WORD_SHARE,
                least: int = LEAST_WORDS) -> list[dict]:
     """Per language: lang, classes (shares of the character classes), words and shares (its common words)."""
     source = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    first = stored_table(source.mapInArrow(_frequent(share), "lang string, word string, count long, classes array<long>")
-                         .groupBy("lang", "word").agg(F.sum("count").alias("count"), *[F.sum(F.get("classes", i)).alias(f"class_{i}") for i in range(CLASSES)]), "frequent")
-    of_lang = first.filter("word IS NULL").drop("word")
-    totals = {r["lang"]: r for r in of_lang.filter(F.col("count") >= max(1, least)).collect()}        # a row for each language
-    if not totals:
-        return []
-    listed = sorted(r[0] for r in first.filter("word IS NOT NULL").select("word").distinct().collect())
-    exact = source.filter(F.col("lang").isin(list(totals))).mapInArrow(_counted(listed), "lang string, word string, count long")
-    exact = exact.groupBy("lang", "word").agg(F.sum("count").alias("count"))
-    best = exact.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))).filter(F.col("at") <= common)
+    counted = stored_table(source.mapInArrow(_counted, "lang string, word string, count long, classes array<long>")
+                           .groupBy("lang", "word").agg(F.sum("count").alias("count"), *[F.sum(F.get("classes", i)).alias(f"class_{i}") for i in range(CLASSES)]), "word-counts")
+    langs = counted.filter("word IS NULL").filter(F.col("count") >= max(1, least)).drop("word")
+    totals = {r["lang"]: r for r in langs.collect()}        # a row for each language
+    frequent = counted.filter("word IS NOT NULL").select("lang", "word", "count").join(F.broadcast(langs.select("lang", F.col("count").alias("total"))), "lang").filter(F.col("count") >= share * F.col("total"))
+    best = frequent.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))).filter(F.col("at") <= common)
     held: dict[str, list] = {lang: [] for lang in totals}
     for r in sorted(best.collect(), key=lambda r: (r["lang"], r["at"])):
-        if r["count"] >= share * totals[r["lang"]]["count"]:
-            held[r["lang"]].append((r["word"], r["count"] / totals[r["lang"]]["count"]))
+        held[r["lang"]].append((r["word"], r["count"] / r["total"]))
     return [{"lang": lang, "classes": [t[f"class_{i}"] / max(1, sum(t[f"class_{j}"] for j in range(CLASSES))) for i in range(CLASSES)],
              "words": [w for w, _ in held[lang]], "shares": [s for _, s in held[lang]]} for lang, t in sorted(totals.items())]
 

@@ -348,6 +348,14 @@ def test_weak_word_lists_let_no_junk_pass(spark):
     assert judged[20][0] > quality.CLASS_LIMIT and all(judged[i][0] < quality.CLASS_LIMIT for i in range(20))
 
 
+def test_driver_sees_only_the_common_words(spark, monkeypatch):
+    rows = [(" ".join(f"w{chr(97 + k)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}" for i in range(600)) + " of the" * 60, "en") for k in range(20)]
+    docs, seen, collect = corpus_of(spark, rows).repartition(20), [], type(spark.range(0)).collect
+    monkeypatch.setattr(type(docs), "collect", lambda self: seen.append(collect(self)) or seen[-1])
+    refs = quality.references(docs)
+    assert [(r["lang"], sorted(r["words"])) for r in refs] == [("en", ["of", "the"])] and sum(map(len, seen)) <= 1 + quality.COMMON
+
+
 # ---- 8 -------------------------------------------------------------------------------------------------------------------
 
 def brute_components(rows):
