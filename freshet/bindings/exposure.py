@@ -358,7 +358,7 @@ OLDER = {"age65plus": ["Age: Aged 65 to 69 years", "Age: Aged 85 years and over"
 HOMES = {"households": ["Number of households: Number of households; measures: Value"]}
 
 
-def _census(residents, ages, homes):
+def _census_table(residents, ages, homes):
     code = "geography code"
     joined = places.side_by_side([places.measures(residents, code, RESIDENTS), places.measures(ages, code, OLDER), places.measures(homes, code, HOMES)])
     return places.share_of(joined, "age65plus", "population", "share_65plus")
@@ -387,7 +387,7 @@ f AS (SELECT c_nationkey, count(*) AS total, count(*) FILTER (c_mktsegment = 'BU
 SELECT 'E' || c_nationkey AS oa, total AS population, b + u AS age65plus, m AS households, round((b + u) / total::DOUBLE, 6) AS share_65plus FROM f""")
 def _(spark, d):
     residents, ages, homes, _, _ = _census_files(spark, d)
-    return _census(residents, ages, homes).withColumn("share_65plus", F.round("share_65plus", 6))
+    return _census_table(residents, ages, homes).withColumn("share_65plus", F.round("share_65plus", 6))
 
 
 @query("s21_census_cross_check", with_ctes(CENSUS_FILES_SQL) + "SELECT 0 AS differs, 0 AS differs_by_more_than_5, 0.0 AS largest, 0.0 AS people FROM f LIMIT 1")
@@ -427,7 +427,7 @@ def _(spark, d):
     deprivation = places.named_columns(raw, {"oa": "LSOA code"}, {"imd_decile": "IMD decile"})
     bad = places.measures(health, "geography code", {"bad_health": ["General health: Bad health", "General health: Very bad health"]})
     none = places.measures(cars, "geography code", {"no_car_households": ["Number of cars: No cars or vans in household"]})
-    return places.side_by_side([_census(residents, ages, homes), bad, none, deprivation]).withColumn("share_65plus", F.round("share_65plus", 6))
+    return places.side_by_side([_census_table(residents, ages, homes), bad, none, deprivation]).withColumn("share_65plus", F.round("share_65plus", 6))
 
 
 @query("s28_code_names_and_lookup", """
