@@ -6,8 +6,8 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from freshet.llm import bpe, decontaminate, langid, line_dedup, minhash, quality, secrets, shard, url_rules, warc
-from freshet.llm.common import table
+from freshet.llm import bpe, decontaminate, langid, line_dedup, merkle, minhash, quality, secrets, shard, url_rules, warc
+from freshet.llm.common import ascii_lower, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -251,3 +251,60 @@ def op10(spark, d):
     predicted = langid.predict(docs, model)
     held = F.coalesce(F.pmod(F.crc32(F.encode(F.col("id").cast("string"), "utf-8")), F.lit(3)) == 1, F.lit(False))
     return predicted.select(F.col("id").alias("doc_id"), held.alias("held_out"), "lang_pred", "score")
+
+
+# ---- 11: a Merkle manifest of the documents -----------------------------------------------------------------------------
+
+_DEPTH = 5        # levels that the SQL unrolls: 16 ** 5 leaves a source and as many sources
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(_field_sql(v) for v in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _tree_sql(name: str, base: str) -> str:
+    """Levels ``name``0.. of the trees in ``base`` (g, i, n, h), with what stands before and after each node in its run."""
+    parts = [f"{name}0 AS ({base})"]
+    for k in range(_DEPTH):
+        parts.append(f"{name}{k + 1} AS (SELECT g, j AS i, (n + 15) // 16 AS n, CASE WHEN n > 1 THEN sha256(hs) ELSE hs END AS h FROM "
+                     f"(SELECT g, i // 16 AS j, n, string_agg(h, '' ORDER BY i) AS hs FROM {name}{k} GROUP BY 1, 2, 3))")
+        parts.append(f"{name}s{k} AS (SELECT x.g, x.i, any_value(x.n) AS n, coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (y.i < x.i), '') AS b, "
+                     f"coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (y.i > x.i), '') AS a FROM {name}{k} x JOIN {name}{k} y ON x.g = y.g AND x.i // 16 = y.i // 16 GROUP BY 1, 2)")
+    return ",\n".join(parts)
+
+
+def _fold_sql(name: str, first: str, group: str, index: str) -> str:
+    """Folds ``f`` and gathers ``p`` up the levels of one tree, from the CTE ``first``."""
+    parts, last = [], first
+    for k in range(_DEPTH):
+        parts.append(f"{name}f{k} AS (SELECT q.* EXCLUDE (f, p), CASE WHEN s.n > 1 THEN sha256(s.b || q.f || s.a) ELSE q.f END AS f, q.p || s.b || s.a AS p "
+                     f"FROM {last} q JOIN {name}s{k} s ON s.g = q.{group} AND s.i = q.{index} // {16 ** k})")
+        last = f"{name}f{k}"
+    return ",\n".join(parts)
+
+
+_CRC = ("xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)), "
+        "lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))")
+
+
+@query("op11_merkle_manifest", f"""
+WITH d AS (SELECT doc_id, coalesce('s' || source, 'n') AS g, {_leaf_sql('text')} AS leaf, CASE WHEN {_CRC} % 5 = 0 THEN {_leaf_sql(LOWERED.format('text'))} ELSE {_leaf_sql('text')} END AS f FROM documents),
+l AS (SELECT *, '' AS p, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM d),
+{_tree_sql('x', 'SELECT g, i, n, leaf AS h FROM l')},
+{_tree_sql('t', f"SELECT 'all' AS g, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n, h, g AS source FROM x{_DEPTH}")},
+{_fold_sql('x', 'l', 'g', 'i')},
+u AS (SELECT q.* EXCLUDE (i, g), 'all' AS g, t0.i, t0.h AS subroot FROM x{'f'}{_DEPTH - 1} q JOIN t0 ON t0.source = q.g),
+{_fold_sql('t', 'u', 'g', 'i')}
+SELECT doc_id, leaf, subroot, t{_DEPTH}.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = t{_DEPTH}.h AS verified FROM tf{_DEPTH - 1}, t{_DEPTH}""")
+def op11(spark, d):
+    """Documents by source; where 5 divides crc32(doc_id) the text claims to be in lower case."""
+    docs = table(spark, d, "documents")
+    values = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")), F.lit(5)) == 0
+    claim = F.when(tampered, merkle.leaf_digest(*values, ascii_lower(F.col("text"))))
+    manifest = merkle.build(merkle.leaves(docs, "source", "doc_id", [*values, F.col("text")], claim))
+    return merkle.audit(manifest).withColumnRenamed("id", "doc_id")
