@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from freshet.llm import bpe, decontaminate, langid, line_dedup, merkle, minhash, quality, secrets, shard, url_rules, warc
+from freshet.llm import bpe, decontaminate, langid, line_dedup, merkle, minhash, quality, ranked, secrets, shard, url_rules, warc
 from freshet.llm.common import ascii_lower, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -308,3 +308,22 @@ def op11(spark, d):
     claim = F.when(tampered, merkle.leaf_digest(*values, ascii_lower(F.col("text"))))
     manifest = merkle.build(merkle.leaves(docs, "source", "doc_id", [*values, F.col("text")], claim))
     return merkle.audit(manifest).withColumnRenamed("id", "doc_id")
+
+
+# ---- 12: the best documents of each benchmark item ----------------------------------------------------------------------
+
+_TERMS = rf"regexp_extract_all({LOWERED.format('text')}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+@query("op12_ranked_search", rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS w FROM documents),
+t AS (SELECT r, any_value(doc_id) AS doc_id, any_value(len(w)) AS n, term, count(*) AS tf FROM (SELECT r, doc_id, w, unnest(w) AS term FROM d) GROUP BY r, term),
+s AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM t GROUP BY term), s),
+i AS (SELECT item_id, row_number() OVER () AS q, unnest({_TERMS}) AS term FROM benchmark),
+g AS (SELECT item_id, q, term, count(*) AS times FROM i GROUP BY ALL),
+p AS (SELECT g.q, g.item_id, t.doc_id, t.r, CAST(sum(g.times * w.w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // l)))) AS BIGINT) AS score
+      FROM g JOIN t USING (term) JOIN w USING (term), s GROUP BY 1, 2, 3, 4)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM p WHERE score > 0) WHERE rank <= 10""")
+def op12(spark, d):
+    return ranked.top_documents(table(spark, d, "documents"), table(spark, d, "benchmark"))
