@@ -6,7 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from freshet.llm import bpe, decontaminate, langid, line_dedup, merkle, minhash, quality, ranked, secrets, shard, url_rules, warc
+from freshet.llm import bpe, decontaminate, exact_dedup, langid, line_dedup, merkle, minhash, quality, ranked, secrets, shard, url_rules, warc
 from freshet.llm.common import ascii_lower, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -327,3 +327,13 @@ p AS (SELECT g.q, g.item_id, t.doc_id, t.r, CAST(sum(g.times * w.w * ((100000000
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM p WHERE score > 0) WHERE rank <= 10""")
 def op12(spark, d):
     return ranked.top_documents(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+# ---- 13: equal texts ------------------------------------------------------------------------------------------------------
+
+@query("op13_exact_dedup", f"""
+WITH d AS (SELECT doc_id, {LOWERED.format("coalesce(text, '')")} AS t FROM documents)
+SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(t) AS text_sha256 FROM d WINDOW g AS (PARTITION BY t)""")
+def op13(spark, d):
+    return exact_dedup.duplicates(table(spark, d, "documents"))
