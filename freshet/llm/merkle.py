@@ -231,7 +231,8 @@ class _Block:
 def _blocks(log: DataFrame, paths: DataFrame, round_: int) -> DataFrame:
     """Nodes of a round's blocks in log order, each block led by the way above it."""
     low = round_ * LEVELS
-    nodes = log.filter(F.col("level").between(low, low + LEVELS - 1)).select(
+    tall = F.col("size") > F.lit(1 << (BLOCK_BITS * round_)) if round_ else F.lit(True)        # other trees end below this round
+    nodes = log.filter(F.col("level").between(low, low + LEVELS - 1) & tall).select(
         "grp", F.expr(f"shiftright(idx, {BLOCK_BITS} - (level - {low}) * {BITS})").alias("block"), "pos", "size", "level", "idx", "digest", "id", "claim", "name",
         F.lit(None).cast("array<int>").alias("slots"), F.lit(None).cast("array<string>").alias("others"), F.lit(None).cast("string").alias("subroot"))
     none = {"size": "long", "level": "int", "digest": "string", "id": "long", "claim": "string", "name": "string"}
