@@ -35,7 +35,7 @@ from freshet.session import stored_table
 
 BLOCK_BYTES = 8 << 20        # text of the queries that are searched at once
 BUCKET = 2048        # vectors that are met at once
-SEED = 4 * BUCKET        # longest vectors that give the first thresholds
+SEED = 4 * BUCKET        # about as many of the longest vectors give the first thresholds
 FOCUS = 0.6        # share of a query's squared length in the coordinates that are summed first
 LAST = 2**63 - 1
 
@@ -245,9 +245,11 @@ def _search_block(docs: DataFrame, block: Queries, k: int) -> DataFrame:
     made = counts.filter(F.size("places") > 0).mapInArrow(_vectors(shared, documents, length or 1), "id long, norm double, places array<int>, impacts array<int>")
     spread = F.xxhash64("id", "places")        # copies have one length, hence the further keys
     vectors = stored_table(made.repartitionByRange(F.col("norm").desc(), spread).sortWithinPartitions(F.col("norm").desc()), "ranked-vectors")
-    longest = vectors.orderBy(F.col("norm").desc()).limit(SEED)
+    share = max(0.0, 1 - SEED / max(1, vectors.count()))
+    cut = vectors.agg(F.percentile_approx("norm", share, 10_000)).first()[0] or 0.0        # a bounded sketch; only thresholds hang on it
     start = sc.broadcast((block, weights, [0] * len(block.ids)))
-    seeds = longest.mapInArrow(_search(start, k), FOUND).groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("s")).filter(F.col("n") >= k).collect()
+    longest = _ranked(vectors.filter(F.col("norm") >= cut).mapInArrow(_search(start, k), FOUND), k)
+    seeds = longest.groupBy("q").agg(F.max("rank").alias("n"), F.min("score").alias("s")).filter(F.col("n") == k).collect()
     thresholds = [0] * len(block.ids)
     for r in seeds:
         thresholds[r["q"]] = r["s"]
