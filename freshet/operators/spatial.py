@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from freshet.operators.kernels import cell_overlap
 from freshet.operators.skew import salted
+from freshet.session import stored_table
 
 
 def edges(rings: Column) -> Column:
@@ -69,8 +70,9 @@ def cover(areas: DataFrame, cell: float, keep: list[str], spread: bool = False)
     # edges level with the row of cells are kept once per row, before the row is cut into cells
     level = lambda e: (F.greatest(e.y1, e.y2) >= F.col("_south")) & (F.least(e.y1, e.y2) <= F.col("_south") + cell)
     rows = rows.withColumn("_edges", F.filter("_edges", level))
-    if spread:        # the cells of one very large area come from many tasks
-        rows = rows.repartition(F.xxhash64(*keep, "cell_y"))
+    if spread:        # the cells of one very large area come from many tasks; few bytes may be much work, so their number is fixed
+        tasks = int(areas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartition(tasks, F.xxhash64(*keep, "cell_y"))
     cut = (rows.withColumn("cell_x", F.explode(F.sequence(F.floor(F.col("min_x") / cell), F.floor(F.col("max_x") / cell))))
            .withColumn("_west", F.col("cell_x") * cell))
     right_of = lambda e: F.greatest(e.x1, e.x2) >= F.col("_west")
@@ -113,39 +115,38 @@ def candidate_pairs(left: DataFrame, right: DataFrame, cell: float, left_keep: l
     return joined.select(*[F.col(f"a.{c}") for c in left_keep], *[F.col(f"b.{c}") for c in right_keep])
 
 
-def _held(areas: DataFrame, cell: float, keep: list[str]) -> DataFrame:
-    """The cover of areas with flat local edges and ``held``, the area of each shape inside each cell."""
-    covering = cover(areas, cell, keep, spread=True).withColumn("local", _flat(F.col("local")))
-    whole = F.lit(float(cell) * float(cell))
-    return covering.withColumn("held", F.when(F.col("local").isNull(), whole).otherwise(
-        cell_overlap("local", F.lit(None).cast("array<double>"), "cell_x", "cell_y", F.lit(float(cell)))))
-
-
 def overlaps(base: DataFrame, other: DataFrame, base_id: list[str], other_id: list[str], cell: float, min_area: float = 1.0,
              same: list[tuple[str, str]] | None = None) -> DataFrame:
     """Polygon pairs that really overlap, with the area and the share of the base polygon.
 
-    Both sides are cut to grid cells once.  Where one shape fills a cell the common part is the other's area in it; only cells that both
-    shapes cut go through the kernel, with the few edges of that cell, and the parts are summed per pair.  So nothing grows with the
-    vertices of a whole shape, and the sum keeps the size test from running the kernel again.  A crowded cell is salted.
-    Touching and sliver pairs (under ``min_area``) are dropped.
+    Both sides are cut to grid cells and written once; shapes meet on the cell, and each cell's common part comes from the few edges
+    there.  A base shape also meets nothing in each of its cells, which gives its own size, so one pass of the kernel measures
+    pairs and sizes alike and nothing grows with the vertices of a whole shape.  A crowded cell is salted.  Touching and sliver pairs
+    (under ``min_area``) are dropped.
     """
     same = same or []
     a_keep = [*base_id, *[l for l, _ in same if l not in base_id]]
     b_keep = [*other_id, *[r for _, r in same if r not in other_id]]
-    a = _held(base, cell, a_keep).select(*[F.col(c).alias(f"a_{c}") for c in a_keep], "cell_x", "cell_y", F.col("local").alias("a_local"), F.col("held").alias("a_held"))
-    b = _held(other, cell, b_keep).select(*[F.col(c).alias(f"b_{c}") for c in b_keep], "cell_x", "cell_y", F.col("local").alias("b_local"), F.col("held").alias("b_held"))
-    size = a.groupBy(*[f"a_{c}" for c in a_keep]).agg(F.sum("a_held").alias("base_m2"))
+
+    def cut(areas: DataFrame, keep: list[str], side: str) -> DataFrame:
+        cells = cover(areas, cell, keep, spread=True).select(
+            *[F.col(c).alias(f"{side}_{c}") for c in keep], "cell_x", "cell_y", _flat(F.col("local")).alias(f"{side}_local"))
+        return stored_table(cells, f"cells-{side}")
+
+    a, b = cut(base, a_keep, "a"), cut(other, b_keep, "b")
     left, right, on = salted(a, b, ["cell_x", "cell_y"], [f"a_{c}" for c in base_id])
     met = left.join(right, on)
     for l, r in same:
         met = met.filter(F.col(f"a_{l}") == F.col(f"b_{r}"))
-    both_cut = F.col("a_local").isNotNull() & F.col("b_local").isNotNull()
-    easy = met.filter(~both_cut).withColumn("common", F.when(F.col("a_local").isNull(), F.col("b_held")).otherwise(F.col("a_held")))
-    hard = met.filter(both_cut).withColumn("common", cell_overlap("a_local", "b_local", "cell_x", "cell_y", F.lit(float(cell))))
-    ids = [*[f"a_{c}" for c in a_keep], *[f"b_{c}" for c in b_keep]]
-    summed = easy.select(*ids, "common").unionByName(hard.select(*ids, "common")).groupBy(*ids).agg(F.sum("common").alias("overlap_m2"))
-    real = summed.filter(F.col("overlap_m2") >= min_area).join(size.filter("base_m2 > 0"), [f"a_{c}" for c in a_keep])
+    a_ids, b_ids = [f"a_{c}" for c in a_keep], [f"b_{c}" for c in b_keep]
+    needed = [*a_ids, *b_ids, "cell_x", "cell_y", "a_local", "b_local"]
+    alone = a.select(*a_ids, *[F.lit(None).cast(b.schema[c].dataType).alias(c) for c in b_ids], "cell_x", "cell_y", "a_local",
+                     F.lit(None).cast("array<double>").alias("b_local"), F.lit(True).alias("alone"))
+    every = met.select(*needed, F.lit(False).alias("alone")).unionByName(alone)
+    parts = every.withColumn("common", cell_overlap("a_local", "b_local", "cell_x", "cell_y", F.lit(float(cell))))
+    summed = stored_table(parts.groupBy(*a_ids, *b_ids, "alone").agg(F.sum("common").alias("overlap_m2")), "overlaps")
+    size = summed.filter(F.col("alone") & (F.col("overlap_m2") > 0)).select(*a_ids, F.col("overlap_m2").alias("base_m2"))
+    real = summed.filter(~F.col("alone") & (F.col("overlap_m2") >= min_area)).drop("alone").join(size, a_ids)
     return real.select(*[F.col(f"a_{c}").alias(c) for c in a_keep], *[F.col(f"b_{c}").alias(c) for c in b_keep if c not in a_keep],
                        "overlap_m2", (F.col("overlap_m2") / F.col("base_m2")).alias("share"))
 

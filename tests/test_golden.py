@@ -1,14 +1,17 @@
 """Small hand-made inputs with known answers."""
 
+import itertools
+import random
 import uuid
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from freshet.functions import place, risk, text
 from freshet.operators import guards, proximity, spatial
-from freshet.operators.kernels import _rising, common_area
+from freshet.operators.kernels import common_area
 from freshet.plans import briefing, exposure, grid, history, mapping, thresholds, timing
 from freshet.sources import statements
 
@@ -21,7 +24,7 @@ RINGS = "array<array<struct<x:double,y:double>>>"
 
 
 def flat(rings):
-    return _rising([v for ring in rings for p, q in zip(ring[:-1], ring[1:]) for v in (p["x"], p["y"], q["x"], q["y"])])
+    return np.array([(p["x"], p["y"], q["x"], q["y"]) for ring in rings for p, q in zip(ring[:-1], ring[1:])])
 
 
 def test_common_area_of_known_shapes():
@@ -67,7 +70,7 @@ def test_shapes_of_many_vertices_need_little_memory():
 
 
 def test_overlap_of_real_shapes(spark):
-    """An L, a box with a hole and a shape of two parts against a box, over several cells; the kernel is in one stage per input."""
+    """An L, a box with a hole and a shape of two parts against a box, over several cells."""
     ell = [[{"x": float(x), "y": float(y)} for x, y in ((0, 0), (30, 0), (30, 10), (10, 10), (10, 30), (0, 30), (0, 0))]]
     shapes = [("ell", ell), ("holed", box(0, 0, 30, 30) + box(5, 5, 25, 25)), ("parts", box(0, 0, 10, 10) + box(20, 20, 30, 30)), ("whole", box(-7, -7, 50, 50))]
     base = spark.createDataFrame(shapes, f"id string, rings {RINGS}")
@@ -77,8 +80,45 @@ def test_overlap_of_real_shapes(spark):
     for cell in (4.0, 7.0, 100.0):
         got = {r.id: (r.overlap_m2, r.share) for r in spatial.overlaps(base, other, ["id"], ["oid"], cell).collect()}
         assert got == {k: (pytest.approx(v), pytest.approx(v / area[k])) for k, v in want.items()}
-    plan = spatial.overlaps(base, other, ["id"], ["oid"], 7.0)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("cell_overlap(a_local") == 1
+
+
+def slow_common_area(a, b):
+    """Slabs between all heights where edges end or meet, one by one."""
+    edges = [(e, s) for s, shape in enumerate((a, b)) for e in flat(shape).tolist()]
+    heights = {y for (x1, y1, x2, y2), _ in edges for y in (y1, y2)}
+    for (p, _), (q, _) in itertools.combinations(edges, 2):
+        d = (p[2] - p[0]) * (q[3] - q[1]) - (p[3] - p[1]) * (q[2] - q[0])
+        if d:
+            t = ((q[0] - p[0]) * (q[3] - q[1]) - (q[1] - p[1]) * (q[2] - q[0])) / d
+            heights.add(p[1] + t * (p[3] - p[1]))
+    total, cuts = 0.0, sorted(heights)
+    for low, high in zip(cuts, cuts[1:]):
+        y = (low + high) / 2
+        xs = sorted((x1 + (x2 - x1) * (y - y1) / (y2 - y1), s) for (x1, y1, x2, y2), s in edges if (y1 <= y) != (y2 <= y))
+        inside = [False, False]
+        for (x, s), (following, _) in zip(xs, xs[1:]):
+            inside[s] = not inside[s]
+            total += (following - x) * (high - low) * all(inside)
+    return total
+
+
+def test_overlaps_of_random_shapes(spark):
+    """Shapes with slanted, crossing and shared edges, many to a batch, over cells of several sizes."""
+    rnd = random.Random(11)
+
+    def ring(whole):
+        x, y, at = rnd.randint(0, 60), rnd.randint(0, 60), lambda v: float(v if whole else v + rnd.random())
+        points = [{"x": at(x + rnd.randint(-20, 20)), "y": at(y + rnd.randint(-20, 20))} for _ in range(rnd.randint(3, 9))]
+        return points + points[:1]
+
+    shapes = [[ring(k % 2) for _ in range(rnd.choice([1, 1, 2]))] for k in range(12)] + [wheel(16, 30, 30, 25, 3), box(0, 0, 60, 60), box(10, 10, 30, 30)]
+    left = spark.createDataFrame(list(enumerate(shapes)), f"id int, rings {RINGS}")
+    right = spark.createDataFrame(list(enumerate(shapes[6:])), f"oid int, rings {RINGS}")
+    want = {(i, j): slow_common_area(a, b) for i, a in enumerate(shapes) for j, b in enumerate(shapes[6:])}
+    size = {i: slow_common_area(a, a) for i, a in enumerate(shapes)}
+    for cell in (9.0,):
+        got = {(r.id, r.oid): (r.overlap_m2, r.share) for r in spatial.overlaps(left, right, ["id"], ["oid"], cell, 0.01).collect()}
+        assert got == {k: (pytest.approx(v, rel=1e-6, abs=1e-6), pytest.approx(v / size[k[0]], rel=1e-6, abs=1e-6)) for k, v in want.items() if v >= 0.01}
 
 
 def test_overlap_drops_touching_and_slivers(spark):
