@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from freshet.bindings.base import PLACES_SQL, areas, points, query, site_boxes, sites, table, with_ctes
 from freshet.functions import place, risk
-from freshet.operators import proximity, spatial
+from freshet.operators import proximity, spans, spatial
 from freshet.plans import forecast, grid
 from freshet.sources import places
 
@@ -271,7 +271,7 @@ area_cells AS (SELECT a.area_id AS id, cy * 10000 + cx AS cell_key FROM areas a,
 def _cells(spark, d):
     key = (F.floor(F.col("northing") / 1000) * 10000 + F.floor(F.col("easting") / 1000)).cast("long")
     grid_rows = points(spark, d).groupBy(key.alias("cell_key")).agg(F.sum("people").alias("people"), F.sum("households").alias("households"))
-    owned = spatial.owned_cells(areas(spark, d).select(F.col("area_id").alias("id"), "rings"), "id", 1000.0)
+    owned = spans.owned_cells(areas(spark, d).select(F.col("area_id").alias("id"), "rings"), "id", 1000.0)
     return grid_rows, owned.select("id", (F.col("cell_y") * 10000 + F.col("cell_x")).cast("long").alias("cell_key"))
 
 
@@ -360,11 +360,18 @@ LABELS = {1: "Very Low", 2: "Low", 3: "Medium", 4: "High"}
 
 def _pixels(spark, d):
     source = F.when(F.col("s_nationkey") % 2 == 0, "rofrs").otherwise("flood_zones")
-    hazard = site_boxes(spark, d).select(source.alias("source"), (F.col("s_nationkey") % 4 + 1).alias("rank"), "rings")
-    return grid.paint(hazard, 100.0)
+    hazard = site_boxes(spark, d).select("box_id", source.alias("source"), (F.col("s_nationkey") % 4 + 1).alias("rank"), "rings")
+    return grid.paint(hazard, 100.0, "box_id")
 
 
 @query("a35_painted_pixels", PIXEL_SQL + " SELECT source, pixel_x, pixel_y, rank FROM pixels")
+def _(spark, d):
+    return spans.pixels(_pixels(spark, d))
+
+
+@query("a35_painted_spans", PIXEL_SQL + """,
+runs AS (SELECT *, pixel_x - row_number() OVER (PARTITION BY source, pixel_y, rank ORDER BY pixel_x) AS run FROM pixels)
+SELECT source, pixel_y, min(pixel_x) AS x_from, max(pixel_x) AS x_to, rank FROM runs GROUP BY source, pixel_y, rank, run""")
 def _(spark, d):
     return _pixels(spark, d)
 
@@ -379,8 +386,8 @@ def _(spark, d):
 @query("p20_hazard_cells", PIXEL_SQL + """
 SELECT source, count(*) AS pixels, count(DISTINCT (pixel_y // 10) * 10000 + pixel_x // 10) AS cells, max(rank) AS worst FROM pixels GROUP BY source""")
 def _(spark, d):
-    key = F.floor(F.col("pixel_y") / 10) * 10000 + F.floor(F.col("pixel_x") / 10)
-    return _pixels(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("pixels"), F.count_distinct(key).alias("cells"), F.max("rank").alias("worst"))
+    cells = grid.cells_of(_pixels(spark, d), 100.0, 1000.0)
+    return cells.groupBy("source").agg(F.sum("pixels").alias("pixels"), F.count_distinct("cell_key").alias("cells"), F.max("rank").alias("worst"))
 
 
 @query("a36_band_shares_from_samples", PLACES + """

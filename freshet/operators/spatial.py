@@ -222,30 +222,3 @@ def nearest_area(points: DataFrame, areas: DataFrame, point_id: str, area_id: st
     chosen = F.coalesce(F.col("_inside"), F.col(f"_near.{area_id}"))
     how = F.when(F.col("_inside").isNotNull(), "inside").when(F.col("_near").isNotNull(), "nearest").otherwise("none")
     return joined.select(*points.columns, chosen.alias(area_id), how.alias("placed_by"))
-
-
-def owned_cells(areas: DataFrame, area_id: str, cell: float = 100.0) -> DataFrame:
-    """(id, cell_x, cell_y) of the cells whose centre an area holds; an area that holds none owns one inner cell."""
-    covering = cover(areas, cell, [area_id])
-    mid_x, mid_y = F.col("cell_x") * cell + cell / 2, F.col("cell_y") * cell + cell / 2
-    owned = covering.filter(F.col("local").isNull() | contains(F.col("local"), mid_x, mid_y, False)).select(area_id, "cell_x", "cell_y")
-    small = with_bounds(areas).join(owned.select(area_id).distinct(), area_id, "left_anti")
-    # an inner point: half way between the first two crossings of the line through the middle of the box
-    mid = (F.col("min_y") + F.col("max_y")) / 2
-    crossings = F.array_sort(F.transform(
-        F.filter(edges(F.col("rings")), lambda e: (e.y1 > mid) != (e.y2 > mid)),
-        lambda e: (e.x2 - e.x1) * (mid - e.y1) / (e.y2 - e.y1) + e.x1))
-    inner = F.when(F.size(crossings) >= 2, (crossings[0] + crossings[1]) / 2).otherwise((F.col("min_x") + F.col("max_x")) / 2)
-    single = small.select(area_id, F.floor(inner / cell).alias("cell_x"), F.floor(mid / cell).alias("cell_y"))
-    return owned.unionByName(single)
-
-
-def painted_pixels(areas: DataFrame, rank: str, keep: list[str], pixel: float = 10.0) -> DataFrame:
-    """The worst rank per pixel centre, with the grouping columns ``keep``; order and batches do not matter.
-
-    A shape is cut into rows of pixels first; the rows are dealt to all tasks, and pixels are combined by ``max`` before the shuffle.
-    """
-    covering = cover(areas.filter(F.col(rank) > 0), pixel, [*keep, rank], spread=True)
-    mid_x, mid_y = F.col("cell_x") * pixel + pixel / 2, F.col("cell_y") * pixel + pixel / 2
-    held = covering.filter(F.col("local").isNull() | contains(F.col("local"), mid_x, mid_y, False))
-    return held.groupBy(*keep, F.col("cell_x").alias("pixel_x"), F.col("cell_y").alias("pixel_y")).agg(F.max(rank).alias(rank))

@@ -299,3 +299,31 @@ def test_past_statement_text_family(spark):
     r = spark.createDataFrame([("Groundwater Level", "GW.obs"), ("Water Level", "GW.obs"), ("Flow", "H.obs")], "t string, c string").select(
         text.reconciled_family(text.text_family(F.col("t")), text.code_family(F.col("c"))).alias("f")).collect()
     assert [x.f for x in r] == ["groundwater", "groundwater", None]
+
+
+def test_spans_of_odd_shapes(spark):
+    """Holes, two parts, slanted edges, corners and level edges on the centres of pixels, against every pixel's own test."""
+    from freshet.operators import spans
+
+    ring = lambda *p: [{"x": float(x), "y": float(y)} for x, y in (*p, p[0])]
+    shapes = [(1, "a", 1, box(0, 0, 95, 95) + box(15, 15, 35, 45)), (2, "a", 3, [ring((5, 5), (88, 20), (40, 91))]), (3, "a", 3, [ring((5, 5), (88, 20), (40, 91))]),
+              (4, "b", 2, box(-25, -25, 25, 25) + box(45, 45, 85, 55)), (5, "b", 4, [ring((0, 0), (60, 60), (60, 0), (0, 60))]), (6, "b", 1, box(1, 1, 3, 3))]
+    df = spark.createDataFrame(shapes, f"id int, source string, rank int, rings {RINGS}")
+    centres = [(i, j, i * 10 + 5.0, j * 10 + 5.0) for i in range(-4, 11) for j in range(-4, 11)]
+    pixels = spark.createDataFrame(centres, "i int, j int, x double, y double")
+    inside = df.crossJoin(pixels).filter(spatial.contains(spatial.edges(F.col("rings")), F.col("x"), F.col("y"), False))
+    for shape_id in (None, "id"):
+        filled = spans.pixels(spans.filled(df, 10.0, ["source", "rank"], shape_id))
+        assert sorted(map(tuple, filled.collect())) == sorted((r.source, r["rank"], r.i, r.j) for r in inside.collect())
+    painted = grid.paint(df, 10.0, "id")
+    want = {(r.source, r.i, r.j): r.worst for r in inside.groupBy("source", "i", "j").agg(F.max("rank").alias("worst")).collect()}
+    assert {(r.source, r.pixel_x, r.pixel_y): r["rank"] for r in spans.pixels(painted).collect()} == want
+    held = grid.with_hazard_ranks(pixels.select("i", "j", F.col("x").alias("easting"), F.col("y").alias("northing")), painted, {"a": "ra", "b": "rb"}, 10.0).collect()
+    assert all((r.ra, r.rb) == (want.get(("a", r.i, r.j), 0), want.get(("b", r.i, r.j), 0)) for r in held) and len(held) == len(centres)
+
+
+def test_a_large_shape_makes_few_span_rows(spark):
+    df = spark.createDataFrame([("a", 2, wheel(500, 30_000, 30_000, 25_000, 4))], f"source string, rank int, rings {RINGS}")
+    painted = grid.paint(df, 10.0)
+    assert painted.count() <= 5100
+    assert painted.agg(F.sum(F.col("x_to") - F.col("x_from") + 1)).first()[0] > 19e6        # pixels in those rows
