@@ -275,7 +275,7 @@ def _(spark, d):
 
 @query("w11_national_percentile", GRID_SQL + " SELECT cell_key, round((less + (same + 1) / 2.0) / n, 9) AS pct FROM g")
 def _(spark, d):
-    ranked = percent_rank_average(_grid(spark, d), [], "people", 100.0, "pct")
+    ranked = percent_rank_average(_grid(spark, d), [], "people", "pct")
     return ranked.select("cell_key", F.round("pct", 9).alias("pct"))
 
 
@@ -284,7 +284,7 @@ p AS (SELECT *, CASE WHEN people > 0 THEN round_even((less + (same + 1) / 2.0) /
 SELECT cell_key, round(pop_pct, 4) AS pop_pct, round(haz_rs, 4) AS haz_rs,
   round_even(100 * (haz_rs / 4) * ((0.5 * pop_pct + 0.3 * CASE WHEN decile > 0 THEN (11 - decile) / 10 ELSE 0 END + 0.2 * (least(critical_sites, 3.0) / 3)) / 1.0), 2) AS risk_score FROM p""")
 def _(spark, d):
-    scored = grid.with_score(_grid(spark, d), {"pop": 0.5, "vulnerability": 0.3, "critical": 0.2}, width=100.0)
+    scored = grid.with_score(_grid(spark, d), {"pop": 0.5, "vulnerability": 0.3, "critical": 0.2})
     return scored.select("cell_key", "pop_pct", F.round("haz_rs", 4).alias("haz_rs"), "risk_score")
 
 

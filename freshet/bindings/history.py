@@ -318,7 +318,7 @@ def _(spark, d):
 
 @query("a43_exact_median_by_key", "SELECT l_returnflag, median(l_extendedprice) AS median_price FROM lineitem GROUP BY l_returnflag")
 def _(spark, d):
-    return exact_median(table(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", 500.0, "median_price")
+    return exact_median(table(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", "median_price")
 
 
 @query("l02_top_episodes_per_area", HISTORY + """

@@ -48,6 +48,6 @@ def numbered_ids(df: DataFrame, key: str, order: list[str], out: str = "site_id"
     """
     from freshet.operators.scan import with_prior
 
-    counted = with_prior(df, [key], order, chunk if chunk is not None else F.lit(0), total={"_n": F.lit(1)})
+    counted = with_prior(df, [key], order, chunk, total={"_n": F.lit(1)})
     unique = F.when(F.col("_n") > 0, F.concat(F.col(key), F.lit("#"), F.col("_n").cast("string"))).otherwise(F.col(key))
     return counted.withColumn(out, unique).drop("_n")

@@ -76,7 +76,7 @@ def day_one(links: DataFrame, statements: DataFrame) -> DataFrame:
 def statement_pairs(statements: DataFrame) -> DataFrame:
     """Each statement with the one before it; the scan is cut by month, so the history never sits in one task."""
     ordered = statements.select("statement_id", "issued_at")
-    before = with_prior(ordered, [], ["issued_at", "statement_id"], F.trunc("issued_at", "month"), last={
+    before = with_prior(ordered, [], ["issued_at", "statement_id"], None, last={
         "_before": F.struct("statement_id", "issued_at")})
     return before.filter("_before IS NOT NULL").select(
         "statement_id", "issued_at", F.col("_before.statement_id").alias("previous_statement_id"),

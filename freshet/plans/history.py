@@ -79,7 +79,7 @@ def with_runs(events: DataFrame, chunk: Column | None = None) -> DataFrame:
     """Events with their run in force (offs strictly before) and the level before them."""
     ordered = events.withColumn("_tie", lookup(F.col("level"), TIE))
     off = (F.col("level") == OFF).cast("long")
-    return with_prior(ordered, ["area_code"], ["time", "_tie"], chunk if chunk is not None else F.trunc("time", "month"),
+    return with_prior(ordered, ["area_code"], ["time", "_tie"], chunk,
                       last={"prior_level": F.col("level")}, total={"run": off})
 
 

@@ -21,7 +21,7 @@ def upcrossings(readings: DataFrame, keys: list[str], time: str, value: str, thr
     """
     usable = readings.filter(F.col(time).isNotNull() & F.col(value).isNotNull()).withColumn("_limit", threshold)
     above = F.col(value) >= F.col("_limit")
-    state = with_prior(usable, keys, [time], chunk if chunk is not None else F.to_date(time), last={
+    state = with_prior(usable, keys, [time], chunk, last={
         "_prior": F.struct(F.col(time).alias("t"), F.col(value).alias("v")), "_above": F.when(above, F.col(time))})
     calm = F.col("_above").isNull() | (
         micros(F.col("_prior.t")) - micros(F.col("_above")) >= F.lit(int(reset_hours * 3_600_000_000)))
@@ -115,4 +115,4 @@ def timing_summary(results: DataFrame) -> DataFrame:
 
     total = F.sum("_events").over(Window.partitionBy(F.lit(0)))
     shares = counts.withColumn("share_of_res_events", F.round(F.try_divide(F.col("_events"), total), 3)).drop("_events")
-    return shares.join(exact_median(results, ["outcome"], "lead_hours", 24.0, "median_lead_hours"), "outcome", "left")
+    return shares.join(exact_median(results, ["outcome"], "lead_hours", "median_lead_hours"), "outcome", "left")

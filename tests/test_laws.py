@@ -39,8 +39,21 @@ def test_chunked_scan_equals_plain_scan(spark):
     data = [(k, i, rnd.choice([None, 1.0, 2.0, 5.0])) for k in range(3) for i in range(60)]
     df = spark.createDataFrame(data, "k int, i int, v double")
     results = [rows(scan.with_prior(df, ["k"], ["i"], chunk, last={"p": F.col("v")}, total={"s": F.coalesce("v", F.lit(0.0))}))
-               for chunk in (F.lit(0), F.floor(F.col("i") / 7), F.col("i"))]
-    assert results[0] == results[1] == results[2]
+               for chunk in (F.lit(0), F.floor(F.col("i") / 7), F.col("i"), None)]
+    assert results[0] == results[1] == results[2] == results[3]
+
+
+def test_ranges_of_a_hot_key_come_from_the_data(spark):
+    """Half of the rows on one key and most of them in one hour: ranges of about equal count, and the plain result."""
+    rnd = random.Random(2)
+    data = [(None if k > 40 else k, i * 50 if i % 9 == 0 else 90_000 + i, rnd.choice([None, 1, 2])) for i in range(6000) for k in [0 if i % 2 else 1 + rnd.randint(0, 45)]]
+    df = spark.createDataFrame(data, "k int, i int, v int").dropDuplicates(["k", "i"]).withColumn("t", F.timestamp_seconds("i"))
+    parts = scan.ranged(df, ["k"], ["t"]).groupBy("_key", "_chunk").count()
+    hot = [r["count"] for r in parts.filter("_key.k = 0").collect()]
+    assert len(hot) >= 8 and max(hot) < 700 and parts.filter("_key.k IS NULL").count() >= 1
+    state = dict(last={"p": F.col("v")}, total={"s": F.coalesce("v", F.lit(0))})
+    assert rows(scan.with_prior(df, ["k"], ["t"], **state)) == rows(scan.with_prior(df, ["k"], ["t"], F.lit(0), **state))
+    assert rows(scan.with_prior(df.filter("k = 3"), [], ["i"], **state)) == rows(scan.with_prior(df.filter("k = 3"), [], ["i"], F.lit(0), **state))
 
 
 def test_average_rank_percentile(spark):
@@ -49,7 +62,7 @@ def test_average_rank_percentile(spark):
     values = [random.Random(i).randint(0, 9) for i in range(80)]
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "id int, v double")
     want = pd.Series(values).rank(pct=True)
-    got = scan.percent_rank_average(df, [], "v", 3.0, "p").collect()
+    got = scan.percent_rank_average(df, [], "v", "p").collect()
     assert all(r.p == pytest.approx(want[r.id]) for r in got)
 
 
