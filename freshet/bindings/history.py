@@ -17,7 +17,7 @@ DAY = lambda c="time": F.to_date(c)
 
 def _history(spark, d):
     gap = (F.lit("2024-01-10").cast("timestamp_ntz"), F.lit("2024-01-11").cast("timestamp_ntz"))
-    return history.episodes_and_periods(messages(spark, d), AS_OF(), gap, DAY())
+    return history.episodes_and_periods(messages(spark, d), AS_OF(), gap)
 
 
 HISTORY = with_ctes(MESSAGES_SQL)
@@ -34,7 +34,7 @@ def _(spark, d):
 @query("w06_orphan_switch_offs", HISTORY + """
 SELECT count(*) AS orphan_off FROM (SELECT area_code, run FROM ordered GROUP BY area_code, run HAVING count(*) FILTER (level <> 'off') = 0)""")
 def _(spark, d):
-    return history.orphan_offs(messages(spark, d), DAY())
+    return history.orphan_offs(messages(spark, d))
 
 
 @query("w07_periods_inside_episodes", HISTORY + """

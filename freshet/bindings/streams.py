@@ -51,10 +51,10 @@ def _(spark, d):
 @query("t02_live_tail_with_retention", """
 SELECT user_id, count(*) AS n FROM events WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 4 DAY GROUP BY user_id""")
 def _(spark, d):
-    t, landing, check = _table(spark, "t02"), scratch_path(spark, "t02-landing"), scratch_path(spark, "t02-check")
+    out, late, landing, check = [scratch_path(spark, f"t02-{n}") for n in ("out", "late", "landing", "check")]
     _in_polls(table(spark, d, "events"), landing, lambda: feeds.run_available(
-        lambda: feeds.live_tail(_polled(spark, landing).select("user_id", "ts", "value"), t, ["user_id"], "ts", 4, check)))
-    return t.read().groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+        lambda: feeds.live_tail(_polled(spark, landing).select("user_id", "ts", "value"), out, late, ["user_id"], "ts", 4, check)))
+    return feeds.tail_view(spark, out, "ts", 4).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("p10_live_tail_served_latest", "SELECT user_id, arg_max(value, ts) AS value, arg_max(event_type, ts) AS event_type FROM events GROUP BY user_id")
@@ -68,14 +68,14 @@ def _(spark, d):
 
 
 def _latest(spark, d):
-    t, landing, check = _table(spark, "t06"), scratch_path(spark, "t06-landing"), scratch_path(spark, "t06-check")
+    out, landing, check = [scratch_path(spark, f"t06-{n}") for n in ("out", "landing", "check")]
 
     def run():
         newest = feeds.latest_per_key(_polled(spark, landing), ["user_id"], "ts", ["event_id", "value", "event_type"])
-        feeds.run_available(lambda: feeds.serve_latest(newest, t, ["user_id"], ["ts", "event_id"], check))
+        feeds.run_available(lambda: feeds.serve_latest(newest, out, check))
 
     _in_polls(table(spark, d, "events"), landing, run)
-    return t.read()
+    return feeds.latest_view(spark, out, ["user_id"], ["ts", "event_id"])
 
 
 @query("t03_change_detection_with_state", """
@@ -113,14 +113,23 @@ def _(spark, d):
     return both.agg(F.count_if(F.col("n").isNull()).alias("children"), F.count("n").alias("log_rows"), F.sum("n").alias("logged"))
 
 
-@query("t07_episode_tracking", with_ctes(MESSAGES_SQL) + "SELECT area_code, count(*) AS episodes, sum(n_messages) AS messages FROM episodes GROUP BY area_code")
-def _(spark, d):
-    landing = scratch_path(spark, "t07-landing")
-    events, episodes, check = _log(spark, "t07-events"), _table(spark, "t07-episodes"), scratch_path(spark, "t07-check")
+def _tracked(spark, d):
+    out, landing, check = [scratch_path(spark, f"t07-{n}") for n in ("out", "landing", "check")]
 
     def run():
         rows = feeds.read_files(spark, landing, spark.read.parquet(landing).schema, per_trigger=1)
-        feeds.run_available(lambda: feeds.track_episodes(rows, events, episodes, F.lit("2024-02-05").cast("timestamp_ntz"), check))
+        feeds.run_available(lambda: feeds.track_episodes(rows, "40 days", 30, out, check))
 
     _in_polls(messages(spark, d).drop("user_id", "event_id"), landing, run)
-    return episodes.read().groupBy("area_code").agg(F.count(F.lit(1)).alias("episodes"), F.sum("n_messages").alias("messages"))
+    return feeds.episode_view(spark, out)
+
+
+@query("t07_episode_tracking", with_ctes(MESSAGES_SQL) + "SELECT area_code, count(*) AS episodes, sum(n_messages) AS messages FROM episodes GROUP BY area_code")
+def _(spark, d):
+    return _tracked(spark, d).groupBy("area_code").agg(F.count(F.lit(1)).alias("episodes"), F.sum("n_messages").alias("messages"))
+
+
+@query("t07_tracked_episodes", with_ctes(MESSAGES_SQL) + """
+SELECT area_code, CAST(run AS BIGINT) AS run, start_time, end_time, start_level, peak_level, n_messages, CASE WHEN end_time IS NULL THEN 'open' ELSE 'no_longer_in_force' END AS ended_by FROM episodes""")
+def _(spark, d):
+    return _tracked(spark, d).drop("stale_open").withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start_time", "end_time")})
