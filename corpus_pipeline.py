@@ -16,6 +16,7 @@ from freshet.session import stored_table
 
 
 NEAR_PER_CENT = 80        # similarity from which documents are near-duplicates
+LEAST_WORDS = 10        # the first base rule, which holds for what the line stage leaves as well
 
 
 def _marked(docs: DataFrame) -> DataFrame:
@@ -29,15 +30,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that an earlier document holds; n_chars follows the text."""
-    rewritten = line_dedup.rewrite(docs)
+    """Documents without the lines that an earlier document holds; n_chars follows the text.  What is left of a document has to have
+    the words that the base rules ask for, else it goes: empty texts and rumps are no documents.  Untouched documents stay."""
+    rewritten = line_dedup.rewrite(docs, least_words=LEAST_WORDS)
     return rewritten.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else rewritten
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
-    kept = minhash.near_duplicates(docs, per_cent=NEAR_PER_CENT).filter("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return _marked(docs).join(kept, F.col("id").eqNullSafe(F.col("_id")), "left_semi").select("row.*")
+    """One document of each group of near-duplicates, the one with the smallest id; equal texts without an id are one document."""
+    kept = minhash.near_duplicates(docs, per_cent=NEAR_PER_CENT).filter("kept").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
+    met = _marked(docs).join(kept, F.col("id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left_semi")
+    unnamed = met.filter("id IS NULL")
+    if unnamed.isEmpty():
+        return met.select("row.*")
+    return met.filter("id IS NOT NULL").unionByName(unnamed.dropDuplicates(["mark"])).select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
