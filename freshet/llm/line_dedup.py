@@ -84,13 +84,17 @@ def deduplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return _lines_kept(documents.join(drop_runs(docs, id_col, text_col, least), ["id", "mark"], "left"), "doc_id", "mark")
 
 
-def rewrite(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_CHARS) -> DataFrame:
+def rewrite(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST_CHARS, least_words: int = 0) -> DataFrame:
     """``docs`` with the repeated lines gone from its texts, all other columns as they are; a NULL text stays NULL.
 
-    The rows travel once, to meet their bitmaps.
+    A document that lost lines and has fewer than ``least_words`` words left goes; one that lost nothing stays, however short.  The rows
+    travel once, to meet their bitmaps.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.col(text_col).isNull().alias("_empty"))
-    rows = docs.select(rest.alias("row"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
-    kept = _lines_kept(rows.join(drop_runs(docs, id_col, text_col, least), ["id", "mark"], "left"), "row")
-    return kept.select(*[F.when(~F.col("row._empty"), F.col("kept_text")).alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.lit(0))        # never without fields
+    rows = docs.select(rest.alias("row"), F.col(text_col).isNull().alias("unknown"), F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    kept = _lines_kept(rows.join(drop_runs(docs, id_col, text_col, least), ["id", "mark"], "left"), "row", "unknown")
+    if least_words:
+        found = F.size(F.regexp_extract_all("kept_text", F.lit(f"[^{SPACES}]+"), F.lit(0)))
+        kept = kept.filter((F.col("n_dropped") == 0) | (found >= least_words))
+    return kept.select(*[F.when(~F.col("unknown"), F.col("kept_text")).alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])

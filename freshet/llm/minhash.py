@@ -12,8 +12,11 @@ text to the first of its key, so no pairs inside a group are made.  The connecte
 pair within the distance.  Inside a loose group the full sets are compared in blocks of bounded size: a task gets two blocks,
 counts all intersections by a matrix product and returns only a spanning forest of the confirmed links.
 
-Defined cases: no words give an empty set, linked with nothing; fewer words than a shingle give one shingle; a NULL id counts as
-the largest id; rows that repeat an id are one document and share its component.
+Links are between rows, so that every NULL id is a document of its own; the component's name is the smallest id among its rows.
+
+Defined cases: no words give an empty set, linked with nothing; fewer words than a shingle give one shingle; rows that repeat an id are
+one document and share its component; a component of NULL ids only has a NULL name and keeps its first row, any other NULL id in a
+component is not kept.
 """
 
 from __future__ import annotations
@@ -38,7 +41,6 @@ PER_CENT = 85        # linked from this similarity on, unless the caller says an
 MISSED = 3e-6        # chance that a pair of just this similarity differs in more values than the join guarantees
 BLOCK_TEXTS = 200        # texts of a block, and shingles of a block, on average
 BLOCK_SHINGLES = 500_000
-LAST_ID = 2**63 - 1
 COLUMN_SLICE = 8192
 
 _FACTORS = np.random.default_rng(1).integers(1, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -95,7 +97,7 @@ def chunk_keys(signature: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
     return out
 
 
-_PRINTS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("keys", pa.list_(pa.int64()))])
+_PRINTS = pa.schema([("id", pa.int64()), ("mark", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
 
 def _prints(chunks: int):
@@ -114,7 +116,7 @@ def _printed(batches, chunks: int):
             sums = [np.array([f(s) for s in sets], np.uint64).view(np.int64) for f in (
                 lambda s: mix(s).sum(dtype=np.uint64), lambda s: mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))]
             ends = np.concatenate([[0], np.cumsum((n > 0) * HASHES)]).astype(np.int32)
-            yield pa.record_batch([batch.column(0).slice(a, b - a), pa.array(n), pa.array(sums[0]), pa.array(sums[1]),
+            yield pa.record_batch([batch.column(0).slice(a, b - a), batch.column(2).slice(a, b - a), pa.array(n), pa.array(sums[0]), pa.array(sums[1]),
                                    pa.ListArray.from_arrays(pa.array(ends), pa.array(keys))], schema=_PRINTS)
 
 
@@ -222,29 +224,50 @@ def _packed_sets(batches):
                                    pa.array([s.tobytes() for s in shingle_sets(data, offsets)], pa.binary())], schema=schema)
 
 
+def _nodes(base: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with their node, the first row with an equal set, and links between the nodes of rows that repeat an id."""
+    same = ["n", "h1", "h2"]
+    classes = base.filter("n > 0").groupBy(*same).agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    with_rep = join_counted(base, stored_table(classes, "classes"), same, ["row"], "rows", total)
+    rows = stored_table(with_rep.select("row", "id", "mark", "n", "keys", F.coalesce("rep", "row").alias("node")), "nodes")
+    repeated_ids = rows.filter("id IS NOT NULL").groupBy("id").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("rows")).filter("low < high")
+    by_id = join_counted(rows.select("id", "row", "node"), repeated_ids.drop("high"), ["id"], ["row"], "rows", total, "inner")
+    return rows, by_id.filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
+
+
+def _components(rows: DataFrame, links: DataFrame, total: int) -> DataFrame:
+    """(row, component, first): the smallest id and the first row that links reach from a row."""
+    found = connected(links).withColumnRenamed("id", "node")
+    nodes = rows.groupBy("node").agg(F.min("id").alias("id"), F.min("row").alias("first"), F.count(F.lit(1)).alias("rows"))
+    rooted = stored_table(nodes.join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+    wide = rooted.groupBy("root").agg(F.min("id").alias("component"), F.min("first").alias("opening"), F.count(F.lit(1)).alias("nodes"))
+    known = join_counted(rooted.select("node", "root", "rows"), wide, ["root"], ["node"], "nodes", total).select("node", "component", "opening", "rows")
+    return join_counted(rows.select("row", "id", "mark", "n", "node"), known, ["node"], ["row"], "rows", total)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_cent: int = PER_CENT) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links from ``per_cent`` on, its own included) and kept."""
-    source = texts(docs, id_col, text_col).select(F.coalesce("id", F.lit(LAST_ID)).alias("id"), "text")
-    base = stored_table(source.mapInArrow(_prints(chunks_for(per_cent)), "id long, n long, h1 long, h2 long, keys array<long>"), "prints")
+    """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links from ``per_cent`` on, its own included), kept and mark
+    (hash of the text, which with doc_id names the row)."""
+    source = texts(docs, id_col, text_col)
+    prints = source.mapInArrow(_prints(chunks_for(per_cent)), "id long, mark long, n long, h1 long, h2 long, keys array<long>")
+    base = stored_table(prints.withColumn("row", F.monotonically_increasing_id()), "prints")
     total = base.count()
-    same = ["n", "h1", "h2"]
-    classes = stored_table(base.filter("n > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "classes")
-    with_rep = join_counted(base.select("id", *same, "keys"), classes, same, ["id"], "rows", total)
-    reps = with_rep.filter("n > 0 AND (rep IS NULL OR rep = id)").select("id", "keys")
+    rows, by_id = _nodes(base, total)
+    reps = rows.filter("n > 0 AND node = row").select(F.col("row").alias("id"), "keys")
     loose = connected(_loose_links(reps)).withColumnRenamed("root", "grp")
-    sized = loose.join(base.filter("n > 0").groupBy("id").agg(F.max("n").alias("n")), "id")
+    sized = stored_table(loose.join(rows.select(F.col("row").alias("id"), F.col("id").alias("doc"), "mark", "n"), "id"), "loose")
     blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_TEXTS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     groups = sized.groupBy("grp").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles")).withColumn("blocks", blocks).drop("shingles")
-    members = join_counted(loose, groups, ["grp"], ["id"], "rows", total).select("id", "grp", "blocks")
-    sets = members.join(source, "id").select("id", "grp", "blocks", "text").mapInArrow(_packed_sets, "id long, grp long, blocks int, shingles binary")
+    members = join_counted(sized.select("id", "grp", "doc", "mark"), groups, ["grp"], ["id"], "rows", total)
+    given = source.select(F.col("id").alias("_doc"), F.col("mark").alias("_mark"), "text")
+    met = members.join(given, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark"))).select("id", "grp", "blocks", "text")
+    if not rows.groupBy("id", "mark").count().filter("count > 1").isEmpty():        # a row given twice is met twice
+        met = met.dropDuplicates(["id"])
+    sets = met.mapInArrow(_packed_sets, "id long, grp long, blocks int, shingles binary")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    met = sets.withColumn("own", own).select("id", "grp", "own", "shingles", F.explode_outer(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    pairs = met.select("grp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "shingles")
+    dealt = sets.withColumn("own", own).select("id", "grp", "own", "shingles", F.explode_outer(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    pairs = dealt.select("grp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "shingles")
     links = pairs.repartition(partitions(docs.sparkSession), "grp", "low", "high").sortWithinPartitions("grp", "low", "high").mapInArrow(_compare(per_cent), "a long, b long")
-    found = connected(links)
-    of_rep = classes.select(*same, "rep", "rows").join(found.select(F.col("id").alias("rep"), "root"), "rep", "left").withColumn("root", F.coalesce("root", "rep")).drop("rep")
-    labelled = join_counted(base.select("id", *same), of_rep.withColumnRenamed("root", "by_class"), same, ["id"], "rows", total)
-    labelled = labelled.join(found.withColumnRenamed("root", "by_link"), "id", "left")
-    component = F.coalesce("by_class", "by_link", "id")
-    as_id = lambda c: F.when(c == LAST_ID, F.lit(None)).otherwise(c)        # noqa: E731
-    return labelled.select(as_id(F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), as_id(component).alias("component_id"), (component == F.col("id")).alias("kept"))
+    labelled = _components(rows, links.unionByName(by_id), total)
+    kept = F.coalesce(F.col("id") == F.col("component"), F.col("component").isNull() & (F.col("row") == F.col("opening")))
+    return labelled.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), kept.alias("kept"), "mark")

@@ -33,7 +33,7 @@ _REST = "CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3)
 
 
 @query("op1_url_association_rules", rf"""
-WITH p AS (SELECT page_id, url, {_REST} AS rest FROM pages),
+WITH RECURSIVE p AS (SELECT page_id, url, {_REST} AS rest FROM pages),
 u AS (SELECT page_id, url, rest, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM p),
 l AS (SELECT *, string_split(host, '.') AS hl FROM u WHERE rest IS NOT NULL),
@@ -44,18 +44,16 @@ t AS (SELECT DISTINCT page_id, url, token FROM (
   UNION ALL SELECT page_id, url, 'q:' || regexp_extract(q, '^([^=]*)', 1) FROM (SELECT page_id, url, unnest(string_split(regexp_extract(rest, '^[^?#]*\?([^#]*)', 1), '&')) AS q FROM l) WHERE q <> ''
   UNION ALL SELECT page_id, url, 'f:' FROM l WHERE instr(rest, '#') > 0)),
 labelled AS (SELECT page_id, coalesce(quality = 0, FALSE) OR coalesce(toxic = 1, FALSE) AS bad FROM pages JOIN labels ON doc_id = page_id WHERE quality IS NOT NULL OR toxic IS NOT NULL),
-least_urls AS (SELECT greatest(ceil({url_rules.MIN_SUPPORT} * count(*)), {url_rules.LEAST_URLS}) AS m FROM labelled),
+least_urls AS (SELECT greatest(ceil({url_rules.MIN_SUPPORT} * count(*)), {url_rules.LEAST_URLS}) AS m FROM labelled WHERE bad AND page_id IN (SELECT page_id FROM t)),
 lt AS (SELECT page_id, bad, token FROM labelled JOIN t USING (page_id)),
 often AS (SELECT token FROM lt WHERE bad GROUP BY token HAVING count(*) >= (SELECT m FROM least_urls)),
 ft AS (SELECT lt.* FROM lt JOIN often USING (token)),
-sets AS (SELECT [token] AS rule, bad FROM ft
-  UNION ALL SELECT [a.token, b.token], a.bad FROM ft a JOIN ft b ON a.page_id = b.page_id AND a.token < b.token
-  UNION ALL SELECT [a.token, b.token, c.token], a.bad FROM ft a JOIN ft b ON a.page_id = b.page_id AND a.token < b.token JOIN ft c ON a.page_id = c.page_id AND b.token < c.token),
+sets AS (SELECT page_id, bad, [token] AS rule, token AS last FROM ft
+  UNION ALL SELECT s.page_id, s.bad, list_append(s.rule, ft.token), ft.token FROM sets s JOIN ft ON ft.page_id = s.page_id AND ft.token > s.last),
 rules AS (SELECT rule, count(*) FILTER (bad) AS support, count(*) FILTER (bad) / count(*)::DOUBLE AS confidence FROM sets GROUP BY rule
           HAVING count(*) FILTER (bad) >= (SELECT m FROM least_urls) AND count(*) FILTER (bad) / count(*)::DOUBLE >= {url_rules.MIN_CONFIDENCE}),
-kept_rules AS (SELECT rule FROM rules r WHERE NOT EXISTS (SELECT 1 FROM rules s WHERE len(s.rule) < len(r.rule) AND list_has_all(r.rule, s.rule) AND s.confidence >= r.confidence)),
 own AS (SELECT page_id, list(token) AS tokens FROM t GROUP BY page_id),
-mined AS (SELECT DISTINCT page_id FROM own, kept_rules WHERE list_has_all(tokens, rule)),
+mined AS (SELECT DISTINCT page_id FROM own, rules WHERE list_has_all(tokens, rule)),
 ruled AS (SELECT page_id, host, path, CASE
     WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
     WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
@@ -224,7 +222,7 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, l
 comp AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM comp LEFT JOIN n USING (doc_id)""")
 def op8(spark, d):
-    return minhash.near_duplicates(table(spark, d, "documents"))
+    return minhash.near_duplicates(table(spark, d, "documents")).drop("mark")
 
 
 # ---- 9: lines that an earlier document holds ----------------------------------------------------------------------------

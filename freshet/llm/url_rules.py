@@ -1,12 +1,12 @@
 """URL filter: explicit host and path rules, then association rules mined from labelled URLs.
 
 A URL is a set of tokens: scheme, host suffixes, path segments with numbers masked, query keys, fragment.  FP-growth finds the
-token sets that are frequent among labelled URLs; a set that is bad often enough (support and confidence) becomes a rule, unless
-a smaller rule inside it is at least as sure.  Rules are posted in an inverted index under their rarest token; a URL meets only
+token sets that are frequent among the bad ones; a set that is bad often enough (support and confidence) becomes a rule, unless a
+smaller rule lies inside it, which would block the same URLs.  Rules are posted in an inverted index under their rarest token; a URL meets only
 the rules of its own tokens and is blocked if all tokens of one are its own.
 
-Each frequent token holds ``MIN_SUPPORT`` of the labelled URLs, which bounds tokens and rules whatever the size of the table; the
-index is broadcast up to ``BROADCAST_RULES`` rules and joined with hot tokens split beyond it.
+Each frequent token holds ``MIN_SUPPORT`` of the bad URLs, which bounds the tokens whatever the size of the table; tokens that always come
+together count as one, so a template of many keys is one item.  The index is broadcast up to ``BROADCAST_RULES`` rules and joined with hot tokens split beyond it.
 
 Defined cases: a NULL url or one without ``://`` has empty host and path and no tokens, so nothing blocks it; without labels there
 are no mined rules; repeated rows are judged once and given back as often as they came.
@@ -14,7 +14,7 @@ are no mined rules; repeated rows are judged once and given back as often as the
 
 from __future__ import annotations
 
-from functools import reduce
+from math import ceil
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
@@ -25,11 +25,10 @@ from freshet.session import stored_table
 
 # verdict, host, path: the longest fitting rule decides
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
-MIN_SUPPORT = 0.005        # of the labelled URLs: bad ones with all tokens of the rule
+MIN_SUPPORT = 0.0005        # of the bad URLs: those with all tokens of the rule
 LEAST_URLS = 10        # and so many at least
 MIN_CONFIDENCE = 0.7
 BROADCAST_RULES = 20_000
-BAD = "label=bad"
 
 
 def _rest(url: Column) -> Column:
@@ -59,33 +58,63 @@ def tokens(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.array_distinct(F.concat(scheme, suffixes, segments, queries, fragment))).otherwise(F.array().cast("array<string>"))
 
 
+def _same_urls(posted: DataFrame) -> DataFrame:
+    """(token, first): the first of the tokens that occur in exactly the same URLs; ``posted`` has token, url (a number) and bad.
+
+    Host suffixes or the query keys of one template always come together; as one item they cannot multiply the sets that are mined.  Lists of
+    URLs are compared by count and two sums of hashes.
+    """
+    seen = posted.groupBy("token").agg(F.count(F.lit(1)).alias("urls"), *[F.sum(F.xxhash64(F.col("url"), F.lit(k)).cast("decimal(38,0)")).alias(f"h{k}") for k in (1, 2)])
+    firsts = seen.groupBy("urls", "h1", "h2").agg(F.min("token").alias("first"))
+    return seen.join(firsts, ["urls", "h1", "h2"]).select("token", "first", "urls")
+
+
+def _holding(rules: DataFrame, postings: DataFrame, urls: DataFrame) -> DataFrame:
+    """(rule, url, bad): the URLs that hold all tokens of a rule, found under its rarest token; ``urls`` has url, bad and tokens."""
+    posted = index(rules, postings)
+    left, right, on = salted(stored_table(urls.select("url", "bad", "tokens", F.explode("tokens").alias("token")), "url-tokens"), posted, ["token"], ["url"])
+    return left.join(right, on).filter(F.size(F.array_except("rule", "tokens")) == 0).select("rule", "url", "bad")
+
+
 def mine(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
          least: int = LEAST_URLS) -> DataFrame:
-    """(rule, support, confidence): sorted token sets, of any size, that go with bad URLs."""
-    baskets = labelled.filter(F.col(bad_col).isNotNull()).select(tokens(F.col(url_col)).alias("tokens"), F.col(bad_col).cast("boolean").alias("bad"))
-    items = stored_table(baskets.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items")), "baskets")
-    n = items.count()
-    empty = items.sparkSession.createDataFrame([], "rule array<string>, support long, confidence double")
-    if n == 0:
-        return empty
-    share = max(min_support, least / n)
-    if share > 1:
+    """(rule, support, confidence): sorted token sets, of any size, that go with bad URLs; no rule lies inside another.
+
+    A token that is a rule alone is left out of what is mined, since a set with it says no more.  The others go through FP-growth over the
+    bad URLs, tokens of the same URLs as one; then the sets that are frequent there are counted over all labelled URLs.
+    """
+    flag = F.col(bad_col).cast("boolean")
+    numbered = labelled.filter(flag.isNotNull()).select(F.monotonically_increasing_id().alias("url"), flag.alias("bad"), tokens(F.col(url_col)).alias("tokens"))
+    urls = stored_table(numbered.filter(F.size("tokens") > 0), "labelled-urls")
+    each = urls.select("url", "bad", F.explode("tokens").alias("token"))
+    n_bad = urls.filter("bad").count()
+    needed = max(least, ceil(min_support * n_bad))
+    empty = labelled.sparkSession.createDataFrame([], "rule array<string>, support long, confidence double")
+    if n_bad < needed:
         return empty
-    sets = stored_table(FPGrowth(itemsCol="items", minSupport=share).fit(items).freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "token-sets")
-    with_bad = sets.filter(F.array_contains("items", BAD)).select(F.array_remove("items", BAD).alias("rule"), F.col("freq").alias("support")).filter(F.size("rule") > 0)
-    known = stored_table(with_bad.join(sets.select(F.col("items").alias("rule"), F.col("freq").alias("urls")), "rule").select(
-        "rule", "support", (F.col("support") / F.col("urls")).alias("confidence"), F.size("rule").alias("tokens")), "bad-sets")
-    # a rule goes if one of its proper subsets is at least as sure; all subsets of a set are here too, so sizes are settled in turn:
-    # the surest set inside one is the surest of, or inside, those with one token less
-    settled = stored_table(known.filter("tokens = 1").select("rule", "support", "confidence", F.lit(None).cast("double").alias("inner")), "settled-sets")
-    kept = [settled]
-    for size in range(2, (known.agg(F.max("tokens")).first()[0] or 0) + 1):
-        parts = known.filter(F.col("tokens") == size).select("rule", "support", "confidence", F.explode(F.transform("rule", lambda t: F.array_remove("rule", t))).alias("part"))
-        surest = settled.select(F.col("rule").alias("part"), F.greatest("confidence", "inner").alias("sure"))
-        settled = stored_table(parts.join(surest, "part").groupBy("rule", "support", "confidence").agg(F.max("sure").alias("inner")), "settled-sets")
-        kept.append(settled)
-    every = reduce(DataFrame.unionByName, kept)
-    return every.filter((F.col("confidence") >= min_confidence) & (F.col("inner").isNull() | (F.col("inner") < F.col("confidence")))).drop("inner")
+    often = stored_table(each.groupBy("token").agg(F.count_if(F.col("bad")).alias("support"), F.count(F.lit(1)).alias("urls")).filter(F.col("support") >= needed), "often-tokens")
+    sure = F.col("support") / F.col("urls")
+    alone = often.filter(sure >= min_confidence).select(F.array("token").alias("rule"), "support", sure.alias("confidence"))
+    rest = often.filter(sure < min_confidence).select("token")
+    same = stored_table(_same_urls(each.join(rest, "token")), "same-urls")
+    baskets = stored_table(each.join(same, "token").groupBy("url", "bad").agg(F.collect_set("first").alias("tokens")), "baskets")
+    bad = baskets.filter("bad").select(F.col("tokens").alias("items"))
+    if bad.isEmpty():
+        return alone
+    share = needed / max(needed, bad.count())
+    sets = FPGrowth(itemsCol="items", minSupport=share).fit(bad).freqItemsets.filter((F.size("items") > 1) & (F.col("freq") >= needed)).select(F.array_sort("items").alias("rule"))
+    held = _holding(stored_table(sets, "token-sets"), same.filter("token = first").select("token", "urls"), baskets)
+    counted = held.groupBy("rule").agg(F.count_if(F.col("bad")).alias("support"), F.count(F.lit(1)).alias("urls"))
+    rules = stored_table(counted.filter((F.col("support") >= needed) & (sure >= min_confidence)).select("rule", "support", sure.alias("confidence")), "sure-sets")
+    return alone.unionByName(rules.join(_nested(rules), "rule", "left_anti"))
+
+
+def _nested(rules: DataFrame) -> DataFrame:
+    """The rules inside which another one lies, found under that one's first token."""
+    inner = rules.select(F.col("rule").alias("inner"), F.get("rule", F.lit(0)).alias("token"))
+    outer = rules.select("rule", F.explode("rule").alias("token"))
+    inside = (F.size("inner") < F.size("rule")) & (F.size(F.array_except("inner", "rule")) == 0)
+    return outer.join(inner, "token").filter(inside).select("rule").distinct()
 
 
 def index(rules: DataFrame, labelled_tokens: DataFrame) -> DataFrame:

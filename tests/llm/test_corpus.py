@@ -98,6 +98,21 @@ def test_rules_of_four_tokens_are_mined(spark):
     assert {r["page_id"] for r in url_rules.judge(pages, labelled).filter("mined").collect()} == {i for i, u in enumerate(urls) if u == urls[0]}
 
 
+def test_templates_with_many_keys_and_small_hosts(spark):
+    """30 query keys that always come together are one item; a host with a thousandth of the URLs, all bad, gets its rule."""
+    keys = "&".join(f"k{i}=1" for i in range(30))
+    urls = [(f"http://t{i % 50}.example.org/page/{i}?{keys}", i % 2 == 0) for i in range(400)] + [(f"http://s{i % 997}.example.org/{i % 7}", i % 4 == 0) for i in range(11_580)]
+    urls += [(f"http://tiny.org/{i}", True) for i in range(12)] + [(f"http://even.org/x?{keys}", True) for _ in range(8)]
+    labelled = spark.createDataFrame([(u, b, "x", "y", 1) for u, b in urls], "url string, bad boolean, token string, rule string, urls int")
+    rules = {tuple(r["rule"]): (r["support"], r["confidence"]) for r in url_rules.mine(labelled).collect()}
+    assert rules[("h:tiny.org",)] == (12, 1.0) and not any(t.startswith("q:") for r in rules for t in r)
+    pages = spark.createDataFrame([(1, "http://a.tiny.org/z", 0, "t"), (2, None, 0, "t"), (2, None, 0, "t")], "page_id long, url string, host int, tokens string")
+    got = sorted((r["page_id"], r["verdict"]) for r in url_rules.judge(pages, labelled).collect())
+    assert got == [(1, "block"), (2, "allow"), (2, "allow")]
+    assert url_rules.judge(pages.limit(0), labelled).collect() == []
+    assert url_rules.judge(pages, labelled.limit(0)).filter("verdict = 'block'").count() == 0
+
+
 def test_split_index_gives_the_same_verdicts(spark, monkeypatch):
     pages = table(spark, SF, "pages").select("page_id", "url")
     labelled = pages.withColumn("bad", F.col("url").contains(".com"))
