@@ -59,21 +59,21 @@ def tokens(url: Column) -> Column:
 
 
 def _same_urls(posted: DataFrame) -> DataFrame:
-    """(token, first): the first of the tokens that occur in exactly the same URLs; ``posted`` has token, url (a number) and bad.
+    """(token, first): the first of the tokens that occur in exactly the same URLs; ``posted`` has token and place (the number of a URL).
 
     Host suffixes or the query keys of one template always come together; as one item they cannot multiply the sets that are mined.  Lists of
     URLs are compared by count and two sums of hashes.
     """
-    seen = posted.groupBy("token").agg(F.count(F.lit(1)).alias("urls"), *[F.sum(F.xxhash64(F.col("url"), F.lit(k)).cast("decimal(38,0)")).alias(f"h{k}") for k in (1, 2)])
+    seen = posted.groupBy("token").agg(F.count(F.lit(1)).alias("urls"), *[F.sum(F.xxhash64(F.col("place"), F.lit(k)).cast("decimal(38,0)")).alias(f"h{k}") for k in (1, 2)])
     firsts = seen.groupBy("urls", "h1", "h2").agg(F.min("token").alias("first"))
     return seen.join(firsts, ["urls", "h1", "h2"]).select("token", "first", "urls")
 
 
 def _holding(rules: DataFrame, postings: DataFrame, urls: DataFrame) -> DataFrame:
-    """(rule, url, bad): the URLs that hold all tokens of a rule, found under its rarest token; ``urls`` has url, bad and tokens."""
+    """(rule, place, bad): the URLs that hold all tokens of a rule, found under its rarest token; ``urls`` has place, bad and tokens."""
     posted = index(rules, postings)
-    left, right, on = salted(stored_table(urls.select("url", "bad", "tokens", F.explode("tokens").alias("token")), "url-tokens"), posted, ["token"], ["url"])
-    return left.join(right, on).filter(F.size(F.array_except("rule", "tokens")) == 0).select("rule", "url", "bad")
+    left, right, on = salted(stored_table(urls.select("place", "bad", "tokens", F.explode("tokens").alias("token")), "url-tokens"), posted, ["token"], ["place"])
+    return left.join(right, on).filter(F.size(F.array_except("rule", "tokens")) == 0).select("rule", "place", "bad")
 
 
 def mine(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
@@ -84,9 +84,9 @@ def mine(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", min_su
     bad URLs, tokens of the same URLs as one; then the sets that are frequent there are counted over all labelled URLs.
     """
     flag = F.col(bad_col).cast("boolean")
-    numbered = labelled.filter(flag.isNotNull()).select(F.monotonically_increasing_id().alias("url"), flag.alias("bad"), tokens(F.col(url_col)).alias("tokens"))
+    numbered = labelled.filter(flag.isNotNull()).select(F.monotonically_increasing_id().alias("place"), flag.alias("bad"), tokens(F.col(url_col)).alias("tokens"))
     urls = stored_table(numbered.filter(F.size("tokens") > 0), "labelled-urls")
-    each = urls.select("url", "bad", F.explode("tokens").alias("token"))
+    each = urls.select("place", "bad", F.explode("tokens").alias("token"))
     n_bad = urls.filter("bad").count()
     needed = max(least, ceil(min_support * n_bad))
     empty = labelled.sparkSession.createDataFrame([], "rule array<string>, support long, confidence double")
@@ -97,7 +97,7 @@ def mine(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", min_su
     alone = often.filter(sure >= min_confidence).select(F.array("token").alias("rule"), "support", sure.alias("confidence"))
     rest = often.filter(sure < min_confidence).select("token")
     same = stored_table(_same_urls(each.join(rest, "token")), "same-urls")
-    baskets = stored_table(each.join(same, "token").groupBy("url", "bad").agg(F.collect_set("first").alias("tokens")), "baskets")
+    baskets = stored_table(each.join(same, "token").groupBy("place", "bad").agg(F.collect_set("first").alias("tokens")), "baskets")
     bad = baskets.filter("bad").select(F.col("tokens").alias("items"))
     if bad.isEmpty():
         return alone
