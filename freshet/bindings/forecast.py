@@ -491,9 +491,9 @@ def _(spark, d):
 
 SNAPSHOT_SQL = """
 snap AS (SELECT user_id, event_type, ts, props, CASE event_type WHEN 'purchase' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3 ELSE 4 END AS level FROM events),
-state AS (SELECT user_id, arg_max(level, ts) AS level, arg_max(props, ts) AS message, max(ts) AS at FROM snap WHERE ts < TIMESTAMP '2024-01-06 00:00:00' GROUP BY 1),
+state AS (SELECT user_id, arg_max(level, ts) AS level, arg_max(props, ts) AS message, max(ts) AS at FROM snap WHERE ts < TIMESTAMP '2024-01-16 00:00:00' GROUP BY 1),
 feed AS (SELECT user_id, arg_max(level, ts) AS level, arg_max(props, ts) AS message, max(ts) AS at FROM snap
-         WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-07 00:00:00' GROUP BY 1)"""
+         WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1)"""
 
 
 def _snapshots(spark, d):
@@ -502,8 +502,8 @@ def _snapshots(spark, d):
     newest = lambda f: f.groupBy("user_id").agg(
         F.max_by(level, "ts").alias("level"), F.max_by("props", "ts").alias("message"), F.max("ts").alias("at"), F.max("ts").alias("ingested_at"))
     cut = lambda s: F.lit(s).cast("timestamp")
-    state = newest(e.filter(F.col("ts") < cut("2024-01-06")))
-    feed = newest(e.filter((F.col("ts") >= cut("2024-01-05")) & (F.col("ts") < cut("2024-01-07"))))
+    state = newest(e.filter(F.col("ts") < cut("2024-01-16")))
+    feed = newest(e.filter(F.col("ts") >= cut("2024-01-15")))
     return feed, state
 
 
@@ -515,7 +515,7 @@ WHERE s.user_id IS NULL OR f.user_id IS NULL OR f.level <> s.level OR trim(f.mes
 def _(spark, d):
     feed, state = _snapshots(spark, d)
     guards.guard_empty_feed(feed, state, 50)
-    changed = warnings.detect_changes(feed, state, "user_id", "level", "message", F.lit("2024-01-07").cast("timestamp_ntz"))
+    changed = warnings.detect_changes(feed, state, "user_id", "level", "message", F.lit("2024-02-01").cast("timestamp_ntz"))
     return changed.select("user_id", "level", "at", "change_type")
 
 
@@ -529,7 +529,7 @@ FROM feed f FULL JOIN state s ON s.user_id = f.user_id WHERE s.user_id IS NULL O
 SELECT {url_id_sql(LOG_KEY_SQL)} AS log_id, user_id, change_type FROM changed""")
 def _(spark, d):
     feed, state = _snapshots(spark, d)
-    changed = warnings.detect_changes(feed, state, "user_id", "level", "message", F.lit("2024-01-07").cast("timestamp_ntz"))
+    changed = warnings.detect_changes(feed, state, "user_id", "level", "message", F.lit("2024-02-01").cast("timestamp_ntz"))
     return warnings.with_log_id(changed.withColumn("at_text", F.date_format("at", "yyyy-MM-dd HH:mm:ss")), ["user_id", "change_type", "level", "at_text"]).select(
         "log_id", "user_id", "change_type")
 

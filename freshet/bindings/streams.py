@@ -80,8 +80,8 @@ def _latest(spark, d):
 
 @query("t03_change_detection_with_state", """
 WITH snap AS (SELECT user_id, CASE event_type WHEN 'purchase' THEN 1 WHEN 'view' THEN 2 WHEN 'click' THEN 3 ELSE 4 END AS level, props, ts FROM events),
-a AS (SELECT user_id, arg_max(level, ts) AS level, arg_max(props, ts) AS message FROM snap WHERE ts < TIMESTAMP '2024-01-06 00:00:00' GROUP BY 1),
-b AS (SELECT user_id, arg_max(level, ts) AS level, arg_max(props, ts) AS message FROM snap WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-07 00:00:00' GROUP BY 1)
+a AS (SELECT user_id, arg_max(level, ts) AS level, arg_max(props, ts) AS message FROM snap WHERE ts < TIMESTAMP '2024-01-16 00:00:00' GROUP BY 1),
+b AS (SELECT user_id, arg_max(level, ts) AS level, arg_max(props, ts) AS message FROM snap WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1)
 SELECT change_type, count(*) AS n FROM (SELECT 'NEW' AS change_type FROM a UNION ALL
   SELECT CASE WHEN a.user_id IS NULL THEN 'NEW' WHEN b.user_id IS NULL THEN 'CLOSED' WHEN a.level <> b.level THEN 'SEVERITY_CHANGE' ELSE 'MESSAGE_CHANGE' END FROM a FULL JOIN b ON a.user_id = b.user_id
   WHERE a.user_id IS NULL OR b.user_id IS NULL OR a.level <> b.level OR trim(a.message) <> trim(b.message)) GROUP BY 1""")
@@ -97,7 +97,7 @@ def _(spark, d):
     rows = feeds.read_files(spark, landing, spark.read.parquet(landing).schema, per_trigger=1)
     held, log = _table(spark, "t03-state"), _log(spark, "t03-log")
     feeds.run_available(lambda: feeds.watch_changes(
-        rows, held, log, "user_id", "level", "message", ["user_id", "change_type", "level", "at"], F.lit("2024-01-07").cast("timestamp_ntz"), scratch_path(spark, "t03-check")))
+        rows, held, log, "user_id", "level", "message", ["user_id", "change_type", "level", "at"], F.lit("2024-02-01").cast("timestamp_ntz"), scratch_path(spark, "t03-check")))
     return log.read().groupBy("change_type").agg(F.count(F.lit(1)).alias("n"))
 
 
