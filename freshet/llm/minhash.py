@@ -224,15 +224,17 @@ def _packed_sets(batches):
                                    pa.array([s.tobytes() for s in shingle_sets(data, offsets)], pa.binary())], schema=schema)
 
 
-def _nodes(base: DataFrame, total: int) -> tuple[DataFrame, DataFrame]:
-    """The rows with their node, the first row with an equal set, and links between the nodes of rows that repeat an id."""
+def _nodes(base: DataFrame, total: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows with their node, the first row with an equal set; the nodes with their keys; and links between the nodes of rows that repeat an id."""
     same = ["n", "h1", "h2"]
     classes = base.filter("n > 0").groupBy(*same).agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("rows")).filter("rows > 1")
-    with_rep = join_counted(base, stored_table(classes, "classes"), same, ["row"], "rows", total)
-    rows = stored_table(with_rep.select("row", "id", "mark", "n", "keys", F.coalesce("rep", "row").alias("node")), "nodes")
+    held = stored_table(classes, "classes")
+    named = join_counted(base.select("row", "id", "mark", *same), held, same, ["row"], "rows", total)
+    rows = stored_table(named.select("row", "id", "mark", "n", F.coalesce("rep", "row").alias("node")), "nodes")
+    reps = join_counted(base.select("row", "keys", *same), held, same, ["row"], "rows", total).filter("n > 0 AND (rep IS NULL OR rep = row)")
     repeated_ids = rows.filter("id IS NOT NULL").groupBy("id").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("rows")).filter("low < high")
     by_id = join_counted(rows.select("id", "row", "node"), repeated_ids.drop("high"), ["id"], ["row"], "rows", total, "inner")
-    return rows, by_id.filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
+    return rows, reps.select(F.col("row").alias("id"), "keys"), by_id.filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
 
 
 def _components(rows: DataFrame, links: DataFrame, total: int) -> DataFrame:
@@ -252,8 +254,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = source.mapInArrow(_prints(chunks_for(per_cent)), "id long, mark long, n long, h1 long, h2 long, keys array<long>")
     base = stored_table(prints.withColumn("row", F.monotonically_increasing_id()), "prints")
     total = base.count()
-    rows, by_id = _nodes(base, total)
-    reps = rows.filter("n > 0 AND node = row").select(F.col("row").alias("id"), "keys")
+    rows, reps, by_id = _nodes(base, total)
     loose = connected(_loose_links(reps)).withColumnRenamed("root", "grp")
     sized = stored_table(loose.join(rows.select(F.col("row").alias("id"), F.col("id").alias("doc"), "mark", "n"), "id"), "loose")
     blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_TEXTS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
