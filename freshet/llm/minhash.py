@@ -9,8 +9,9 @@ take more and shorter chunks (:func:`chunks_for`): at 0.80, where 12 values diff
 
 Keys are range-sorted by (key, id), which also cuts a key shared by very many texts; a task walks through its range and links each
 text to the first of its key, so no pairs inside a group are made.  The connected texts form loose groups that contain every
-pair within the distance.  Inside a loose group the full sets are compared in blocks of bounded size: a task gets two blocks,
-counts all intersections by a matrix product and returns only a spanning forest of the confirmed links.
+pair within the distance.  Inside a loose group the full sets are compared in blocks of bounded size: a task gets one block or two,
+counts all intersections by a matrix product and returns only a spanning forest of the confirmed links.  Blocks are first compared
+with themselves, then the texts that stand for the parts found; only where a group falls into parts are its parts compared block by block.
 
 Links are between rows, so that every NULL id is a document of its own; the component's name is the smallest id among its rows.
 
@@ -21,11 +22,12 @@ component is not kept.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from freshet.llm.common import partitions, texts
 from freshet.llm.kernels import LOWER, gram_hashes, mix, owners, sequence_hash, slices, span_hashes, words
@@ -217,13 +219,93 @@ def _compared(batches, per_cent: int):
 
 
 def _packed_sets(batches):
-    schema = pa.schema([("id", pa.int64()), ("grp", pa.int64()), ("blocks", pa.int32()), ("shingles", pa.binary())])
+    schema = pa.schema([("id", pa.int64()), ("grp", pa.int64()), ("own", pa.int32()), ("first", pa.int32()), ("last", pa.int32()), ("blocks", pa.int32()), ("shingles", pa.binary())])
     for batch in batches:
-        for a, b, data, offsets in slices(batch.column(3)):
-            yield pa.record_batch([*(batch.column(k).slice(a, b - a) for k in range(3)),
+        for a, b, data, offsets in slices(batch.column(6)):
+            yield pa.record_batch([*(batch.column(k).slice(a, b - a) for k in range(6)),
                                    pa.array([s.tobytes() for s in shingle_sets(data, offsets)], pa.binary())], schema=schema)
 
 
+def _block_count(rows: str, shingles: str) -> Column:
+    """The blocks of bounded size that so many texts with so many shingles need."""
+    return F.greatest(F.ceil(F.col(rows) / BLOCK_TEXTS), F.ceil(F.col(shingles) / BLOCK_SHINGLES), F.lit(1)).cast("int")
+
+
+def _in_blocks(members: DataFrame, total: int) -> DataFrame:
+    """``members`` dealt to the blocks of their group, each of which is compared with itself only: ``first`` and ``last`` are NULL."""
+    groups = members.groupBy("grp").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles")).withColumn("blocks", _block_count("rows", "shingles"))
+    placed = join_counted(members, groups.drop("shingles"), ["grp"], ["id"], "rows", total)
+    nothing = F.lit(None).cast("int")
+    return placed.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumns({"first": nothing, "last": nothing})
+
+
+def _links_of(given: DataFrame, placed: DataFrame, per_cent: int, given_twice: bool) -> DataFrame:
+    """The links confirmed inside the blocks or, with ``first`` and ``last``, between a block and the blocks of its group outside that range."""
+    met = placed.join(given, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark"))).select("id", "grp", "own", "first", "last", "blocks", "text")
+    if given_twice:        # a row given twice is met twice
+        met = met.dropDuplicates(["id"])
+    sets = met.mapInArrow(_packed_sets, "id long, grp long, own int, first int, last int, blocks int, shingles binary")
+    others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: ~x.between(F.col("first"), F.col("last")))
+    dealt = sets.withColumn("other", F.explode(F.when(F.col("first").isNull(), F.array("own")).otherwise(others)))
+    pairs = dealt.select("grp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "shingles")
+    n = partitions(given.sparkSession)
+    return pairs.repartition(n, "grp", "low", "high").sortWithinPartitions("grp", "low", "high").mapInArrow(_compare(per_cent), "a long, b long")
+
+
+def _links_across(given: DataFrame, wide: DataFrame, links: DataFrame, per_cent: int, given_twice: bool) -> DataFrame:
+    """The links still missing in groups of several blocks, whose blocks were compared with themselves (``links``).
+
+    Round after round the first text of each part found stands for it, and these are dealt to blocks again, while their number halves; a
+    group of copies of one text is whole then, after as many comparisons as it has texts.  Where a group still has several parts, all texts of
+    different parts are compared: the blocks of a large part meet all blocks but those of that part.
+    """
+    steps, found, now = [], [], wide
+    while True:
+        stars = links.withColumnsRenamed({"a": "id", "b": "top"})
+        step = stored_table(now.join(stars, "id", "left").withColumn("top", F.coalesce("top", "id")), "parts")
+        steps.append(step)
+        tops = step.filter("id = top").drop("top")
+        split = stored_table(tops.groupBy("grp").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1"), "split")
+        rows, left = step.count(), split.agg(F.sum("rows")).first()[0] or 0
+        if not left or (found and 2 * left > rows):
+            break
+        now = join_counted(tops, split, ["grp"], ["id"], "rows", rows, "inner")
+        placed = stored_table(_in_blocks(now, left), "tops")
+        links = stored_table(_links_of(given, placed, per_cent, given_twice), "links")
+        found.append(links)
+    if left:
+        found.append(_links_between_parts(given, steps, split, per_cent, given_twice))
+    return reduce(DataFrame.unionByName, found) if found else links.limit(0)
+
+
+def _links_between_parts(given: DataFrame, steps: list[DataFrame], split: DataFrame, per_cent: int, given_twice: bool) -> DataFrame:
+    """Links between the parts of the groups in ``split``; parts of half a block or more have blocks of their own, others share blocks."""
+    part = steps[-1].select(F.col("id").alias("top"), F.col("top").alias("part"))
+    for step in reversed(steps[:-1]):        # a top stands for about one block, so no key of these joins is hot
+        above = step.select("id", "top").join(part, "top", "left")
+        part = above.select(F.col("id").alias("top"), F.coalesce("part", "top").alias("part"))
+    members = steps[0].drop("top").join(part.withColumnRenamed("top", "id"), "id")
+    total = steps[0].count()
+    groups = members.groupBy("grp").agg(F.count(F.lit(1)).alias("rows")).join(split.select("grp"), "grp", "left_semi")
+    members = stored_table(join_counted(members, groups, ["grp"], ["id"], "rows", total, "inner"), "members")
+    parts = members.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles"))
+    parts = stored_table(parts.withColumn("large", (2 * F.col("rows") >= BLOCK_TEXTS) | (2 * F.col("shingles") >= BLOCK_SHINGLES)), "sizes")
+    shared = parts.filter("NOT large").groupBy("grp").agg(F.sum("rows").alias("r"), F.sum("shingles").alias("s")).select("grp", _block_count("r", "s").alias("shared"))
+    large = parts.filter("large").withColumn("width", _block_count("rows", "shingles"))
+    upto = F.sum("width").over(Window.partitionBy("grp").orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    large = large.withColumn("upto", upto).join(shared, "grp", "left").withColumn("first", (F.coalesce("shared", F.lit(0)) + F.col("upto") - F.col("width")).cast("int"))
+    spread = large.select("grp", "part", "first", "width")
+    counts = (parts.join(spread, ["grp", "part"], "left").groupBy("grp").agg(F.sum("width").alias("wide")).join(shared, "grp", "left")
+              .select("grp", "shared", (F.coalesce("wide", F.lit(0)) + F.coalesce("shared", F.lit(0))).cast("int").alias("blocks")))
+    sizes = parts.join(spread, ["grp", "part"], "left").join(counts, "grp").select(
+        "grp", "part", "rows", F.coalesce("first", F.lit(0)).alias("opening"), F.coalesce("width", "shared").alias("width"), "large", "blocks")
+    placed = join_counted(members, sizes, ["grp", "part"], ["id"], "rows", total)
+    closing = F.col("opening") + F.col("width") - 1
+    placed = placed.withColumns({"own": (F.col("opening") + F.pmod(F.xxhash64("id"), F.col("width"))).cast("int"), "first": F.when(F.col("large"), F.col("opening")).otherwise(-1).cast("int"),
+                                 "last": F.when(F.col("large"), closing).otherwise(-1).cast("int")})
+    return _links_of(given, placed, per_cent, given_twice)
+
+
 def _nodes(base: DataFrame, total: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The rows with their node, the first row with an equal set; the nodes with their keys; and links between the nodes of rows that repeat an id."""
     same = ["n", "h1", "h2"]
@@ -257,18 +339,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows, reps, by_id = _nodes(base, total)
     loose = connected(_loose_links(reps)).withColumnRenamed("root", "grp")
     sized = stored_table(loose.join(rows.select(F.col("row").alias("id"), F.col("id").alias("doc"), "mark", "n"), "id"), "loose")
-    blocks = F.greatest(F.ceil(F.col("rows") / BLOCK_TEXTS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    groups = sized.groupBy("grp").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles")).withColumn("blocks", blocks).drop("shingles")
-    members = join_counted(sized.select("id", "grp", "doc", "mark"), groups, ["grp"], ["id"], "rows", total)
     given = source.select(F.col("id").alias("_doc"), F.col("mark").alias("_mark"), "text")
-    met = members.join(given, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark"))).select("id", "grp", "blocks", "text")
-    if not rows.groupBy("id", "mark").count().filter("count > 1").isEmpty():        # a row given twice is met twice
-        met = met.dropDuplicates(["id"])
-    sets = met.mapInArrow(_packed_sets, "id long, grp long, blocks int, shingles binary")
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = sets.withColumn("own", own).select("id", "grp", "own", "shingles", F.explode_outer(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    pairs = dealt.select("grp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "shingles")
-    links = pairs.repartition(partitions(docs.sparkSession), "grp", "low", "high").sortWithinPartitions("grp", "low", "high").mapInArrow(_compare(per_cent), "a long, b long")
+    given_twice = not rows.groupBy("id", "mark").count().filter("count > 1").isEmpty()
+    members = stored_table(_in_blocks(sized, total), "blocks")
+    links = stored_table(_links_of(given, members, per_cent, given_twice), "links")
+    wide = members.filter("blocks > 1").select("id", "grp", "doc", "mark", "n")
+    if not wide.isEmpty():
+        links = links.unionByName(_links_across(given, wide, links, per_cent, given_twice))
     labelled = _components(rows, links.unionByName(by_id), total)
     kept = F.coalesce(F.col("id") == F.col("component"), F.col("component").isNull() & (F.col("row") == F.col("opening")))
     return labelled.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), kept.alias("kept"), "mark")

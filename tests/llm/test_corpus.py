@@ -417,6 +417,47 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_groups_of_several_parts_lose_no_link(spark, monkeypatch):
+    """Loose groups with large parts, small parts and lone texts: parts that only some of their texts link are met."""
+    monkeypatch.setattr(minhash, "BLOCK_TEXTS", 6)
+    rnd = random.Random(11)
+    rows, number = [], itertools.count()
+    base = [f"g{i}" for i in range(200)]
+    for step in range(4):        # crowds at a similarity of about 0.8 to the crowd before
+        for _ in range(25):
+            w = list(base)
+            for _ in range(rnd.randint(0, 3)):
+                w[rnd.randrange(len(w))] = f"z{rnd.randint(0, 9999)}"
+            rows.append((next(number), " ".join(w)))
+        for k in range(rnd.choice([4, 5])):
+            base[5 + 40 * k + 7 * step] = f"s{step}x{k}"
+    for _ in range(30):        # lone texts near the last crowd, some of them within the similarity of one another
+        w = list(base)
+        for _ in range(rnd.randint(3, 6)):
+            w[rnd.randrange(len(w))] = f"l{rnd.randint(0, 9999)}"
+        rows.append((next(number), " ".join(w)))
+    calls = []
+    between = minhash._links_between_parts
+    monkeypatch.setattr(minhash, "_links_between_parts", lambda *a: calls.append(1) or between(*a))
+    got = minhash.near_duplicates(docs_of(spark, rows)).collect()
+    want = brute_components(rows)
+    assert len({c for _, _, c in want}) > 3 and calls
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == want
+
+
+def test_one_crowd_is_settled_without_comparing_all_its_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_TEXTS", 10)
+    monkeypatch.setattr(minhash, "_links_between_parts", None)
+    rnd = random.Random(3)
+    rows = []
+    for i in range(300):
+        w = [f"c{k}" for k in range(150)]
+        w[rnd.randrange(150)] = f"y{rnd.randint(0, 9999)}"
+        rows.append((i, " ".join(w)))
+    got = minhash.near_duplicates(docs_of(spark, rows)).collect()
+    assert {r["component_id"] for r in got} == {0} and sum(r["kept"] for r in got) == 1
+
+
 def test_signatures_within_the_distance_share_a_key():
     rng = np.random.default_rng(0)
     one = rng.integers(0, 2**16, (400, minhash.HASHES)).astype(np.uint64)
