@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from freshet.functions import risk
+from freshet.operators.pairs import pairs_within
 from freshet.operators.spatial import points_in_areas
 from freshet.session import stored_table
 
@@ -100,16 +101,13 @@ def pair_overlaps(members: DataFrame, points: DataFrame, measures: list[str]) ->
     """Pairs of areas of one kind that share points, with what they share.
 
     Points are first reduced to the distinct sets of areas that cover them, with their summed measures: a crowd of points
-    under the same areas becomes one row before any pair is made.  Each set is then unfolded twice, with a shuffle between, so
-    one very large set is spread over tasks.
+    under the same areas becomes one row before any pair is made.  Sets are unfolded block by block.
     """
     deep = with_depth(members).filter("depth > 1").select("kind", "point_id", "area_id")
     values = with_values(points, ["point_id"]).select("point_id", *measures)
     covers = deep.groupBy("kind", "point_id").agg(F.array_sort(F.collect_set("area_id")).alias("areas"))
     sets = covers.join(values, "point_id").groupBy("kind", "areas").agg(*[F.sum(m).alias(m) for m in measures])
-    first = sets.select("kind", "areas", *measures, F.posexplode("areas").alias("i", "area_a")).repartition("kind", "area_a")
-    later = F.slice("areas", F.col("i") + 2, F.size("areas"))
-    pairs = first.select("kind", "area_a", F.explode(later).alias("area_b"), *measures)
+    pairs = pairs_within(sets, "areas", "area_a", "area_b")
     return pairs.groupBy("kind", "area_a", "area_b").agg(*[F.sum(m).alias(m) for m in measures])
 
 
