@@ -74,11 +74,20 @@ def _links(sites: DataFrame, site_id: str, radius: float) -> DataFrame:
     return to_spot.unionByName(to_cell).unionByName(across).filter("a <> b")
 
 
+LINKS_PER_TASK = 100_000
+LEAST_TASKS = 8
+
+
+def _tasks(links: int) -> int:
+    """Tasks for so many links: late rounds have few, and a file per task and shuffle partition costs more than they do."""
+    return max(LEAST_TASKS, math.ceil(links / LINKS_PER_TASK))
+
+
 def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(id, root) of every linked node, by alternating large-star and small-star rounds until the links stop changing.
 
     Each round is a ``min`` per node and an equi-join; a node with very many links is split over salts by the number of its links.
-    Lineage is cut in the shared folder after every round.
+    Lineage is cut in the shared folder after every round; the tasks of a round follow the number of links, without a shuffle of their own.
     """
     current = cut_lineage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
 
@@ -97,7 +106,9 @@ def connected(links: DataFrame, rounds: int = 60) -> DataFrame:
 
     before = state(current)
     for _ in range(rounds):
-        current = cut_lineage(small_star(large_star(current, before[0]), 2 * before[0]))
+        n = _tasks(before[0])
+        spread = large_star(current.coalesce(n), before[0]).coalesce(n)
+        current = cut_lineage(small_star(spread, 2 * before[0]).coalesce(n))
         after = state(current)
         if after == before:
             return (current.select(F.col("u").alias("id"), F.col("v").alias("root"))
