@@ -239,20 +239,18 @@ def _in_blocks(members: DataFrame, total: int) -> DataFrame:
     return placed.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumns({"first": nothing, "last": nothing})
 
 
-def _links_of(given: DataFrame, placed: DataFrame, per_cent: int, given_twice: bool) -> DataFrame:
+def _links_of(met: DataFrame, per_cent: int) -> DataFrame:
     """The links confirmed inside the blocks or, with ``first`` and ``last``, between a block and the blocks of its group outside that range."""
-    met = placed.join(given, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark"))).select("id", "grp", "own", "first", "last", "blocks", "text")
-    if given_twice:        # a row given twice is met twice
-        met = met.dropDuplicates(["id"])
+    met = met.select("id", "grp", "own", "first", "last", "blocks", "text")
     sets = met.mapInArrow(_packed_sets, "id long, grp long, own int, first int, last int, blocks int, shingles binary")
     others = F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: ~x.between(F.col("first"), F.col("last")))
     dealt = sets.withColumn("other", F.explode(F.when(F.col("first").isNull(), F.array("own")).otherwise(others)))
     pairs = dealt.select("grp", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "shingles")
-    n = partitions(given.sparkSession)
+    n = partitions(met.sparkSession)
     return pairs.repartition(n, "grp", "low", "high").sortWithinPartitions("grp", "low", "high").mapInArrow(_compare(per_cent), "a long, b long")
 
 
-def _links_across(given: DataFrame, wide: DataFrame, links: DataFrame, per_cent: int, given_twice: bool) -> DataFrame:
+def _links_across(given: DataFrame, wide: DataFrame, links: DataFrame, per_cent: int) -> DataFrame:
     """The links still missing in groups of several blocks, whose blocks were compared with themselves (``links``).
 
     Round after round the first text of each part found stands for it, and these are dealt to blocks again, while their number halves; a
@@ -271,14 +269,14 @@ def _links_across(given: DataFrame, wide: DataFrame, links: DataFrame, per_cent:
             break
         now = join_counted(tops, split, ["grp"], ["id"], "rows", rows, "inner")
         placed = stored_table(_in_blocks(now, left), "tops")
-        links = stored_table(_links_of(given, placed, per_cent, given_twice), "links")
+        links = stored_table(_links_of(placed.join(given, "id"), per_cent), "links")
         found.append(links)
     if left:
-        found.append(_links_between_parts(given, steps, split, per_cent, given_twice))
+        found.append(_links_between_parts(given, steps, split, per_cent))
     return reduce(DataFrame.unionByName, found) if found else links.limit(0)
 
 
-def _links_between_parts(given: DataFrame, steps: list[DataFrame], split: DataFrame, per_cent: int, given_twice: bool) -> DataFrame:
+def _links_between_parts(given: DataFrame, steps: list[DataFrame], split: DataFrame, per_cent: int) -> DataFrame:
     """Links between the parts of the groups in ``split``; parts of half a block or more have blocks of their own, others share blocks."""
     part = steps[-1].select(F.col("id").alias("top"), F.col("top").alias("part"))
     for step in reversed(steps[:-1]):        # a top stands for about one block, so no key of these joins is hot
@@ -303,7 +301,7 @@ def _links_between_parts(given: DataFrame, steps: list[DataFrame], split: DataFr
     closing = F.col("opening") + F.col("width") - 1
     placed = placed.withColumns({"own": (F.col("opening") + F.pmod(F.xxhash64("id"), F.col("width"))).cast("int"), "first": F.when(F.col("large"), F.col("opening")).otherwise(-1).cast("int"),
                                  "last": F.when(F.col("large"), closing).otherwise(-1).cast("int")})
-    return _links_of(given, placed, per_cent, given_twice)
+    return _links_of(placed.join(given, "id"), per_cent)
 
 
 def _nodes(base: DataFrame, total: int) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -341,11 +339,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sized = stored_table(loose.join(rows.select(F.col("row").alias("id"), F.col("id").alias("doc"), "mark", "n"), "id"), "loose")
     given = source.select(F.col("id").alias("_doc"), F.col("mark").alias("_mark"), "text")
     given_twice = not rows.groupBy("id", "mark").count().filter("count > 1").isEmpty()
-    members = stored_table(_in_blocks(sized, total), "blocks")
-    links = stored_table(_links_of(given, members, per_cent, given_twice), "links")
+    met = _in_blocks(sized, total).join(given, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("mark") == F.col("_mark"))).drop("_doc", "_mark")
+    if given_twice:        # a row given twice is met twice
+        met = met.dropDuplicates(["id"])
+    members = stored_table(met, "blocks")        # whole texts of loose groups, so that all texts are joined once only
+    links = stored_table(_links_of(members, per_cent), "links")
     wide = members.filter("blocks > 1").select("id", "grp", "doc", "mark", "n")
     if not wide.isEmpty():
-        links = links.unionByName(_links_across(given, wide, links, per_cent, given_twice))
+        links = links.unionByName(_links_across(members.filter("blocks > 1").select("id", "text"), wide, links, per_cent))
     labelled = _components(rows, links.unionByName(by_id), total)
     kept = F.coalesce(F.col("id") == F.col("component"), F.col("component").isNull() & (F.col("row") == F.col("opening")))
     return labelled.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), kept.alias("kept"), "mark")
