@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ["series", "forecast", "history", "place", "exposure", "functions", "feeds", "matching", "upserts", "streams"]
+FAMILIES = ["series", "forecast", "history", "place", "exposure", "suite", "functions", "feeds", "matching", "upserts", "streams"]
 
 
 def load() -> None:

@@ -291,12 +291,14 @@ def _(spark, d):
 @query("a25_area_risk_score", PLACES + """,
 cells AS (SELECT easting // 100 * 100 AS e, northing // 100 * 100 AS n, sum(people) AS people, max(rofrs_rank) * 10.5 AS score FROM points GROUP BY 1, 2),
 inside AS (SELECT a.kind, a.area_id, c.* FROM cells c JOIN areas a ON c.e + 50 BETWEEN a.x0 AND a.x1 AND c.n + 50 BETWEEN a.y0 AND a.y1)
-SELECT kind, area_id, count(*) AS grid_cells, max(score) AS risk_score_max, sum(people) > 0 AS scored FROM inside GROUP BY 1, 2""")
+SELECT kind, area_id, count(*) AS grid_cells, max(score) AS risk_score_max, round_even(sum(people * score) / nullif(sum(people), 0), 2) AS risk_score FROM inside GROUP BY 1, 2""")
 def _(spark, d):
-    cells = points(spark, d).groupBy((F.floor(F.col("easting") / 100) * 100).alias("easting"), (F.floor(F.col("northing") / 100) * 100).alias("northing")).agg(
+    return exposure.area_scores(scored_cells(spark, d), areas(spark, d))
+
+
+def scored_cells(spark, d):
+    return points(spark, d).groupBy((F.floor(F.col("easting") / 100) * 100).alias("easting"), (F.floor(F.col("northing") / 100) * 100).alias("northing")).agg(
         F.sum("people").alias("people"), (F.max("rofrs_rank") * 10.5).alias("risk_score"))
-    f = exposure.area_scores(cells, areas(spark, d))
-    return f.select("kind", "area_id", "grid_cells", "risk_score_max", F.col("risk_score").isNotNull().alias("scored"))
 
 
 # ---- census --------------------------------------------------------------------------------------------------

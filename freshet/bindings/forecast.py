@@ -550,16 +550,55 @@ def _health(spark, d):
         health.count_check("constituency_count", table(spark, d, "nation"), F.count(F.lit(1)), [(n >= 25, "ok")], "expected at least 25", "fail"),
         health.count_check("members_unmatched", _situations(spark, d).filter("NOT mp_matched"), F.count(F.lit(1)), [(n == 0, "ok"), (n <= 10, "info")],
                            "constituencies with no matched member", "warn"),
-        health.missing_check("guidance_feed_age", "no check recorded yet", "info", spark)]
+        health.age_check("situation_age", _situations(spark, d), "worst_date", now, 100.0, 200.0, hours=24.0),
+        health.age_check("warnings_age", current_warnings(spark, d).filter("severity_level IN (1, 2, 3)"), "time_raised", now, 24.0, 72.0, empty="info"),
+        health.count_check("warnings_unlinked", forecast.without_constituency(current_warnings(spark, d), _warning_contacts(spark, d)), F.count_distinct("area_code"),
+                           [(n == 0, "ok")], "current warnings in no constituency", "warn"),
+        health.age_check("member_details_age", _refreshed(spark, d), "refreshed_at", now, 30.0, 90.0, hours=24.0),
+        health.count_check("member_count", members(spark, d), F.count(F.lit(1)), [(n >= 90, "ok")], "expected at least 90", "fail"),
+        health.count_check("guidance_uncounted", _guidance_updates(spark, d).filter("is_present AND n_polygons > 0 AND NOT counted"), F.count(F.lit(1)), [(n == 0, "ok")],
+                           "updates with polygons that are not counted yet, for information", "info"),
+        health.quiet_age_check("guidance_feed_age", e.filter("event_type = 'signup'"), "ts", now, "time since the feed was last looked at, for information"),
+        health.products_check("exposure_products", e.select(F.col("event_type").alias("product"), F.col("ts").alias("built_at")), PRODUCTS,
+                              table(spark, d, "part").filter("p_size > 4"), table(spark, d, "part"), now, 0.5),
+        health.range_check("exposure_people", table(spark, d, "customer"), F.sum(F.greatest("c_acctbal", F.lit(0.0))), 1e6, 1e9),
+        health.missing_check("archive_age", "no check recorded yet", "info", spark)]
     return health.report(checks)
 
 
-HEALTH_SQL = with_ctes(FORECAST_SQL, WARNINGS_SQL, MEMBERS_SQL, LOG_SQL) + """,
+PRODUCTS = ["click", "purchase", "view", "grid"]
+
+
+def _refreshed(spark, d):
+    """Members with the day their details were last read: that of the latest shipment of the supplier behind them."""
+    shipped = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("member_id")).agg(F.max("l_shipdate").alias("refreshed_at"))
+    return members(spark, d).join(shipped, "member_id")
+
+
+def _guidance_updates(spark, d):
+    k = F.col("s_suppkey")
+    return table(spark, d, "supplier").select(k.alias("update_key"), (k % 11 != 0).alias("is_present"), (k % 3).alias("n_polygons"), (F.col("s_acctbal") > 0).alias("counted"))
+
+
+HEALTH_SQL = with_ctes(FORECAST_SQL, WARNINGS_SQL, MEMBERS_SQL, LOG_SQL) + SITUATION_SQL + """,
 ages AS (SELECT (SELECT date_diff('second', max(ts), TIMESTAMP '2024-02-01 00:00:00') / 3600.0 FROM events) AS reading,
                 (SELECT date_diff('second', max(o_orderdate), TIMESTAMP '2024-02-01 00:00:00') / 86400.0 FROM orders) AS order_days),
 counts AS (SELECT (SELECT count(*) FROM versions v WHERE NOT EXISTS (SELECT 1 FROM log l WHERE l.statement_id = v.statement_id
                      AND coalesce(l.last_modified_at, '') = coalesce(v.last_modified_at, ''))) AS pending, (SELECT count(*) FROM nation) AS places,
-                  (SELECT count(*) FROM constituencies c LEFT JOIN one_member m USING (name_key) WHERE m.member_id IS NULL) AS unmatched),
+                  (SELECT count(*) FROM constituencies c LEFT JOIN one_member m USING (name_key) WHERE m.member_id IS NULL) AS unmatched,
+                  (SELECT count(DISTINCT area_code) FROM warnings WHERE area_code NOT IN (SELECT area_code FROM warning_contacts)) AS unlinked, (SELECT count(*) FROM members) AS members,
+                  (SELECT count(*) FROM supplier WHERE s_suppkey % 11 <> 0 AND s_suppkey % 3 > 0 AND NOT s_acctbal > 0) AS uncounted,
+                  (SELECT count(*) FROM part WHERE p_size > 4) AS have, (SELECT count(*) FROM part) AS want, (SELECT sum(greatest(c_acctbal, 0.0)) FROM customer) AS people),
+later AS (SELECT (SELECT date_diff('second', CAST(max(worst_date) AS TIMESTAMP), TIMESTAMP '2024-02-01 00:00:00') / 86400.0 FROM situation) AS situation,
+                 (SELECT date_diff('second', max(time_raised), TIMESTAMP '2024-02-01 00:00:00') / 3600.0 FROM warnings WHERE severity_level <= 3) AS warned,
+                 (SELECT date_diff('second', CAST(max(l_shipdate) AS TIMESTAMP), TIMESTAMP '2024-02-01 00:00:00') / 86400.0 FROM lineitem JOIN supplier ON s_suppkey = l_suppkey) AS refreshed,
+                 (SELECT date_diff('second', max(ts), TIMESTAMP '2024-02-01 00:00:00') / 3600.0 FROM events WHERE event_type = 'signup') AS looked),
+expected AS (SELECT unnest(['click', 'purchase', 'view', 'grid']) AS product, unnest([1, 2, 3, 4]) AS place),
+built AS (SELECT e.place, e.product, max(ts) AS built_at FROM expected e LEFT JOIN events ON event_type = e.product GROUP BY ALL),
+products AS (SELECT date_diff('microsecond', min(built_at), TIMESTAMP '2024-02-01 00:00:00') / 86400e6 AS age, count(built_at) AS there,
+               'missing: ' || string_agg(product, ', ' ORDER BY place) FILTER (built_at IS NULL) AS missing FROM built),
+problems AS (SELECT age, there, concat_ws('; ', missing, CASE WHEN age > 0.5 THEN printf('oldest is %.0f days old, warn over 0.5', age) END,
+               CASE WHEN have < 0.9 * want THEN printf('%d rows for %d areas', have, want) END) AS text, printf('%d rows for %d areas', have, want) AS fine FROM products, counts),
 checks AS (
   SELECT 'newest_reading' AS check_name, CASE WHEN reading > 72 THEN 'fail' WHEN reading > 24 THEN 'warn' ELSE 'ok' END AS status, printf('%.1f h', reading) AS value,
          'warn over 24, fail over 72' AS detail FROM ages
@@ -568,7 +607,17 @@ checks AS (
   UNION ALL SELECT 'intersections_pending', CASE WHEN pending = 0 THEN 'ok' WHEN pending >= 10 THEN 'fail' ELSE 'warn' END, CAST(pending AS VARCHAR), 'statements awaiting their intersections' FROM counts
   UNION ALL SELECT 'constituency_count', CASE WHEN places >= 25 THEN 'ok' ELSE 'fail' END, CAST(places AS VARCHAR), 'expected at least 25' FROM counts
   UNION ALL SELECT 'members_unmatched', CASE WHEN unmatched = 0 THEN 'ok' WHEN unmatched <= 10 THEN 'info' ELSE 'warn' END, CAST(unmatched AS VARCHAR), 'constituencies with no matched member' FROM counts
-  UNION ALL SELECT 'guidance_feed_age', 'info', '', 'no check recorded yet'),
+  UNION ALL SELECT 'situation_age', CASE WHEN situation IS NULL OR situation > 200 THEN 'fail' WHEN situation > 100 THEN 'warn' ELSE 'ok' END, coalesce(printf('%.1f days', situation), ''), 'warn over 100, fail over 200' FROM later
+  UNION ALL SELECT 'warnings_age', CASE WHEN warned IS NULL THEN 'info' WHEN warned > 72 THEN 'fail' WHEN warned > 24 THEN 'warn' ELSE 'ok' END, coalesce(printf('%.1f h', warned), ''), 'warn over 24, fail over 72' FROM later
+  UNION ALL SELECT 'warnings_unlinked', CASE WHEN unlinked = 0 THEN 'ok' ELSE 'warn' END, CAST(unlinked AS VARCHAR), 'current warnings in no constituency' FROM counts
+  UNION ALL SELECT 'member_details_age', CASE WHEN refreshed IS NULL OR refreshed > 90 THEN 'fail' WHEN refreshed > 30 THEN 'warn' ELSE 'ok' END, coalesce(printf('%.1f days', refreshed), ''), 'warn over 30, fail over 90' FROM later
+  UNION ALL SELECT 'member_count', CASE WHEN members >= 90 THEN 'ok' ELSE 'fail' END, CAST(members AS VARCHAR), 'expected at least 90' FROM counts
+  UNION ALL SELECT 'guidance_uncounted', CASE WHEN uncounted = 0 THEN 'ok' ELSE 'info' END, CAST(uncounted AS VARCHAR), 'updates with polygons that are not counted yet, for information' FROM counts
+  UNION ALL SELECT 'guidance_feed_age', 'info', coalesce(printf('%.1f h', looked), ''), 'time since the feed was last looked at, for information' FROM later
+  UNION ALL SELECT 'exposure_products', CASE WHEN there = 0 THEN 'info' WHEN text <> '' THEN 'warn' ELSE 'ok' END, CASE WHEN there = 0 THEN 'not built' ELSE printf('%.0f days', age) END,
+              CASE WHEN there = 0 THEN 'no product yet' WHEN text <> '' THEN text ELSE fine END FROM problems
+  UNION ALL SELECT 'exposure_people', CASE WHEN people BETWEEN 1e6 AND 1e9 THEN 'ok' ELSE 'warn' END, coalesce(format('{:,}', CAST(round_even(people, 0) AS BIGINT)), ''), 'expected 1,000,000 to 1,000,000,000' FROM counts
+  UNION ALL SELECT 'archive_age', 'info', '', 'no check recorded yet'),
 health AS (SELECT * FROM checks UNION ALL
   SELECT 'overall', arg_max(status, CASE status WHEN 'ok' THEN 0 WHEN 'info' THEN 1 WHEN 'warn' THEN 2 ELSE 3 END), '',
          'worst of the checks above' || coalesce('; failing: ' || string_agg(check_name, ', ' ORDER BY check_name) FILTER (status = 'fail'), '') FROM checks)

@@ -74,7 +74,11 @@ def area_figures(members: DataFrame, points: DataFrame) -> DataFrame:
 
     Membership is needed twice and comes from a spatial join, so it is written once.
     """
-    members = stored_table(members, "members")
+    return figures_of(stored_table(members, "members"), points)
+
+
+def figures_of(members: DataFrame, points: DataFrame) -> DataFrame:
+    """:func:`area_figures` of a membership that is a written table already."""
     valued = with_depth(members).select("kind", "area_id", "point_id", "depth").join(with_values(points, ["point_id"]), "point_id")
     names = list(point_values(points.columns))
     return valued.groupBy("kind", "area_id").agg(
@@ -219,6 +223,69 @@ def rollup_through(by_district: DataFrame, lookup: DataFrame, measures: list[str
         *[F.sum(m).alias(m) for m in measures], F.count(F.lit(1)).alias("districts"))
 
 
+# ---- the products of one membership --------------------------------------------------------------------------
+
+BY_CONSTITUENCY = ["addresses", "people", "households", "over65", "people_rs_high_medium", "people_fz3"]
+BY_GEOGRAPHY = ["addresses", "people", "households", "over65", "people_rs_high_medium"]
+
+
+class AreaSuite:
+    """The exposure tables of one set of points, areas, sites and scored cells.
+
+    The spatial join of points and areas runs once: its pairs are written, every table is an aggregate of them.  ``codes`` names the point
+    column of each geography, ``lookups`` a geography reached through a table: its point column, the table, its key and its code.  A lookup
+    has to be unique by key, or points would be counted twice; areas likewise by kind and id.
+    """
+
+    def __init__(self, points: DataFrame, areas: DataFrame, codes: dict[str, str], lookups: dict[str, tuple[str, DataFrame, str, str]] | None = None,
+                 cell: float = 1000.0):
+        self.areas, self.codes, self.cell = areas, dict(codes), cell
+        for geography, (on, lookup, key, code) in (lookups or {}).items():
+            points = mapped_codes(points, lookup.withColumnRenamed(key, on), on, code, f"_{geography}")
+            self.codes[geography] = f"_{geography}"
+        self.points = points
+        self.members = stored_table(membership(points, areas, cell).select("kind", "area_id", "point_id"), "members")
+
+    def area_exposure(self, sites: DataFrame, cells: DataFrame) -> DataFrame:
+        """Every area once: gross, unique, split and derived figures, its critical sites and its score; areas without points, sites or cells
+        have 0, the mean decile, the shares and the score are NULL where there is nobody to weigh."""
+        figures = derived_measures(self.areas, figures_of(self.members, self.points))
+        counted = site_counts(self.area_sites(sites), ["kind", "area_id"])
+        scores = area_scores(cells, self.areas, self.cell)
+        joined = figures.join(counted, ["kind", "area_id"], "left").join(scores, ["kind", "area_id"], "left")
+        none = [c for c in counted.columns if c.startswith("sites")] + ["grid_cells"]
+        return joined.withColumns({c: F.coalesce(c, F.lit(0)) for c in none})
+
+    def area_pairs(self) -> DataFrame:
+        return pair_overlaps(self.members, self.points, ["addresses", "people"])
+
+    def area_constituencies(self, column: str = "pcon") -> DataFrame:
+        each = by_codes(self.members, self.points, {"constituency": column}, BY_CONSTITUENCY)
+        return each.drop("geography").withColumnRenamed("code", column)
+
+    def area_geographies(self, names: DataFrame) -> DataFrame:
+        each = by_codes(self.members, self.points, self.codes, BY_GEOGRAPHY)
+        people = self.members.join(with_values(self.points, ["point_id"]).select("point_id", "people"), "point_id")
+        return geography_shares(each, people.groupBy("kind", "area_id").agg(F.sum("people").alias("people")), names)
+
+    def coverage(self) -> DataFrame:
+        return distinct_coverage(self._flags([]))
+
+    def constituency_coverage(self, column: str = "pcon") -> DataFrame:
+        return coverage_by_code(self._flags([column]), column)
+
+    def area_sites(self, sites: DataFrame) -> DataFrame:
+        return site_list(sites, self.areas, self.cell)
+
+    def geographies(self, names: DataFrame) -> DataFrame:
+        """Every geography's code with its name and the sums of all its points, inside areas or not."""
+        named = names.groupBy("geography", "code").agg(F.min("name").alias("name"))
+        return geography_exposure(self.points, self.codes).join(named, ["geography", "code"], "left")
+
+    def _flags(self, keep: list[str]) -> DataFrame:
+        return point_flags(self.members, self.points, keep)
+
+
 # ---- rapid guidance ------------------------------------------------------------------------------------------
 
 def guidance_exposure(points: DataFrame, polygons: DataFrame, cell: float = 1000.0) -> tuple[DataFrame, DataFrame]:
