@@ -541,6 +541,7 @@ def _health(spark, d):
     now = F.lit("2024-02-01 00:00:00").cast("timestamp")
     e, n = table(spark, d, "events"), F.col("n")
     work, done = _versions(spark, d)
+    situations = _situations(spark, d)        # written once for both checks
     checks = [
         health.age_check("newest_reading", e, "ts", now, 24.0, 72.0),
         health.age_check("newest_order", table(spark, d, "orders"), "o_orderdate", now, 100.0, 200.0, hours=24.0),
@@ -548,9 +549,9 @@ def _health(spark, d):
         health.count_check("intersections_pending", upsert.outstanding(work, done, "statement_id", "last_modified_at"), F.count(F.lit(1)),
                            [(n == 0, "ok"), (n >= 10, "fail")], "statements awaiting their intersections", "warn"),
         health.count_check("constituency_count", table(spark, d, "nation"), F.count(F.lit(1)), [(n >= 25, "ok")], "expected at least 25", "fail"),
-        health.count_check("members_unmatched", _situations(spark, d).filter("NOT mp_matched"), F.count(F.lit(1)), [(n == 0, "ok"), (n <= 10, "info")],
+        health.count_check("members_unmatched", situations.filter("NOT mp_matched"), F.count(F.lit(1)), [(n == 0, "ok"), (n <= 10, "info")],
                            "constituencies with no matched member", "warn"),
-        health.age_check("situation_age", _situations(spark, d), "worst_date", now, 100.0, 200.0, hours=24.0),
+        health.age_check("situation_age", situations, "worst_date", now, 100.0, 200.0, hours=24.0),
         health.age_check("warnings_age", current_warnings(spark, d).filter("severity_level IN (1, 2, 3)"), "time_raised", now, 24.0, 72.0, empty="info"),
         health.count_check("warnings_unlinked", forecast.without_constituency(current_warnings(spark, d), _warning_contacts(spark, d)), F.count_distinct("area_code"),
                            [(n == 0, "ok")], "current warnings in no constituency", "warn"),
