@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from freshet.bindings.base import PLACES_SQL, areas, points, query, site_boxes, sites, table, with_ctes
 from freshet.bindings.place import LABELS, PIXEL_SQL, _pixels
-from freshet.operators import guards, pick, proximity
+from freshet.operators import guards, pick, proximity, tiles
 from freshet.operators.scan import percent_rank_average
 from freshet.operators.upsert import only_new
 from freshet.session import stored_table
@@ -152,7 +152,7 @@ def _(spark, d):
 SELECT kind, area_id, count(*) AS sites, count(*) FILTER (site_group = 'health') AS sites_health, count(*) FILTER (rofrs_rank >= 3) AS sites_rs_high_medium,
   count(*) FILTER (fz_rank = 2) AS sites_fz3 FROM inside GROUP BY kind, area_id""")
 def _(spark, d):
-    f = exposure.site_counts(exposure.site_list(sites(spark, d), areas(spark, d)), ["kind", "area_id"])
+    f = exposure.site_counts(sites(spark, d), tiles.pieces_of(areas(spark, d), 1000.0, ["kind", "area_id"]), 1000.0)
     return f.select("kind", "area_id", "sites", "sites_health", "sites_rs_high_medium", "sites_fz3")
 
 
@@ -293,7 +293,7 @@ cells AS (SELECT easting // 100 * 100 AS e, northing // 100 * 100 AS n, sum(peop
 inside AS (SELECT a.kind, a.area_id, c.* FROM cells c JOIN areas a ON c.e + 50 BETWEEN a.x0 AND a.x1 AND c.n + 50 BETWEEN a.y0 AND a.y1)
 SELECT kind, area_id, count(*) AS grid_cells, max(score) AS risk_score_max, round_even(sum(people * score) / nullif(sum(people), 0), 2) AS risk_score FROM inside GROUP BY 1, 2""")
 def _(spark, d):
-    return exposure.area_scores(scored_cells(spark, d), areas(spark, d))
+    return exposure.area_scores(scored_cells(spark, d), tiles.pieces_of(areas(spark, d), 1000.0, ["kind", "area_id"]), 1000.0)
 
 
 def scored_cells(spark, d):
@@ -501,8 +501,7 @@ def _(spark, d):
     # sums of two strips of points, added: what partial and final aggregation do
     p, a = points(spark, d), areas(spark, d)
     strips = [p.filter("northing < 50000"), p.filter("northing >= 50000")]
-    parts = [exposure.membership(s, a).join(s.select("point_id", "people"), "point_id").groupBy("kind").agg(
-        F.sum("people").alias("people"), F.count(F.lit(1)).alias("pairs")) for s in strips]
+    parts = [exposure.kind_totals(exposure.membership(s, a), s) for s in strips]
     return pick.union_all(parts).groupBy("kind").agg(F.round(F.sum("people"), 2).alias("people"), F.sum("pairs").alias("pairs"))
 
 

@@ -87,10 +87,11 @@ def points_in_areas(points: DataFrame, areas: DataFrame, cell: float, keep_areas
                     y: str = "northing", hot_cells: bool = True) -> DataFrame:
     """Every (point, area) pair with the point inside or on the boundary; a point may be in many areas."""
     placed = points.withColumn("cell_x", F.floor(F.col(x) / cell)).withColumn("cell_y", F.floor(F.col(y) / cell))
-    covering, on = cover(areas, cell, keep_areas), ["cell_x", "cell_y"]
+    covering, on = cover(areas, cell, keep_areas, spread=True), ["cell_x", "cell_y"]
     if hot_cells:
         placed, covering, on = salted(placed, covering, on, [x, y, *points.columns[:1]])
-    joined = placed.join(covering, on)
+    # neither side may be broadcast: its rows are estimated from the file, not from the cells that areas unfold to
+    joined = placed.join(covering.hint("merge"), on)
     inside = F.col("local").isNull() | contains(F.col("local"), F.col(x).cast("double"), F.col(y).cast("double"))
     return joined.filter(inside).select(*[placed[c] for c in points.columns], *[covering[c] for c in keep_areas])
 
