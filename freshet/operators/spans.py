@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from freshet.operators.spatial import edges, with_bounds
+from freshet.operators.spatial import edges, spread, with_bounds
 from freshet.session import stored_table
 
 TILE = 64        # pixels of a row that share a join key
@@ -33,7 +33,7 @@ def filled(areas: DataFrame, pixel: float, keep: list[str], shape_id: str | None
         areas = stored_table(areas.select(*keep, "rings", F.monotonically_increasing_id().alias(shape_id)), "shapes")
     by = list(dict.fromkeys([shape_id, *keep]))
     e = F.col("e")
-    each = areas.select(*by, F.explode(edges(F.col("rings"))).alias("e")).select(
+    each = spread(areas.select(*by, "rings"), by).select(*by, F.explode(edges(F.col("rings"))).alias("e")).select(
         *by, F.least(e.y1, e.y2).alias("low"), F.greatest(e.y1, e.y2).alias("high"), "e")
     rows = F.sequence(F.ceil(F.col("low") / pixel - 0.5), F.floor(F.col("high") / pixel - 0.5))        # centres level with the edge, both ends included
     level = each.filter(F.ceil(F.col("low") / pixel - 0.5) <= F.floor(F.col("high") / pixel - 0.5)).withColumn("pixel_y", F.explode(rows))
@@ -109,9 +109,11 @@ def ranks_at(points: DataFrame, x: Column, y: Column, spans: DataFrame, source:
 
 def owned_cells(areas: DataFrame, area_id: str, cell: float = 100.0) -> DataFrame:
     """(id, cell_x, cell_y) of the cells whose centre an area holds; an area that holds none owns one inner cell."""
-    runs = filled(areas.select(area_id, "rings"), cell, [area_id], area_id)
+    runs = stored_table(filled(areas.select(area_id, "rings"), cell, [area_id], area_id), "runs")        # read twice below
     owned = pixels(runs).select(area_id, F.col("pixel_x").alias("cell_x"), F.col("pixel_y").alias("cell_y"))
-    small = with_bounds(areas).join(runs.select(area_id).distinct(), area_id, "left_anti")
+    # no broadcast, the number of runs is not seen in the size of their file; written, or Spark works out the inner point of every area
+    none = areas.select(area_id, "rings").join(runs.select(area_id).distinct().hint("merge"), area_id, "left_anti")
+    small = with_bounds(stored_table(none, "small"))
     # an inner point: half way between the first two crossings of the line through the middle of the box
     mid = (F.col("min_y") + F.col("max_y")) / 2
     crossings = F.array_sort(F.transform(

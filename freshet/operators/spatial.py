@@ -46,6 +46,11 @@ def contains(edge_list: Column, x: Column, y: Column, on_edge: bool = True) -> C
     return (touching | odd) if on_edge else (~touching & odd)
 
 
+def spread(df: DataFrame, by: list[str]) -> DataFrame:
+    """``df`` dealt to all tasks: a few bytes of outlines may be much work, so neither files nor sizes set the number of tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(*by))
+
+
 def with_bounds(areas: DataFrame, rings: str = "rings") -> DataFrame:
     points = F.flatten(F.col(rings))
     xs, ys = F.transform(points, lambda p: p.x), F.transform(points, lambda p: p.y)
@@ -58,7 +63,7 @@ def _cells(df: DataFrame, cell: float, x0: str, x1: str, y0: str, y1: str) -> Da
     return df.withColumn("cell_x", F.explode(span(x0, x1))).withColumn("cell_y", F.explode(span(y0, y1)))
 
 
-def cover(areas: DataFrame, cell: float, keep: list[str], spread: bool = False) -> DataFrame:
+def cover(areas: DataFrame, cell: float, keep: list[str], deal: bool = False) -> DataFrame:
     """One row per area and grid cell it meets.
 
     ``local`` holds the edges that decide membership inside the cell: those level with it and not wholly to its left.  It is
@@ -70,9 +75,8 @@ def cover(areas: DataFrame, cell: float, keep: list[str], spread: bool = False)
     # edges level with the row of cells are kept once per row, before the row is cut into cells
     level = lambda e: (F.greatest(e.y1, e.y2) >= F.col("_south")) & (F.least(e.y1, e.y2) <= F.col("_south") + cell)
     rows = rows.withColumn("_edges", F.filter("_edges", level))
-    if spread:        # the cells of one very large area come from many tasks; few bytes may be much work, so their number is fixed
-        tasks = int(areas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows = rows.repartition(tasks, F.xxhash64(*keep, "cell_y"))
+    if deal:        # the cells of one very large area come from many tasks
+        rows = spread(rows, [*keep, "cell_y"])
     cut = (rows.withColumn("cell_x", F.explode(F.sequence(F.floor(F.col("min_x") / cell), F.floor(F.col("max_x") / cell))))
            .withColumn("_west", F.col("cell_x") * cell))
     right_of = lambda e: F.greatest(e.x1, e.x2) >= F.col("_west")
@@ -87,7 +91,7 @@ def points_in_areas(points: DataFrame, areas: DataFrame, cell: float, keep_areas
                     y: str = "northing", hot_cells: bool = True) -> DataFrame:
     """Every (point, area) pair with the point inside or on the boundary; a point may be in many areas."""
     placed = points.withColumn("cell_x", F.floor(F.col(x) / cell)).withColumn("cell_y", F.floor(F.col(y) / cell))
-    covering, on = cover(areas, cell, keep_areas, spread=True), ["cell_x", "cell_y"]
+    covering, on = cover(areas, cell, keep_areas, deal=True), ["cell_x", "cell_y"]
     if hot_cells:
         placed, covering, on = salted(placed, covering, on, [x, y, *points.columns[:1]])
     # neither side may be broadcast: its rows are estimated from the file, not from the cells that areas unfold to
@@ -130,7 +134,7 @@ def overlaps(base: DataFrame, other: DataFrame, base_id: list[str], other_id: li
     b_keep = [*other_id, *[r for _, r in same if r not in other_id]]
 
     def cut(areas: DataFrame, keep: list[str], side: str) -> DataFrame:
-        cells = cover(areas, cell, keep, spread=True).select(
+        cells = cover(areas, cell, keep, deal=True).select(
             *[F.col(c).alias(f"{side}_{c}") for c in keep], "cell_x", "cell_y", _flat(F.col("local")).alias(f"{side}_local"))
         return stored_table(cells, f"cells-{side}")
 

@@ -29,7 +29,7 @@ BLOCK = 1 << 18        # point and piece combinations tested at a time
 
 def pieces_of(areas: DataFrame, cell: float, keep: list[str]) -> DataFrame:
     """The cells of the areas, written: ``local`` has the flat edges that decide inside the cell, NULL where the whole cell is inside."""
-    cells = cover(areas, cell, keep, spread=True)
+    cells = cover(areas, cell, keep, deal=True)
     local = F.transform(_flat(F.col("local")), lambda v: v.cast("double"))
     return stored_table(cells.select(*keep, "cell_x", "cell_y", local.alias("local")), "pieces")
 
