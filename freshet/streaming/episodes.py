@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 
 from freshet.plans.history import HEIGHT, OFF, TIE
@@ -35,11 +36,16 @@ def runs_of(number: int, run: dict, messages: list[list]) -> list[tuple[int, dic
     return found
 
 
-def _row(area: str, number: int, run: dict, stale: bool) -> dict:
-    time = lambda v: None if v is None else pd.Timestamp(v, unit="us")
-    ended = run["ended_by"] or "open"
-    return {"area_code": area, "run": number, "start_time": time(run["start"]), "end_time": time(run["end"]), "start_level": run["start_level"],
-            "peak_level": run["peak_level"], "n_messages": run["n"], "ended_by": ended, "stale_open": stale}
+COLUMNS = ["area_code", "run", "start_time", "end_time", "start_level", "peak_level", "n_messages", "ended_by", "stale_open"]
+NO_TIME = np.datetime64("NaT").astype(np.int64)
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    """Rows of :data:`COLUMNS`; times are microseconds and become timestamps a column at a time."""
+    columns = dict(zip(COLUMNS, zip(*rows)))
+    for name in ("start_time", "end_time"):
+        columns[name] = np.array([NO_TIME if v is None else v for v in columns[name]], dtype=np.int64).view("datetime64[us]")
+    return pd.DataFrame(columns)
 
 
 def episodes_of_area(stale_days: int):
@@ -51,10 +57,10 @@ def episodes_of_area(stale_days: int):
         memory = json.loads(state.get[0]) if state.exists else {"run": 0, "open": EMPTY, "pending": [], "told": {}}
         out, pending = [], {(m[0], m[1]): m for m in memory["pending"]}
         for batch in batches:
-            for time, level, kind in zip(batch["time"], batch["level"], batch["kind"]):
-                if pd.isna(time):
+            times = batch["time"].to_numpy(dtype="datetime64[us]").view(np.int64)
+            for at, level, kind in zip(times.tolist(), batch["level"], batch["kind"]):
+                if at == NO_TIME:
                     continue
-                at = pd.Timestamp(time).value // 1000
                 pending.setdefault((at, level), [at, level, kind])
         messages = sorted(pending.values(), key=lambda m: (m[0], TIE.get(m[1], -1)))
         now = state.getCurrentWatermarkMs() * 1000
@@ -62,11 +68,10 @@ def episodes_of_area(stale_days: int):
         told = {}
         for number, run in found:
             stale = run["end"] is None and run["start"] is not None and now > run["start"] + stale_after
-            row = _row(area, number, run, stale)
             told[str(number)] = mark = json.dumps([run, stale])
             before = memory["told"].get(str(number))
             if mark != before and (run["n"] or before):
-                out.append(row)
+                out.append((area, number, run["start"], run["end"], run["start_level"], run["peak_level"], run["n"], run["ended_by"] or "open", stale))
         settled = [m for m in messages if m[0] < now]
         kept = runs_of(memory["run"], memory["open"], settled)[-1]
         memory = {"run": kept[0], "open": kept[1], "pending": messages[len(settled):], "told": {n: m for n, m in told.items() if int(n) >= kept[0]}}
@@ -75,6 +80,6 @@ def episodes_of_area(stale_days: int):
         if run["n"] and run["end"] is None and now <= run["start"] + stale_after:
             state.setTimeoutTimestamp(max(run["start"] + stale_after, now) // 1000 + 1)
         if out:
-            yield pd.DataFrame(out, columns=["area_code", "run", "start_time", "end_time", "start_level", "peak_level", "n_messages", "ended_by", "stale_open"])
+            yield _frame(out)
 
     return step
