@@ -61,3 +61,54 @@ def test_features_come_in_documents_of_bounded_size(spark, monkeypatch, tmp_path
     monkeypatch.setattr(places, "geojson_features", lambda docs, names: seen.append(docs) or read(docs, names))
     rows = QUERIES["s05_geojson_features"](spark, str(tmp_path))
     assert rows.distinct().count() == 3000 and seen[0].count() == 7 and seen[0].filter(F.length("body") > 200_000).count() == 0
+
+
+def _shapes(spark, n, seed, columns):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        x, y, w, h = rng.randrange(0, 300), rng.randrange(0, 300), rng.randrange(5, 90), rng.randrange(5, 90)
+        bent = [[{"x": float(a), "y": float(b)} for a, b in ((x, y), (x + w, y), (x + w, y + h), (x + w / 2, y + h / 3), (x, y + h), (x, y))]]
+        rows.append((i, bent if i % 2 else box(x, y, x + w, y + h)))
+    return spark.createDataFrame([*rows, rows[3], (None, rows[4][1])], f"{columns} long, rings {RINGS}")
+
+
+def test_whole_shapes_measure_as_cells_do(spark, monkeypatch):
+    a, b = _shapes(spark, 30, 1, "area_id"), _shapes(spark, 30, 2, "box_id")
+    rows = {}
+    for simple in (0, 5, 32):
+        monkeypatch.setattr(spatial, "SIMPLE", simple)
+        found = spatial.overlaps(a, b, ["area_id"], ["box_id"], 40.0)
+        rows[simple] = sorted(((r.area_id, -1 if r.box_id is None else r.box_id, round(r.overlap_m2, 6), round(r.share, 6)) for r in found.collect()))
+    assert len(rows[0]) > 50 and all([r[:2] for r in rows[n]] == [r[:2] for r in rows[0]] for n in (5, 32))
+    for n in (5, 32):
+        assert [v for r in rows[n] for v in r[2:]] == pytest.approx([v for r in rows[0] for v in r[2:]], rel=1e-6)
+
+
+def test_pairs_of_whole_shapes_are_not_shuffled_or_broadcast(spark):
+    a, b = _shapes(spark, 6, 1, "area_id").limit(6), _shapes(spark, 6, 2, "box_id").limit(6)
+    plan = plan_of(spatial.overlaps(a, b, ["area_id"], ["box_id"], 40.0))
+    top = plan[:plan.index("SortMergeJoin")]
+    assert "Exchange" not in top and "Aggregate" not in top
+
+
+@pytest.mark.parametrize("some", [1 << 18, 7])
+def test_lines_near_areas_edges_in_parts(spark, monkeypatch, some):
+    from freshet.operators import kernels
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    shapes = [[float(v) for e in zip(p, p[1:]) for c in e for v in c] for p in (
+        [(rng.randrange(100), rng.randrange(100)) for _ in range(rng.randrange(1, 9))] for _ in range(200))]
+    shapes = [s + s[-2:] + s[:2] if s else s for s in shapes]
+    lines = np.array([[rng.randrange(100) for _ in range(4)] for _ in shapes], dtype=float)
+    monkeypatch.setattr(kernels, "EDGES", some)
+    columns = [pa.array(c) for c in lines.T]
+    got = kernels.segment_near.func(*columns, pa.array(shapes, pa.list_(pa.float64())), pa.array([6.0] * len(shapes))).to_pylist()
+    want = [bool(kernels._near(lines[i:i + 1], np.array(s).reshape(-1, 4), np.zeros(len(s) // 4, int), 1, 6.0)[0]) for i, s in enumerate(shapes)]
+    assert got == want and 20 < sum(got) < 190
+    plan = plan_of(spatial.lines_near_areas(spark.createDataFrame([(1, [(0.0, 0.0), (9.0, 0.0)])], "line_id int, path array<struct<x:double,y:double>>"),
+                                            _shapes(spark, 5, 5, "area_id"), 2.0, ["line_id"], ["area_id"], 40.0))
+    assert "ArrowEvalPython" in plan and "SortMergeJoin" in plan
