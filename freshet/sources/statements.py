@@ -50,9 +50,9 @@ def _block_levels(statements: DataFrame) -> DataFrame:
     """One row per statement, block, day and source, malformed levels included (``levels`` NULL or short)."""
     areas = statements.select("id", "issued_at", F.explode("risk_areas").alias("a"))
     blocks = areas.select("id", "issued_at", F.col("a.id").alias("area"), "a.beyond_five_days", F.explode("a.risk_area_blocks").alias("b"))
-    days = blocks.select("*", F.explode("b.days").alias("day_index"))
-    sources = days.select("*", F.explode("b.risk_levels").alias("source", "raw"))
-    return sources.withColumn("levels", F.from_json("raw", "array<int>"))
+    # levels are read once per source, before days and polygons multiply the rows
+    sources = blocks.select("*", F.explode("b.risk_levels").alias("source", "raw")).withColumn("levels", F.from_json("raw", "array<int>"))
+    return sources.select("*", F.explode("b.days").alias("day_index"))
 
 
 def usable(levels: Column) -> Column:

@@ -112,3 +112,32 @@ def test_lines_near_areas_edges_in_parts(spark, monkeypatch, some):
     plan = plan_of(spatial.lines_near_areas(spark.createDataFrame([(1, [(0.0, 0.0), (9.0, 0.0)])], "line_id int, path array<struct<x:double,y:double>>"),
                                             _shapes(spark, 5, 5, "area_id"), 2.0, ["line_id"], ["area_id"], 40.0))
     assert "ArrowEvalPython" in plan and "SortMergeJoin" in plan
+
+
+def test_levels_are_read_before_days_multiply_the_rows(spark):
+    from freshet.sources import statements
+
+    at = scratch_path(spark, "bodies")
+    body = '{"id":1,"issued_at":"2024-01-01T10:30:00Z","risk_areas":[{"id":2,"risk_area_blocks":[{"id":3,"days":[1,2,3],"risk_levels":{"river":[2,2],"sea":"none"},"polys":[]}]}]}'
+    spark.createDataFrame([(body,)], "body string").write.parquet(at)
+    typed = statements.parse_statements(spark.read.parquet(at))
+    assert statements.malformed_levels(typed).first().asDict() == {"entries": 6, "skipped": 3}
+    rows = statements.block_rows(typed, F.lit("now"))
+    assert rows.count() == 3
+    lines = plan_of(rows).splitlines()
+    read = [i for i, line in enumerate(lines) if "from_json(ArrayType" in line]
+    unfolded = [i for i, line in enumerate(lines) if "Generate explode" in line]        # the last to be unfolded stands first
+    assert read and min(read) > min(unfolded)
+
+
+def test_thresholds_are_worked_out_once(spark):
+    from freshet.plans import thresholds
+
+    at = scratch_path(spark, "thresholds")
+    names = {"id": "ID", "location": "Loc", "basis": "B", "catdesc": "C", "parameter": "P", "unit": "U", "value": "V", "z": "Z"}
+    raw = [("1", "007", "observed", "Flood Warning", "H.obs", "mASD", "1.5", "0")]
+    spark.createDataFrame(raw, ", ".join(f"{c} string" for c in names.values())).write.parquet(at)
+    mapped = spark.createDataFrame([("007", "level", None, "u1", "mASD")], "fffs_id string, telemetry_family string, code_family string, measure_uri string, unit_name string")
+    linked = thresholds.link(thresholds.prepare(spark.read.parquet(at), names), mapped, thresholds.aliases(None, spark))
+    assert at not in plan_of(linked)
+    assert [(r.threshold_id, r.link_status, r.measure_uri) for r in linked.collect()] == [("1", "linked", "u1")]
