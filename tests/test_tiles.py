@@ -65,3 +65,49 @@ def test_figures_write_no_row_per_pair(spark):
     rows = exposure.area_figures(members, points).select("people", F.round("people_split", 6).alias("split"), "people_unique").collect()
     assert {tuple(r) for r in rows} == {(600.0, 12.0, 0.0)} and len(rows) == 50
     assert members.depth.count() == 300 and members.pieces.count() == 50 * 4
+
+
+def _pair_sums(held, values, couples):
+    """Sums of ``values`` over the points that both areas of a couple hold, counted one by one."""
+    out = {}
+    for a, b in couples(held):
+        common = held[a].keys() & held[b].keys()
+        if common:
+            out[a, b] = sum(held[a][p] * held[b][p] * values[p] for p in common)
+    return out
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_pairs_of_areas_are_those_of_the_points_in_both(spark, monkeypatch, small):
+    for name, value in {"WIDE": 2, "POINTS": 25, "PAIRED": 10, "SUMS": 20, "SPOTS": 3, "BLOCK": 16}.items() if small else ():
+        monkeypatch.setattr(tiles, name, value)
+    monkeypatch.setattr(exposure, "pairs_within", None)        # no set of areas is unfolded, no point meets an area in a row of its own
+    monkeypatch.setattr(exposure, "points_in_areas", None)
+    points, areas = _world(spark)
+    pairs = spatial.points_in_areas(points.filter("point_id IS NOT NULL"), areas, 25.0, ["kind", "area_id"]).collect()
+    values, held = {}, {}
+    for r in points.filter("point_id IS NOT NULL").collect():
+        values[r.point_id] = values.get(r.point_id, 0.0) + r.people
+    for r in pairs:
+        own = held.setdefault((r.kind, r.area_id), {})
+        own[r.point_id] = own.get(r.point_id, 0) + 1
+    once = {a: dict.fromkeys(p, 1) for a, p in held.items()}
+    want = _pair_sums(once, values, lambda h: [(a, b) for a in h for b in h if a[0] == b[0] and a[1] < b[1]])
+    got = exposure.pair_overlaps(exposure.membership(points, areas, 25.0), points, ["people"]).collect()
+    assert len(want) > 50 and {((r.kind, r.area_a), (r.kind, r.area_b)): r.people for r in got} == want and len(got) == len(want)
+
+    shapes = areas.filter("area_id % 4 = 2").select(F.col("area_id").alias("polygon_key"), "rings")
+    keys = {a for a in held if a[1] % 4 == 2}
+    want = _pair_sums(held, values, lambda h: [(a, b) for a in keys for b in h])
+    got = exposure.guidance_by_area(points, shapes, areas, 25.0).collect()
+    assert {(r.polygon_key, r.kind, r.area_id): r.people for r in got} == {(a[1], *b): v for (a, b), v in want.items()} and len(got) == len(want)
+
+
+def test_a_point_with_two_places_joins_the_areas_of_both(spark):
+    points = spark.createDataFrame([(1, 5.0, 5.0, 2.0), (1, 95.0, 5.0, 3.0), (2, 6.0, 6.0, 7.0)], "point_id int, easting double, northing double, people double")
+    box = lambda x: ring((x, 0), (x + 10, 0), (x + 10, 10), (x, 10))
+    areas = spark.createDataFrame([("flood_warning", 1, box(0)), ("flood_warning", 2, box(0)), ("flood_warning", 3, box(90))], f"kind string, area_id int, rings {RINGS}")
+    got = exposure.pair_overlaps(exposure.membership(points, areas), points, ["people"]).collect()
+    assert {(r.area_a, r.area_b): r.people for r in got} == {(1, 2): 12.0, (1, 3): 5.0, (2, 3): 5.0}
+    under = exposure.guidance_by_area(points, areas.filter("area_id = 1").select(F.col("area_id").alias("polygon_key"), "rings"), areas).collect()
+    assert {(r.polygon_key, r.area_id): r.people for r in under} == {(1, 1): 12.0, (1, 2): 12.0, (1, 3): 5.0}
