@@ -141,3 +141,28 @@ def test_thresholds_are_worked_out_once(spark):
     linked = thresholds.link(thresholds.prepare(spark.read.parquet(at), names), mapped, thresholds.aliases(None, spark))
     assert at not in plan_of(linked)
     assert [(r.threshold_id, r.link_status, r.measure_uri) for r in linked.collect()] == [("1", "linked", "u1")]
+
+
+def test_stations_of_one_name_are_dealt_to_many_tasks(spark):
+    from freshet.plans import mapping
+
+    names = spark.range(700).select(F.col("id").cast("string").alias("id"), F.concat(F.lit("red bolt "), (F.col("id") + 10).cast("string")).alias("name"))
+    stations = spark.range(60).select(F.col("id").cast("string").alias("station_reference"), F.when(F.col("id") < 50, "red bolt").otherwise("green nut").alias("label"))
+    found = mapping.similar_names(names, stations, 0.6)
+    assert found.groupBy("id").count().filter("count = 50").count() == 700 and found.count() == 700 * 50
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and "b_tokens" in line]
+    assert joins and all("SortMergeJoin" in line and "_salt" in line for line in joins), plan
+
+
+def test_the_list_by_name_is_not_grouped_again(spark):
+    from freshet.plans import mapping
+
+    rows = spark.createDataFrame([("1", "t1", None, "red bolt 1"), ("2", "s7", None, "red bolt 2"), (None, "s8", None, "red bolt 3"), ("3", "t3", None, "tall oak")],
+                                 "id string, telemetry_id string, wiski_id string, location_name string")
+    stations = spark.createDataFrame([("s7", "n7", "red bolt"), ("s7", "n7", "red bolt"), ("s8", "n8", "red bolt"), ("s9", "n9", "oak tall")], "station_reference string, notation string, label string").withColumns(
+        {"rloi_id": F.lit(None).cast("string"), "wiski_id": F.lit(None).cast("string")})
+    found = mapping.station_candidates(rows, stations, stations.filter("station_reference <> 's8'").select("station_reference"), 0.6)
+    assert sorted((r.id or "", r.how, r.candidate_station_reference, r.candidate_in_register) for r in found.collect()) == [
+        ("", "same after tidy-up", "s8", False), ("", "similar name", "s7", True), ("1", "similar name", "s7", True), ("1", "similar name", "s8", False),
+        ("2", "same after tidy-up", "s7", True), ("3", "similar name", "s9", True)]
