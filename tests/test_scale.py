@@ -151,7 +151,7 @@ def test_stations_of_one_name_are_dealt_to_many_tasks(spark):
     found = mapping.similar_names(names, stations, 0.6)
     assert found.groupBy("id").count().filter("count = 50").count() == 700 and found.count() == 700 * 50
     plan = found._jdf.queryExecution().executedPlan().toString()
-    joins = [line for line in plan.splitlines() if "Join" in line and "b_tokens" in line]
+    joins = [line for line in plan.splitlines() if "Join" in line and "b_tokens" in line and "Inner" in line]        # the list of hot keys may be broadcast
     assert joins and all("SortMergeJoin" in line and "_salt" in line for line in joins), plan
 
 
