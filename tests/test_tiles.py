@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from freshet.operators import spatial, tiles
+from freshet.operators import skew, spatial, tiles
 from freshet.plans import exposure
 
 RINGS = "array<array<struct<x:double,y:double>>>"
@@ -111,3 +111,30 @@ def test_a_point_with_two_places_joins_the_areas_of_both(spark):
     assert {(r.area_a, r.area_b): r.people for r in got} == {(1, 2): 12.0, (1, 3): 5.0, (2, 3): 5.0}
     under = exposure.guidance_by_area(points, areas.filter("area_id = 1").select(F.col("area_id").alias("polygon_key"), "rings"), areas).collect()
     assert {(r.polygon_key, r.area_id): r.people for r in under} == {(1, 1): 12.0, (1, 2): 12.0, (1, 3): 5.0}
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_points_meet_the_areas_of_a_cell_as_blocks(spark, monkeypatch, small):
+    if small:        # cells crowded on both sides, blocks cut, pairs leaving a few at a time
+        monkeypatch.setattr(spatial, "BLOCK", 16)
+        monkeypatch.setattr(spatial, "PAIRS", 5)
+        monkeypatch.setattr(skew, "LEAST", 3)
+    points, areas = _world(spark)
+    boxes = areas.filter("area_id % 2 = 0")        # those are upright boxes, so corners decide
+    held = spatial.points_in_areas(points, boxes, 100.0 if small else 25.0, ["kind", "area_id"], keep_points=["point_id", "pcon"])
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert held.columns == ["point_id", "pcon", "kind", "area_id"]
+    assert "MapInArrow" in plan and "collect_list" in plan and "SortMergeJoin [cell_x" in plan        # a row per cell meets a row per cell
+    corners = [(r.kind, r.area_id, *(f(p[c] for p in r.rings[0]) for c in "xy" for f in (min, max))) for r in boxes.collect()]
+    want = [(p.point_id, p.pcon, k, a) for p in points.collect() for k, a, x0, x1, y0, y1 in corners
+            if p.easting is not None and x0 <= p.easting <= x1 and y0 <= p.northing <= y1]
+    key = lambda r: tuple(map(str, r))
+    assert len(want) > 200 and sorted(map(tuple, held.collect()), key=key) == sorted(want, key=key)
+
+
+def test_site_list_makes_the_wanted_columns_only(spark):
+    sites = spark.createDataFrame([(1, 5.0, 5.0, "one", 4), (2, 95.0, 5.0, "two", None)], "site_id int, easting double, northing double, name string, rofrs_rank int")
+    areas = spark.createDataFrame([("flood_alert", i, ring((0, 0), (50, 0), (50, 50), (0, 50))) for i in (7, 8)], f"kind string, area_id int, rings {RINGS}")
+    got = exposure.site_list(sites, areas, keep=["site_id"])
+    assert got.columns == ["site_id", "kind", "area_id", "band"] and sorted(map(tuple, got.collect())) == [(1, "flood_alert", 7, "High"), (1, "flood_alert", 8, "High")]
+    assert exposure.site_list(sites, areas).columns == [*sites.columns, "kind", "area_id", "band"]
