@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from freshet.operators import skew, spatial, tiles
 from freshet.plans import exposure
+from freshet.session import stored_table
 
 RINGS = "array<array<struct<x:double,y:double>>>"
 
@@ -138,3 +139,57 @@ def test_site_list_makes_the_wanted_columns_only(spark):
     got = exposure.site_list(sites, areas, keep=["site_id"])
     assert got.columns == ["site_id", "kind", "area_id", "band"] and sorted(map(tuple, got.collect())) == [(1, "flood_alert", 7, "High"), (1, "flood_alert", 8, "High")]
     assert exposure.site_list(sites, areas).columns == [*sites.columns, "kind", "area_id", "band"]
+
+
+def _above_the_tiles(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[:plan.index("FlatMapCoGroupsInArrow")]
+
+
+def test_pairs_of_areas_with_a_home_are_not_added_up_again(spark):
+    points, areas = _world(spark)
+    once = areas.filter("area_id <> 1")        # id 1 has two shapes
+    assert tiles.pieces_of(areas, 25.0, ["kind", "area_id"]).filter("home_x IS NULL").select("area_id").distinct().collect() == [(1,)]
+    pairs = exposure.pair_overlaps(exposure.membership(points, once, 25.0), points, ["people"])
+    shapes = once.filter("area_id % 4 = 2").select(F.col("area_id").alias("polygon_key"), "rings")
+    under = exposure.guidance_by_area(points, shapes, once, 25.0)
+    for found in (pairs, under):
+        assert found.count() > 50 and not any(step in _above_the_tiles(found) for step in ("Exchange", "Aggregate"))
+
+
+def test_pairs_across_tiles_come_once(spark, monkeypatch):
+    monkeypatch.setattr(tiles, "SETTLED", 12)        # tiles cut to shares
+    side = 60.0        # areas of one cell up to three tiles and a larger one, some far apart and some one in another
+    rng = random.Random(3)
+    corners = [(i, *(w := (rng.randrange(-500, 900), rng.randrange(-500, 900))), w[0] + rng.randrange(10, 420), w[1] + rng.randrange(10, 420)) for i in range(80)]
+    corners.append((99, -400, -400, 800, 500))
+    points = spark.createDataFrame([(i, float(rng.randrange(-500, 1200)), float(rng.randrange(-500, 1200)), 1.0 if i else float("inf")) for i in range(500)],
+                                   "point_id long, easting double, northing double, people double")
+    areas = spark.createDataFrame([("flood_alert", f"a{i}", ring((a, b), (c, b), (c, d), (a, d))) for i, a, b, c, d in corners], f"kind string, area_id string, rings {RINGS}")
+    spots = points.collect()
+    held = {f"a{i}": {p.point_id for p in spots if a <= p.easting <= c and b <= p.northing <= d} for i, a, b, c, d in corners}
+    total = lambda ids: sum(spots[p].people for p in ids)
+    want = sorted((a, b, total(held[a] & held[b])) for a in held for b in held if a < b and held[a] & held[b])
+    got = exposure.pair_overlaps(exposure.membership(points, areas, side), points, ["people"]).select("area_a", "area_b", "people").collect()
+    assert len(want) > 100 and sorted(map(tuple, got)) == want
+    shapes = areas.filter("area_id LIKE '%1'").select(F.col("area_id").alias("polygon_key"), "rings")
+    want = sorted((a, b, total(held[a] & held[b])) for a in held for b in held if a.endswith("1") and held[a] & held[b])
+    got = exposure.guidance_by_area(points, shapes, areas, side).select("polygon_key", "area_id", "people").collect()
+    assert len(want) > 20 and sorted(map(tuple, got)) == want
+
+
+def test_codes_of_areas_with_a_home_are_not_added_up_again(spark):
+    points, areas = _world(spark)
+    points = points.withColumn("ward", F.col("easting").cast("int") % 5)
+    wide = spark.createDataFrame([("flood_alert", 500, ring((-40, -40), (400, -40), (400, 300), (-40, 300)))], areas.schema)
+    members = exposure.membership(points.filter("point_id IS NOT NULL"), areas.filter("area_id <> 1").unionByName(wide), 25.0)
+    codes, names = {"constituency": "pcon", "ward": "ward"}, spark.createDataFrame([("ward", "3", "three"), ("constituency", "a", "A")], "geography string, code string, name string")
+    whole = lambda df: sorted((tuple(r) for r in df.select("kind", "area_id", "geography", "code", "people", "name", "share_of_area_people").collect()), key=str)
+    figures = tiles.sums_in_areas(members.placed(points.select("point_id", "people").distinct()), members.pieces, 25.0, ["kind", "area_id"], ["people"])
+    values = points.filter("point_id IS NOT NULL").distinct()
+    want = whole(exposure.geography_shares(exposure.by_codes(members, values, codes, ["people"]), figures, names))
+    found = exposure.by_codes(members, values, codes, ["addresses", "people"], total="people")
+    assert len(want) > 200 and whole(exposure.geography_shares(found, None, names)) == want and any(r[1] == 500 for r in want)
+    own = exposure.membership(points.filter("point_id IS NOT NULL"), areas.filter("area_id <> 1"), 25.0)
+    shared = exposure.geography_shares(exposure.by_codes(own, values, codes, ["people"], total="people"), None, stored_table(names, "names"))
+    assert shared.count() > 200 and not any(step in _above_the_tiles(shared) for step in ("SortMergeJoin", "Exchange hashpartitioning(kind", "Exchange hashpartitioning(area"))
