@@ -154,12 +154,13 @@ def pair_overlaps(members: Membership, points: DataFrame, measures: list[str]) -
     return found.unionByName(rest).groupBy("kind", "area_a", "area_b").agg(*[F.sum(m).alias(m) for m in measures])
 
 
-def by_codes(members: Membership, points: DataFrame, codes: dict[str, str], measures: list[str]) -> DataFrame:
-    """Area x geography x code figures; points with a blank code do not count in that geography."""
+def by_codes(members: Membership, points: DataFrame, codes: dict[str, str], measures: list[str], total: str | None = None) -> DataFrame:
+    """Area x geography x code figures; points with a blank code do not count in that geography.  ``total`` names the measure that
+    is also given, as ``_total``, over all points of the area."""
     valued = with_values(points, ["point_id", *codes.values()])
     columns = {g: f"_code_{i}" for i, g in enumerate(codes)}
     slim = valued.select("point_id", *measures, *[F.col(codes[g]).cast("string").alias(c) for g, c in columns.items()])
-    return sums_by_code(members.placed(slim), members.pieces, members.cell, ["kind", "area_id"], columns, measures)
+    return sums_by_code(members.placed(slim), members.pieces, members.cell, ["kind", "area_id"], columns, measures, total=total)
 
 
 def mapped_codes(points: DataFrame, lookup: DataFrame, on: str, code: str, out: str) -> DataFrame:
@@ -167,11 +168,15 @@ def mapped_codes(points: DataFrame, lookup: DataFrame, on: str, code: str, out:
     return points.join(lookup.select(on, F.col(code).alias(out)), on, "left")
 
 
-def geography_shares(by_code: DataFrame, figures: DataFrame, names: DataFrame) -> DataFrame:
-    """Area x geography rows with the code's name and the share of the area's people."""
-    totals = figures.select("kind", "area_id", F.col("people").alias("_total"))
+def geography_shares(by_code: DataFrame, figures: DataFrame | None, names: DataFrame) -> DataFrame:
+    """Area x geography rows with the code's name and the share of the area's people; without ``figures`` the rows have the area's people themselves
+    (``_total``), so that they are not shuffled for it."""
     named = names.groupBy("geography", "code").agg(F.min("name").alias("name"))
-    joined = by_code.join(totals, ["kind", "area_id"]).join(named, ["geography", "code"], "left")
+    if figures is None:
+        joined = by_code.dropna(subset=["kind", "area_id"])
+    else:
+        joined = by_code.join(figures.select("kind", "area_id", F.col("people").alias("_total")), ["kind", "area_id"])
+    joined = joined.join(named, ["geography", "code"], "left")
     return joined.withColumn("share_of_area_people", F.bround(F.try_divide("people", "_total"), 4)).drop("_total")
 
 
@@ -303,9 +308,7 @@ class AreaSuite:
         return each.drop("geography").withColumnRenamed("code", column)
 
     def area_geographies(self, names: DataFrame) -> DataFrame:
-        each = by_codes(self.members, self.points, self.codes, BY_GEOGRAPHY)
-        people = self.members.placed(with_values(self.points, ["point_id"]).select("point_id", "people"))
-        return geography_shares(each, sums_in_areas(people, self.members.pieces, self.cell, ["kind", "area_id"], ["people"]), names)
+        return geography_shares(by_codes(self.members, self.points, self.codes, BY_GEOGRAPHY, total="people"), None, names)
 
     def coverage(self) -> DataFrame:
         return distinct_coverage(self._flags([]))
@@ -352,7 +355,7 @@ def guidance_by_area(points: DataFrame, polygons: DataFrame, areas: DataFrame, c
     part, keys = ["addresses", "people", "people_rs_high_medium"], ["polygon_key", "kind", "area_id"]
     values = with_values(points, ["point_id"]).select("point_id", *part)
     once, several = _placed_once(under, values, part, True)
-    left = under.pieces.select(F.col("area_id").alias("polygon_key"), "cell_x", "cell_y", "local")
+    left = under.pieces.select(F.col("area_id").alias("polygon_key"), "home_x", "home_y", "cell_x", "cell_y", "local")
     found = sums_of_pairs(once, left, within.pieces, cell, ["polygon_key"], ["kind", "area_id"], part)
     if several.isEmpty():
         return found
