@@ -166,3 +166,29 @@ def test_the_list_by_name_is_not_grouped_again(spark):
     assert sorted((r.id or "", r.how, r.candidate_station_reference, r.candidate_in_register) for r in found.collect()) == [
         ("", "same after tidy-up", "s8", False), ("", "similar name", "s7", True), ("1", "similar name", "s7", True), ("1", "similar name", "s8", False),
         ("2", "same after tidy-up", "s7", True), ("3", "similar name", "s9", True)]
+
+
+@pytest.mark.parametrize("listed", [256, 5])
+def test_pairs_of_areas_in_cells_are_summed_in_their_first_cell(spark, monkeypatch, listed):
+    from freshet.operators import pairs
+
+    for name, value in {"LISTED": listed, "MEMBERS": 7, "PLACES": 3, "SUMS": 24}.items():
+        monkeypatch.setattr(pairs, name, value)
+    rng = random.Random(5)
+    cells = [(i, k) for i in range(30) for k in rng.sample(range(25), rng.randrange(1, 9))]
+    rows = [*cells, cells[0], (3, None), (4, None), (None, 2), (None, None)]
+    values = {k: [(2.5, 1.0)] for k in range(20)} | {0: [(1.0, None), (4.0, 2.0)], 7: [(float("inf"), 1.0)]}
+    found = grid.cell_pair_overlaps(spark.createDataFrame(rows, "id long, cell_key long"), spark.createDataFrame([(k, *v) for k, vs in values.items() for v in vs], "cell_key long, people double, homes double"),
+                                    ["people", "homes"])
+    held = {i: {k for a, k in rows if a == i} for i in range(30)}
+    want = []
+    for a in held:
+        for b in held:
+            if a < b and (both := held[a] & held[b]):
+                sums = [sum(v[m] or 0.0 for k in both for v in values.get(k, [])) for m in (0, 1)]
+                n = sum(len(values.get(k, [0])) for k in both)
+                want.append((a, b, n, *sums, round(n / len(held[a]), 4), round(n / len(held[b]), 4)))
+    got = sorted(map(tuple, found.collect()))
+    assert len(want) > 200 and [r[:5] for r in got] == [r[:5] for r in want] and [r[5:] for r in got] == [pytest.approx(r[5:], abs=1e-4) for r in want]
+    plan = plan_of(found)
+    assert listed < 256 or not any(step in plan[:plan.index("FlatMapGroupsInArrow")] for step in ("Exchange", "Aggregate"))
