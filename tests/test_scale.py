@@ -192,3 +192,18 @@ def test_pairs_of_areas_in_cells_are_summed_in_their_first_cell(spark, monkeypat
     assert len(want) > 200 and [r[:5] for r in got] == [r[:5] for r in want] and [r[5:] for r in got] == [pytest.approx(r[5:], abs=1e-4) for r in want]
     plan = plan_of(found)
     assert listed < 256 or not any(step in plan[:plan.index("FlatMapGroupsInArrow")] for step in ("Exchange", "Aggregate"))
+
+
+def test_short_lines_meet_areas_whole(spark, monkeypatch):
+    rng = random.Random(9)
+    paths = [(i, [(float(rng.randrange(300)), float(rng.randrange(300)))] * (1 if i == 7 else 2)) for i in range(12)]
+    paths = [(i, [(x + 9 * k, y + rng.randrange(12)) for k, (x, y) in enumerate(p * (1 + i % 3))]) for i, p in paths]
+    lines = lambda rows: spark.createDataFrame(rows, "line_id int, path array<struct<x:double,y:double>>")
+    areas = _shapes(spark, 30, 6, "area_id")
+    rows = {}
+    for short in (-1, 4, 100):
+        monkeypatch.setattr(spatial, "SHORT", short)
+        rows[short] = sorted(map(str, spatial.lines_near_areas(lines([*paths, paths[2], (None, paths[3][1])]), areas, 6.0, ["line_id"], ["area_id"], 40.0).collect()))
+    assert len(rows[4]) > 20 and rows[4] == rows[-1] == rows[100] and len(set(rows[4])) == len(rows[4])
+    plan = plan_of(spatial.lines_near_areas(lines(paths), areas.filter("area_id <> 3"), 6.0, ["line_id"], ["area_id"], 40.0))
+    assert not any(step in plan[:plan.index("SortMergeJoin")] for step in ("Exchange", "Aggregate"))
